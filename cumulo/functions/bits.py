@@ -44,7 +44,8 @@ def datelist_bits(dates, as_of, days: int = 32, top_bit: int = 31) -> Column:
     bits = F.aggregate(
         kept,
         F.lit(0).cast("bigint"),
-        lambda acc, d: acc.bitwiseOR(F.shiftleft(F.lit(1).cast("bigint"), F.lit(top_bit) - age(d))),
+        lambda acc, d: acc.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(top_bit) - age(d))),
     )
     return bits.bitwiseAND(F.lit(LOW32).cast("bigint"))
 

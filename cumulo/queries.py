@@ -108,3 +108,228 @@ WHERE d.rn = 1
 @register("build_fact", _FACT_SQL)
 def q_build_fact(spark, sf_dir):
     return lineitem_fact(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders"))
+
+
+# --------------------------------------------------------------------------
+# Shared parameters for the activity jobs (testdata covers 2024-01-01..30)
+# --------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from cumulo.functions.arrays import join_text  # noqa: E402
+from cumulo.operators import cumulative, datelist, metrics  # noqa: E402
+from cumulo.sources.session import work_path  # noqa: E402
+from cumulo.streaming.daily import run_daily, write_day  # noqa: E402
+
+FIRST_DAY = _dt.date(2024, 1, 1)
+AS_OF = _dt.date(2024, 1, 30)
+INCREMENTAL_DAYS = 3
+SEED_DAY = AS_OF - _dt.timedelta(days=INCREMENTAL_DAYS)
+
+
+def _snapshot_out(df, key):
+    return df.select(key, cumulative.dates_text("dates_active").alias("dates_active"),
+                     "snapshot_date", F.size("dates_active").alias("n_days"))
+
+
+def _dates_sql(key_expr, key_alias, where):
+    return f"""
+SELECT {key_alias}, string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d DESC) AS dates_active,
+       DATE '{AS_OF}' AS snapshot_date, CAST(count(*) AS INTEGER) AS n_days
+FROM (SELECT DISTINCT {key_expr} AS {key_alias}, CAST(ts AS DATE) AS d FROM events
+      WHERE ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}' AND {where})
+GROUP BY {key_alias}
+"""
+
+
+_USERS_SQL = _dates_sql("user_id", "user_id", "user_id IS NOT NULL")
+_HOSTS_SQL = _dates_sql("event_type || '/' || json_extract_string(props, '$.k')", "host", "TRUE")
+
+
+# J5 ----------------------------------------------------------------------
+@register("rebuild_users", _USERS_SQL)
+def q_rebuild_users(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return _snapshot_out(cumulative.rebuild_dates(ev, "user_id", "ts", AS_OF), "user_id")
+
+
+def _incremental_dates(spark, events, key, drop_null_keys, name):
+    """Seed = closed form up to SEED_DAY, then one daily job per day."""
+    path = work_path(spark, name)
+    write_day(cumulative.rebuild_dates(events, key, "ts", SEED_DAY, drop_null_keys=drop_null_keys),
+              path, "snapshot_date")
+
+    def step(prev, d):
+        today = cumulative.active_keys(events, key, "ts", d, drop_null_keys=drop_null_keys)
+        return cumulative.cumulate_dates(prev, today, key, d, null_safe_key=not drop_null_keys)
+
+    return run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
+
+
+@register("cumulate_users", _USERS_SQL)
+def q_cumulate_users(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts")
+    return _snapshot_out(_incremental_dates(spark, ev, "user_id", True, "users_cumulated"), "user_id")
+
+
+# J6 ----------------------------------------------------------------------
+@register("cumulate_hosts", _HOSTS_SQL)
+def q_cumulate_hosts(spark, sf_dir):
+    ev = standins.sparse_hosts(_t(spark, sf_dir, "events")).withColumnRenamed("event_time", "ts")
+    return _snapshot_out(_incremental_dates(spark, ev, "host", False, "hosts_cumulated"), "host")
+
+
+# J7 / J8 -----------------------------------------------------------------
+def _datelist_sql(key_expr, key_alias, where, top_bit, days):
+    mask = "& 4294967295" if top_bit > 31 else ""
+    return f"""
+WITH a AS (SELECT DISTINCT {key_expr} AS {key_alias},
+                  date_diff('day', CAST(ts AS DATE), DATE '{AS_OF}') AS age
+           FROM events WHERE ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}' AND {where}),
+b AS (SELECT {key_alias},
+             CAST(coalesce(sum(CASE WHEN age BETWEEN 0 AND {min(days - 1, top_bit)}
+                                    THEN CAST(1 AS BIGINT) << ({top_bit} - age) END), 0) AS BIGINT) {mask} AS bits
+      FROM a GROUP BY {key_alias})
+SELECT {key_alias}, bits AS datelist_int, lpad(bin(bits), 32, '0') AS datelist_bits,
+       bit_count(bits) > 0 AS dim_is_monthly_active,
+       bit_count(bits & 4261412864) > 0 AS dim_is_weekly_active,
+       bit_count(bits & 2147483648) > 0 AS dim_is_daily_active
+FROM b
+"""
+
+
+@register("user_datelist", _datelist_sql("user_id", "user_id", "user_id IS NOT NULL", 31, 32))
+def q_user_datelist(spark, sf_dir):
+    snap = cumulative.rebuild_dates(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
+    return datelist.datelist(snap, "user_id", AS_OF)
+
+
+@register("user_datelist_compat", _datelist_sql("user_id", "user_id", "user_id IS NOT NULL", 32, 30))
+def q_user_datelist_compat(spark, sf_dir):
+    snap = cumulative.rebuild_dates(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
+    return datelist.datelist(snap, "user_id", AS_OF, days=30, top_bit=32)
+
+
+@register("host_datelist", _datelist_sql("event_type || '/' || json_extract_string(props, '$.k')",
+                                         "host", "TRUE", 31, 32))
+def q_host_datelist(spark, sf_dir):
+    ev = standins.sparse_hosts(_t(spark, sf_dir, "events"))
+    snap = cumulative.rebuild_dates(ev, "host", "event_time", AS_OF, drop_null_keys=False)
+    return datelist.datelist(snap, "host", AS_OF)
+
+
+# J9 / J10 / J11 ----------------------------------------------------------
+_MONTH = FIRST_DAY
+_EV_RANGE = f"ts >= TIMESTAMP '{_MONTH}' AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}'"
+_DAYS_CTE = (f"days AS (SELECT CAST(d AS DATE) AS d FROM generate_series(DATE '{_MONTH}', "
+             f"DATE '{AS_OF}', INTERVAL 1 DAY) t(d))")
+
+_METRIC_SQL = f"""
+WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL AND {_EV_RANGE}),
+{_DAYS_CTE},
+c AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events
+      WHERE user_id IS NOT NULL AND {_EV_RANGE} GROUP BY ALL)
+SELECT u.user_id, DATE '{_MONTH}' AS month_start, 'site_hits' AS metric_name,
+       string_agg(CAST(coalesce(c.n, 0) AS VARCHAR), ',' ORDER BY days.d) AS metric_array
+FROM u CROSS JOIN days LEFT JOIN c ON c.user_id = u.user_id AND c.d = days.d
+GROUP BY u.user_id
+"""
+
+
+def _metric_out(df):
+    return df.select("user_id", "month_start", "metric_name", join_text("metric_array").alias("metric_array"))
+
+
+@register("metric_array", _METRIC_SQL)
+def q_metric_array(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return _metric_out(metrics.rebuild_metric(ev, "user_id", "ts", AS_OF))
+
+
+@register("metric_array_incremental", _METRIC_SQL)
+def q_metric_array_incremental(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts")
+    path = work_path(spark, "array_metrics")
+    seed = metrics.rebuild_metric(ev, "user_id", "ts", SEED_DAY).withColumn("date_partition", F.lit(SEED_DAY))
+    write_day(seed, path, "date_partition")
+
+    def step(prev, d):
+        daily = metrics.daily_values(ev, "user_id", "ts", d, {"value": F.count(F.lit(1))})
+        return (metrics.append_metric(prev, daily, "user_id", d, "value", "site_hits")
+                       .withColumn("date_partition", F.lit(d)))
+
+    out = run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step, "date_partition")
+    return _metric_out(out)
+
+
+@register("metric_by_day", f"""
+WITH {_DAYS_CTE},
+c AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events
+      WHERE user_id IS NOT NULL AND {_EV_RANGE} GROUP BY ALL)
+SELECT 'site_hits' AS metric_name, days.d AS metric_date, CAST(coalesce(c.n, 0) AS BIGINT) AS value
+FROM days LEFT JOIN c ON c.d = days.d
+""")
+def q_metric_by_day(spark, sf_dir):
+    arrays = metrics.rebuild_metric(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
+    return metrics.explode_metric(arrays)
+
+
+@register("monthly_hits", f"""
+SELECT DATE '{_MONTH}' AS month_start,
+       CAST(count(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{_MONTH}') AS BIGINT) AS num_hits_first_day,
+       CAST(count(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{_MONTH + _dt.timedelta(days=1)}') AS BIGINT)
+           AS num_hits_second_day,
+       CAST(count(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{_MONTH + _dt.timedelta(days=2)}') AS BIGINT)
+           AS num_hits_third_day
+FROM events WHERE user_id IS NOT NULL AND {_EV_RANGE}
+""")
+def q_monthly_hits(spark, sf_dir):
+    arrays = metrics.rebuild_metric(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
+    hits = arrays.select("month_start", F.col("metric_array").alias("hit_array"),
+                         F.lit(AS_OF.isoformat()).alias("date_partition"))
+    return metrics.monthly_hits(hits, AS_OF.isoformat())
+
+
+# J29 ---------------------------------------------------------------------
+_HOST_REDUCED_SQL = f"""
+WITH h AS (SELECT DISTINCT event_type AS host FROM events WHERE {_EV_RANGE}),
+{_DAYS_CTE},
+c AS (SELECT event_type AS host, CAST(ts AS DATE) AS d, count(*) AS hits,
+             count(DISTINCT user_id) AS uv
+      FROM events WHERE {_EV_RANGE} GROUP BY ALL)
+SELECT h.host, DATE '{_MONTH}' AS month_start,
+       string_agg(CAST(coalesce(c.hits, 0) AS VARCHAR), ',' ORDER BY days.d) AS hit_array,
+       string_agg(CAST(coalesce(c.uv, 0) AS VARCHAR), ',' ORDER BY days.d) AS unique_visitors
+FROM h CROSS JOIN days LEFT JOIN c ON c.host = h.host AND c.d = days.d
+GROUP BY h.host
+"""
+
+
+def _host_events(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select(F.col("event_type").alias("host"), "user_id", "ts")
+
+
+def _reduced_out(df):
+    return df.select("host", "month_start", join_text("hit_array").alias("hit_array"),
+                     join_text("unique_visitors").alias("unique_visitors"))
+
+
+@register("host_reduced", _HOST_REDUCED_SQL)
+def q_host_reduced(spark, sf_dir):
+    return _reduced_out(metrics.rebuild_host_activity(_host_events(spark, sf_dir), "host", "user_id", "ts", AS_OF))
+
+
+@register("host_reduced_incremental", _HOST_REDUCED_SQL)
+def q_host_reduced_incremental(spark, sf_dir):
+    ev = _host_events(spark, sf_dir)
+    path = work_path(spark, "host_activity_reduced")
+    seed = (metrics.rebuild_host_activity(ev, "host", "user_id", "ts", SEED_DAY)
+                   .withColumn("date_partition", F.lit(SEED_DAY)))
+    write_day(seed, path, "date_partition")
+
+    def step(prev, d):
+        daily = metrics.daily_values(ev, "host", "ts", d, {
+            "hits": F.count(F.lit(1)), "uv": F.count_distinct("user_id")}, drop_null_keys=False)
+        return (metrics.append_metrics(prev, daily, "host", d, {"hit_array": "hits", "unique_visitors": "uv"})
+                       .withColumn("date_partition", F.lit(d)))
+
+    return _reduced_out(run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step, "date_partition"))
