@@ -43,3 +43,16 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if strategy not in ("auto", "broadcast"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return big.join(maybe_broadcast(small, max_bytes), on, how)
+
+
+def stage_map_medals(maps: DataFrame, matches: DataFrame, medals_players: DataFrame,
+                     map_key: str = "mapid", match_key: str = "match_id") -> DataFrame:
+    """Maps ⋈ matches ⋈ medals per player, the staging rows.
+
+    ``maps`` is a small dimension (size-checked broadcast); matches and
+    medal rows are both large and meet in one shuffle join on the match.
+    Each medal row belongs to one match, so the output has one row per
+    medal row with a known match and map: no fan-out.
+    """
+    mm = matches.join(maybe_broadcast(maps), map_key, "inner")
+    return mm.join(medals_players, match_key, "inner")

@@ -333,3 +333,392 @@ def q_host_reduced_incremental(spark, sf_dir):
                        .withColumn("date_partition", F.lit(d)))
 
     return _reduced_out(run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step, "date_partition"))
+
+
+# --------------------------------------------------------------------------
+# Enrich the fact, conditional rate
+# --------------------------------------------------------------------------
+from cumulo.operators import devices, graph, history, joins, ranking  # noqa: E402
+from cumulo.plans import layout  # noqa: E402
+from cumulo.functions.maps import map_text  # noqa: E402
+
+_FACT_CTE = "fact AS (" + _FACT_SQL.strip() + ")"
+
+
+@register("enrich_fact", f"""
+WITH {_FACT_CTE}
+SELECT f.dim_orderkey, f.dim_linenumber, f.dim_suppkey, s.s_name, s.s_nationkey, f.m_extendedprice
+FROM fact f JOIN supplier s ON f.dim_suppkey = s.s_suppkey
+""")
+def q_enrich_fact(spark, sf_dir):
+    fact = lineitem_fact(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders"))
+    out = facts.enrich(fact, _t(spark, sf_dir, "supplier"), "dim_suppkey", "s_suppkey")
+    return out.select("dim_orderkey", "dim_linenumber", "dim_suppkey", "s_name", "s_nationkey",
+                      "m_extendedprice")
+
+
+@register("conditional_rate", f"""
+WITH {_FACT_CTE}
+SELECT dim_suppkey, count(*) AS num_rows, count(*) FILTER (WHERE dim_returnflag = 'R') AS num_flagged,
+       round(CAST(count(*) FILTER (WHERE dim_returnflag = 'R') AS DOUBLE) / count(*), 6) AS flag_rate
+FROM fact GROUP BY dim_suppkey
+""")
+def q_conditional_rate(spark, sf_dir):
+    fact = lineitem_fact(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders"))
+    out = facts.conditional_rate(fact, "dim_suppkey", F.col("dim_returnflag") == "R")
+    return out.withColumn("flag_rate", F.round("flag_rate", 6))
+
+
+# --------------------------------------------------------------------------
+# J12 SCD2
+# --------------------------------------------------------------------------
+_PLAYERS_CTE = """p AS (
+  SELECT o_custkey AS player_name, CAST(year(o_orderdate) AS INTEGER) AS current_season,
+         CASE WHEN count(*) >= 3 THEN 'star' WHEN count(*) = 2 THEN 'good' ELSE 'average' END AS scoring_class
+  FROM orders GROUP BY 1, 2)"""
+_SCD_SQL = f"""
+WITH {_PLAYERS_CTE},
+s AS (SELECT *, CASE WHEN lag(scoring_class) OVER w IS NULL OR lag(scoring_class) OVER w <> scoring_class
+                     THEN 1 ELSE 0 END AS chg
+      FROM p WINDOW w AS (PARTITION BY player_name ORDER BY current_season)),
+i AS (SELECT *, sum(chg) OVER (PARTITION BY player_name ORDER BY current_season
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM s)
+SELECT player_name, scoring_class, min(current_season) AS start_date, max(current_season) AS end_date
+FROM i GROUP BY player_name, scoring_class, streak
+"""
+
+
+@register("scd2", _SCD_SQL)
+def q_scd2(spark, sf_dir):
+    players = standins.player_seasons(_t(spark, sf_dir, "orders"))
+    return history.scd2(players, "player_name", "current_season", "scoring_class")
+
+
+@register("scd2_compat", _SCD_SQL)
+def q_scd2_compat(spark, sf_dir):
+    players = standins.player_seasons(_t(spark, sf_dir, "orders"))
+    return history.scd2(players, "player_name", "current_season", "scoring_class", null_safe=False)
+
+
+# --------------------------------------------------------------------------
+# J13 vertices
+# --------------------------------------------------------------------------
+@register("vertices", """
+WITH t AS (SELECT l_suppkey AS team_id, l_returnflag AS abbreviation, l_linestatus AS nickname,
+                  CAST(l_partkey AS VARCHAR) AS city, CAST(l_orderkey AS VARCHAR) AS arena,
+                  CAST(year(l_shipdate) AS INTEGER) AS yearfounded FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY team_id
+             ORDER BY yearfounded DESC, nickname DESC, abbreviation, city, arena) AS rn FROM t)
+SELECT team_id AS identifier, 'team' AS type,
+       'abbreviation=' || abbreviation || ';arena=' || arena || ';city=' || city ||
+       ';nickname=' || nickname || ';year_founded=' || CAST(yearfounded AS VARCHAR) AS properties
+FROM r WHERE rn = 1
+""")
+def q_vertices(spark, sf_dir):
+    teams = standins.teams(_t(spark, sf_dir, "lineitem"))
+    order = [F.col("yearfounded").desc(), F.col("nickname").desc(), "abbreviation", "city", "arena"]
+    v = graph.team_vertices(teams, order_by=order)
+    return v.select("identifier", "type", map_text("properties").alias("properties"))
+
+
+# --------------------------------------------------------------------------
+# Cardinality and time range
+# --------------------------------------------------------------------------
+@register("cardinality", """
+SELECT count(DISTINCT event_type) AS n_event_type, count(DISTINCT CAST(ts AS DATE)) AS n_event_date
+FROM events
+""")
+def q_cardinality(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("event_date"))
+    return quality.cardinality(ev, ["event_type", "event_date"])
+
+
+@register("time_range", "SELECT min(ts) AS first_ts, max(ts) AS last_ts FROM events")
+def q_time_range(spark, sf_dir):
+    return quality.time_range(_t(spark, sf_dir, "events"), "ts")
+
+
+# --------------------------------------------------------------------------
+# Per device, per user
+# --------------------------------------------------------------------------
+_BY_DEVICE_CTE = """d AS (
+  SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS device_id, count(*) AS event_counts,
+         array_to_string(list_sort(list_distinct(list(event_type))), ',') AS host_array
+  FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2)"""
+
+
+@register("events_by_device", f"WITH {_BY_DEVICE_CTE} SELECT * FROM d")
+def q_events_by_device(spark, sf_dir):
+    ev = standins.activity_events(_t(spark, sf_dir, "events"))
+    out = devices.events_by_device(ev)
+    return out.withColumn("host_array", join_text("host_array"))
+
+
+@register("user_devices", f"""
+WITH {_BY_DEVICE_CTE}
+SELECT user_id, CAST(sum(event_counts) AS BIGINT) AS total_hits, max(event_counts) AS max_device_hits,
+       count(*) AS num_devices, array_to_string(list_sort(list(device_id)), ',') AS devices
+FROM d GROUP BY user_id
+""")
+def q_user_devices(spark, sf_dir):
+    ev = standins.activity_events(_t(spark, sf_dir, "events"))
+    out = devices.user_devices(devices.events_by_device(ev))
+    return out.withColumn("devices", join_text("devices"))
+
+
+# --------------------------------------------------------------------------
+# Matches, medals, maps
+# --------------------------------------------------------------------------
+_MATCH_CTES = """
+matches AS (SELECT o_orderkey AS match_id, CAST(c_nationkey AS BIGINT) AS mapid, o_orderpriority AS playlist_id,
+                   o_orderstatus = 'F' AS is_team_game, o_orderdate AS completion_date
+            FROM orders JOIN customer ON o_custkey = c_custkey),
+maps AS (SELECT CAST(n_nationkey AS BIGINT) AS mapid, n_name AS name, r_name AS description
+         FROM nation JOIN region ON n_regionkey = r_regionkey),
+details AS (SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag,
+                   CAST(l_quantity AS INTEGER) AS player_total_kills, l_linenumber AS player_total_deaths
+            FROM lineitem),
+mmp AS (SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag, l_partkey AS medal_id,
+               l_linenumber AS "count" FROM lineitem),
+medals AS (SELECT p_partkey AS medal_id, p_type AS name, p_brand AS classification FROM part),
+staging AS (SELECT m.mapid, maps.name, maps.description, m.match_id, m.is_team_game, m.playlist_id,
+                   m.completion_date, mmp.player_gamertag, mmp.medal_id, mmp."count"
+            FROM matches m JOIN maps ON m.mapid = maps.mapid JOIN mmp ON m.match_id = mmp.match_id)"""
+
+
+def _match_inputs(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    return {
+        "matches": standins.matches(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")),
+        "maps": standins.maps(_t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")),
+        "details": standins.match_details(li),
+        "mmp": standins.medals_matches_players(li),
+        "medals": standins.medals(_t(spark, sf_dir, "part")),
+    }
+
+
+_STAGING_COLS = ["mapid", "name", "description", "match_id", "is_team_game", "playlist_id",
+                 "completion_date", "player_gamertag", "medal_id", "count"]
+
+
+def _staged(spark, sf_dir):
+    """J19 staging rows, written once to the work folder and read back."""
+    m = _match_inputs(spark, sf_dir)
+    rows = joins.stage_map_medals(m["maps"], m["matches"], m["mmp"]).select(*_STAGING_COLS)
+    path = work_path(spark, "stg_maps_medals")
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), m
+
+
+@register("stage_map_medals", f"WITH {_MATCH_CTES} SELECT * FROM staging")
+def q_stage_map_medals(spark, sf_dir):
+    return _staged(spark, sf_dir)[0]
+
+
+@register("broadcast_join", f"""
+WITH {_MATCH_CTES}
+SELECT s.match_id, s.mapid, s.player_gamertag, s.medal_id, md.name AS medal_name, s."count"
+FROM staging s JOIN medals md ON s.medal_id = md.medal_id
+""")
+def q_broadcast_join(spark, sf_dir):
+    staged, m = _staged(spark, sf_dir)
+    medals = m["medals"].withColumnRenamed("name", "medal_name")
+    out = joins.join_small(staged, medals, "medal_id", strategy="broadcast")
+    return out.select("match_id", "mapid", "player_gamertag", "medal_id", "medal_name", "count")
+
+
+@register("bucket_join", f"""
+WITH {_MATCH_CTES},
+d AS (SELECT match_id, count(*) AS num_player_rows, CAST(sum(player_total_kills) AS BIGINT) AS total_kills
+      FROM details GROUP BY match_id),
+md AS (SELECT match_id, count(*) AS num_medal_rows, CAST(sum("count") AS BIGINT) AS total_medals
+       FROM mmp GROUP BY match_id)
+SELECT m.match_id, m.playlist_id, m.mapid, d.num_player_rows, d.total_kills, md.num_medal_rows, md.total_medals
+FROM matches m JOIN d ON m.match_id = d.match_id JOIN md ON m.match_id = md.match_id
+""")
+def q_bucket_join(spark, sf_dir):
+    m = _match_inputs(spark, sf_dir)
+    n = 16
+    t_matches = layout.write_bucketed(m["matches"], n, "match_id")
+    t_details = layout.write_bucketed(m["details"], n, "match_id")
+    t_medals = layout.write_bucketed(m["mmp"], n, "match_id")
+    # Per-match aggregates on bucketed tables need no shuffle; joining them
+    # 1:1 on the bucket key needs none either, and no pairs are formed.
+    d = (spark.table(t_details).groupBy("match_id")
+              .agg(F.count(F.lit(1)).alias("num_player_rows"),
+                   F.sum("player_total_kills").alias("total_kills")))
+    md = (spark.table(t_medals).groupBy("match_id")
+               .agg(F.count(F.lit(1)).alias("num_medal_rows"), F.sum("count").alias("total_medals")))
+    out = spark.table(t_matches).join(d, "match_id").join(md, "match_id")
+    return out.select("match_id", "playlist_id", "mapid", "num_player_rows", "total_kills",
+                      "num_medal_rows", "total_medals")
+
+
+def _details_with_matches(m):
+    return m["details"].join(m["matches"], "match_id", "inner")
+
+
+@register("top_player", f"""
+WITH {_MATCH_CTES},
+j AS (SELECT d.* FROM details d JOIN matches m ON d.match_id = m.match_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY match_id, player_gamertag
+             ORDER BY player_total_deaths, player_total_kills DESC) AS rn FROM j)
+SELECT player_gamertag, round(avg(player_total_kills), 6) AS avg_kills
+FROM r WHERE rn = 1 GROUP BY player_gamertag
+ORDER BY avg(player_total_kills) DESC, player_gamertag LIMIT 1
+""")
+def q_top_player(spark, sf_dir):
+    j = _details_with_matches(_match_inputs(spark, sf_dir))
+    out = ranking.top_by_mean(j, "player_gamertag", "match_id", "player_total_kills", k=1,
+                              order_by=[F.col("player_total_deaths").asc(), F.col("player_total_kills").desc()],
+                              out_col="avg_kills")
+    return out.withColumn("avg_kills", F.round("avg_kills", 6))
+
+
+@register("top_playlist", f"""
+WITH {_MATCH_CTES}
+SELECT playlist_id, count(DISTINCT m.match_id) AS num_matches
+FROM matches m JOIN details d ON m.match_id = d.match_id
+GROUP BY playlist_id ORDER BY num_matches DESC, playlist_id LIMIT 1
+""")
+def q_top_playlist(spark, sf_dir):
+    j = _details_with_matches(_match_inputs(spark, sf_dir))
+    return ranking.top_by_units(j, "playlist_id", "match_id", k=1, out_col="num_matches")
+
+
+@register("top_map", f"""
+WITH {_MATCH_CTES}
+SELECT mapid, count(DISTINCT m.match_id) AS num_matches
+FROM matches m JOIN details d ON m.match_id = d.match_id
+GROUP BY mapid ORDER BY num_matches DESC, mapid LIMIT 1
+""")
+def q_top_map(spark, sf_dir):
+    j = _details_with_matches(_match_inputs(spark, sf_dir))
+    return ranking.top_by_units(j, "mapid", "match_id", k=1, out_col="num_matches")
+
+
+@register("top_map_medal", f"""
+WITH {_MATCH_CTES}
+SELECT s.mapid, CAST(sum(s."count") AS BIGINT) AS total_medals
+FROM staging s JOIN medals md ON s.medal_id = md.medal_id
+WHERE md.name = 'ECONOMY'
+GROUP BY s.mapid ORDER BY total_medals DESC, s.mapid LIMIT 1
+""")
+def q_top_map_medal(spark, sf_dir):
+    staged, m = _staged(spark, sf_dir)
+    medals = m["medals"].withColumnRenamed("name", "medal_name")
+    j = joins.join_small(staged, medals, "medal_id")
+    return ranking.top_by_sum(j, "mapid", "count", where=F.col("medal_name") == "ECONOMY", k=1,
+                              out_col="total_medals")
+
+
+# --------------------------------------------------------------------------
+# Per-user map of event type -> dates
+# --------------------------------------------------------------------------
+_TYPE_DATES_CTE = f"""pd AS (
+  SELECT user_id, event_type,
+         string_agg(strftime(d, '%Y-%m-%d'), '|' ORDER BY d DESC) AS dates
+  FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS d FROM events
+        WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+          AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}')
+  GROUP BY 1, 2)"""
+_TYPE_DATES_SQL = f"""
+WITH {_TYPE_DATES_CTE}
+SELECT user_id, string_agg(event_type || '=' || dates, ';' ORDER BY event_type) AS device_activity_datelist,
+       DATE '{AS_OF}' AS snapshot_date
+FROM pd GROUP BY user_id
+"""
+
+
+def _type_dates_out(df):
+    txt = map_text("device_activity_datelist",
+                   value_text=lambda v: F.array_join(F.transform(v, lambda x: F.date_format(x, "yyyy-MM-dd")), "|"))
+    return df.select("user_id", txt.alias("device_activity_datelist"), "snapshot_date")
+
+
+@register("user_type_dates", _TYPE_DATES_SQL)
+def q_user_type_dates(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return _type_dates_out(cumulative.rebuild_date_map(ev, "user_id", "event_type", "ts", AS_OF))
+
+
+@register("user_type_dates_incremental", _TYPE_DATES_SQL)
+def q_user_type_dates_incremental(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    path = work_path(spark, "user_devices_cumulated")
+    write_day(cumulative.rebuild_date_map(ev, "user_id", "event_type", "ts", SEED_DAY), path, "snapshot_date")
+
+    def step(prev, d):
+        pairs = cumulative.active_pairs(ev, "user_id", "event_type", "ts", d)
+        return cumulative.cumulate_date_map(prev, pairs, "user_id", "event_type", d)
+
+    return _type_dates_out(run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step))
+
+
+@register("user_type_datelist", f"""
+WITH a AS (SELECT DISTINCT user_id, event_type, date_diff('day', CAST(ts AS DATE), DATE '{AS_OF}') AS age
+           FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+             AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}'),
+b AS (SELECT user_id, event_type,
+             CAST(coalesce(sum(CASE WHEN age BETWEEN 0 AND 31 THEN CAST(1 AS BIGINT) << (31 - age) END), 0)
+                  AS BIGINT) AS bits
+      FROM a GROUP BY 1, 2)
+SELECT user_id, string_agg(event_type || '=' || CAST(bits AS VARCHAR), ';' ORDER BY event_type) AS datelist_int
+FROM b GROUP BY user_id
+""")
+def q_user_type_datelist(spark, sf_dir):
+    snap = cumulative.rebuild_date_map(_t(spark, sf_dir, "events"), "user_id", "event_type", "ts", AS_OF)
+    out = datelist.datelist_map(snap, "user_id", AS_OF)
+    return out.select("user_id", map_text("datelist_int").alias("datelist_int"))
+
+
+# --------------------------------------------------------------------------
+# Layouts and sorts
+# --------------------------------------------------------------------------
+def _layout_events(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return ev.select("event_id", "user_id", F.col("event_type").alias("host"), "ts",
+                     F.to_date("ts").alias("event_date"))
+
+
+@register("write_layout", """
+SELECT event_id, user_id, event_type AS host, CAST(ts AS DATE) AS event_date FROM events
+""")
+def q_write_layout(spark, sf_dir):
+    path = work_path(spark, "events_sorted")
+    layout.write_layout(_layout_events(spark, sf_dir), path, ["event_date", "host"], n=4,
+                        cluster_cols=["event_date"])
+    return spark.read.parquet(path).select("event_id", "user_id", "host", "event_date")
+
+
+@register("layout_report")
+def q_layout_report(spark, sf_dir):
+    ev = _layout_events(spark, sf_dir)
+    base = work_path(spark, "events_layouts")
+    paths = {
+        "sorted": layout.write_layout(ev, f"{base}/sorted", ["event_date", "host"], n=4, cluster_cols=["event_date"]),
+        "unsorted": layout.write_layout(ev, f"{base}/unsorted", None, n=4, cluster_cols=["event_date"]),
+    }
+    return layout.layout_report(spark, paths)
+
+
+@register("compare_layouts")
+def q_compare_layouts(spark, sf_dir):
+    ev = _layout_events(spark, sf_dir)
+    return layout.compare_layouts(ev, {
+        "date_host": ["event_date", "host"],
+        "host_date": ["host", "event_date"],
+        "user_ts": ["user_id", "ts"],
+    }, n=4, cluster_cols=["event_date"])
+
+
+@register("sort_global", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
+def q_sort_global(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return layout.sort_global(o, ["o_orderdate", "o_orderkey"])
+
+
+@register("sort_local", "SELECT o_orderkey, o_orderpriority, o_orderdate FROM orders")
+def q_sort_local(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    return layout.sort_local(o, ["o_orderpriority", "o_orderdate"], n=8, part_cols=["o_orderpriority"])
