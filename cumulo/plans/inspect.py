@@ -48,7 +48,8 @@ def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (from file sizes and statistics;
     no job is run).  Unknown sizes come back as a very large number."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()))
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(str(v.toString()))
     except Exception:  # pragma: no cover - defensive: unknown means "large"
         return 1 << 62
 
