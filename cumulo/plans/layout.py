@@ -45,12 +45,19 @@ def sort_local(df: DataFrame, sort_cols, n: int | None = None, part_cols=None) -
 
 def write_layout(df: DataFrame, path: str, sort_cols=None, n: int | None = None,
                  cluster_cols=None, partition_by=None, mode: str = "overwrite") -> str:
-    """Write ``df`` clustered by ``cluster_cols`` into ``n`` tasks and sorted
-    inside each by ``sort_cols`` (low-cardinality columns first compress
-    best: longer runs for parquet's run-length encoding)."""
+    """Write ``df`` clustered by ``cluster_cols`` and sorted inside each
+    task by ``sort_cols`` (low-cardinality columns first compress best:
+    longer runs for parquet's run-length encoding).
+
+    With ``n`` the clustering is the reference's ``repartition(n, cols)``.
+    Without it, a ``rebalance`` hint clusters by the same columns but lets
+    AQE split an oversized cluster (one hot date) into several tasks and
+    merge tiny ones, so no writer task gets a third of the data.
+    """
     out = df
     if cluster_cols:
-        out = out.repartition(n, *names(cluster_cols)) if n else out.repartition(*names(cluster_cols))
+        out = (out.repartition(n, *names(cluster_cols)) if n
+               else out.hint("rebalance", *names(cluster_cols)))
     if sort_cols:
         out = out.sortWithinPartitions(*names(sort_cols))
     w = out.write.mode(mode)

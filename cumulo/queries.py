@@ -686,7 +686,7 @@ SELECT event_id, user_id, event_type AS host, CAST(ts AS DATE) AS event_date FRO
 """)
 def q_write_layout(spark, sf_dir):
     path = work_path(spark, "events_sorted")
-    layout.write_layout(_layout_events(spark, sf_dir), path, ["event_date", "host"], n=4,
+    layout.write_layout(_layout_events(spark, sf_dir), path, ["event_date", "host"],
                         cluster_cols=["event_date"])
     return spark.read.parquet(path).select("event_id", "user_id", "host", "event_date")
 
@@ -696,8 +696,8 @@ def q_layout_report(spark, sf_dir):
     ev = _layout_events(spark, sf_dir)
     base = work_path(spark, "events_layouts")
     paths = {
-        "sorted": layout.write_layout(ev, f"{base}/sorted", ["event_date", "host"], n=4, cluster_cols=["event_date"]),
-        "unsorted": layout.write_layout(ev, f"{base}/unsorted", None, n=4, cluster_cols=["event_date"]),
+        "sorted": layout.write_layout(ev, f"{base}/sorted", ["event_date", "host"], cluster_cols=["event_date"]),
+        "unsorted": layout.write_layout(ev, f"{base}/unsorted", None, cluster_cols=["event_date"]),
     }
     return layout.layout_report(spark, paths)
 
@@ -709,7 +709,7 @@ def q_compare_layouts(spark, sf_dir):
         "date_host": ["event_date", "host"],
         "host_date": ["host", "event_date"],
         "user_ts": ["user_id", "ts"],
-    }, n=4, cluster_cols=["event_date"])
+    }, cluster_cols=["event_date"])
 
 
 @register("sort_global", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
