@@ -7,13 +7,16 @@ one entity (an entity may hold a large share of the table):
 1. Range-partition by (entity, order).  The range bounds come from a
    sample, so a heavy entity is cut into several contiguous chunks.
 2. Inside each (entity, chunk): ``lag`` and a running max of change
-   positions (window functions over a bounded chunk).
+   positions (window functions over a bounded chunk).  The result is
+   checkpointed so every later step sees one chunk assignment.
 3. One summary row per (entity, chunk) – first/last value, first position,
    last local change.  A window over the summary (at most one row per
    chunk) decides whether each chunk's first row starts an island and
    which island start carries into chunks without a change.
-4. Join the summary back and group rows by (entity, island start):
-   min/max of the order column give start and end.
+4. Rows after a local change know their island already.  The rows of a
+   chunk's leading run are first reduced to one row per chunk, joined to
+   the summary (small to small), and merged with the rest in one grouped
+   min/max per (entity, island start) with map-side partial aggregation.
 
 ``null_safe=True`` (default) treats NULL as an ordinary value: equal
 neighbours never split, ``NULL -> A`` and ``A -> NULL`` both do.
@@ -30,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cumulo.sources.session import checkpoint_root
+
 
 def _changed(prev: Column, cur: Column, null_safe: bool) -> Column:
     if null_safe:
@@ -55,6 +60,11 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
                  .withColumn("_prev", F.lag(tracked).over(w)))
     local_change = (F.col("_rn") > 1) & _changed(F.col("_prev"), v, null_safe)
     local = local.withColumn("_loc_start", F.max(F.when(local_change, o)).over(running))
+    # The chunk ids come from sampled range bounds; every branch below must
+    # see the same ids, so the chunked rows are materialised once (reliable
+    # checkpoint in the shared checkpoint folder, survives executor loss).
+    checkpoint_root(spark)
+    local = local.checkpoint(eager=True)
 
     summary = (local.groupBy(entity, "_chunk")
                     .agg(F.min(o).alias("_first_o"),
@@ -69,23 +79,34 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
                                                      F.when(F.col("_first_change"), F.col("_first_o"))))
                       .withColumn("_inherited", F.last("_own", ignorenulls=True).over(
                           ws.rowsBetween(Window.unboundedPreceding, -1)))
-                      .select(entity, "_chunk", "_first_o", "_first_change", "_inherited"))
-
-    s = summary.alias("s")
-    l = local.alias("l")
-    joined = l.join(s, F.col(f"l.{entity}").eqNullSafe(F.col(f"s.{entity}"))
-                    & (F.col("l._chunk") == F.col("s._chunk")), "inner")
-    island = F.coalesce(F.col("l._loc_start"),
-                        F.when(F.col("s._first_change"), F.col("s._first_o")),
-                        F.col("s._inherited"))
-    rows = joined.select(F.col(f"l.{entity}").alias(entity), F.col(f"l.{order}").alias(order),
-                         F.col(f"l.{tracked}").alias(tracked), island.alias("_island"))
-    keys = [entity, "_island"] + ([] if null_safe else [tracked])
-    aggs = [F.min(order).alias(start_col), F.max(order).alias(end_col)]
+                      .select(entity, "_chunk",
+                              F.when(F.col("_first_change"), F.col("_first_o"))
+                               .otherwise(F.col("_inherited")).alias("_lead_island")))
+
+    # Rows after a change inside their chunk already know their island.
+    # Rows before it (the chunk's leading run) share the chunk's island:
+    # they are reduced to one row per (entity, chunk[, value]) first, so the
+    # join with the summary is between two small tables, never the rows.
+    by_value = [] if null_safe else [tracked]
+    settled = local.where(F.col("_loc_start").isNotNull()).select(
+        entity, F.col("_loc_start").alias("_island"), tracked,
+        o.alias("_s"), o.alias("_t"))
+    leading = (local.where(F.col("_loc_start").isNull())
+                    .groupBy(entity, "_chunk", *by_value)
+                    .agg(*([] if by_value else [F.min(tracked).alias(tracked)]),
+                         F.min(o).alias("_s"), F.max(o).alias("_t")))
+    l, sm = leading.alias("l"), summary.alias("s")
+    led = (l.join(sm, F.col(f"l.{entity}").eqNullSafe(F.col(f"s.{entity}"))
+                  & (F.col("l._chunk") == F.col("s._chunk")), "inner")
+            .select(F.col(f"l.{entity}").alias(entity), F.col("s._lead_island").alias("_island"),
+                    F.col(f"l.{tracked}").alias(tracked), "l._s", "l._t"))
+
+    keys = [entity, "_island"] + by_value
+    aggs = [F.min("_s").alias(start_col), F.max("_t").alias(end_col)]
     if null_safe:
         aggs.insert(0, F.min(tracked).alias(tracked))
-    return (rows.groupBy(*keys).agg(*aggs)
-                .select(entity, tracked, start_col, end_col))
+    return (settled.unionByName(led).groupBy(*keys).agg(*aggs)
+                   .select(entity, tracked, start_col, end_col))
 
 
 def scd2_windowed(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool = True,

@@ -44,8 +44,8 @@ def rebuild_metrics(events: DataFrame, key: str, ts: str, as_of, metrics: dict,
     ev = _day_events(events, ts, first, as_of)
     if drop_null_keys:
         ev = ev.where(F.col(key).isNotNull())
-    slot = day_slot(day(ts))
-    aggs = [F.slice(slot_counts(slot, MAX_SLOTS, v), 1, n).alias(name) for name, v in metrics.items()]
+    ev = ev.withColumn("_slot", day_slot(day(ts)))
+    aggs = [F.slice(slot_counts("_slot", MAX_SLOTS, v), 1, n).alias(name) for name, v in metrics.items()]
     return (ev.groupBy(key).agg(*aggs)
               .withColumn("month_start", as_date(first))
               .select(key, "month_start", *metrics.keys()))
@@ -150,9 +150,9 @@ def rebuild_host_activity(events: DataFrame, host: str, user: str, ts: str, as_o
     ev = _day_events(events, ts, first, as_of)
     daily = (ev.groupBy(host, day(ts).alias("_day"))
                .agg(F.count(F.lit(1)).alias("_hits"), F.count_distinct(user).alias("_uv")))
-    slot = day_slot("_day")
+    daily = daily.withColumn("_slot", day_slot("_day"))
     return (daily.groupBy(host)
-                 .agg(F.slice(slot_counts(slot, MAX_SLOTS, "_hits"), 1, n).alias(hits_col),
-                      F.slice(slot_counts(slot, MAX_SLOTS, "_uv"), 1, n).alias(visitors_col))
+                 .agg(F.slice(slot_counts("_slot", MAX_SLOTS, "_hits"), 1, n).alias(hits_col),
+                      F.slice(slot_counts("_slot", MAX_SLOTS, "_uv"), 1, n).alias(visitors_col))
                  .withColumn("month_start", as_date(first))
                  .select(host, "month_start", hits_col, visitors_col))
