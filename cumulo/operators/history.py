@@ -10,7 +10,7 @@ one entity (an entity may hold a large share of the table):
    positions (window functions over a bounded chunk).  The result is
    checkpointed so every later step sees one chunk assignment.
 3. One summary row per (entity, chunk) – first/last value, first position,
-   last local change.  A window over the summary (at most one row per
+   last local change – taken by filters (first and last row of the chunk).  A window over the summary (at most one row per
    chunk) decides whether each chunk's first row starts an island and
    which island start carries into chunks without a change.
 4. Rows after a local change know their island already.  The rows of a
@@ -57,7 +57,8 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
     w = Window.partitionBy(entity, "_chunk").orderBy(order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (base.withColumn("_rn", F.row_number().over(w))
-                 .withColumn("_prev", F.lag(tracked).over(w)))
+                 .withColumn("_prev", F.lag(tracked).over(w))
+                 .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull()))
     local_change = (F.col("_rn") > 1) & _changed(F.col("_prev"), v, null_safe)
     local = local.withColumn("_loc_start", F.max(F.when(local_change, o)).over(running))
     # The chunk ids come from sampled range bounds; every branch below must
@@ -66,11 +67,15 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
     checkpoint_root(spark)
     local = local.checkpoint(eager=True)
 
-    summary = (local.groupBy(entity, "_chunk")
-                    .agg(F.min(o).alias("_first_o"),
-                         F.min_by(v, o).alias("_first_v"),
-                         F.max_by(v, o).alias("_last_v"),
-                         F.max("_loc_start").alias("_last_change")))
+    # One row per chunk from plain filters: its first row, and its last row
+    # (whose running ``_loc_start`` is the chunk's last change).
+    firsts = local.where(F.col("_rn") == 1).select(
+        entity, "_chunk", o.alias("_first_o"), v.alias("_first_v"))
+    lasts = local.where(F.col("_is_last")).select(
+        F.col(entity).alias("_e"), F.col("_chunk").alias("_c"), v.alias("_last_v"),
+        F.col("_loc_start").alias("_last_change"))
+    summary = (firsts.join(lasts, F.col(entity).eqNullSafe(F.col("_e")) & (F.col("_chunk") == F.col("_c")))
+                     .drop("_e", "_c"))
     ws = Window.partitionBy(entity).orderBy("_chunk")
     first_change = (F.lag("_chunk").over(ws).isNull()
                     | _changed(F.lag("_last_v").over(ws), F.col("_first_v"), null_safe))
@@ -87,25 +92,24 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
     # Rows before it (the chunk's leading run) share the chunk's island:
     # they are reduced to one row per (entity, chunk[, value]) first, so the
     # join with the summary is between two small tables, never the rows.
-    by_value = [] if null_safe else [tracked]
+    # Grouping by the value too never splits a null-safe island (its values
+    # are all equal) and keeps every aggregate fixed-width (hash aggregate).
+    by_value = [tracked]
     settled = local.where(F.col("_loc_start").isNotNull()).select(
         entity, F.col("_loc_start").alias("_island"), tracked,
         o.alias("_s"), o.alias("_t"))
     leading = (local.where(F.col("_loc_start").isNull())
                     .groupBy(entity, "_chunk", *by_value)
-                    .agg(*([] if by_value else [F.min(tracked).alias(tracked)]),
-                         F.min(o).alias("_s"), F.max(o).alias("_t")))
+                    .agg(F.min(o).alias("_s"), F.max(o).alias("_t")))
     l, sm = leading.alias("l"), summary.alias("s")
     led = (l.join(sm, F.col(f"l.{entity}").eqNullSafe(F.col(f"s.{entity}"))
                   & (F.col("l._chunk") == F.col("s._chunk")), "inner")
             .select(F.col(f"l.{entity}").alias(entity), F.col("s._lead_island").alias("_island"),
                     F.col(f"l.{tracked}").alias(tracked), "l._s", "l._t"))
 
-    keys = [entity, "_island"] + by_value
-    aggs = [F.min("_s").alias(start_col), F.max("_t").alias(end_col)]
-    if null_safe:
-        aggs.insert(0, F.min(tracked).alias(tracked))
-    return (settled.unionByName(led).groupBy(*keys).agg(*aggs)
+    return (settled.unionByName(led)
+                   .groupBy(entity, "_island", *by_value)
+                   .agg(F.min("_s").alias(start_col), F.max("_t").alias(end_col))
                    .select(entity, tracked, start_col, end_col))
 
 
