@@ -118,7 +118,9 @@ import datetime as _dt  # noqa: E402
 from cumulo.functions.arrays import join_text  # noqa: E402
 from cumulo.operators import cumulative, datelist, metrics  # noqa: E402
 from cumulo.sources.session import work_path  # noqa: E402
-from cumulo.streaming.daily import run_daily, write_day  # noqa: E402
+import uuid  # noqa: E402
+
+from cumulo.streaming.daily import BucketedStore, PathStore, run_daily, write_day  # noqa: E402
 
 FIRST_DAY = _dt.date(2024, 1, 1)
 AS_OF = _dt.date(2024, 1, 30)
@@ -152,30 +154,41 @@ def q_rebuild_users(spark, sf_dir):
     return _snapshot_out(cumulative.rebuild_dates(ev, "user_id", "ts", AS_OF), "user_id")
 
 
-def _incremental_dates(spark, events, key, drop_null_keys, name):
+N_BUCKETS = 16
+
+
+def _bucketed_store(spark, name, key, partition_col):
+    table = f"{name}_{uuid.uuid4().hex[:10]}"
+    return BucketedStore(spark, table, work_path(spark, name), key, N_BUCKETS, partition_col)
+
+
+def _incremental_dates(spark, events, key, drop_null_keys, store):
     """Seed = closed form up to SEED_DAY, then one daily job per day."""
-    path = work_path(spark, name)
-    write_day(cumulative.rebuild_dates(events, key, "ts", SEED_DAY, drop_null_keys=drop_null_keys),
-              path, "snapshot_date")
+    store.write(cumulative.rebuild_dates(events, key, "ts", SEED_DAY, drop_null_keys=drop_null_keys))
 
     def step(prev, d):
         today = cumulative.active_keys(events, key, "ts", d, drop_null_keys=drop_null_keys)
         return cumulative.cumulate_dates(prev, today, key, d, null_safe_key=not drop_null_keys)
 
-    return run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
+    return run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
 
 
 @register("cumulate_users", _USERS_SQL)
 def q_cumulate_users(spark, sf_dir):
+    """Daily loads into a day-partitioned table bucketed by user: yesterday's
+    snapshot is read pre-partitioned, only today's keys are shuffled."""
     ev = _t(spark, sf_dir, "events").select("user_id", "ts")
-    return _snapshot_out(_incremental_dates(spark, ev, "user_id", True, "users_cumulated"), "user_id")
+    store = _bucketed_store(spark, "users_cumulated", "user_id", "snapshot_date")
+    return _snapshot_out(_incremental_dates(spark, ev, "user_id", True, store), "user_id")
 
 
 # J6 ----------------------------------------------------------------------
 @register("cumulate_hosts", _HOSTS_SQL)
 def q_cumulate_hosts(spark, sf_dir):
+    """Hosts keep a NULL key (null-safe join), so a plain partitioned folder."""
     ev = standins.sparse_hosts(_t(spark, sf_dir, "events")).withColumnRenamed("event_time", "ts")
-    return _snapshot_out(_incremental_dates(spark, ev, "host", False, "hosts_cumulated"), "host")
+    store = PathStore(spark, work_path(spark, "hosts_cumulated"))
+    return _snapshot_out(_incremental_dates(spark, ev, "host", False, store), "host")
 
 
 # J7 / J8 -----------------------------------------------------------------
@@ -248,16 +261,15 @@ def q_metric_array(spark, sf_dir):
 @register("metric_array_incremental", _METRIC_SQL)
 def q_metric_array_incremental(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("user_id", "ts")
-    path = work_path(spark, "array_metrics")
-    seed = metrics.rebuild_metric(ev, "user_id", "ts", SEED_DAY).withColumn("date_partition", F.lit(SEED_DAY))
-    write_day(seed, path, "date_partition")
+    store = _bucketed_store(spark, "array_metrics", "user_id", "date_partition")
+    store.write(metrics.rebuild_metric(ev, "user_id", "ts", SEED_DAY).withColumn("date_partition", F.lit(SEED_DAY)))
 
     def step(prev, d):
         daily = metrics.daily_values(ev, "user_id", "ts", d, {"value": F.count(F.lit(1))})
         return (metrics.append_metric(prev, daily, "user_id", d, "value", "site_hits")
                        .withColumn("date_partition", F.lit(d)))
 
-    out = run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step, "date_partition")
+    out = run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
     return _metric_out(out)
 
 
@@ -645,14 +657,14 @@ def q_user_type_dates(spark, sf_dir):
 @register("user_type_dates_incremental", _TYPE_DATES_SQL)
 def q_user_type_dates_incremental(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("user_id", "event_type", "ts")
-    path = work_path(spark, "user_devices_cumulated")
-    write_day(cumulative.rebuild_date_map(ev, "user_id", "event_type", "ts", SEED_DAY), path, "snapshot_date")
+    store = _bucketed_store(spark, "user_devices_cumulated", "user_id", "snapshot_date")
+    store.write(cumulative.rebuild_date_map(ev, "user_id", "event_type", "ts", SEED_DAY))
 
     def step(prev, d):
         pairs = cumulative.active_pairs(ev, "user_id", "event_type", "ts", d)
         return cumulative.cumulate_date_map(prev, pairs, "user_id", "event_type", d)
 
-    return _type_dates_out(run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step))
+    return _type_dates_out(run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step))
 
 
 @register("user_type_datelist", f"""

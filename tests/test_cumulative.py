@@ -105,3 +105,28 @@ def test_date_map_cumulation(spark):
                    2: {"chrome": [D(2023, 1, 2), D(2023, 1, 1)]}}
     closed = cumulative.rebuild_date_map(ev, "user_id", "browser", "ts", D(2023, 1, 2))
     assert {r["user_id"]: r["device_activity_datelist"] for r in closed.collect()} == got
+
+
+def test_bucketed_store_reads_yesterday_without_shuffle(spark):
+    import re
+    from cumulo.plans.inspect import physical_plan, session_conf
+    from cumulo.streaming.daily import BucketedStore
+
+    ev = read_table(spark, SF_SMALL, "events").select("user_id", "ts")
+    store = BucketedStore(spark, "snap_bucket_test", work_path(spark, "snap_bucket_test"), "user_id", 8)
+    store.write(cumulative.rebuild_dates(ev, "user_id", "ts", D(2024, 1, 20)))
+
+    def step(prev, d):
+        return cumulative.cumulate_dates(prev, cumulative.active_keys(ev, "user_id", "ts", d), "user_id", d)
+
+    with session_conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = physical_plan(step(store.read(D(2024, 1, 20)), D(2024, 1, 21)))
+    # the snapshot side is a bucketed scan feeding the join directly
+    assert "Bucketed: true" in plan
+    snapshot_side = plan.split("FullOuter")[1]
+    assert re.search(r"Exchange[^\n]*\n[^\n]*snap_bucket_test", snapshot_side) is None
+    inc = rows(run_daily(spark, store, D(2024, 1, 21), D(2024, 1, 30), step))
+    assert inc == rows(cumulative.rebuild_dates(ev, "user_id", "ts", D(2024, 1, 30)))
+    store.write(step(store.read(D(2024, 1, 29)), D(2024, 1, 30)))  # rerun of the last day
+    spark.catalog.refreshTable(store.table)
+    assert rows(store.read(D(2024, 1, 30))) == inc
