@@ -8,15 +8,23 @@ library functions themselves return real arrays and maps.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cumulo.functions.arrays import join_text
+from cumulo.functions.maps import map_text
 from cumulo.functions.text import minutes_from_text, token_flag
-from cumulo.operators import facts, quality
+from cumulo.operators import (cumulative, datelist, devices, facts, graph, history, joins,
+                              metrics, quality, ranking)
+from cumulo.plans import layout
 from cumulo.sources import standins
+from cumulo.sources.session import work_path
 from cumulo.sources.tables import read_table
+from cumulo.streaming.daily import BucketedStore, PathStore, run_daily, write_day
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,14 +121,7 @@ def q_build_fact(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Shared parameters for the activity jobs (testdata covers 2024-01-01..30)
 # --------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
 
-from cumulo.functions.arrays import join_text  # noqa: E402
-from cumulo.operators import cumulative, datelist, metrics  # noqa: E402
-from cumulo.sources.session import work_path  # noqa: E402
-import uuid  # noqa: E402
-
-from cumulo.streaming.daily import BucketedStore, PathStore, run_daily, write_day  # noqa: E402
 
 FIRST_DAY = _dt.date(2024, 1, 1)
 AS_OF = _dt.date(2024, 1, 30)
@@ -350,9 +351,6 @@ def q_host_reduced_incremental(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Enrich the fact, conditional rate
 # --------------------------------------------------------------------------
-from cumulo.operators import devices, graph, history, joins, ranking  # noqa: E402
-from cumulo.plans import layout  # noqa: E402
-from cumulo.functions.maps import map_text  # noqa: E402
 
 _FACT_CTE = "fact AS (" + _FACT_SQL.strip() + ")"
 
@@ -551,9 +549,10 @@ FROM matches m JOIN d ON m.match_id = d.match_id JOIN md ON m.match_id = md.matc
 def q_bucket_join(spark, sf_dir):
     m = _match_inputs(spark, sf_dir)
     n = 16
-    t_matches = layout.write_bucketed(m["matches"], n, "match_id")
-    t_details = layout.write_bucketed(m["details"], n, "match_id")
-    t_medals = layout.write_bucketed(m["mmp"], n, "match_id")
+    # no sortBy: the per-bucket aggregates below are hash aggregates
+    t_matches = layout.write_bucketed(m["matches"], n, "match_id", sort=False)
+    t_details = layout.write_bucketed(m["details"], n, "match_id", sort=False)
+    t_medals = layout.write_bucketed(m["mmp"], n, "match_id", sort=False)
     # Per-match aggregates on bucketed tables need no shuffle; joining them
     # 1:1 on the bucket key needs none either, and no pairs are formed.
     d = (spark.table(t_details).groupBy("match_id")
