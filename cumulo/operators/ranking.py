@@ -17,11 +17,21 @@ from cumulo.operators.quality import dedup
 
 
 def top_by_mean(df: DataFrame, entity: str, unit, value: str, k: int = 1,
-                order_by=None, out_col: str = "avg_value") -> DataFrame:
+                order_by=None, out_col: str = "avg_value", units: DataFrame | None = None) -> DataFrame:
     """Entity with the highest mean ``value`` per unit, counting each
-    (unit, entity) once (the first row under ``order_by``)."""
-    src = df if order_by is not None else df.select(*names(unit), entity, value)
-    one = dedup(src, names(unit) + [entity], order_by)
+    (unit, entity) once (the first row under ``order_by``).
+
+    ``units`` optionally restricts to units present there (e.g. matches
+    that exist).  The restriction is a semi join applied *after* the dedup:
+    the dedup shuffles on (unit, entity), which spreads a hot unit, and the
+    semi join that follows feeds a partial aggregate, so AQE may split a
+    hot unit's partition.
+    """
+    us = names(unit)
+    src = df if order_by is not None else df.select(*us, entity, value)
+    one = dedup(src, us + [entity], order_by)
+    if units is not None:
+        one = one.join(units.select(*us), us, "left_semi")
     return (one.groupBy(entity).agg(F.avg(value).alias(out_col))
                .orderBy(F.col(out_col).desc(), F.col(entity).asc()).limit(k))
 

@@ -565,8 +565,10 @@ def q_bucket_join(spark, sf_dir):
                       "num_medal_rows", "total_medals")
 
 
-def _details_with_matches(m):
-    return m["details"].join(m["matches"], "match_id", "inner")
+def _played_matches(m):
+    """Matches that have player rows, one row each (semi join: the details
+    side contributes only its match ids, no rows are multiplied)."""
+    return m["matches"].join(m["details"].select("match_id"), "match_id", "left_semi")
 
 
 @register("top_player", f"""
@@ -579,10 +581,10 @@ FROM r WHERE rn = 1 GROUP BY player_gamertag
 ORDER BY avg(player_total_kills) DESC, player_gamertag LIMIT 1
 """)
 def q_top_player(spark, sf_dir):
-    j = _details_with_matches(_match_inputs(spark, sf_dir))
-    out = ranking.top_by_mean(j, "player_gamertag", "match_id", "player_total_kills", k=1,
+    m = _match_inputs(spark, sf_dir)
+    out = ranking.top_by_mean(m["details"], "player_gamertag", "match_id", "player_total_kills", k=1,
                               order_by=[F.col("player_total_deaths").asc(), F.col("player_total_kills").desc()],
-                              out_col="avg_kills")
+                              out_col="avg_kills", units=m["matches"])
     return out.withColumn("avg_kills", F.round("avg_kills", 6))
 
 
@@ -593,8 +595,8 @@ FROM matches m JOIN details d ON m.match_id = d.match_id
 GROUP BY playlist_id ORDER BY num_matches DESC, playlist_id LIMIT 1
 """)
 def q_top_playlist(spark, sf_dir):
-    j = _details_with_matches(_match_inputs(spark, sf_dir))
-    return ranking.top_by_units(j, "playlist_id", "match_id", k=1, out_col="num_matches")
+    played = _played_matches(_match_inputs(spark, sf_dir))
+    return ranking.top_by_units(played, "playlist_id", "match_id", k=1, out_col="num_matches")
 
 
 @register("top_map", f"""
@@ -604,8 +606,8 @@ FROM matches m JOIN details d ON m.match_id = d.match_id
 GROUP BY mapid ORDER BY num_matches DESC, mapid LIMIT 1
 """)
 def q_top_map(spark, sf_dir):
-    j = _details_with_matches(_match_inputs(spark, sf_dir))
-    return ranking.top_by_units(j, "mapid", "match_id", k=1, out_col="num_matches")
+    played = _played_matches(_match_inputs(spark, sf_dir))
+    return ranking.top_by_units(played, "mapid", "match_id", k=1, out_col="num_matches")
 
 
 @register("top_map_medal", f"""
