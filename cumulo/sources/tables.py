@@ -9,6 +9,7 @@ stays available as an option.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TABLES = (
@@ -38,3 +39,15 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Temp views named like the tables (for ``spark.sql`` users)."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def date_series(spark: SparkSession, first, last, col: str = "series_date") -> DataFrame:
+    """One row per day from ``first`` to ``last`` (inclusive), generated on
+    the executors (``range`` + ``date_add``), like ``generate_series``."""
+    import datetime as dt
+
+    a = first if isinstance(first, dt.date) else dt.date.fromisoformat(str(first))
+    b = last if isinstance(last, dt.date) else dt.date.fromisoformat(str(last))
+    n = (b - a).days + 1
+    return spark.range(max(n, 0)).select(
+        F.date_add(F.lit(a), F.col("id").cast("int")).alias(col))

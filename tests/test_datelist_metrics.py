@@ -139,3 +139,25 @@ def test_host_activity(spark):
 def test_datelist_bits_expression(spark):
     df = spark.createDataFrame([([AS_OF, AS_OF - dt.timedelta(days=31)],)], "d array<date>")
     assert df.select(datelist_bits("d", AS_OF).alias("b")).collect()[0]["b"] == (1 << 31) | 1
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_event = st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(0, 9), st.integers(0, 23))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_event, min_size=1, max_size=30), st.integers(1, 10))
+def test_daily_appends_equal_rebuild(spark, events, last):
+    """Appending day by day (in any run length) equals the closed form."""
+    data = [(u, f"2023-03-{d + 1:02d} {h:02d}:00:00") for u, d, h in events]
+    ev = spark.createDataFrame(data, "user_id bigint, ts string").withColumn("ts", F.to_timestamp("ts"))
+    state = spark.createDataFrame([], "user_id bigint, month_start date, metric_name string, "
+                                      "metric_array array<bigint>")
+    for i in range(last):
+        d = D(2023, 3, 1) + dt.timedelta(days=i)
+        daily = metrics.daily_values(ev, "user_id", "ts", d, {"value": F.count(F.lit(1))})
+        state = metrics.append_metric(state, daily, "user_id", d, "value", "site_hits").cache()
+    want = rows(metrics.rebuild_metric(ev, "user_id", "ts", D(2023, 3, 1) + dt.timedelta(days=last - 1)))
+    assert rows(state) == want
