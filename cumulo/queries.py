@@ -388,13 +388,11 @@ _PLAYERS_CTE = """p AS (
   FROM orders GROUP BY 1, 2)"""
 _SCD_SQL = f"""
 WITH {_PLAYERS_CTE},
-s AS (SELECT *, CASE WHEN lag(scoring_class) OVER w IS NULL OR lag(scoring_class) OVER w <> scoring_class
-                     THEN 1 ELSE 0 END AS chg
-      FROM p WINDOW w AS (PARTITION BY player_name ORDER BY current_season)),
-i AS (SELECT *, sum(chg) OVER (PARTITION BY player_name ORDER BY current_season
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM s)
+g AS (SELECT *, row_number() OVER (PARTITION BY player_name ORDER BY current_season)
+              - row_number() OVER (PARTITION BY player_name, scoring_class ORDER BY current_season) AS grp
+      FROM p)
 SELECT player_name, scoring_class, min(current_season) AS start_date, max(current_season) AS end_date
-FROM i GROUP BY player_name, scoring_class, streak
+FROM g GROUP BY player_name, scoring_class, grp
 """
 
 
