@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.functions.util import names
+from cumulo.plans.inspect import session_conf
 
 # The reference's table layouts (columns, primary key,
 # partition columns).  Types follow SURVEY §1.2 (real -> double).
@@ -116,8 +117,11 @@ def append(df: DataFrame, table: str) -> None:
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace only the partitions present in ``df`` (rerun-safe load)."""
-    cols = df.sparkSession.table(table).columns
-    df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    spark = df.sparkSession
+    cols = spark.table(table).columns
+    # insertInto ignores the writer option; the session setting decides
+    with session_conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        df.select(*cols).write.mode("overwrite").insertInto(table)
 
 
 def with_year(df: DataFrame, date_col: str, year_col: str | None = None) -> DataFrame:

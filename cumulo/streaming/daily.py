@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.functions.util import names, to_pydate
+from cumulo.plans.inspect import session_conf
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -106,9 +107,9 @@ class BucketedStore:
                .saveAsTable(self.table))
             return
         cols = self.spark.table(self.table).columns  # insertInto is positional
-        (df.select(*cols).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .insertInto(self.table))
+        # insertInto ignores the writer option; the session setting decides
+        with session_conf(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            df.select(*cols).write.mode("overwrite").insertInto(self.table)
 
 
 def days_between(first, last) -> list[dt.date]:

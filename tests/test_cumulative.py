@@ -130,3 +130,21 @@ def test_bucketed_store_reads_yesterday_without_shuffle(spark):
     store.write(step(store.read(D(2024, 1, 29)), D(2024, 1, 30)))  # rerun of the last day
     spark.catalog.refreshTable(store.table)
     assert rows(store.read(D(2024, 1, 30))) == inc
+
+
+def test_stores_replace_only_their_day_under_static_overwrite_conf(spark):
+    from cumulo.plans.inspect import session_conf
+    from cumulo.streaming.daily import BucketedStore, PathStore
+
+    d1 = spark.createDataFrame([(1, [D(2023, 1, 1)], D(2023, 1, 1))],
+                               "user_id bigint, dates_active array<date>, snapshot_date date")
+    d2 = d1.withColumn("snapshot_date", F.lit(D(2023, 1, 2)))
+    with session_conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "static"}):
+        for store in (BucketedStore(spark, "static_conf_test", work_path(spark, "static_conf_test"), "user_id", 4),
+                      PathStore(spark, work_path(spark, "static_conf_path"))):
+            store.write(d1)
+            store.write(d2)
+            store.write(d2)  # rerun
+            assert store.exists(D(2023, 1, 1)) and store.exists(D(2023, 1, 2))
+            assert store.read(D(2023, 1, 1)).count() == 1 and store.read(D(2023, 1, 2)).count() == 1
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
