@@ -402,6 +402,13 @@ def q_scd2(spark, sf_dir):
     return history.scd2(players, "player_name", "current_season", "scoring_class")
 
 
+@register("scd2_windowed", _SCD_SQL)
+def q_scd2_windowed(spark, sf_dir):
+    """The one-shuffle window form, for inputs without a dominant entity."""
+    players = standins.player_seasons(_t(spark, sf_dir, "orders"))
+    return history.scd2_windowed(players, "player_name", "current_season", "scoring_class")
+
+
 @register("scd2_compat", _SCD_SQL)
 def q_scd2_compat(spark, sf_dir):
     players = standins.player_seasons(_t(spark, sf_dir, "orders"))

@@ -64,3 +64,27 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}"
     return f"{root}/cumulo/{leaf}"
+
+
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                executor_cores: int = 4, executors: int = 1000) -> dict:
+    """Settings that keep shuffle and scan partitions near a target size.
+
+    For a job reading ``input_bytes``: enough initial shuffle partitions
+    that each holds about ``target_partition_bytes`` (AQE then coalesces
+    small ones and splits skewed ones), never fewer than one wave of tasks
+    over the cluster, and scan splits of the same size.  Returns a dict to
+    pass to ``SparkSession.builder.config`` or ``session_conf``.
+    """
+    slots = executor_cores * executors
+    parts = max(slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

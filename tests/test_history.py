@@ -78,3 +78,32 @@ def test_hot_entity_is_split_across_chunks(spark):
     chunks = (df.repartitionByRange(8, "e", "o").select(F.spark_partition_id().alias("p"))
                 .distinct().count())
     assert chunks > 1
+
+
+def test_intervals_cover_rows_without_overlap(spark):
+    from cumulo.sources.tables import read_table
+    from cumulo.sources import standins
+    from tests.conftest import SF_SMALL
+    players = standins.player_seasons(read_table(spark, SF_SMALL, "orders"))
+    out = history.scd2(players, "player_name", "current_season", "scoring_class", n_chunks=5).collect()
+    by_e = {}
+    for r in out:
+        by_e.setdefault(r["player_name"], []).append((r["start_date"], r["end_date"], r["scoring_class"]))
+    seasons = {}
+    for r in players.collect():
+        seasons.setdefault(r["player_name"], []).append((r["current_season"], r["scoring_class"]))
+    assert set(by_e) == set(seasons)
+    for e, ivs in by_e.items():
+        ivs.sort()
+        for (s1, t1, _), (s2, _, _) in zip(ivs, ivs[1:]):
+            assert t1 < s2  # no overlap
+        for season, cls in seasons[e]:  # every row inside exactly one interval of its class
+            hits = [c for s, t, c in ivs if s <= season <= t]
+            assert hits == [cls]
+
+
+def test_sizing_conf():
+    from cumulo.sources.session import sizing_conf
+    c = sizing_conf(100 * 1024 ** 4)  # 100 TiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(sizing_conf(1024)["spark.sql.shuffle.partitions"]) == 4000  # one wave minimum
