@@ -74,3 +74,18 @@ def session_conf(spark: SparkSession, **settings):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, v)
+
+
+@contextmanager
+def persisted(df: DataFrame, level=None):
+    """Persist ``df`` for a block that reads it more than once, then release
+    it (``cache()`` / ``unpersist()`` around a reuse).  Default storage is
+    memory with spill to disk, so a frame larger than the cache never fails;
+    data that must survive the job belongs in a written table instead."""
+    from pyspark import StorageLevel
+
+    d = df.persist(level or StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield d
+    finally:
+        d.unpersist()

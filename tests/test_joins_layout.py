@@ -94,3 +94,15 @@ def test_layout_report_and_content(spark):
     assert spark.read.parquet(p1).count() == ev.count()
     cmp = layout.compare_layouts(ev, {"a": ["event_type"], "b": ["user_id"]}, n=2)
     assert cmp.count() == 2
+
+
+def test_device_reports_share_one_persisted_aggregate(spark):
+    from cumulo.plans.inspect import persisted
+    from cumulo.sources import standins
+    ev = standins.activity_events(read_table(spark, SF_SMALL, "events"))
+    with persisted(devices.events_by_device(ev)) as by_dev:
+        n_pairs = by_dev.count()
+        per_user = devices.user_devices(by_dev)
+        assert "InMemoryTableScan" in physical_plan(per_user)
+        assert per_user.agg(F.sum("num_devices")).collect()[0][0] == n_pairs
+    assert not by_dev.is_cached
