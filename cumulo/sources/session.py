@@ -44,16 +44,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     dir.  If neither is set (a local test session), a fresh folder is
     created and registered, so later calls agree on it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - older API
-            root = None
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="cumulo-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
+    if not sc.getCheckpointDir():
+        # DataFrame.checkpoint() needs the context's folder too
+        sc.setCheckpointDir(root)
     return root
 
 
