@@ -128,3 +128,22 @@ def with_year(df: DataFrame, date_col: str, year_col: str | None = None) -> Data
     """Materialise ``year(date_col)`` so a parquet table can be partitioned
     by year (the role of Iceberg's ``years()`` transform)."""
     return df.withColumn(year_col or f"{date_col}_year", F.year(date_col))
+
+
+def run_table_job(spark: SparkSession, source: str, transform, target: str,
+                  overwrite: bool = True) -> None:
+    """Table in, table out: ``spark.table(source)`` -> ``transform`` ->
+    ``target`` (columns matched by name; overwrite replaces the table's
+    data, or only the written partitions when the table is partitioned)."""
+    out = transform(spark.table(source))
+    if not overwrite:
+        append(out, target)
+    elif _partition_columns(spark, target):
+        overwrite_partitions(out, target)
+    else:
+        cols = spark.table(target).columns
+        out.select(*cols).write.mode("overwrite").insertInto(target)
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]

@@ -64,3 +64,19 @@ def test_primary_key_check_refuses_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(ValueError):
         quality.assert_unique(df, ["k"])
+
+
+def test_run_table_job_scd(spark):
+    from cumulo.operators import history
+    db = f"cumulo_jobs_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=work_path(spark, db))
+    src = spark.createDataFrame(
+        [("Michael Jordan", 2001, "Good"), ("Michael Jordan", 2002, "Good"), ("Michael Jordan", 2003, "Bad")],
+        "player_name string, current_season bigint, scoring_class string")
+    src.write.saveAsTable(f"{db}.players")
+    target = catalog.create_reference_table(spark, "players_scd", f"{db}.players_scd")
+    job = lambda df: history.scd2(df, "player_name", "current_season", "scoring_class")
+    catalog.run_table_job(spark, f"{db}.players", job, target)
+    catalog.run_table_job(spark, f"{db}.players", job, target)  # rerun: replaced, not appended
+    got = sorted(tuple(r) for r in spark.table(target).collect())
+    assert got == [("Michael Jordan", "Bad", 2003, 2003), ("Michael Jordan", "Good", 2001, 2002)]
