@@ -23,10 +23,3 @@ def day_slot(d) -> Column:
     c = as_col(d)
     return F.datediff(c, F.trunc(c, "month"))
 
-
-def day_range_filter(ts, start, end_inclusive) -> Column:
-    """``start <= day(ts) <= end`` written as a range on ``ts`` so parquet
-    min/max statistics can skip row groups."""
-    c = as_col(ts)
-    return (c >= F.to_timestamp(F.lit(str(start)))) & (
-        c < F.to_timestamp(F.date_add(F.to_date(F.lit(str(end_inclusive))), 1)))

@@ -12,17 +12,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-def physical_plan(df: DataFrame, final: bool = False) -> str:
-    """Physical plan text.  With AQE the initial plan is shown unless
-    ``final`` is set and the query already ran."""
-    qe = df._jdf.queryExecution()
-    plan = qe.executedPlan()
-    if final:
-        try:
-            plan = plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan
-        except Exception:
-            pass
-    return plan.toString()
+def physical_plan(df: DataFrame) -> str:
+    """Physical plan text.  Under AQE this is the initial plan until this
+    DataFrame has run (``collect``), after which it is the final plan."""
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def plan_nodes(df: DataFrame) -> list[str]:
@@ -35,10 +28,6 @@ def plan_nodes(df: DataFrame) -> list[str]:
     return out
 
 
-def count_nodes(df: DataFrame, name: str) -> int:
-    return sum(1 for n in plan_nodes(df) if n == name)
-
-
 def exchanges(df: DataFrame) -> int:
     """Number of shuffle exchanges (broadcast exchanges not counted)."""
     return sum(1 for n in plan_nodes(df) if n in ("Exchange", "ShuffleExchange"))
