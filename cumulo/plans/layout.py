@@ -128,7 +128,13 @@ def write_bucketed(df: DataFrame, n_buckets: int, key, table: str | None = None,
 
 
 def bucket_join(spark: SparkSession, tables: list[str], key, how: str = "inner") -> DataFrame:
-    """Join bucketed tables on their bucket key, left to right."""
+    """Join bucketed tables on their bucket key, left to right, without a
+    shuffle when they share the bucket count.
+
+    At most one table may hold many rows per key; the others should be
+    unique per key (a dimension, or a per-key aggregate written bucketed),
+    otherwise the join emits every pair of their rows for a key.
+    """
     ks = names(key)
     out = spark.table(tables[0])
     for t in tables[1:]:

@@ -62,7 +62,8 @@ def test_bucket_join_has_no_shuffle(spark):
     o = read_table(spark, SF_SMALL, "orders").withColumnRenamed("o_orderkey", "k")
     a = layout.write_bucketed(o, 16, "k")
     b = layout.write_bucketed(li.withColumnRenamed("l_orderkey", "k").select("k", "l_quantity"), 16, "k")
-    c = layout.write_bucketed(li.withColumnRenamed("l_orderkey", "k").select("k", "l_partkey"), 16, "k")
+    # third table: one row per key (a per-key aggregate), so the 3-way join forms no pairs
+    c = layout.write_bucketed(li.groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("n")), 16, "k")
     with session_conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         two = layout.bucket_join(spark, [a, b], "k")
         three = layout.bucket_join(spark, [a, b, c], "k")
