@@ -65,7 +65,7 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
     # see the same ids, so the chunked rows are materialised once (reliable
     # checkpoint in the shared checkpoint folder, survives executor loss).
     checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
+    local = local.drop("_prev").checkpoint(eager=True)
 
     # One row per chunk from plain filters: its first row, and its last row
     # (whose running ``_loc_start`` is the chunk's last change).
