@@ -18,18 +18,32 @@ def events_by_device(events: DataFrame, user: str = "user_id", device: str = "de
                        F.array_sort(F.collect_set(host)).alias("host_array")))
 
 
-def user_devices(by_device: DataFrame, user: str = "user_id", device: str = "device_id") -> DataFrame:
+def user_devices(by_device: DataFrame, user: str = "user_id", device: str = "device_id",
+                 list_size: int = 100_000) -> DataFrame:
     """Per user, from the J17 aggregate alone.
 
     ``total_hits`` = all events of the user, ``max_device_hits`` = events of
-    the busiest device (the reference's "total_hits"), and the user's
-    devices (each once).  The reference joined raw events back to the
+    the busiest device (the reference's "total_hits"), ``num_devices`` and
+    the sorted device list.  The reference joined raw events back to the
     aggregate, which repeats every device once per event of the user
     (SURVEY §8-Q12); reading the aggregate gives the same maximum without
-    that fan-out and without a join.
+    that fan-out.
+
+    A user with more than ``list_size`` devices gets several rows, each with
+    the totals and one part of the list (devices split by hash into
+    ``ceil(num_devices / list_size)`` parts), so no single list - and no
+    single task - has to hold an unbounded group.  Every device appears in
+    exactly one part.
     """
-    return (by_device.groupBy(user)
-                     .agg(F.sum("event_counts").alias("total_hits"),
-                          F.max("event_counts").alias("max_device_hits"),
-                          F.count(F.lit(1)).alias("num_devices"),
-                          F.array_sort(F.collect_list(device)).alias("devices")))
+    totals = (by_device.groupBy(user)
+                       .agg(F.sum("event_counts").alias("total_hits"),
+                            F.max("event_counts").alias("max_device_hits"),
+                            F.count(F.lit(1)).alias("num_devices")))
+    n_parts = F.ceil(F.col("num_devices") / F.lit(list_size)).cast("bigint")
+    parts = (by_device.select(user, device)
+                      .join(totals.select(user, "num_devices"), user)
+                      .withColumn("_part", F.pmod(F.xxhash64(device), n_parts))
+                      .groupBy(user, "_part")
+                      .agg(F.array_sort(F.collect_list(device)).alias("devices")))
+    return (totals.join(parts, user)
+                  .select(user, "total_hits", "max_device_hits", "num_devices", "devices"))

@@ -107,3 +107,18 @@ def test_device_reports_share_one_persisted_aggregate(spark):
         assert "InMemoryTableScan" in physical_plan(per_user)
         assert per_user.agg(F.sum("num_devices")).collect()[0][0] == n_pairs
     assert not by_dev.is_cached
+
+
+def test_user_devices_splits_long_lists(spark):
+    ev = spark.range(0, 5000).select((F.col("id") % 2).alias("user_id"), F.col("id").alias("device_id"),
+                                     F.lit("h").alias("host"))
+    out = devices.user_devices(devices.events_by_device(ev), list_size=1000).collect()
+    by_user = {}
+    for r in out:
+        assert r["num_devices"] == 2500 and r["total_hits"] == 2500
+        by_user.setdefault(r["user_id"], []).append(r["devices"])
+    for u, parts in by_user.items():
+        assert len(parts) == 3  # ceil(2500 / 1000)
+        flat = sorted(d for p in parts for d in p)
+        assert flat == list(range(u, 5000, 2))  # whole: every device exactly once
+        assert max(len(p) for p in parts) < 1300
