@@ -56,3 +56,16 @@ def stage_map_medals(maps: DataFrame, matches: DataFrame, medals_players: DataFr
     """
     mm = matches.join(maybe_broadcast(maps), map_key, "inner")
     return mm.join(medals_players, match_key, "inner")
+
+
+def join_strategies(big: DataFrame, small: DataFrame, on, how: str = "inner") -> dict:
+    """The physical join chosen for each strategy of ``join_small`` (plans
+    only, nothing runs): ``{"broadcast": "BroadcastHashJoin", "shuffle":
+    "SortMergeJoin", ...}`` - the explain() comparison of J20."""
+    from cumulo.plans.inspect import plan_nodes
+
+    out = {}
+    for strategy in ("broadcast", "shuffle", "auto"):
+        nodes = plan_nodes(join_small(big, small, on, how, strategy=strategy))
+        out[strategy] = next((n for n in nodes if n.endswith("Join")), None)
+    return out

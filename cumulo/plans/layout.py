@@ -44,11 +44,13 @@ def sort_local(df: DataFrame, sort_cols, n: int | None = None, part_cols=None) -
 # ---------------------------------------------------------------------------
 
 def write_layout(df: DataFrame, path: str, sort_cols=None, n: int | None = None,
-                 cluster_cols=None, partition_by=None, mode: str = "overwrite") -> str:
+                 cluster_cols=None, partition_by=None, mode: str = "overwrite",
+                 table: str | None = None) -> str:
     """Write ``df`` clustered by ``cluster_cols`` and sorted inside each
     task by ``sort_cols`` (low-cardinality columns first compress best:
     longer runs for parquet's run-length encoding).
 
+    With ``table`` the layout is also saved as a catalog table.
     With ``n`` the clustering is the reference's ``repartition(n, cols)``.
     Without it, a ``rebalance`` hint clusters by the same columns but lets
     AQE split an oversized cluster (one hot date) into several tasks and
@@ -60,10 +62,13 @@ def write_layout(df: DataFrame, path: str, sort_cols=None, n: int | None = None,
                else out.hint("rebalance", *names(cluster_cols)))
     if sort_cols:
         out = out.sortWithinPartitions(*names(sort_cols))
-    w = out.write.mode(mode)
+    w = out.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*names(partition_by))
-    w.parquet(path)
+    if table:  # also register it in the catalog, data under ``path``
+        w.option("path", path).saveAsTable(table)
+    else:
+        w.save(path)
     return path
 
 

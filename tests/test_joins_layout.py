@@ -122,3 +122,17 @@ def test_user_devices_splits_long_lists(spark):
         flat = sorted(d for p in parts for d in p)
         assert flat == list(range(u, 5000, 2))  # whole: every device exactly once
         assert max(len(p) for p in parts) < 1300
+
+
+def test_join_strategies_and_layout_table(spark):
+    big = read_table(spark, SF_SMALL, "lineitem")
+    small = read_table(spark, SF_SMALL, "part").withColumnRenamed("p_partkey", "l_partkey")
+    with session_conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = joins.join_strategies(big, small, "l_partkey")
+    assert got == {"broadcast": "BroadcastHashJoin", "shuffle": "SortMergeJoin", "auto": "BroadcastHashJoin"}
+    import uuid
+    name = f"events_sorted_{uuid.uuid4().hex[:8]}"
+    ev = read_table(spark, SF_SMALL, "events").withColumn("event_date", F.to_date("ts"))
+    layout.write_layout(ev, work_path(spark, name), ["event_date", "event_type"], cluster_cols=["event_date"],
+                        table=name)
+    assert spark.table(name).count() == ev.count()
