@@ -70,21 +70,24 @@ def daily_values(events: DataFrame, key: str, ts: str, on_day, metrics: dict,
     return ev.groupBy(key).agg(*[c.alias(n) for n, c in metrics.items()])
 
 
-def append_metrics(prev: DataFrame, daily: DataFrame, key: str, on_day, arrays: dict) -> DataFrame:
+def append_metrics(prev: DataFrame, daily: DataFrame, key: str, on_day, arrays: dict,
+                   null_safe_key: bool = False) -> DataFrame:
     """Write ``on_day``'s values into the month arrays.
 
     ``prev``: (key, month_start, <array cols>) for any months; only the
     month of ``on_day`` is read.  ``daily``: (key, <value cols>).
     ``arrays`` maps array column -> value column.  Keys idle today get 0
-    in today's slot; new keys get zeros up to yesterday.
+    in today's slot; new keys get zeros up to yesterday.  Set
+    ``null_safe_key`` when NULL keys are kept, so the NULL key stays one row.
     """
     d = to_pydate(on_day)
     first = d.replace(day=1)
     slot = (d - first).days + 1
     y = prev.where(F.col("month_start") == as_date(first)).select(key, *arrays.keys()).alias("y")
     t = daily.select(key, *arrays.values()).withColumn("_active", F.lit(True)).alias("t")
-    j = t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full_outer")
-    cols = [F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key), as_date(first).alias("month_start")]
+    tk, yk = F.col(f"t.{key}"), F.col(f"y.{key}")
+    j = t.join(y, tk.eqNullSafe(yk) if null_safe_key else tk == yk, "full_outer")
+    cols = [F.coalesce(tk, yk).alias(key), as_date(first).alias("month_start")]
     for arr, val in arrays.items():
         v = F.coalesce(F.col(f"t.{val}").cast("bigint"), F.lit(0).cast("bigint"))
         cols.append(splice_slot(F.col(f"y.{arr}"), slot, v).alias(arr))

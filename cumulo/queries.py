@@ -342,7 +342,8 @@ def q_host_reduced_incremental(spark, sf_dir):
     def step(prev, d):
         daily = metrics.daily_values(ev, "host", "ts", d, {
             "hits": F.count(F.lit(1)), "uv": F.count_distinct("user_id")}, drop_null_keys=False)
-        return (metrics.append_metrics(prev, daily, "host", d, {"hit_array": "hits", "unique_visitors": "uv"})
+        return (metrics.append_metrics(prev, daily, "host", d, {"hit_array": "hits", "unique_visitors": "uv"},
+                                       null_safe_key=True)
                        .withColumn("date_partition", F.lit(d)))
 
     return _reduced_out(run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step, "date_partition"))

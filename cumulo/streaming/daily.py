@@ -90,15 +90,31 @@ class BucketedStore:
         self.keys, self.n, self.partition_col = names(key), n_buckets, partition_col
 
     def exists(self, day) -> bool:
+        self._attach()
         return path_exists(self.spark, partition_path(self.path, self.partition_col, day))
 
     def _created(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
 
+    def _attach(self) -> None:
+        """Register data already under ``path`` (written by an earlier
+        session whose catalog is gone) instead of overwriting it."""
+        if self._created() or not path_exists(self.spark, self.path):
+            return
+        ddl = self.spark.read.parquet(self.path)._jdf.schema().toDDL()
+        self.spark.sql(
+            f"CREATE TABLE {self.table} ({ddl}) USING parquet "
+            f"PARTITIONED BY ({self.partition_col}) "
+            f"CLUSTERED BY ({', '.join(self.keys)}) INTO {self.n} BUCKETS "
+            f"LOCATION '{self.path}'")
+        self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
+
     def read(self, day) -> DataFrame:
+        self._attach()
         return self.spark.table(self.table).where(_day_filter(self.partition_col, day))
 
     def write(self, df: DataFrame) -> None:
+        self._attach()
         if not self._created():
             (df.write.mode("overwrite").format("parquet")
                .bucketBy(self.n, *self.keys)
@@ -131,6 +147,8 @@ def run_daily(spark: SparkSession, store, first_day, last_day,
     if isinstance(store, str):
         store = PathStore(spark, store, partition_col)
     days = days_between(first_day, last_day)
+    if not days:
+        raise ValueError(f"empty day range {first_day} .. {last_day}")
     for i, d in enumerate(days):
         prev_day = d - dt.timedelta(days=1)
         if store.exists(prev_day):

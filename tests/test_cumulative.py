@@ -148,3 +148,22 @@ def test_stores_replace_only_their_day_under_static_overwrite_conf(spark):
             assert store.exists(D(2023, 1, 1)) and store.exists(D(2023, 1, 2))
             assert store.read(D(2023, 1, 1)).count() == 1 and store.read(D(2023, 1, 2)).count() == 1
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_bucketed_store_reattaches_existing_data(spark):
+    from cumulo.streaming.daily import BucketedStore
+    path = work_path(spark, "reattach")
+    d1 = spark.createDataFrame([(1, [D(2023, 1, 1)], D(2023, 1, 1))],
+                               "user_id bigint, dates_active array<date>, snapshot_date date")
+    BucketedStore(spark, "reattach_a", path, "user_id", 4).write(d1)
+    # a later job whose catalog does not know the table: same folder, new name
+    again = BucketedStore(spark, "reattach_b", path, "user_id", 4)
+    assert again.exists(D(2023, 1, 1))
+    again.write(d1.withColumn("snapshot_date", F.lit(D(2023, 1, 2))))
+    assert again.read(D(2023, 1, 1)).count() == 1  # earlier day kept
+    assert again.read(D(2023, 1, 2)).count() == 1
+
+
+def test_run_daily_rejects_empty_range(spark):
+    with pytest.raises(ValueError, match="empty"):
+        run_daily(spark, work_path(spark, "empty"), D(2023, 1, 3), D(2023, 1, 2), lambda p, d: p)

@@ -161,3 +161,15 @@ def test_daily_appends_equal_rebuild(spark, events, last):
         state = metrics.append_metric(state, daily, "user_id", d, "value", "site_hits").cache()
     want = rows(metrics.rebuild_metric(ev, "user_id", "ts", D(2023, 3, 1) + dt.timedelta(days=last - 1)))
     assert rows(state) == want
+
+
+def test_append_metrics_keeps_one_null_key_row(spark):
+    data = [(None, 1, "2023-01-01 01:00:00"), (None, 2, "2023-01-02 01:00:00"), ("h", 1, "2023-01-02 02:00:00")]
+    ev = spark.createDataFrame(data, "host string, user_id bigint, ts string").withColumn("ts", F.to_timestamp("ts"))
+    seed = metrics.rebuild_host_activity(ev, "host", "user_id", "ts", D(2023, 1, 1))
+    daily = metrics.daily_values(ev, "host", "ts", D(2023, 1, 2),
+                                 {"hits": F.count(F.lit(1)), "uv": F.count_distinct("user_id")}, drop_null_keys=False)
+    out = metrics.append_metrics(seed, daily, "host", D(2023, 1, 2),
+                                 {"hit_array": "hits", "unique_visitors": "uv"}, null_safe_key=True)
+    assert rows(out) == rows(metrics.rebuild_host_activity(ev, "host", "user_id", "ts", D(2023, 1, 2)))
+    assert len([r for r in out.collect() if r["host"] is None]) == 1
