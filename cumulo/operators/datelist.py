@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 
 from cumulo.functions.bits import (bits_text, datelist_bits, is_daily_active,
                                    is_monthly_active, is_weekly_active)
+from cumulo.functions.util import as_date
+
+
+def _on_day(snapshot: DataFrame, as_of, snapshot_col: str | None) -> DataFrame:
+    if snapshot_col is not None and snapshot_col in snapshot.columns:
+        return snapshot.where(F.col(snapshot_col) == as_date(as_of))
+    return snapshot
 
 
 def datelist(snapshot: DataFrame, key: str, as_of, dates_col: str = "dates_active",
@@ -24,9 +31,7 @@ def datelist(snapshot: DataFrame, key: str, as_of, dates_col: str = "dates_activ
     ``top_bit=32, days=30`` reproduces the reference query exactly
     (including its lost current day, SURVEY §8-Q1).
     """
-    src = snapshot
-    if snapshot_col is not None and snapshot_col in snapshot.columns:
-        src = snapshot.where(F.col(snapshot_col) == F.to_date(F.lit(str(as_of))))
+    src = _on_day(snapshot, as_of, snapshot_col)
     bits = datelist_bits(dates_col, as_of, days=days, top_bit=top_bit)
     out = src.select(F.col(key), bits.alias(int_col))
     cols = [F.col(key), F.col(int_col)]
@@ -39,9 +44,11 @@ def datelist(snapshot: DataFrame, key: str, as_of, dates_col: str = "dates_activ
 
 
 def datelist_map(snapshot: DataFrame, key: str, as_of, map_col: str = "device_activity_datelist",
-                 days: int = 32, top_bit: int = 31, out_col: str = "datelist_int") -> DataFrame:
-    """Per key, sub_key -> bitset for a ``map<sub_key, array<date>>``."""
-    return snapshot.select(
+                 days: int = 32, top_bit: int = 31, out_col: str = "datelist_int",
+                 snapshot_col: str | None = "snapshot_date") -> DataFrame:
+    """Per key, sub_key -> bitset for a ``map<sub_key, array<date>>``
+    (reads only the ``as_of`` snapshot when ``snapshot_col`` is present)."""
+    return _on_day(snapshot, as_of, snapshot_col).select(
         F.col(key),
         F.transform_values(map_col, lambda k, v: datelist_bits(v, as_of, days=days, top_bit=top_bit))
          .alias(out_col))

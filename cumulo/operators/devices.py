@@ -23,8 +23,9 @@ def user_devices(by_device: DataFrame, user: str = "user_id", device: str = "dev
     """Per user, from the J17 aggregate alone.
 
     ``total_hits`` = all events of the user, ``max_device_hits`` = events of
-    the busiest device (the reference's "total_hits"), ``num_devices`` and
-    the sorted device list.  The reference joined raw events back to the
+    the busiest device (the reference's "total_hits"), ``num_devices`` (known
+    devices; events without a device count in the totals only) and the
+    sorted device list.  The reference joined raw events back to the
     aggregate, which repeats every device once per event of the user
     (SURVEY §8-Q12); reading the aggregate gives the same maximum without
     that fan-out.
@@ -38,8 +39,8 @@ def user_devices(by_device: DataFrame, user: str = "user_id", device: str = "dev
     totals = (by_device.groupBy(user)
                        .agg(F.sum("event_counts").alias("total_hits"),
                             F.max("event_counts").alias("max_device_hits"),
-                            F.count(F.lit(1)).alias("num_devices")))
-    n_parts = F.ceil(F.col("num_devices") / F.lit(list_size)).cast("bigint")
+                            F.count(device).alias("num_devices")))
+    n_parts = F.greatest(F.ceil(F.col("num_devices") / F.lit(list_size)).cast("bigint"), F.lit(1).cast("bigint"))
     parts = (by_device.select(user, device)
                       .join(totals.select(user, "num_devices"), user)
                       .withColumn("_part", F.pmod(F.xxhash64(device), n_parts))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cumulo.functions.text import minutes_from_text, token_flag
@@ -30,7 +30,16 @@ def build_fact(details: DataFrame, parents: DataFrame, detail_key, parent_key,
         kept = dedup(details, g, order_by)
         joined = kept.join(parents, cond, "inner")
     else:
-        joined = dedup(details.join(parents, cond, "inner"), g, order_by)
+        # grain and default order refer to the detail side explicitly, so a
+        # column name shared with the parent stays unambiguous
+        order = ([as_col(c) for c in ([order_by] if isinstance(order_by, (str, Column)) else order_by)]
+                 if order_by is not None
+                 else [details[c].asc_nulls_first() for c in details.columns if c not in g]
+                 + [parents[c].asc_nulls_first() for c in parents.columns])
+        w = Window.partitionBy(*[details[c] for c in g]).orderBy(*order)
+        joined = (details.join(parents, cond, "inner")
+                         .withColumn("_cumulo_rn", F.row_number().over(w))
+                         .where(F.col("_cumulo_rn") == 1))
     return joined.select(*[as_col(c).alias(n) for n, c in columns.items()])
 
 

@@ -11,11 +11,14 @@ DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
+    """``max_bytes``, else the session's auto-broadcast threshold in bytes
+    (Spark parses values like ``"50MB"``), else 10 MiB when automatic
+    broadcasting is switched off (an explicit hint is still size-checked)."""
     if max_bytes is not None:
         return max_bytes
     try:
-        v = int(str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).rstrip("bB"))
-    except Exception:
+        v = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # pragma: no cover - non-classic session
         v = -1
     return v if v > 0 else DEFAULT_BROADCAST_BYTES
 
@@ -35,11 +38,11 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join a fact with a small table.
 
     ``strategy``: ``"broadcast"`` (hint, still size-checked), ``"shuffle"``
-    (sort-merge, no hint), or ``"auto"`` (same as broadcast: hint only when
-    the estimate is small).
+    (sort-merge, forced with a ``merge`` hint), or ``"auto"`` (same as
+    broadcast: hint only when the estimate is small).
     """
     if strategy == "shuffle":
-        return big.join(small, on, how)
+        return big.join(small.hint("merge"), on, how)
     if strategy not in ("auto", "broadcast"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return big.join(maybe_broadcast(small, max_bytes), on, how)

@@ -312,7 +312,7 @@ c AS (SELECT event_type AS host, CAST(ts AS DATE) AS d, count(*) AS hits,
 SELECT h.host, DATE '{_MONTH}' AS month_start,
        string_agg(CAST(coalesce(c.hits, 0) AS VARCHAR), ',' ORDER BY days.d) AS hit_array,
        string_agg(CAST(coalesce(c.uv, 0) AS VARCHAR), ',' ORDER BY days.d) AS unique_visitors
-FROM h CROSS JOIN days LEFT JOIN c ON c.host = h.host AND c.d = days.d
+FROM h CROSS JOIN days LEFT JOIN c ON c.host IS NOT DISTINCT FROM h.host AND c.d = days.d
 GROUP BY h.host
 """
 
@@ -473,7 +473,7 @@ def q_events_by_device(spark, sf_dir):
 @register("user_devices", f"""
 WITH {_BY_DEVICE_CTE}
 SELECT user_id, CAST(sum(event_counts) AS BIGINT) AS total_hits, max(event_counts) AS max_device_hits,
-       count(*) AS num_devices, array_to_string(list_sort(list(device_id)), ',') AS devices
+       count(device_id) AS num_devices, array_to_string(list_sort(list(device_id)), ',') AS devices
 FROM d GROUP BY user_id
 """)
 def q_user_devices(spark, sf_dir):
