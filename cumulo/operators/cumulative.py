@@ -73,8 +73,8 @@ def cumulate_dates(prev: DataFrame, today: DataFrame, key: str, as_of,
     t = today.select(key).withColumn("_active", F.lit(True)).alias("t")
     j = t.join(y, _key_cond(t, y, key, null_safe_key), "full_outer")
     hist = F.col(f"y.{dates_col}")
-    dates = (F.when(hist.isNull(), F.array(d))
-              .when(F.col("t._active").isNull(), hist)
+    dates = (F.when(F.col("t._active").isNull(), hist)      # idle today: carry history
+              .when(hist.isNull(), F.array(d))               # first activity
               .otherwise(F.concat(F.array(d), hist)))
     return j.select(F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
                     dates.alias(dates_col), d.alias(snapshot_col))

@@ -55,3 +55,13 @@ def test_user_devices_null_device(spark):
     r = devices.user_devices(devices.events_by_device(ev)).collect()
     assert len(r) == 1
     assert (r[0]["num_devices"], r[0]["devices"], r[0]["total_hits"]) == (1, [7], 2)
+
+
+def test_idle_key_with_null_history_is_not_marked_active(spark):
+    from cumulo.operators import cumulative
+    prev = spark.createDataFrame([(1, None, D(2023, 1, 1)), (2, [D(2023, 1, 1)], D(2023, 1, 1))],
+                                 "user_id bigint, dates_active array<date>, snapshot_date date")
+    today = spark.createDataFrame([(2,), (3,)], "user_id bigint")
+    got = {r["user_id"]: r["dates_active"] for r in
+           cumulative.cumulate_dates(prev, today, "user_id", D(2023, 1, 2)).collect()}
+    assert got == {1: None, 2: [D(2023, 1, 2), D(2023, 1, 1)], 3: [D(2023, 1, 2)]}
