@@ -107,3 +107,11 @@ def test_sizing_conf():
     c = sizing_conf(100 * 1024 ** 4)  # 100 TiB
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(sizing_conf(1024)["spark.sql.shuffle.partitions"]) == 4000  # one wave minimum
+
+
+def test_duplicate_entity_order_is_refused(spark):
+    import pytest as _pytest
+    from cumulo.operators import quality
+    df = spark.createDataFrame([("x", 2001, "A"), ("x", 2001, "B"), ("x", 2002, "A")], SCHEMA)
+    with _pytest.raises(ValueError, match="duplicate"):
+        quality.assert_unique(df, ["e", "o"])
