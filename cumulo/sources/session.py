@@ -85,4 +85,7 @@ def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 102
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # start-up setting: delete reliable checkpoints (SCD2's chunked rows)
+        # once their DataFrame is garbage-collected on the driver
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
