@@ -92,7 +92,7 @@ WITH d AS (
          ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
                   l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
                   l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn,
-         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ':' || CAST(l_linenumber * 7 AS VARCHAR) AS min_text
+         CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || ':' || CAST(l_linenumber * 7 AS VARCHAR) AS min_text
   FROM lineitem)
 SELECT CAST(o.o_orderdate AS DATE) AS dim_order_date,
        CAST(year(o.o_orderdate) AS INTEGER) AS dim_order_year,
@@ -280,6 +280,7 @@ c AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events
       WHERE user_id IS NOT NULL AND {_EV_RANGE} GROUP BY ALL)
 SELECT 'site_hits' AS metric_name, days.d AS metric_date, CAST(coalesce(c.n, 0) AS BIGINT) AS value
 FROM days LEFT JOIN c ON c.d = days.d
+WHERE EXISTS (SELECT 1 FROM c)
 """)
 def q_metric_by_day(spark, sf_dir):
     arrays = metrics.rebuild_metric(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
@@ -294,6 +295,7 @@ SELECT DATE '{_MONTH}' AS month_start,
        CAST(count(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{_MONTH + _dt.timedelta(days=2)}') AS BIGINT)
            AS num_hits_third_day
 FROM events WHERE user_id IS NOT NULL AND {_EV_RANGE}
+HAVING count(*) > 0
 """)
 def q_monthly_hits(spark, sf_dir):
     arrays = metrics.rebuild_metric(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
@@ -389,8 +391,9 @@ _PLAYERS_CTE = """p AS (
   FROM orders GROUP BY 1, 2)"""
 _SCD_SQL = f"""
 WITH {_PLAYERS_CTE},
-g AS (SELECT *, row_number() OVER (PARTITION BY player_name ORDER BY current_season)
-              - row_number() OVER (PARTITION BY player_name, scoring_class ORDER BY current_season) AS grp
+g AS (SELECT *, row_number() OVER (PARTITION BY player_name ORDER BY current_season NULLS FIRST)
+              - row_number() OVER (PARTITION BY player_name, scoring_class ORDER BY current_season NULLS FIRST)
+              AS grp
       FROM p)
 SELECT player_name, scoring_class, min(current_season) AS start_date, max(current_season) AS end_date
 FROM g GROUP BY player_name, scoring_class, grp
@@ -424,10 +427,12 @@ WITH t AS (SELECT l_suppkey AS team_id, l_returnflag AS abbreviation, l_linestat
                   CAST(l_partkey AS VARCHAR) AS city, CAST(l_orderkey AS VARCHAR) AS arena,
                   CAST(year(l_shipdate) AS INTEGER) AS yearfounded FROM lineitem),
 r AS (SELECT *, row_number() OVER (PARTITION BY team_id
-             ORDER BY yearfounded DESC, nickname DESC, abbreviation, city, arena) AS rn FROM t)
+             ORDER BY yearfounded DESC NULLS LAST, nickname DESC NULLS LAST, abbreviation NULLS FIRST,
+                      city NULLS FIRST, arena NULLS FIRST) AS rn FROM t)
 SELECT team_id AS identifier, 'team' AS type,
-       'abbreviation=' || abbreviation || ';arena=' || arena || ';city=' || city ||
-       ';nickname=' || nickname || ';year_founded=' || CAST(yearfounded AS VARCHAR) AS properties
+       'abbreviation=' || coalesce(abbreviation, 'NULL') || ';arena=' || coalesce(arena, 'NULL') ||
+       ';city=' || coalesce(city, 'NULL') || ';nickname=' || coalesce(nickname, 'NULL') ||
+       ';year_founded=' || coalesce(CAST(yearfounded AS VARCHAR), 'NULL') AS properties
 FROM r WHERE rn = 1
 """)
 def q_vertices(spark, sf_dir):
@@ -458,7 +463,7 @@ def q_time_range(spark, sf_dir):
 # Per device, per user
 # --------------------------------------------------------------------------
 _BY_DEVICE_CTE = """d AS (
-  SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS device_id, count(*) AS event_counts,
+  SELECT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS device_id, count(*) AS event_counts,
          array_to_string(list_sort(list_distinct(list(event_type))), ',') AS host_array
   FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2)"""
 
@@ -473,7 +478,9 @@ def q_events_by_device(spark, sf_dir):
 @register("user_devices", f"""
 WITH {_BY_DEVICE_CTE}
 SELECT user_id, CAST(sum(event_counts) AS BIGINT) AS total_hits, max(event_counts) AS max_device_hits,
-       count(device_id) AS num_devices, array_to_string(list_sort(list(device_id)), ',') AS devices
+       count(device_id) AS num_devices,
+       coalesce(array_to_string(list_sort(list(device_id) FILTER (WHERE device_id IS NOT NULL)), ','), '')
+           AS devices
 FROM d GROUP BY user_id
 """)
 def q_user_devices(spark, sf_dir):
@@ -492,7 +499,7 @@ matches AS (SELECT o_orderkey AS match_id, CAST(c_nationkey AS BIGINT) AS mapid,
 maps AS (SELECT CAST(n_nationkey AS BIGINT) AS mapid, n_name AS name, r_name AS description
          FROM nation JOIN region ON n_regionkey = r_regionkey),
 details AS (SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag,
-                   CAST(l_quantity AS INTEGER) AS player_total_kills, l_linenumber AS player_total_deaths
+                   CAST(trunc(l_quantity) AS INTEGER) AS player_total_kills, l_linenumber AS player_total_deaths
             FROM lineitem),
 mmp AS (SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag, l_partkey AS medal_id,
                l_linenumber AS "count" FROM lineitem),
@@ -581,10 +588,10 @@ def _played_matches(m):
 WITH {_MATCH_CTES},
 j AS (SELECT d.* FROM details d JOIN matches m ON d.match_id = m.match_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY match_id, player_gamertag
-             ORDER BY player_total_deaths, player_total_kills DESC) AS rn FROM j)
+             ORDER BY player_total_deaths NULLS FIRST, player_total_kills DESC NULLS LAST) AS rn FROM j)
 SELECT player_gamertag, round(avg(player_total_kills), 6) AS avg_kills
 FROM r WHERE rn = 1 GROUP BY player_gamertag
-ORDER BY avg(player_total_kills) DESC, player_gamertag LIMIT 1
+ORDER BY avg(player_total_kills) DESC NULLS LAST, player_gamertag NULLS FIRST LIMIT 1
 """)
 def q_top_player(spark, sf_dir):
     m = _match_inputs(spark, sf_dir)
@@ -598,7 +605,7 @@ def q_top_player(spark, sf_dir):
 WITH {_MATCH_CTES}
 SELECT playlist_id, count(DISTINCT m.match_id) AS num_matches
 FROM matches m JOIN details d ON m.match_id = d.match_id
-GROUP BY playlist_id ORDER BY num_matches DESC, playlist_id LIMIT 1
+GROUP BY playlist_id ORDER BY num_matches DESC, playlist_id NULLS FIRST LIMIT 1
 """)
 def q_top_playlist(spark, sf_dir):
     played = _played_matches(_match_inputs(spark, sf_dir))
@@ -609,7 +616,7 @@ def q_top_playlist(spark, sf_dir):
 WITH {_MATCH_CTES}
 SELECT mapid, count(DISTINCT m.match_id) AS num_matches
 FROM matches m JOIN details d ON m.match_id = d.match_id
-GROUP BY mapid ORDER BY num_matches DESC, mapid LIMIT 1
+GROUP BY mapid ORDER BY num_matches DESC, mapid NULLS FIRST LIMIT 1
 """)
 def q_top_map(spark, sf_dir):
     played = _played_matches(_match_inputs(spark, sf_dir))
@@ -621,7 +628,7 @@ WITH {_MATCH_CTES}
 SELECT s.mapid, CAST(sum(s."count") AS BIGINT) AS total_medals
 FROM staging s JOIN medals md ON s.medal_id = md.medal_id
 WHERE md.name = 'ECONOMY'
-GROUP BY s.mapid ORDER BY total_medals DESC, s.mapid LIMIT 1
+GROUP BY s.mapid ORDER BY total_medals DESC NULLS LAST, s.mapid NULLS FIRST LIMIT 1
 """)
 def q_top_map_medal(spark, sf_dir):
     staged, m = _staged(spark, sf_dir)

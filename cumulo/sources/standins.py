@@ -27,7 +27,7 @@ def activity_events(events: DataFrame) -> DataFrame:
         F.col("user_id"),
         F.col("ts").alias("event_time"),
         F.col("event_type").alias("host"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("device_id"))
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("device_id"))
 
 
 def sparse_hosts(events: DataFrame) -> DataFrame:
