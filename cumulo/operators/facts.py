@@ -30,13 +30,16 @@ def build_fact(details: DataFrame, parents: DataFrame, detail_key, parent_key,
         kept = dedup(details, g, order_by)
         joined = kept.join(parents, cond, "inner")
     else:
-        # grain and default order refer to the detail side explicitly, so a
-        # column name shared with the parent stays unambiguous
+        # grain and default order name their side explicitly (detail side
+        # first), so a column name shared with the parent stays unambiguous
+        def side(c):
+            return details[c] if c in details.columns else parents[c]
+
         order = ([as_col(c) for c in ([order_by] if isinstance(order_by, (str, Column)) else order_by)]
                  if order_by is not None
                  else [details[c].asc_nulls_first() for c in details.columns if c not in g]
-                 + [parents[c].asc_nulls_first() for c in parents.columns])
-        w = Window.partitionBy(*[details[c] for c in g]).orderBy(*order)
+                 + [parents[c].asc_nulls_first() for c in parents.columns if c not in g])
+        w = Window.partitionBy(*[side(c) for c in g]).orderBy(*order)
         joined = (details.join(parents, cond, "inner")
                          .withColumn("_cumulo_rn", F.row_number().over(w))
                          .where(F.col("_cumulo_rn") == 1))

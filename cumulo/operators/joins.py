@@ -16,13 +16,25 @@ def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
     broadcasting is switched off (an explicit hint is still size-checked)."""
     if max_bytes is not None:
         return max_bytes
-    try:
-        v = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:  # pragma: no cover - non-classic session
-        v = -1
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    v = parse_bytes(raw)
     return v if v > 0 else DEFAULT_BROADCAST_BYTES
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def parse_bytes(text) -> int:
+    """Spark byte strings (``"10485760"``, ``"10MB"``, ``"1g"``, ``"-1"``) to bytes."""
+    import re
+
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
 def maybe_broadcast(small: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(small)`` only when Catalyst's size estimate of ``small``
     is within ``max_bytes`` (default: the session's auto-broadcast limit,

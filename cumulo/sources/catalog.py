@@ -135,10 +135,15 @@ def run_table_job(spark: SparkSession, source: str, transform, target: str,
     """Table in, table out: ``spark.table(source)`` -> ``transform`` ->
     ``target`` (columns matched by name; overwrite replaces the table's
     data, or only the written partitions when the table is partitioned)."""
+    partitioned = bool(_partition_columns(spark, target))
+    if overwrite and not partitioned and spark.table(source).inputFiles() and \
+            set(spark.table(source).inputFiles()) & set(spark.table(target).inputFiles()):
+        raise ValueError(f"{target} is read by the job; write to another table (or a partitioned "
+                         "target, where only the written partitions are replaced)")
     out = transform(spark.table(source))
     if not overwrite:
         append(out, target)
-    elif _partition_columns(spark, target):
+    elif partitioned:
         overwrite_partitions(out, target)
     else:
         cols = spark.table(target).columns

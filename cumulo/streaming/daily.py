@@ -99,7 +99,7 @@ class BucketedStore:
     def _attach(self) -> None:
         """Register data already under ``path`` (written by an earlier
         session whose catalog is gone) instead of overwriting it."""
-        if self._created() or not path_exists(self.spark, self.path):
+        if self._created() or not self._has_partitions():
             return
         ddl = self.spark.read.parquet(self.path)._jdf.schema().toDDL()
         self.spark.sql(
@@ -109,6 +109,15 @@ class BucketedStore:
             f"LOCATION '{self.path}'")
         self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
 
+    def _has_partitions(self) -> bool:
+        """At least one committed day folder (a failed first write may leave
+        an empty folder or only temporary files behind)."""
+        jvm = self.spark.sparkContext._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{self.partition_col}=*")
+        fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = fs.globStatus(pattern)
+        return found is not None and len(found) > 0
+
     def read(self, day) -> DataFrame:
         self._attach()
         return self.spark.table(self.table).where(_day_filter(self.partition_col, day))

@@ -65,3 +65,44 @@ def test_idle_key_with_null_history_is_not_marked_active(spark):
     got = {r["user_id"]: r["dates_active"] for r in
            cumulative.cumulate_dates(prev, today, "user_id", D(2023, 1, 2)).collect()}
     assert got == {1: None, 2: [D(2023, 1, 2), D(2023, 1, 1)], 3: [D(2023, 1, 2)]}
+
+
+def test_build_fact_grain_column_on_parent_side(spark):
+    details = spark.createDataFrame([(1, 5), (1, 3), (2, 7)], "game_id int, v int")
+    parents = spark.createDataFrame([(1, 10), (2, 10)], "g_id int, season int")
+    out = facts.build_fact(details, parents, "game_id", "g_id", ["season"],
+                           {"season": parents["season"], "v": details["v"]})
+    assert rows(out) == [(10, 3)]
+
+
+def test_parse_bytes():
+    assert joins.parse_bytes("10MB") == 10 << 20
+    assert joins.parse_bytes("1g") == 1 << 30
+    assert joins.parse_bytes("10485760") == 10485760
+    assert joins.parse_bytes("-1") == -1
+
+
+def test_bucketed_store_ignores_empty_leftover_folder(spark):
+    import os
+    from cumulo.sources.session import work_path
+    from cumulo.streaming.daily import BucketedStore
+    path = work_path(spark, "leftover")
+    os.makedirs(path.replace("file:", ""), exist_ok=True)
+    store = BucketedStore(spark, "leftover_t", path, "user_id", 4)
+    assert not store.exists(D(2023, 1, 1))
+    d1 = spark.createDataFrame([(1, [D(2023, 1, 1)], D(2023, 1, 1))],
+                               "user_id bigint, dates_active array<date>, snapshot_date date")
+    store.write(d1)
+    assert store.read(D(2023, 1, 1)).count() == 1
+
+
+def test_run_table_job_refuses_in_place_overwrite(spark):
+    import pytest
+    import uuid
+    from cumulo.sources import catalog
+    from cumulo.sources.session import work_path
+    db = f"cumulo_inplace_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=work_path(spark, db))
+    spark.range(3).write.saveAsTable(f"{db}.t")
+    with pytest.raises(ValueError, match="read by the job"):
+        catalog.run_table_job(spark, f"{db}.t", lambda df: df, f"{db}.t")
