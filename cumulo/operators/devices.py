@@ -41,9 +41,13 @@ def user_devices(by_device: DataFrame, user: str = "user_id", device: str = "dev
                             F.max("event_counts").alias("max_device_hits"),
                             F.count(device).alias("num_devices")))
     n_parts = F.greatest(F.ceil(F.col("num_devices") / F.lit(list_size)).cast("bigint"), F.lit(1).cast("bigint"))
+    # the explicit exchange on (user, part) sends a heavy user's parts to
+    # different tasks (grouping right after the join would reuse the join's
+    # partitioning on the user alone and collect them all in one task)
     parts = (by_device.select(user, device)
                       .join(totals.select(user, "num_devices"), user)
                       .withColumn("_part", F.pmod(F.xxhash64(device), n_parts))
+                      .repartition(user, "_part")
                       .groupBy(user, "_part")
                       .agg(F.array_sort(F.collect_list(device)).alias("devices")))
     return (totals.join(parts, user)

@@ -17,7 +17,9 @@ Two stores:
   the key*.  Yesterday's snapshot is then read already hash-partitioned,
   so the daily full outer join shuffles only today's (small) side, and the
   join output is written back into the same buckets without another
-  shuffle.  Use it when the snapshot dwarfs a day of events.
+  shuffle.  Its writes are planned with shuffle partitions = buckets
+  (``planning``), the condition for Spark to keep the bucketed side.  Use
+  it when the snapshot dwarfs a day of events.
 """
 
 from __future__ import annotations
@@ -110,10 +112,13 @@ class BucketedStore:
         self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
 
     def _has_partitions(self) -> bool:
-        """At least one committed day folder (a failed first write may leave
-        an empty folder or only temporary files behind)."""
+        """Data from a committed write: the job's ``_SUCCESS`` marker and at
+        least one day folder (a first write that died leaves neither)."""
+        root = self.path.rstrip("/")
+        if not path_exists(self.spark, f"{root}/_SUCCESS"):
+            return False
         jvm = self.spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{self.partition_col}=*")
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{self.partition_col}=*")
         fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         found = fs.globStatus(pattern)
         return found is not None and len(found) > 0
@@ -122,6 +127,14 @@ class BucketedStore:
         self._attach()
         return self.spark.table(self.table).where(_day_filter(self.partition_col, day))
 
+    def planning(self):
+        """Settings under which a daily step should be planned: shuffles
+        sized to the bucket count, so Spark keeps the bucketed snapshot's
+        partitioning and moves only the other side (it re-shuffles both
+        when the session's shuffle partitions exceed the buckets)."""
+        return session_conf(self.spark, **{"spark.sql.shuffle.partitions": str(self.n),
+                                           "spark.sql.sources.partitionOverwriteMode": "dynamic"})
+
     def write(self, df: DataFrame) -> None:
         self._attach()
         if not self._created():
@@ -132,8 +145,9 @@ class BucketedStore:
                .saveAsTable(self.table))
             return
         cols = self.spark.table(self.table).columns  # insertInto is positional
-        # insertInto ignores the writer option; the session setting decides
-        with session_conf(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        # the plan is made when the write runs: inside ``planning`` (which
+        # also sets dynamic overwrite, as insertInto ignores the writer option)
+        with self.planning():
             df.select(*cols).write.mode("overwrite").insertInto(self.table)
 
 

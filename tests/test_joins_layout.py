@@ -1,5 +1,7 @@
 """Joins, rankings and physical layouts (J17-J26, J32) with plan checks."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from cumulo.operators import devices, joins, ranking
@@ -136,3 +138,10 @@ def test_join_strategies_and_layout_table(spark):
     layout.write_layout(ev, work_path(spark, name), ["event_date", "event_type"], cluster_cols=["event_date"],
                         table=name)
     assert spark.table(name).count() == ev.count()
+
+
+def test_user_device_parts_are_shuffled_by_part(spark):
+    ev = spark.range(0, 100).select((F.col("id") / 1000).cast("bigint").alias("user_id"), F.col("id").alias("device_id"),
+                                    F.lit("h").alias("host"))
+    plan = physical_plan(devices.user_devices(devices.events_by_device(ev), list_size=10))
+    assert re.search(r"Exchange hashpartitioning\(user_id#\d+L, _part#\d+L", plan)

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from cumulo.sources.session import work_path
 from cumulo.sources.tables import TABLES
-from scripts.check_oracle import canon
+from scripts.check_oracle import SPARK_TO_DUCK, canon
 from scripts.make_edge_tables import write_edge_tables
 
 QUERIES = E.queries()
@@ -32,4 +32,9 @@ def test_query_matches_oracle_on_edge_values(spark, edge, name):
     srows = [tuple(r) for r in df.collect()]
     cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
-    assert canon(df.columns, srows) == canon(ocols, cur.fetchall())
+    orows = cur.fetchall()
+    assert sorted(df.columns) == sorted(ocols)
+    otypes = dict(zip(ocols, [str(t) for t in con.sql(ORACLE[name]).types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == otypes[f.name], f.name
+    assert canon(df.columns, srows) == canon(ocols, orows)
