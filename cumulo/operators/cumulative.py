@@ -69,15 +69,35 @@ def cumulate_dates(prev: DataFrame, today: DataFrame, key: str, as_of,
     history forward.  Every output row is dated ``as_of``.
     """
     d = as_date(as_of)
-    y = prev.where(F.col(snapshot_col) == F.date_sub(d, 1)).select(key, dates_col).alias("y")
-    t = today.select(key).withColumn("_active", F.lit(True)).alias("t")
-    j = t.join(y, _key_cond(t, y, key, null_safe_key), "full_outer")
-    hist = F.col(f"y.{dates_col}")
-    dates = (F.when(F.col("t._active").isNull(), hist)      # idle today: carry history
-              .when(hist.isNull(), F.array(d))               # first activity
-              .otherwise(F.concat(F.array(d), hist)))
-    return j.select(F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
-                    dates.alias(dates_col), d.alias(snapshot_col))
+    y = prev.where(F.col(snapshot_col) == F.date_sub(d, 1)).select(key, dates_col)
+    t = today.select(key).withColumn("_active", F.lit(True))
+
+    def merge(tt, yy, null_safe):
+        tt, yy = tt.alias("t"), yy.alias("y")
+        j = tt.join(yy, _key_cond(tt, yy, key, null_safe), "full_outer")
+        hist = F.col(f"y.{dates_col}")
+        dates = (F.when(F.col("t._active").isNull(), hist)      # idle today: carry history
+                  .when(hist.isNull(), F.array(d))               # first activity
+                  .otherwise(F.concat(F.array(d), hist)))
+        return j.select(F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
+                        dates.alias(dates_col), d.alias(snapshot_col))
+
+    return _split_null_key(t, y, key, null_safe_key, merge)
+
+
+def _split_null_key(t: DataFrame, y: DataFrame, key: str, null_safe_key: bool, merge) -> DataFrame:
+    """Full outer merge of today's rows with yesterday's on ``key``.
+
+    With ``null_safe_key`` the NULL key (at most one row per side) is merged
+    on its own with ``<=>`` and added back; the other keys meet on plain
+    equality, which keeps a key-bucketed snapshot's partitioning (a
+    null-safe join condition would make Spark re-shuffle both sides).
+    """
+    if not null_safe_key:
+        return merge(t, y, False)
+    nn = merge(t.where(F.col(key).isNotNull()), y.where(F.col(key).isNotNull()), False)
+    only_null = merge(t.where(F.col(key).isNull()), y.where(F.col(key).isNull()), True)
+    return nn.unionByName(only_null)
 
 
 def seed_snapshot(spark, key_type: str, key: str = "user_id", dates_col: str = "dates_active",

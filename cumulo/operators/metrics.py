@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cumulo.functions.arrays import slot_counts, slotwise_sum, splice_slot
 from cumulo.functions.dates import day, day_slot
 from cumulo.functions.util import as_col, as_date, to_pydate
-from cumulo.operators.cumulative import _day_events
+from cumulo.operators.cumulative import _day_events, _split_null_key
 
 MAX_SLOTS = 31
 
@@ -83,15 +83,20 @@ def append_metrics(prev: DataFrame, daily: DataFrame, key: str, on_day, arrays:
     d = to_pydate(on_day)
     first = d.replace(day=1)
     slot = (d - first).days + 1
-    y = prev.where(F.col("month_start") == as_date(first)).select(key, *arrays.keys()).alias("y")
-    t = daily.select(key, *arrays.values()).withColumn("_active", F.lit(True)).alias("t")
-    tk, yk = F.col(f"t.{key}"), F.col(f"y.{key}")
-    j = t.join(y, tk.eqNullSafe(yk) if null_safe_key else tk == yk, "full_outer")
-    cols = [F.coalesce(tk, yk).alias(key), as_date(first).alias("month_start")]
-    for arr, val in arrays.items():
-        v = F.coalesce(F.col(f"t.{val}").cast("bigint"), F.lit(0).cast("bigint"))
-        cols.append(splice_slot(F.col(f"y.{arr}"), slot, v).alias(arr))
-    return j.select(*cols)
+    y = prev.where(F.col("month_start") == as_date(first)).select(key, *arrays.keys())
+    t = daily.select(key, *arrays.values()).withColumn("_active", F.lit(True))
+
+    def merge(tt, yy, null_safe):
+        tt, yy = tt.alias("t"), yy.alias("y")
+        tk, yk = F.col(f"t.{key}"), F.col(f"y.{key}")
+        j = tt.join(yy, tk.eqNullSafe(yk) if null_safe else tk == yk, "full_outer")
+        cols = [F.coalesce(tk, yk).alias(key), as_date(first).alias("month_start")]
+        for arr, val in arrays.items():
+            v = F.coalesce(F.col(f"t.{val}").cast("bigint"), F.lit(0).cast("bigint"))
+            cols.append(splice_slot(F.col(f"y.{arr}"), slot, v).alias(arr))
+        return j.select(*cols)
+
+    return _split_null_key(t, y, key, null_safe_key, merge)
 
 
 def append_metric(prev: DataFrame, daily: DataFrame, key: str, on_day,

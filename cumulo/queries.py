@@ -24,7 +24,7 @@ from cumulo.plans import layout
 from cumulo.sources import standins
 from cumulo.sources.session import work_path
 from cumulo.sources.tables import read_table
-from cumulo.streaming.daily import BucketedStore, PathStore, run_daily, write_day
+from cumulo.streaming.daily import BucketedStore, run_daily, write_day
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -186,9 +186,10 @@ def q_cumulate_users(spark, sf_dir):
 # J6 ----------------------------------------------------------------------
 @register("cumulate_hosts", _HOSTS_SQL)
 def q_cumulate_hosts(spark, sf_dir):
-    """Hosts keep a NULL key (null-safe join), so a plain partitioned folder."""
+    """Hosts keep a NULL key (merged on its own); the rest meet on the
+    bucketed snapshot like users."""
     ev = standins.sparse_hosts(_t(spark, sf_dir, "events")).withColumnRenamed("event_time", "ts")
-    store = PathStore(spark, work_path(spark, "hosts_cumulated"))
+    store = _bucketed_store(spark, "hosts_cumulated", "host", "snapshot_date")
     return _snapshot_out(_incremental_dates(spark, ev, "host", False, store), "host")
 
 

@@ -139,6 +139,15 @@ def test_bucketed_store_reads_yesterday_without_shuffle(spark):
     assert snapshot_side_shuffled(plain)
     # the snapshot side is a bucketed scan feeding the join directly
     assert "Bucketed: true" in plan and not snapshot_side_shuffled(plan)
+
+    def step_null_safe(prev, d):
+        today = cumulative.active_keys(ev, "user_id", "ts", d, drop_null_keys=False)
+        return cumulative.cumulate_dates(prev, today, "user_id", d, null_safe_key=True)
+
+    with session_conf(spark, **conf), store.planning():
+        plan_ns = physical_plan(step_null_safe(store.read(D(2024, 1, 20)), D(2024, 1, 21)))
+    # keeping the NULL key does not cost the bucketed partitioning
+    assert "Bucketed: true" in plan_ns and not snapshot_side_shuffled(plan_ns)
     inc = rows(run_daily(spark, store, D(2024, 1, 21), D(2024, 1, 30), step))
     assert inc == rows(cumulative.rebuild_dates(ev, "user_id", "ts", D(2024, 1, 30)))
     store.write(step(store.read(D(2024, 1, 29)), D(2024, 1, 30)))  # rerun of the last day
