@@ -80,3 +80,19 @@ def test_run_table_job_scd(spark):
     catalog.run_table_job(spark, f"{db}.players", job, target)  # rerun: replaced, not appended
     got = sorted(tuple(r) for r in spark.table(target).collect())
     assert got == [("Michael Jordan", "Bad", 2003, 2003), ("Michael Jordan", "Good", 2001, 2002)]
+
+
+def test_run_table_job_partitioned_target_replaces_only_its_days(spark):
+    from cumulo.operators import cumulative
+    db = f"cumulo_jobs_p_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=work_path(spark, db))
+    ev = read_table(spark, SF_SMALL, "events").select("user_id", "ts")
+    ev.write.saveAsTable(f"{db}.events")
+    target = catalog.create_reference_table(spark, "users_cumulated", f"{db}.users_cumulated")
+    for day in (dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 1, 11)):  # last one is a rerun
+        catalog.run_table_job(spark, f"{db}.events",
+                              lambda df, d=day: cumulative.rebuild_dates(df, "user_id", "ts", d), target)
+    per_day = {r["snapshot_date"]: r["count"] for r in spark.table(target).groupBy("snapshot_date").count().collect()}
+    want = cumulative.rebuild_dates(ev, "user_id", "ts", dt.date(2024, 1, 11)).count()
+    assert set(per_day) == {dt.date(2024, 1, 10), dt.date(2024, 1, 11)}
+    assert per_day[dt.date(2024, 1, 11)] == want
