@@ -25,3 +25,16 @@ def test_bench_prints_one_json_line():
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 39
+
+
+def test_readme_coverage_table_names_registered_queries():
+    import re
+    text = open(os.path.join(ROOT, "README.md")).read()
+    table = text.split("## Coverage of SURVEY")[1].split("\n\n")[2]
+    named = set()
+    for line in table.splitlines():
+        cells = [c.strip() for c in line.split("|")]
+        if len(cells) > 5 and cells[1].startswith("J"):
+            named |= set(re.findall(r"`([a-z_0-9]+)`", cells[4])) - {"entry"}
+    assert named and named <= set(E.queries())
+    assert set(E.queries()) <= named
