@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import bpe, hostrules, mixing
+from cumulo.llm import bpe, hostrules, labels, lattice, mixing, quality, toxicity
 from cumulo.llm.common import documents
+from cumulo.sources.tables import read_table
 
 # --- op2: mixing ------------------------------------------------------------
 
@@ -51,6 +52,29 @@ SELECT doc_id, size, ssize AS source_size, target::DOUBLE AS target,
 FROM ordered
 """
 
+# --- op3, op5: classifiers ---------------------------------------------------
+
+
+def _predictions(scored: DataFrame, folds: int, held_out: int, *more: str) -> DataFrame:
+    return scored.select(
+        "doc_id", (labels.fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), *more)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; fold 0 of 5 is never learnt from."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    known = labels.sample(read_table(spark, sf_dir, "labels"), "quality", 5, 0, quality.TRAIN_ROWS)
+    return _predictions(quality.score(docs, known), 5, 0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 2 of 4 is never learnt from."""
+    docs = documents(spark, sf_dir, "doc_id", "lang", "text")
+    known = labels.sample(read_table(spark, sf_dir, "labels"), "toxic", 4, 2, toxicity.TRAIN_ROWS)
+    return _predictions(toxicity.score(docs, known), 4, 2, "threshold", "toxic")
+
+
 # --- op6: BPE ---------------------------------------------------------------
 
 
@@ -112,10 +136,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source
 """
 
+# --- op9: embeddings --------------------------------------------------------
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every embedding."""
+    return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_mix": op2_mix,
+    "op3_quality": op3_quality,
+    "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_host_rules": op7_host_rules,
+    "op9_embeddings": op9_embeddings,
 }
 
 ORACLE = {

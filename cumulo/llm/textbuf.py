@@ -135,3 +135,30 @@ def slices(batch: pa.RecordBatch, text: int, most: int = 8_000_000):
         end = max(begin + 1, int(np.searchsorted(offs, offs[begin] + most, "right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
+
+
+# byte classes: separator, lower (and any non-ASCII), upper, digit, other
+_CLASS = np.full(256, 4, dtype=np.uint8)
+_CLASS[_SEP] = 0
+_CLASS[ord("a"):ord("z") + 1] = 1
+_CLASS[0x80:] = 1
+_CLASS[ord("A"):ord("Z") + 1] = 2
+_CLASS[ord("0"):ord("9") + 1] = 3
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+
+
+def tokens(data: np.ndarray, offs: np.ndarray):
+    """(start, end, document index) of every token: words cut further where
+    letters, digits and symbols meet (a capital may begin a lower-case word)."""
+    kind = _CLASS[data]
+    cut = np.ones(len(data) + 1, dtype=bool)
+    if len(data):
+        cut[1:-1] = (kind[1:] != kind[:-1]) & ~((kind[:-1] == 2) & (kind[1:] == 1))
+        cut[offs] = True
+    edge = np.flatnonzero(cut)
+    s, e = edge[:-1], edge[1:]
+    keep = kind[s] != 0
+    s, e = s[keep], e[keep]
+    return s, e, np.searchsorted(offs, s, "right") - 1
