@@ -5,10 +5,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import bpe, hostrules, labels, lattice, mixing, quality, toxicity
+from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, quality, toxicity, urlfilter
 from cumulo.llm.common import documents
 from cumulo.sources.tables import read_table
 
+# --- op1: URL filter --------------------------------------------------------
+
+#: Fixed by the task.
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return urlfilter.judge(read_table(spark, sf_dir, "pages"), RULES)
+
+
+def _sql_host(url: str) -> str:
+    return (f"coalesce(translate(regexp_extract({url}, '://([^/?#]*)', 1), "
+            "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')")
+
+
+def _sql_path(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _sql_node(url: str) -> str:
+    query = (rf"ltrim(regexp_replace(regexp_extract({url}, '://[^?#]*\?([^#]*)', 1), "
+             "'(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '&')")
+    return (f"CASE WHEN {_sql_host(url)} <> '' THEN {_sql_host(url)} || rtrim({_sql_path(url)}, '/') || "
+            f"CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END END")
+
+
+def _sql_rule(host: str, path: str, column: int) -> str:
+    fits = [f"WHEN ({host} = '{r[1]}' OR ends_with({host}, '.{r[1]}')) AND starts_with({path}, '{r[2]}') "
+            f"THEN '{r[0] if column else r[1] + r[2]}'" for r in sorted(RULES, key=lambda r: -len(r[1] + r[2]))]
+    return f"CASE {' '.join(fits)} END"
+
+
+OP1_SQL = rf"""
+WITH RECURSIVE raw AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\s[^>]*>')) AS tag FROM pages),
+named AS (
+  SELECT url, CASE
+    WHEN regexp_matches(tag, '(?is)^<link\s[^>]*rel\s*=\s*["'']?canonical\b')
+      THEN regexp_extract(tag, '(?is)href\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta\s[^>]*http-equiv\s*=\s*["'']?refresh\b')
+      THEN regexp_extract(tag, '(?is)url\s*=\s*["'']?([^"''\s>;]+)', 1) END AS t FROM raw),
+linked AS (
+  SELECT url, CASE WHEN starts_with(t, '//') THEN regexp_extract(url, '^([^/?#]*)://', 1) || ':' || t
+                   WHEN starts_with(t, '/') THEN regexp_extract(url, '^([^/?#]*)://', 1) || '://' || {_sql_host("url")} || t
+                   ELSE t END AS target
+  FROM named WHERE t IS NOT NULL),
+link AS (
+  SELECT {_sql_node("url")} AS a, {_sql_node("target")} AS b FROM linked WHERE {_sql_host("target")} <> ''),
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+urls AS (SELECT url FROM pages UNION ALL SELECT target FROM linked WHERE {_sql_host("target")} <> ''),
+acts AS (
+  SELECT DISTINCT {_sql_node("url")} AS node, {_sql_rule(_sql_host("url"), _sql_path("url"), 1)} AS action FROM urls),
+reach AS (
+  SELECT node, action FROM acts WHERE node IS NOT NULL AND action IS NOT NULL
+  UNION SELECT b, action FROM reach JOIN both_ways ON node = a),
+blocked AS (
+  SELECT node FROM reach GROUP BY node HAVING bool_or(action = 'block') AND NOT bool_or(action = 'allow')),
+judged AS (
+  SELECT page_id, {_sql_host("url")} AS host, {_sql_path("url")} AS path, {_sql_node("url")} AS node FROM pages)
+SELECT page_id, host, path, {_sql_rule("host", "path", 0)} AS rule,
+       coalesce({_sql_rule("host", "path", 1)}, CASE WHEN blocked.node IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       ({_sql_rule("host", "path", 1)} IS NULL AND blocked.node IS NOT NULL) AS alias_of_block
+FROM judged LEFT JOIN blocked ON judged.node = blocked.node
+"""
+
 # --- op2: mixing ------------------------------------------------------------
 
 
@@ -136,6 +203,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source
 """
 
+# --- op8: near-duplicate texts ----------------------------------------------
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group and verdict of every document."""
+    return icws.near_duplicates(documents(spark, sf_dir, "doc_id", "text")).drop("text_key")
+
+
 # --- op9: embeddings --------------------------------------------------------
 
 
@@ -145,15 +220,18 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_urls": op1_urls,
     "op2_mix": op2_mix,
     "op3_quality": op3_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_host_rules": op7_host_rules,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_embeddings": op9_embeddings,
 }
 
 ORACLE = {
+    "op1_urls": OP1_SQL,
     "op2_mix": OP2_SQL,
     "op7_host_rules": OP7_SQL,
 }
