@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: cuts lineage,
     survives lost executors, and joins on it start from a plain scan (so AQE
     can split hot keys, which it cannot above an aggregate)."""
+    # what earlier steps shuffled is written by now: when the JVM finds those
+    # plans unreachable, Spark deletes their shuffle files on all executors
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     path = work_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, quality, toxicity, urlfilter
+from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, passages, quality, toxicity, urlfilter
 from cumulo.llm.common import documents
 from cumulo.sources.tables import read_table
 
@@ -119,6 +119,15 @@ SELECT doc_id, size, ssize AS source_size, target::DOUBLE AS target,
 FROM ordered
 """
 
+# --- op4: repeated passages -------------------------------------------------
+
+
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that every document keeps; digest of the kept text."""
+    return passages.remove_repeats(documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 # --- op3, op5: classifiers ---------------------------------------------------
 
 
@@ -223,6 +232,7 @@ QUERIES = {
     "op1_urls": op1_urls,
     "op2_mix": op2_mix,
     "op3_quality": op3_quality,
+    "op4_passages": op4_passages,
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_host_rules": op7_host_rules,
