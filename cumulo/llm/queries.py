@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, passages, quality, toxicity, urlfilter
+from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, passages, quality, suffixes, toxicity, urlfilter
 from cumulo.llm.common import documents
 from cumulo.sources.tables import read_table
 
@@ -228,6 +228,16 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+# --- op10: repeated byte strings --------------------------------------------
+
+
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that every document keeps; digest of what is left."""
+    return suffixes.remove_repeats(documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_mix": op2_mix,
@@ -238,6 +248,7 @@ QUERIES = {
     "op7_host_rules": op7_host_rules,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_embeddings": op9_embeddings,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLE = {

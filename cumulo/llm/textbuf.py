@@ -112,18 +112,24 @@ def window_starts(doc: np.ndarray, width: int) -> np.ndarray:
 
 
 def run_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the minimum of every run of ``width`` values (leftmost on ties)."""
-    n = len(values) - width + 1
-    if n <= 0:
+    """Position of the minimum of every run of ``width`` values, compared by
+    their upper 32 bits; ties go to the left, so equal runs agree anywhere.
+
+    The lower 32 bits give way to the position, so that one running minimum
+    finds both.  Blocks of ``width`` values: a run is the end of one block and
+    the beginning of the next.
+    """
+    n = len(values)
+    if n < width:
         return np.zeros(0, np.int64)
-    at = np.arange(len(values))
-    span = 1
-    while span < width:  # sparse-table doubling: spans of 1, 2, 4, ...
-        step = min(span, width - span)
-        left, right = at[:len(at) - step], at[step:]
-        at = np.where(values[right] < values[left], right, left)
-        span += step
-    return at
+    low = U64(0xFFFFFFFF)
+    full = -(-n // width) * width
+    block = np.full(full, ~U64(0))
+    block[:n] = (values & ~low) | np.arange(n, dtype=np.uint64)
+    block = block.reshape(-1, width)
+    ahead = np.minimum.accumulate(block, axis=1).ravel()
+    behind = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(behind[:n - width + 1], ahead[width - 1:n]) & low).astype(np.int64)
 
 
 def slices(batch: pa.RecordBatch, text: int, most: int = 8_000_000):
