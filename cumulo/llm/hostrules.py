@@ -146,3 +146,10 @@ def judge(docs: DataFrame, keep: list[str], host_col: str = "source", text_col:
     return (counted.join(hosts, F.col("_h").eqNullSafe(F.col("_host")))
             .select(*keep, *COUNTS, failed.alias("base_failed"), "host_docs", "host_failures",
                     "host_rate", (~failed & F.col("host_ok")).alias("kept")))
+
+
+def passing(docs: DataFrame, host_col: str = "source", text_col: str = "text", **params) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns."""
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    kept = judge(rows, ["row"], f"row.`{host_col}`", f"row.`{text_col}`", **params).filter("kept")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

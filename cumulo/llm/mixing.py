@@ -57,7 +57,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
         source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: how many of its words the mix takes.
 
-    Returns all input columns plus ``mix_size`` (words), ``mix_source_size``,
+    Returns all input columns (of other names) plus ``mix_size`` (words), ``mix_source_size``,
     ``mix_target``, ``mix_epochs`` (whole repeats) and ``mix_taken``.  Each
     source's taken words sum to exactly floor(target): whole epochs over the
     source, then documents in key order up to the budget; the document at the
@@ -94,19 +94,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
                     (epochs * F.col("mix_size") + part).alias("mix_taken")))
 
 
-def mixed_rows(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
+               text_col: str = "text", **params) -> DataFrame:
     """The mix itself, with the columns of ``docs``: one row per whole repeat
     of a document, and the document at each source's cut with its first words
     (joined by one space).  Documents outside the budget, and those without a
     word, give no row."""
-    rows = mix(docs, text_col=text_col, **params)
+    rows = mix(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")), id_col=f"row.`{id_col}`",
+               source_col=f"row.`{source_col}`", text_col=f"row.`{text_col}`", **params)
     part = F.col("mix_taken") - F.col("mix_epochs") * F.col("mix_size")
     copies = F.concat(  # words of each row that the document gives
         F.array_repeat(F.col("mix_size"), F.col("mix_epochs").cast("int")),
         F.array_repeat(part, F.when(part > 0, 1).otherwise(0)))
     rows = rows.filter("mix_taken > 0").withColumn("_words", F.explode(copies))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
+    whole = F.col("row")[text_col]
+    words = F.regexp_extract_all(whole, F.lit(WORD), F.lit(0))
     text = (F.when(F.col("_words") < F.col("mix_size"),
                    F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), " "))
-            .otherwise(F.col(text_col)))
-    return rows.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+            .otherwise(whole))
+    return rows.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
