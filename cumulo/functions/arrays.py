@@ -9,9 +9,10 @@ from cumulo.functions.util import as_col
 
 
 def zeros(n) -> Column:
-    """``array_fill(0, n)``: n zero (bigint) slots; n = 0 gives ``[]``."""
+    """``array_fill(0, n)``: n zero slots; n = 0 gives ``[]``.  Combined with
+    an array of another numeric type they take that type."""
     n = F.lit(n) if isinstance(n, int) else as_col(n)
-    return F.array_repeat(F.lit(0).cast("bigint"), n)
+    return F.array_repeat(F.lit(0), n)
 
 
 def splice_slot(arr, slot, value) -> Column:
@@ -21,19 +22,20 @@ def splice_slot(arr, slot, value) -> Column:
     are kept.  A rerun of the same day therefore rewrites the slot instead
     of appending another one (SURVEY §8-Q4), and loading an earlier day
     after a later one leaves the later slots in place.  A NULL ``arr`` is
-    an empty history.
+    an empty history.  The result holds the wider of the array's and the
+    value's types, so fractions stay.
     """
-    a = F.coalesce(as_col(arr), F.array().cast("array<bigint>"))
+    a = F.coalesce(as_col(arr), F.array())
     s = F.lit(slot) if isinstance(slot, int) else as_col(slot)
-    v = F.lit(value) if isinstance(value, int) else as_col(value)
+    v = as_col(value) if isinstance(value, (str, Column)) else F.lit(value)
     head = F.slice(F.concat(a, zeros(s)), F.lit(1), s - 1)
-    tail = F.when(F.size(a) > s, F.slice(a, s + 1, F.size(a) - s)).otherwise(F.array().cast("array<bigint>"))
-    return F.concat(head, F.array(v.cast("bigint")), tail)
+    tail = F.when(F.size(a) > s, F.slice(a, s + 1, F.size(a) - s)).otherwise(F.array())
+    return F.concat(head, F.array(v), tail)
 
 
 def pad_to(arr, n) -> Column:
     """Right-pad ``arr`` with zeros to length ``n`` (longer arrays unchanged)."""
-    a = F.coalesce(as_col(arr), F.array().cast("array<bigint>"))
+    a = F.coalesce(as_col(arr), F.array())
     n = F.lit(n) if isinstance(n, int) else as_col(n)
     return F.concat(a, zeros(F.greatest(n - F.size(a), F.lit(0))))
 
@@ -43,21 +45,21 @@ def slot_counts(slot, n_slots: int, value=None) -> Column:
 
     ``slot`` is the 0-based slot of each input row; the result has
     ``n_slots`` entries, entry i = sum of ``value`` (or row count) over rows
-    in slot i.  Each entry is an ordinary ``sum``, so the aggregate runs
-    as a hash aggregate with map-side partial aggregation: one shuffle,
-    bounded state, no list collected per key.
+    in slot i, in the type a ``sum`` of the value has.  Each entry is an
+    ordinary ``sum``, so the aggregate runs as a hash aggregate with map-side
+    partial aggregation: one shuffle, bounded state, no list collected per
+    key.
     """
     s = as_col(slot)
-    v = F.lit(1).cast("bigint") if value is None else as_col(value).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    return F.array(*[F.coalesce(F.sum(F.when(s == i, v).otherwise(zero)), zero) for i in range(n_slots)])
+    v = F.lit(1).cast("bigint") if value is None else as_col(value)
+    return F.array(*[F.coalesce(F.sum(F.when(s == i, v)), F.lit(0)) for i in range(n_slots)])
 
 
 def slotwise_sum(arr, n_slots: int) -> Column:
-    """Aggregate: element-wise sum of arrays (missing slots count as 0)."""
+    """Aggregate: element-wise sum of the first ``n_slots`` entries of arrays
+    (missing slots count as 0)."""
     a = as_col(arr)
-    zero = F.lit(0).cast("bigint")
-    return F.array(*[F.coalesce(F.sum(F.coalesce(F.get(a, i), zero)), zero) for i in range(n_slots)])
+    return F.array(*[F.coalesce(F.sum(F.get(a, i)), F.lit(0)) for i in range(n_slots)])
 
 
 def join_text(arr, sep: str = ",") -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cumulo.functions.dates import day
-from cumulo.functions.util import as_date, to_pydate
+from cumulo.functions.util import as_date, names, to_pydate
 
 
 def _key_cond(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> Column:
@@ -106,11 +106,12 @@ def seed_snapshot(spark, key_type: str, key: str = "user_id", dates_col: str = "
     return spark.createDataFrame([], f"{key} {key_type}, {dates_col} array<date>, {snapshot_col} date")
 
 
-def rebuild_dates(events: DataFrame, key: str, ts: str, as_of, since=None,
+def rebuild_dates(events: DataFrame, key, ts: str, as_of, since=None,
                   drop_null_keys: bool = True, dates_col: str = "dates_active",
                   snapshot_col: str = "snapshot_date") -> DataFrame:
     """Closed-form snapshot(as_of): every key active on or before ``as_of``
-    (from ``since`` if given) with its active dates, newest first.
+    (from ``since`` if given) with its active dates, newest first.  ``key`` is
+    a column or a list of columns.
 
     The per-key array is bounded by the number of days in the range, and
     ``collect_set`` combines map-side, so a hot key reaches its reducer as
@@ -118,9 +119,10 @@ def rebuild_dates(events: DataFrame, key: str, ts: str, as_of, since=None,
     """
     end = to_pydate(as_of)
     ev = _day_events(events, ts, since, end)
+    keys = names(key)
     if drop_null_keys:
-        ev = ev.where(F.col(key).isNotNull())
-    return (ev.groupBy(key)
+        ev = ev.dropna(subset=keys)
+    return (ev.groupBy(*keys)
               .agg(F.sort_array(F.collect_set(day(ts)), asc=False).alias(dates_col))
               .withColumn(snapshot_col, as_date(end)))
 
@@ -135,12 +137,19 @@ def dates_text(dates) -> Column:
 # Key -> {sub_key: [dates]} maps (user_devices_cumulated)
 # ---------------------------------------------------------------------------
 
-def active_pairs(events: DataFrame, key: str, sub_key: str, ts: str, on_day) -> DataFrame:
+#: The map key of rows whose sub key is NULL (a map key cannot be NULL).
+UNKNOWN = "unknown"
+
+
+def _map_key(sub_key: str, unknown: str) -> Column:
+    return F.coalesce(F.col(sub_key).cast("string"), F.lit(unknown)).alias(sub_key)
+
+
+def active_pairs(events: DataFrame, key: str, sub_key: str, ts: str, on_day, unknown: str = UNKNOWN) -> DataFrame:
     """Distinct (key, sub_key) pairs active on ``on_day``.  Rows with a NULL
-    key or sub key are dropped (a map key cannot be NULL)."""
+    key are dropped; a NULL sub key is named ``unknown``, so its user stays."""
     ev = _day_events(events, ts, on_day, on_day)
-    return (ev.where(F.col(key).isNotNull() & F.col(sub_key).isNotNull())
-              .select(key, sub_key).distinct())
+    return ev.where(F.col(key).isNotNull()).select(key, _map_key(sub_key, unknown)).distinct()
 
 
 def cumulate_date_map(prev: DataFrame, today_pairs: DataFrame, key: str, sub_key: str, as_of,
@@ -170,16 +179,19 @@ def cumulate_date_map(prev: DataFrame, today_pairs: DataFrame, key: str, sub_key
 
 def rebuild_date_map(events: DataFrame, key: str, sub_key: str, ts: str, as_of,
                      map_col: str = "device_activity_datelist",
-                     snapshot_col: str = "snapshot_date") -> DataFrame:
-    """Closed-form map snapshot: per key, sub_key -> active dates (newest first).
+                     snapshot_col: str = "snapshot_date", unknown: str = UNKNOWN) -> DataFrame:
+    """Closed-form map snapshot: per key, sub_key -> active dates (newest first);
+    NULL sub keys are named ``unknown``.
 
     Two grouped aggregates: (key, sub_key) -> set of days (bounded by days),
-    then key -> map (bounded by distinct sub keys of the key).
+    then key -> map.  The map holds the key's distinct sub keys, so it is for
+    sub keys of a bounded domain (browsers, event types); for others keep one
+    row per (key, sub_key): ``rebuild_dates(events, [key, sub_key], ...)``.
     """
     end = to_pydate(as_of)
     per_pair = (_day_events(events, ts, None, end)
-                      .where(F.col(key).isNotNull() & F.col(sub_key).isNotNull())
-                      .groupBy(key, sub_key)
+                      .where(F.col(key).isNotNull())
+                      .groupBy(key, _map_key(sub_key, unknown))
                       .agg(F.sort_array(F.collect_set(day(ts)), asc=False).alias("_dates")))
     return (per_pair.groupBy(key)
                     .agg(F.map_from_entries(F.collect_list(F.struct(F.col(sub_key).cast("string"), "_dates")))

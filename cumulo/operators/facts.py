@@ -60,11 +60,12 @@ GAME_FLAGS = {"dim_not_play": "DNP", "dim_not_dress": "DND", "dim_not_with_team"
 def game_fact(game_details: DataFrame, games: DataFrame, order_by=None) -> DataFrame:
     """The reference's ``fact_game_details`` load on its own schemas.
 
-    Grain (game_id, team_id, player_id); ``dim_is_playing_at_home`` stays
+    Grain (game_id, team_id, player_id), all three in the result; ``dim_is_playing_at_home`` stays
     NULL when either team id is NULL; minutes parsed from ``mm:ss`` text.
     """
     d, g = game_details.alias("gd"), games.alias("g")
     cols: dict[str, Column] = {
+        "game_id": F.col("gd.game_id"),
         "dim_game_date": F.col("g.game_date_est").cast("date"),
         "dim_season": F.col("g.season"),
         "dim_team_id": F.col("gd.team_id"),

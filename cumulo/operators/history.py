@@ -4,15 +4,16 @@
 Gaps and islands, computed so that no single task has to see all rows of
 one entity (an entity may hold a large share of the table):
 
-1. Range-partition by (entity, order).  The range bounds come from a
-   sample, so a heavy entity is cut into several contiguous chunks.
-2. Inside each (entity, chunk): ``lag`` and a running max of change
-   positions (window functions over a bounded chunk).  The result is
-   checkpointed so every later step sees one chunk assignment.
+1. Every row gets a chunk number computed from its order value (a range of
+   seasons, a month of dates): the same on every run, so nothing is sampled
+   and nothing has to be frozen.  A heavy entity is cut into several chunks.
+2. One hash exchange on (entity, chunk).  Inside: ``lag`` and a running max
+   of change positions (window functions over a bounded chunk).
 3. One summary row per (entity, chunk) – first/last value, first position,
-   last local change – taken by filters (first and last row of the chunk).  A window over the summary (at most one row per
-   chunk) decides whether each chunk's first row starts an island and
-   which island start carries into chunks without a change.
+   last local change – taken by filters (first and last row of the chunk).
+   A window over the summary (at most one row per chunk) decides whether
+   each chunk's first row starts an island and which island start carries
+   into chunks without a change.
 4. Rows after a local change know their island already.  The rows of a
    chunk's leading run are first reduced to one row per chunk, joined to
    the summary (small to small), and merged with the rest in one grouped
@@ -33,8 +34,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cumulo.sources.session import checkpoint_root
-
 
 def _changed(prev: Column, cur: Column, null_safe: bool) -> Column:
     if null_safe:
@@ -42,17 +41,28 @@ def _changed(prev: Column, cur: Column, null_safe: bool) -> Column:
     return prev.isNull() | F.coalesce(prev != cur, F.lit(False))
 
 
+def order_chunk(df: DataFrame, order: str, width: int | None = None) -> Column:
+    """The chunk of a row, growing with the order value: its month for dates
+    and timestamps, else ``floor(order / width)`` (10 by default, a decade of
+    seasons)."""
+    kind = df.schema[order].dataType.typeName()
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        months = F.year(order) * 12 + F.month(order)
+        return F.floor(months / F.lit(width or 1)).cast("bigint")
+    return F.floor(F.col(order) / F.lit(width or 10)).cast("bigint")
+
+
 def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool = True,
          start_col: str = "start_date", end_col: str = "end_date",
-         n_chunks: int | None = None) -> DataFrame:
-    """(entity, tracked, start_col, end_col): one row per run of equal values."""
-    spark = df.sparkSession
-    p = n_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e, o, v = F.col(entity), F.col(order), F.col(tracked)
+         chunk_width: int | None = None) -> DataFrame:
+    """(entity, tracked, start_col, end_col): one row per run of equal values.
 
+    ``chunk_width``: order values (months for dates) per chunk, see
+    ``order_chunk``.
+    """
+    o, v = F.col(order), F.col(tracked)
     base = (df.select(entity, order, tracked)
-              .repartitionByRange(p, e, o)
-              .withColumn("_chunk", F.spark_partition_id()))
+              .withColumn("_chunk", F.coalesce(order_chunk(df, order, chunk_width), F.lit(-(1 << 62)))))
 
     w = Window.partitionBy(entity, "_chunk").orderBy(order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -61,11 +71,7 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
                  .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull()))
     local_change = (F.col("_rn") > 1) & _changed(F.col("_prev"), v, null_safe)
     local = local.withColumn("_loc_start", F.max(F.when(local_change, o)).over(running))
-    # The chunk ids come from sampled range bounds; every branch below must
-    # see the same ids, so the chunked rows are materialised once (reliable
-    # checkpoint in the shared checkpoint folder, survives executor loss).
-    checkpoint_root(spark)
-    local = local.drop("_prev").checkpoint(eager=True)
+    local = local.drop("_prev")
 
     # One row per chunk from plain filters: its first row, and its last row
     # (whose running ``_loc_start`` is the chunk's last change).
@@ -116,14 +122,15 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
 def scd2_windowed(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool = True,
                   start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
     """The single-window form (one shuffle on the entity).  Same result as
-    ``scd2``; cheaper when no entity is large enough to strain one task."""
+    ``scd2`` and cheaper, but all rows of an entity meet in one task: only for
+    inputs whose entities are bounded (a player's seasons), not for hot keys."""
     w = Window.partitionBy(entity).orderBy(order)
     changed = (F.row_number().over(w) == 1) | _changed(F.lag(tracked).over(w), F.col(tracked), null_safe)
     streak = F.sum(F.when(changed, 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = df.select(entity, order, tracked).withColumn("_streak", streak)
-    keys = [entity, "_streak"] + ([] if null_safe else [tracked])
-    aggs = [F.min(order).alias(start_col), F.max(order).alias(end_col)]
-    if null_safe:
-        aggs.insert(0, F.min(tracked).alias(tracked))
-    return rows.groupBy(*keys).agg(*aggs).select(entity, tracked, start_col, end_col)
+    # a null-safe streak has one value: grouping by it keeps the aggregate
+    # fixed-width (hash aggregate)
+    return (rows.groupBy(entity, "_streak", tracked)
+                .agg(F.min(order).alias(start_col), F.max(order).alias(end_col))
+                .select(entity, tracked, start_col, end_col))

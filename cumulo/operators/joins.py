@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulo.plans.inspect import estimated_bytes
-
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
-
+from cumulo.plans.inspect import estimated_bytes, has_join
 
 def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
     """``max_bytes``, else the session's auto-broadcast threshold in bytes
-    (Spark parses values like ``"50MB"``), else 10 MiB when automatic
-    broadcasting is switched off (an explicit hint is still size-checked)."""
+    (Spark parses values like ``"50MB"``); -1 there means that the session
+    has switched broadcasting off, and nothing is hinted."""
     if max_bytes is not None:
         return max_bytes
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    v = parse_bytes(raw)
-    return v if v > 0 else DEFAULT_BROADCAST_BYTES
+    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
@@ -37,10 +32,10 @@ def parse_bytes(text) -> int:
 
 def maybe_broadcast(small: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(small)`` only when Catalyst's size estimate of ``small``
-    is within ``max_bytes`` (default: the session's auto-broadcast limit,
-    10 MiB if that is switched off).  Larger inputs stay a shuffle join, and
-    AQE can still demote them to a broadcast at run time from real sizes."""
-    if estimated_bytes(small) <= broadcast_limit(small, max_bytes):
+    is within ``max_bytes`` (default: the session's auto-broadcast limit).
+    The estimate is for base tables; a derived side is a product of estimates,
+    so it is left to AQE, which broadcasts it at run time from real sizes."""
+    if not has_join(small) and estimated_bytes(small) <= broadcast_limit(small, max_bytes):
         return F.broadcast(small)
     return small
 
@@ -49,9 +44,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                strategy: str = "auto", max_bytes: int | None = None) -> DataFrame:
     """Join a fact with a small table.
 
-    ``strategy``: ``"broadcast"`` (hint, still size-checked), ``"shuffle"``
-    (sort-merge, forced with a ``merge`` hint), or ``"auto"`` (same as
-    broadcast: hint only when the estimate is small).
+    ``strategy``: ``"broadcast"`` or ``"auto"`` (size-checked hint), or
+    ``"shuffle"`` (sort-merge, forced with a ``merge`` hint).
     """
     if strategy == "shuffle":
         return big.join(small.hint("merge"), on, how)

@@ -9,8 +9,10 @@ to shuffle in later aggregations.
 * ``append_metric`` – the daily step: full outer join of the month's rows
   with the day's values, written into the day's slot.  Rerunning a day
   rewrites its slot instead of appending another one (SURVEY §8-Q4).
-* ``explode_metric`` – slot-wise totals turned back into dated rows: the
-  arrays are summed first (31 numbers per group), then exploded.
+* ``explode_metric`` – slot-wise totals as dated rows, arrays of any length.
+
+Values keep their type: counts are bigint, sums of doubles are doubles.
+A table may hold several metrics: its key is then (key, metric_name).
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulo.functions.arrays import slot_counts, slotwise_sum, splice_slot
+from cumulo.functions.arrays import slot_counts, splice_slot
 from cumulo.functions.dates import day, day_slot
-from cumulo.functions.util import as_col, as_date, to_pydate
+from cumulo.functions.util import as_col, as_date, names, to_pydate
 from cumulo.operators.cumulative import _day_events, _split_null_key
 
 MAX_SLOTS = 31
@@ -70,63 +72,72 @@ def daily_values(events: DataFrame, key: str, ts: str, on_day, metrics: dict,
     return ev.groupBy(key).agg(*[c.alias(n) for n, c in metrics.items()])
 
 
-def append_metrics(prev: DataFrame, daily: DataFrame, key: str, on_day, arrays: dict,
+def append_metrics(prev: DataFrame, daily: DataFrame, key, on_day, arrays: dict,
                    null_safe_key: bool = False) -> DataFrame:
     """Write ``on_day``'s values into the month arrays.
 
     ``prev``: (key, month_start, <array cols>) for any months; only the
     month of ``on_day`` is read.  ``daily``: (key, <value cols>).
-    ``arrays`` maps array column -> value column.  Keys idle today get 0
-    in today's slot; new keys get zeros up to yesterday.  Set
-    ``null_safe_key`` when NULL keys are kept, so the NULL key stays one row.
+    ``key`` is a column or a list of columns, ``arrays`` maps array column ->
+    value column.  Keys idle today get 0 in today's slot; new keys get zeros
+    up to yesterday.  Set ``null_safe_key`` (one key column only) when NULL
+    keys are kept, so the NULL key stays one row.
     """
     d = to_pydate(on_day)
     first = d.replace(day=1)
     slot = (d - first).days + 1
-    y = prev.where(F.col("month_start") == as_date(first)).select(key, *arrays.keys())
-    t = daily.select(key, *arrays.values()).withColumn("_active", F.lit(True))
+    keys = names(key)
+    y = prev.where(F.col("month_start") == as_date(first)).select(*keys, *arrays.keys())
+    t = daily.select(*keys, *arrays.values())
 
     def merge(tt, yy, null_safe):
         tt, yy = tt.alias("t"), yy.alias("y")
-        tk, yk = F.col(f"t.{key}"), F.col(f"y.{key}")
-        j = tt.join(yy, tk.eqNullSafe(yk) if null_safe else tk == yk, "full_outer")
-        cols = [F.coalesce(tk, yk).alias(key), as_date(first).alias("month_start")]
+        on = [F.col(f"t.{k}").eqNullSafe(F.col(f"y.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"y.{k}")
+              for k in keys]
+        j = tt.join(yy, on, "full_outer")
+        cols = [F.coalesce(F.col(f"t.{k}"), F.col(f"y.{k}")).alias(k) for k in keys]
+        cols.append(as_date(first).alias("month_start"))
         for arr, val in arrays.items():
-            v = F.coalesce(F.col(f"t.{val}").cast("bigint"), F.lit(0).cast("bigint"))
+            v = F.coalesce(F.col(f"t.{val}"), F.lit(0))
             cols.append(splice_slot(F.col(f"y.{arr}"), slot, v).alias(arr))
         return j.select(*cols)
 
-    return _split_null_key(t, y, key, null_safe_key, merge)
+    if null_safe_key and len(keys) > 1:
+        raise ValueError("null_safe_key takes one key column")
+    return _split_null_key(t, y, keys[0], null_safe_key, merge)
 
 
 def append_metric(prev: DataFrame, daily: DataFrame, key: str, on_day,
                   value_col: str = "value", metric_name: str | None = None) -> DataFrame:
-    """J9 daily step for a single metric table
-    (key, month_start, metric_name, metric_array)."""
-    p = prev
-    if metric_name is not None and "metric_name" in prev.columns:
-        p = prev.where(F.col("metric_name") == metric_name)
+    """J9 daily step on (key, month_start, metric_name, metric_array).
+
+    With ``metric_name`` only that metric's rows are read and returned.
+    Without, ``daily`` names the metric of each row and all metrics of
+    ``prev`` are carried on: the key is (key, metric_name).
+    """
+    if metric_name is None:
+        if "metric_name" not in daily.columns or "metric_name" not in prev.columns:
+            raise ValueError("name the metric, or give daily and prev a metric_name column")
+        out = append_metrics(prev, daily, [key, "metric_name"], on_day, {"metric_array": value_col})
+        return out.select(key, "month_start", "metric_name", "metric_array")
+    p = prev.where(F.col("metric_name") == metric_name) if "metric_name" in prev.columns else prev
     out = append_metrics(p, daily, key, on_day, {"metric_array": value_col})
-    name = F.lit(metric_name) if metric_name is not None else F.lit(None).cast("string")
-    return out.select(key, "month_start", name.alias("metric_name"), "metric_array")
+    return out.select(key, "month_start", F.lit(metric_name).alias("metric_name"), "metric_array")
 
 
 def explode_metric(df: DataFrame, array_col: str = "metric_array", group=("metric_name",),
-                   n_slots: int = MAX_SLOTS, date_col: str = "metric_date",
-                   value_col: str = "value") -> DataFrame:
+                   date_col: str = "metric_date", value_col: str = "value") -> DataFrame:
     """Slot-wise totals per (group, month) as dated rows.
 
-    All slots are returned (the reference kept only the first three), up
-    to the longest array of the group.
+    All slots of arrays of any length are returned (the reference kept only
+    the first three), up to the longest array of the group.  Slots are summed
+    map-side, so a group reaches its reducer as one row per slot and task.
     """
-    g = list(group) + ["month_start"]
-    summed = (df.groupBy(*g)
-                .agg(slotwise_sum(array_col, n_slots).alias("_sum"),
-                     F.max(F.size(array_col)).alias("_n")))
-    trimmed = summed.select(*g, F.slice("_sum", 1, F.greatest(F.col("_n"), F.lit(0))).alias("_sum"))
-    return trimmed.select(*g, F.posexplode("_sum").alias("_pos", value_col)).select(
-        *[c for c in g if c != "month_start"],
-        F.date_add("month_start", F.col("_pos")).alias(date_col), value_col)
+    g = [*names(list(group)), "month_start"]
+    slots = df.select(*g, F.posexplode(array_col).alias("_pos", "_value"))
+    return (slots.groupBy(*g, "_pos").agg(F.coalesce(F.sum("_value"), F.lit(0)).alias(value_col))
+                 .select(*[c for c in g if c != "month_start"],
+                         F.date_add("month_start", F.col("_pos")).alias(date_col), value_col))
 
 
 def monthly_hits(df: DataFrame, ds: str, array_col: str = "hit_array",

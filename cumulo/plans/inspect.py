@@ -43,6 +43,11 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+def has_join(df: DataFrame) -> bool:
+    """Does ``df`` join tables (its size estimate is then a product)?"""
+    return " Join " in f" {df._jdf.queryExecution().optimizedPlan().toString()} ".replace("\n", " ")
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings):
     """Set SQL confs for a block and restore the previous values after it.

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cumulo.functions.util import names
@@ -30,12 +30,14 @@ def sort_global(df: DataFrame, cols) -> DataFrame:
 
 
 def sort_local(df: DataFrame, sort_cols, n: int | None = None, part_cols=None) -> DataFrame:
-    """Sort inside partitions only.  With ``part_cols``: one hash shuffle
-    into ``n`` partitions first (rows of a key end up together); without:
-    no shuffle at all."""
+    """Sort inside partitions only.  With ``part_cols``: one shuffle into
+    ranges of them first (give enough columns to tell rows apart: a few
+    values alone cannot fill more partitions than values); with ``n``, the
+    reference's hash ``repartition(n, cols)``; without ``part_cols`` no
+    shuffle at all."""
     out = df
     if part_cols:
-        out = out.repartition(n, *names(part_cols)) if n else out.repartition(*names(part_cols))
+        out = out.repartition(n, *names(part_cols)) if n else out.repartitionByRange(*names(part_cols))
     return out.sortWithinPartitions(*names(sort_cols))
 
 
@@ -97,15 +99,35 @@ def layout_report(spark: SparkSession, layouts: dict) -> DataFrame:
     return out.select("layout", "size", "num_files")
 
 
+def layout_check(spark: SparkSession, layouts: dict) -> DataFrame:
+    """What can be checked of written layouts, ``{name: (path, sort columns)}``:
+    (layout, num_rows, has_files, num_unsorted).  ``num_unsorted`` counts the
+    rows that come before their predecessor in the same file."""
+    out = None
+    for name, (path, sort_cols) in layouts.items():
+        cols = names(sort_cols or [])
+        rows = spark.read.parquet(path).select(
+            F.struct(*cols).alias("_key") if cols else F.lit(0).alias("_key"),
+            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        before = F.lag("_key").over(Window.partitionBy("_file").orderBy("_at"))
+        part = rows.select("_file", (before > F.col("_key")).alias("_off")).agg(
+            F.count(F.lit(1)).alias("num_rows"), (F.count("_file") > 0).alias("has_files"),
+            F.coalesce(F.sum(F.col("_off").cast("bigint")), F.lit(0)).alias("num_unsorted"))
+        part = part.select(F.lit(name).alias("layout"), "num_rows", "has_files", "num_unsorted")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def compare_layouts(df: DataFrame, orders: dict, n: int | None = None, cluster_cols=None,
                     base_path: str | None = None) -> DataFrame:
-    """Write ``df`` once per candidate sort order and report sizes."""
+    """Write ``df`` once per candidate sort order and report sizes
+    (layout, size, num_files) with what ``layout_check`` finds."""
     spark = df.sparkSession
     base = base_path or work_path(spark, "layouts")
-    paths = {}
-    for name, sort_cols in orders.items():
-        paths[name] = write_layout(df, f"{base}/{name}", sort_cols, n=n, cluster_cols=cluster_cols)
-    return layout_report(spark, paths)
+    paths = {name: write_layout(df, f"{base}/{name}", sort_cols, n=n, cluster_cols=cluster_cols)
+             for name, sort_cols in orders.items()}
+    return layout_report(spark, paths).join(
+        layout_check(spark, {name: (path, orders[name]) for name, path in paths.items()}), "layout")
 
 
 # ---------------------------------------------------------------------------
@@ -125,13 +147,24 @@ def write_bucketed(df: DataFrame, n_buckets: int, key, table: str | None = None,
     table = table or f"cumulo_bucketed_{uuid.uuid4().hex[:12]}"
     path = path or work_path(spark, "bucketed", table, unique=False)
     ks = names(key)
-    w = df.write.mode("overwrite").format("parquet").bucketBy(n_buckets, *ks)
+    # tasks = buckets, so every bucket is one file (otherwise tasks x buckets)
+    w = df.repartition(n_buckets, *ks).write.mode("overwrite").format("parquet").bucketBy(n_buckets, *ks)
     if sort:
         w = w.sortBy(*ks)
     w.option("path", path).saveAsTable(table)
     return table
 
 
+def drop_bucketed(spark: SparkSession, tables) -> None:
+    """Drop tables of ``write_bucketed`` with their files."""
+    for t in tables:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where("col_name = 'Location'").select("data_type").take(1)
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+        if rows:  # an external table's files stay behind otherwise
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(rows[0][0])
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bucket_join(spark: SparkSession, tables: list[str], key, how: str = "inner") -> DataFrame:
     """Join bucketed tables on their bucket key, left to right, without a
     shuffle when they share the bucket count.

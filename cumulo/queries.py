@@ -22,9 +22,9 @@ from cumulo.operators import (cumulative, datelist, devices, facts, graph, histo
                               metrics, quality, ranking)
 from cumulo.plans import layout
 from cumulo.sources import standins
-from cumulo.sources.session import work_path
+from cumulo.sources.session import checkpoint_root, work_path
 from cumulo.sources.tables import read_table
-from cumulo.streaming.daily import BucketedStore, run_daily, write_day
+from cumulo.streaming.daily import BucketedStore, buckets_for, days_between, run_daily
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,23 +155,37 @@ def q_rebuild_users(spark, sf_dir):
     return _snapshot_out(cumulative.rebuild_dates(ev, "user_id", "ts", AS_OF), "user_id")
 
 
-N_BUCKETS = 16
+def _bucketed_store(spark, name, key, partition_col, more_cols=()):
+    """A store of the query's own; the first write fixes the bucket count from
+    the snapshot's size, ``_load_days`` drops the catalog entry again."""
+    table = f"{name}_{uuid.uuid4().hex[:10]}"
+    return BucketedStore(spark, table, work_path(spark, name), key, None, partition_col, more_cols)
 
 
-def _bucketed_store(spark, name, key, partition_col):
-    table = f"{name}_{uuid.uuid4().hex[:10]}"
-    return BucketedStore(spark, table, work_path(spark, name), key, N_BUCKETS, partition_col)
+def _load_days(spark, store, seed, step):
+    """Seed = closed form up to SEED_DAY, then one daily job per day."""
+    store.write(seed, SEED_DAY)
+    run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
+    return store.release(AS_OF)
+
+
+def _once(df):
+    """A day's aggregate that several branches read: computed once, kept in
+    the shared checkpoint folder."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
 
 
 def _incremental_dates(spark, events, key, drop_null_keys, store):
-    """Seed = closed form up to SEED_DAY, then one daily job per day."""
-    store.write(cumulative.rebuild_dates(events, key, "ts", SEED_DAY, drop_null_keys=drop_null_keys))
+    seed = cumulative.rebuild_dates(events, key, "ts", SEED_DAY, drop_null_keys=drop_null_keys)
 
     def step(prev, d):
         today = cumulative.active_keys(events, key, "ts", d, drop_null_keys=drop_null_keys)
+        if not drop_null_keys:
+            today = _once(today)  # read for the NULL key and for the others
         return cumulative.cumulate_dates(prev, today, key, d, null_safe_key=not drop_null_keys)
 
-    return run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
+    return _load_days(spark, store, seed, step)
 
 
 @register("cumulate_users", _USERS_SQL)
@@ -264,15 +278,62 @@ def q_metric_array(spark, sf_dir):
 def q_metric_array_incremental(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("user_id", "ts")
     store = _bucketed_store(spark, "array_metrics", "user_id", "date_partition")
-    store.write(metrics.rebuild_metric(ev, "user_id", "ts", SEED_DAY).withColumn("date_partition", F.lit(SEED_DAY)))
+    seed = metrics.rebuild_metric(ev, "user_id", "ts", SEED_DAY).withColumn("date_partition", F.lit(SEED_DAY))
 
     def step(prev, d):
         daily = metrics.daily_values(ev, "user_id", "ts", d, {"value": F.count(F.lit(1))})
         return (metrics.append_metric(prev, daily, "user_id", d, "value", "site_hits")
                        .withColumn("date_partition", F.lit(d)))
 
-    out = run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step)
-    return _metric_out(out)
+    return _metric_out(_load_days(spark, store, seed, step))
+
+
+# fractional metrics: event values are doubles with cents, so sums are rounded
+# for comparison only
+_VALUE_SQL = f"""
+WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL AND {_EV_RANGE}),
+{_DAYS_CTE},
+c AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n, sum(value) AS v FROM events
+      WHERE user_id IS NOT NULL AND {_EV_RANGE} GROUP BY ALL)"""
+_VALUE_ROWS_SQL = """
+SELECT u.user_id, '{name}' AS metric_name, days.d AS metric_date, round(coalesce(c.{col}, 0), 4) AS value
+FROM u CROSS JOIN days LEFT JOIN c ON c.user_id = u.user_id AND c.d = days.d"""
+
+
+def _metric_rows(df):
+    """One row per (user, metric, day): fractions compare as numbers."""
+    return metrics.explode_metric(df, group=("user_id", "metric_name")).withColumn(
+        "value", F.round(F.col("value").cast("double"), 4))
+
+
+@register("metric_array_value", _VALUE_SQL + _VALUE_ROWS_SQL.format(name="revenue", col="v"))
+def q_metric_array_value(spark, sf_dir):
+    """A metric of doubles: the sum of ``events.value`` per user and day."""
+    ev = _t(spark, sf_dir, "events")
+    return _metric_rows(metrics.rebuild_metric(ev, "user_id", "ts", AS_OF, "revenue", F.col("value")))
+
+
+@register("metric_two_incremental", _VALUE_SQL + _VALUE_ROWS_SQL.format(name="revenue", col="v")
+          + "\nUNION ALL" + _VALUE_ROWS_SQL.format(name="site_hits", col="n"))
+def q_metric_two_incremental(spark, sf_dir):
+    """Two metrics in one table, partitioned by day and metric; every day each
+    metric replaces its own part."""
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts", "value")
+    values = {"revenue": (F.col("value"), F.sum("value")), "site_hits": (None, F.count(F.lit(1)))}
+    store = _bucketed_store(spark, "array_metrics", "user_id", "date_partition", ("metric_name",))
+
+    def typed(df, d):
+        return df.withColumns({"metric_array": F.col("metric_array").cast("array<double>"), "date_partition": F.lit(d)})
+
+    for name, (per_row, _) in values.items():
+        store.write(typed(metrics.rebuild_metric(ev, "user_id", "ts", SEED_DAY, name, per_row), SEED_DAY),
+                    SEED_DAY, metric_name=name)
+    for d in days_between(SEED_DAY + _dt.timedelta(days=1), AS_OF):
+        for name, (_, per_day) in values.items():
+            daily = metrics.daily_values(ev, "user_id", "ts", d, {"value": per_day})
+            prev = store.read(d - _dt.timedelta(days=1))
+            store.write(typed(metrics.append_metric(prev, daily, "user_id", d, "value", name), d), d, metric_name=name)
+    return _metric_rows(store.release(AS_OF))
 
 
 @register("metric_by_day", f"""
@@ -336,20 +397,21 @@ def q_host_reduced(spark, sf_dir):
 
 @register("host_reduced_incremental", _HOST_REDUCED_SQL)
 def q_host_reduced_incremental(spark, sf_dir):
+    """Daily loads bucketed by host: the snapshot is not shuffled, the day's
+    events are read once for the NULL host and the others."""
     ev = _host_events(spark, sf_dir)
-    path = work_path(spark, "host_activity_reduced")
     seed = (metrics.rebuild_host_activity(ev, "host", "user_id", "ts", SEED_DAY)
                    .withColumn("date_partition", F.lit(SEED_DAY)))
-    write_day(seed, path, "date_partition")
+    store = _bucketed_store(spark, "host_activity_reduced", "host", "date_partition")
 
     def step(prev, d):
-        daily = metrics.daily_values(ev, "host", "ts", d, {
-            "hits": F.count(F.lit(1)), "uv": F.count_distinct("user_id")}, drop_null_keys=False)
+        daily = _once(metrics.daily_values(ev, "host", "ts", d, {
+            "hits": F.count(F.lit(1)), "uv": F.count_distinct("user_id")}, drop_null_keys=False))
         return (metrics.append_metrics(prev, daily, "host", d, {"hit_array": "hits", "unique_visitors": "uv"},
                                        null_safe_key=True)
                        .withColumn("date_partition", F.lit(d)))
 
-    return _reduced_out(run_daily(spark, path, SEED_DAY + _dt.timedelta(days=1), AS_OF, step, "date_partition"))
+    return _reduced_out(_load_days(spark, store, seed, step))
 
 
 # --------------------------------------------------------------------------
@@ -409,7 +471,8 @@ def q_scd2(spark, sf_dir):
 
 @register("scd2_windowed", _SCD_SQL)
 def q_scd2_windowed(spark, sf_dir):
-    """The one-shuffle window form, for inputs without a dominant entity."""
+    """The one-shuffle window form, for inputs without a dominant entity (a
+    customer's order years are few)."""
     players = standins.player_seasons(_t(spark, sf_dir, "orders"))
     return history.scd2_windowed(players, "player_name", "current_season", "scoring_class")
 
@@ -477,17 +540,19 @@ def q_events_by_device(spark, sf_dir):
 
 
 @register("user_devices", f"""
-WITH {_BY_DEVICE_CTE}
-SELECT user_id, CAST(sum(event_counts) AS BIGINT) AS total_hits, max(event_counts) AS max_device_hits,
-       count(device_id) AS num_devices,
-       coalesce(array_to_string(list_sort(list(device_id) FILTER (WHERE device_id IS NOT NULL)), ','), '')
-           AS devices
-FROM d GROUP BY user_id
+WITH {_BY_DEVICE_CTE},
+t AS (SELECT user_id, CAST(sum(event_counts) AS BIGINT) AS total_hits, max(event_counts) AS max_device_hits,
+             count(device_id) AS num_devices FROM d GROUP BY user_id)
+SELECT d.user_id, d.device_id, d.event_counts AS device_hits, total_hits, max_device_hits, num_devices
+FROM d JOIN t ON d.user_id = t.user_id
 """)
 def q_user_devices(spark, sf_dir):
+    """The J17 counts are written once (the reference's staging table) and
+    read for the totals and the rows: events are scanned once."""
     ev = standins.activity_events(_t(spark, sf_dir, "events"))
-    out = devices.user_devices(devices.events_by_device(ev))
-    return out.withColumn("devices", join_text("devices"))
+    path = work_path(spark, "events_aggregated_staging")
+    devices.device_counts(ev).write.mode("overwrite").parquet(path)
+    return devices.user_devices(spark.read.parquet(path))
 
 
 # --------------------------------------------------------------------------
@@ -539,18 +604,31 @@ def q_stage_map_medals(spark, sf_dir):
     return _staged(spark, sf_dir)[0]
 
 
-@register("broadcast_join", f"""
+_MEDAL_JOIN_SQL = f"""
 WITH {_MATCH_CTES}
 SELECT s.match_id, s.mapid, s.player_gamertag, s.medal_id, md.name AS medal_name, s."count"
 FROM staging s JOIN medals md ON s.medal_id = md.medal_id
-""")
-def q_broadcast_join(spark, sf_dir):
+"""
+
+
+def _medal_join(spark, sf_dir, strategy):
     staged, m = _staged(spark, sf_dir)
     medals = m["medals"].withColumnRenamed("name", "medal_name")
-    out = joins.join_small(staged, medals, "medal_id", strategy="broadcast")
+    out = joins.join_small(staged, medals, "medal_id", strategy=strategy)
     return out.select("match_id", "mapid", "player_gamertag", "medal_id", "medal_name", "count")
 
 
+@register("broadcast_join", _MEDAL_JOIN_SQL)
+def q_broadcast_join(spark, sf_dir):
+    return _medal_join(spark, sf_dir, "broadcast")
+
+
+@register("shuffle_join", _MEDAL_JOIN_SQL)
+def q_shuffle_join(spark, sf_dir):
+    """The other leg of the comparison: sort-merge."""
+    return _medal_join(spark, sf_dir, "shuffle")
+
+
 @register("bucket_join", f"""
 WITH {_MATCH_CTES},
 d AS (SELECT match_id, count(*) AS num_player_rows, CAST(sum(player_total_kills) AS BIGINT) AS total_kills
@@ -561,22 +639,28 @@ SELECT m.match_id, m.playlist_id, m.mapid, d.num_player_rows, d.total_kills, md.
 FROM matches m JOIN d ON m.match_id = d.match_id JOIN md ON m.match_id = md.match_id
 """)
 def q_bucket_join(spark, sf_dir):
+    """Three tables bucketed by match, joined without a shuffle.
+
+    Player and medal rows are summed per match before they are bucketed: a
+    match that a third of all rows belong to is one row of its bucket, and
+    the join is one to one.  The tables are the query's own: the result is
+    written, then they are dropped.
+    """
     m = _match_inputs(spark, sf_dir)
-    n = 16
-    # no sortBy: the per-bucket aggregates below are hash aggregates
-    t_matches = layout.write_bucketed(m["matches"], n, "match_id", sort=False)
-    t_details = layout.write_bucketed(m["details"], n, "match_id", sort=False)
-    t_medals = layout.write_bucketed(m["mmp"], n, "match_id", sort=False)
-    # Per-match aggregates on bucketed tables need no shuffle; joining them
-    # 1:1 on the bucket key needs none either, and no pairs are formed.
-    d = (spark.table(t_details).groupBy("match_id")
-              .agg(F.count(F.lit(1)).alias("num_player_rows"),
-                   F.sum("player_total_kills").alias("total_kills")))
-    md = (spark.table(t_medals).groupBy("match_id")
-               .agg(F.count(F.lit(1)).alias("num_medal_rows"), F.sum("count").alias("total_medals")))
-    out = spark.table(t_matches).join(d, "match_id").join(md, "match_id")
-    return out.select("match_id", "playlist_id", "mapid", "num_player_rows", "total_kills",
-                      "num_medal_rows", "total_medals")
+    d = (m["details"].groupBy("match_id")
+         .agg(F.count(F.lit(1)).alias("num_player_rows"), F.sum("player_total_kills").alias("total_kills")))
+    md = (m["mmp"].groupBy("match_id")
+          .agg(F.count(F.lit(1)).alias("num_medal_rows"), F.sum("count").alias("total_medals")))
+    n = buckets_for(m["matches"])
+    tables = [layout.write_bucketed(t, n, "match_id") for t in (m["matches"], d, md)]
+    path = work_path(spark, "bucket_join")
+    try:
+        out = layout.bucket_join(spark, tables, "match_id")
+        out.select("match_id", "playlist_id", "mapid", "num_player_rows", "total_kills", "num_medal_rows",
+                   "total_medals").write.mode("overwrite").parquet(path)
+    finally:
+        layout.drop_bucketed(spark, tables)
+    return spark.read.parquet(path)
 
 
 def _played_matches(m):
@@ -632,11 +716,13 @@ WHERE md.name = 'ECONOMY'
 GROUP BY s.mapid ORDER BY total_medals DESC NULLS LAST, s.mapid NULLS FIRST LIMIT 1
 """)
 def q_top_map_medal(spark, sf_dir):
-    staged, m = _staged(spark, sf_dir)
-    medals = m["medals"].withColumnRenamed("name", "medal_name")
-    j = joins.join_small(staged, medals, "medal_id")
-    return ranking.top_by_sum(j, "mapid", "count", where=F.col("medal_name") == "ECONOMY", k=1,
-                              out_col="total_medals")
+    """Nothing is staged: the medal is filtered in the scan, its few rows meet
+    the medal rows, and only those look up their match's map."""
+    m = _match_inputs(spark, sf_dir)
+    medal = m["medals"].where(F.col("name") == "ECONOMY").select("medal_id")
+    won = joins.join_small(m["mmp"].select("match_id", "medal_id", "count"), medal, "medal_id")
+    known = joins.join_small(m["matches"].select("match_id", "mapid"), m["maps"].select("mapid"), "mapid")
+    return ranking.top_by_sum(won.join(known, "match_id"), "mapid", "count", k=1, out_col="total_medals")
 
 
 # --------------------------------------------------------------------------
@@ -645,8 +731,8 @@ def q_top_map_medal(spark, sf_dir):
 _TYPE_DATES_CTE = f"""pd AS (
   SELECT user_id, event_type,
          string_agg(strftime(d, '%Y-%m-%d'), '|' ORDER BY d DESC) AS dates
-  FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS d FROM events
-        WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+  FROM (SELECT DISTINCT user_id, coalesce(event_type, 'unknown') AS event_type, CAST(ts AS DATE) AS d FROM events
+        WHERE user_id IS NOT NULL
           AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}')
   GROUP BY 1, 2)"""
 _TYPE_DATES_SQL = f"""
@@ -673,18 +759,33 @@ def q_user_type_dates(spark, sf_dir):
 def q_user_type_dates_incremental(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     store = _bucketed_store(spark, "user_devices_cumulated", "user_id", "snapshot_date")
-    store.write(cumulative.rebuild_date_map(ev, "user_id", "event_type", "ts", SEED_DAY))
+    seed = cumulative.rebuild_date_map(ev, "user_id", "event_type", "ts", SEED_DAY)
 
     def step(prev, d):
         pairs = cumulative.active_pairs(ev, "user_id", "event_type", "ts", d)
         return cumulative.cumulate_date_map(prev, pairs, "user_id", "event_type", d)
 
-    return _type_dates_out(run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, step))
+    return _type_dates_out(_load_days(spark, store, seed, step))
+
+
+@register("user_type_dates_long", f"""
+SELECT user_id, event_type, string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d DESC) AS dates_active,
+       DATE '{AS_OF}' AS snapshot_date
+FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS d FROM events
+      WHERE user_id IS NOT NULL AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}')
+GROUP BY user_id, event_type
+""")
+def q_user_type_dates_long(spark, sf_dir):
+    """J27 as one row per (user, type): no list grows with a user's types."""
+    ev = _t(spark, sf_dir, "events").where("user_id IS NOT NULL")
+    snap = cumulative.rebuild_dates(ev, ["user_id", "event_type"], "ts", AS_OF, drop_null_keys=False)
+    return snap.withColumn("dates_active", cumulative.dates_text("dates_active"))
 
 
 @register("user_type_datelist", f"""
-WITH a AS (SELECT DISTINCT user_id, event_type, date_diff('day', CAST(ts AS DATE), DATE '{AS_OF}') AS age
-           FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+WITH a AS (SELECT DISTINCT user_id, coalesce(event_type, 'unknown') AS event_type,
+                  date_diff('day', CAST(ts AS DATE), DATE '{AS_OF}') AS age
+           FROM events WHERE user_id IS NOT NULL
              AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}'),
 b AS (SELECT user_id, event_type,
              CAST(coalesce(sum(CASE WHEN age BETWEEN 0 AND 31 THEN CAST(1 AS BIGINT) << (31 - age) END), 0)
@@ -718,25 +819,43 @@ def q_write_layout(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "user_id", "host", "event_date")
 
 
-@register("layout_report")
+def _layout_sql(names):
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS layout" for n in names)
+    return f"""
+WITH l AS ({rows})
+SELECT l.layout, (SELECT count(*) FROM events) AS num_rows, (SELECT count(*) FROM events) > 0 AS has_files,
+       CAST(0 AS BIGINT) AS num_unsorted
+FROM l
+"""
+
+
+@register("layout_report", _layout_sql(["sorted", "unsorted"]))
 def q_layout_report(spark, sf_dir):
+    """Layouts written, sized and checked; sizes differ by encoder version, so
+    the registered columns are those that don't."""
     ev = _layout_events(spark, sf_dir)
     base = work_path(spark, "events_layouts")
     paths = {
         "sorted": layout.write_layout(ev, f"{base}/sorted", ["event_date", "host"], cluster_cols=["event_date"]),
         "unsorted": layout.write_layout(ev, f"{base}/unsorted", None, cluster_cols=["event_date"]),
     }
-    return layout.layout_report(spark, paths)
+    sizes = layout.layout_report(spark, paths)
+    checked = layout.layout_check(spark, {"sorted": (paths["sorted"], ["event_date", "host"]),
+                                          "unsorted": (paths["unsorted"], None)})
+    return sizes.join(checked, "layout").select(
+        "layout", "num_rows", (F.col("has_files") & (F.col("size") > 0) & (F.col("num_files") > 0)).alias("has_files"),
+        "num_unsorted")
 
 
-@register("compare_layouts")
+@register("compare_layouts", _layout_sql(["date_host", "host_date", "user_ts"]))
 def q_compare_layouts(spark, sf_dir):
     ev = _layout_events(spark, sf_dir)
-    return layout.compare_layouts(ev, {
+    found = layout.compare_layouts(ev, {
         "date_host": ["event_date", "host"],
         "host_date": ["host", "event_date"],
         "user_ts": ["user_id", "ts"],
     }, cluster_cols=["event_date"])
+    return found.select("layout", "num_rows", (F.col("has_files") & (F.col("size") > 0)).alias("has_files"), "num_unsorted")
 
 
 @register("sort_global", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
@@ -748,4 +867,5 @@ def q_sort_global(spark, sf_dir):
 @register("sort_local", "SELECT o_orderkey, o_orderpriority, o_orderdate FROM orders")
 def q_sort_local(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    return layout.sort_local(o, ["o_orderpriority", "o_orderdate"], n=8, part_cols=["o_orderpriority"])
+    return layout.sort_local(o, ["o_orderpriority", "o_orderdate"],
+                             part_cols=["o_orderpriority", "o_orderdate", "o_orderkey"])

@@ -20,7 +20,7 @@ from cumulo.plans.inspect import session_conf
 TABLES = {
     "fact_game_details": {
         "columns": (
-            "dim_game_date date, dim_season int, dim_team_id int, dim_player_id int, "
+            "game_id int, dim_game_date date, dim_season int, dim_team_id int, dim_player_id int, "
             "dim_player_name string, dim_start_position string, dim_is_playing_at_home boolean, "
             "dim_not_play boolean, dim_not_dress boolean, dim_not_with_team boolean, m_minutes double, "
             "m_fgm int, m_fga int, m_fg3m int, m_fg3a int, m_ftm int, m_fta int, m_oreb int, m_dreb int, "
@@ -40,10 +40,10 @@ TABLES = {
         "partition_by": ["snapshot_date"],
     },
     "array_metrics": {
-        "columns": "user_id bigint, month_start date, metric_name string, metric_array array<bigint>, "
-                   "date_partition date",
+        "columns": "user_id bigint, month_start date, metric_array array<double>, date_partition date, "
+                   "metric_name string",
         "key": ["user_id", "month_start", "metric_name", "date_partition"],
-        "partition_by": ["date_partition"],
+        "partition_by": ["date_partition", "metric_name"],
     },
     "user_devices_cumulated": {
         "columns": "user_id bigint, device_activity_datelist map<string,array<date>>, snapshot_date date",
@@ -61,6 +61,13 @@ TABLES = {
         "key": ["user_id", "device_id", "ds"],
         "partition_by": ["ds"],
     },
+    "stg_maps_medals": {
+        "columns": "mapid string, name string, description string, match_id string, is_team_game boolean, "
+                   "playlist_id string, completion_date timestamp, player_gamertag string, medal_id bigint, "
+                   "count int",
+        "key": ["match_id", "player_gamertag", "medal_id"],
+        "partition_by": [],
+    },
     "players_scd": {
         "columns": "player_name string, scoring_class string, start_date bigint, end_date bigint",
         "key": ["player_name", "start_date"],
@@ -84,7 +91,7 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def create_table(spark: SparkSession, name: str, columns: str, partition_by=(), bucket_by=(),
-                 n_buckets: int = 16, location: str | None = None) -> str:
+                 n_buckets: int | None = None, location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet`` with optional
     partition columns, buckets and location.  Partition columns may be
     listed in ``columns`` (they are moved to the end, as Spark stores them)."""
@@ -93,6 +100,8 @@ def create_table(spark: SparkSession, name: str, columns: str, partition_by=(),
     if parts:
         ddl += f" PARTITIONED BY ({', '.join(parts)})"
     if bucket_by:
+        if not n_buckets:
+            raise ValueError("give n_buckets for the table's size (streaming.daily.buckets_for)")
         ddl += f" CLUSTERED BY ({', '.join(names(bucket_by))}) INTO {n_buckets} BUCKETS"
     if location:
         ddl += f" LOCATION '{location}'"
@@ -101,7 +110,7 @@ def create_table(spark: SparkSession, name: str, columns: str, partition_by=(),
 
 
 def create_reference_table(spark: SparkSession, kind: str, name: str | None = None,
-                           location: str | None = None, bucket_by=(), n_buckets: int = 16) -> str:
+                           location: str | None = None, bucket_by=(), n_buckets: int | None = None) -> str:
     """Create one of the reference's tables (see ``TABLES``)."""
     spec = TABLES[kind]
     return create_table(spark, name or kind, spec["columns"], spec["partition_by"], bucket_by,
@@ -136,8 +145,7 @@ def run_table_job(spark: SparkSession, source: str, transform, target: str,
     ``target`` (columns matched by name; overwrite replaces the table's
     data, or only the written partitions when the table is partitioned)."""
     partitioned = bool(_partition_columns(spark, target))
-    if overwrite and not partitioned and spark.table(source).inputFiles() and \
-            set(spark.table(source).inputFiles()) & set(spark.table(target).inputFiles()):
+    if overwrite and not partitioned and _location(spark, source) == _location(spark, target):
         raise ValueError(f"{target} is read by the job; write to another table (or a partitioned "
                          "target, where only the written partitions are replaced)")
     out = transform(spark.table(source))
@@ -150,5 +158,11 @@ def run_table_job(spark: SparkSession, source: str, transform, target: str,
         out.select(*cols).write.mode("overwrite").insertInto(target)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    """Where a table's data is (its name for a view), from the catalog alone."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").take(1)
+    return rows[0][0].rstrip("/") if rows else table
+
+
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]

@@ -41,11 +41,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Reads ``spark.checkpoint.dir`` (conf) or the SparkContext checkpoint
-    dir.  If neither is set (a local test session), a fresh folder is
-    created and registered, so later calls agree on it.
+    dir.  If neither is set, a local session gets a fresh folder, registered
+    so that later calls agree on it; on a cluster, where executors do not see
+    the driver's folders, that is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="cumulo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

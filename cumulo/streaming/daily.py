@@ -1,13 +1,15 @@
 """Day-by-day incremental loads (the reference's "insert one day" scripts).
 
 Each day is one Spark job: read the previous day's snapshot partition,
-apply the job's daily step, write the day's partition with dynamic
-partition overwrite.  The written table is the lineage cut between days,
-so a 365-day backfill is 365 small plans, not one plan with 365 joins,
-and a lost executor only recomputes the current day.
-
-Reruns are safe: a day's partition is replaced, never appended to.  A
-missing previous day is an error (SURVEY §8-Q5) unless it is the first
+apply the job's daily step, replace the day's partition.  The written table
+is the lineage cut between days, so a 365-day backfill is 365 small plans,
+not one plan with 365 joins, and a lost executor only recomputes the current
+day.
+
+Reruns are safe: the day that is written is overwritten as a whole, also
+when the new result is empty.  A day that was loaded and holds no rows
+counts as loaded (a marker next to the data says so); a day that was never
+loaded is an error for the next one (SURVEY §8-Q5) unless it is the first
 day of the run and a seed is given.
 
 Two stores:
@@ -17,9 +19,12 @@ Two stores:
   the key*.  Yesterday's snapshot is then read already hash-partitioned,
   so the daily full outer join shuffles only today's (small) side, and the
   join output is written back into the same buckets without another
-  shuffle.  Its writes are planned with shuffle partitions = buckets
+  shuffle.  All writes are planned with shuffle partitions = buckets
   (``planning``), the condition for Spark to keep the bucketed side.  Use
   it when the snapshot dwarfs a day of events.
+
+A store may be partitioned further (``more_cols``, for instance by metric);
+``write(df, day, metric_name="rev")`` then replaces that part of the day.
 """
 
 from __future__ import annotations
@@ -27,11 +32,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.functions.util import names, to_pydate
-from cumulo.plans.inspect import session_conf
+from cumulo.plans.inspect import estimated_bytes, session_conf
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -55,45 +60,81 @@ def read_day(spark: SparkSession, path: str, partition_col: str, day) -> DataFra
 
 
 def write_day(df: DataFrame, path: str, partition_col: str) -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
+    """Replace the partitions present in ``df`` (dynamic overwrite), for
+    writes of many days at once."""
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col)
        .parquet(path))
 
 
+def _touch(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 class PathStore:
     """Snapshots as a day-partitioned parquet folder."""
 
-    def __init__(self, spark: SparkSession, path: str, partition_col: str = "snapshot_date"):
-        self.spark, self.path, self.partition_col = spark, path, partition_col
+    def __init__(self, spark: SparkSession, path: str, partition_col: str = "snapshot_date",
+                 more_cols: tuple[str, ...] = ()):
+        self.spark, self.path, self.partition_col, self.more = spark, path, partition_col, tuple(more_cols)
+
+    def _marker(self, day) -> str:
+        """Below a folder that Spark's readers skip."""
+        return partition_path(f"{self.path.rstrip('/')}/_loaded", self.partition_col, day)
+
+    def _mark(self, day) -> None:
+        _touch(self.spark, self._marker(day))
 
     def exists(self, day) -> bool:
-        return path_exists(self.spark, partition_path(self.path, self.partition_col, day))
+        return path_exists(self.spark, self._marker(day)) or \
+            path_exists(self.spark, partition_path(self.path, self.partition_col, day))
 
     def read(self, day) -> DataFrame:
         return read_day(self.spark, self.path, self.partition_col, day)
 
-    def write(self, df: DataFrame) -> None:
-        write_day(df, self.path, self.partition_col)
-
-
-class BucketedStore:
+    def write(self, df: DataFrame, day=None, **part) -> None:
+        """Replace ``day`` (or the ``part`` of it) by ``df``, rows or none.
+        Without a day the partitions that ``df`` has rows for are replaced."""
+        if day is None:
+            write_day(df, self.path, self.partition_col)
+            return
+        folder = partition_path(self.path, self.partition_col, day)
+        rest = list(self.more)
+        for c in self.more[:len(part)]:
+            folder, rest = f"{folder}/{c}={part[c]}", rest[1:]
+        out = df.drop(self.partition_col, *part).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (out.partitionBy(*rest) if rest else out).parquet(folder)
+        self._mark(day)
+
+
+def buckets_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Buckets for a table that begins as ``df``: about ``target_bytes`` each
+    by Catalyst's estimate, and at least the session's shuffle partitions, so
+    that a load uses the cluster (Spark's own limit of buckets is the most)."""
+    conf = df.sparkSession.conf
+    least = int(conf.get("spark.sql.shuffle.partitions"))
+    most = int(conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(least, -(-estimated_bytes(df) // target_bytes)))
+
+
+class BucketedStore(PathStore):
     """Snapshots as a catalog table partitioned by day and bucketed by key.
 
     The first ``write`` creates the table (``bucketBy(n).partitionBy(day)``,
-    data under ``path``); later writes insert with dynamic partition
-    overwrite, so only the written day is replaced.
+    data under ``path``); every write replaces the day's partition.  Without
+    ``n_buckets`` the first write fixes it from the size of its rows.
     """
 
-    def __init__(self, spark: SparkSession, table: str, path: str, key, n_buckets: int,
-                 partition_col: str = "snapshot_date"):
-        self.spark, self.table, self.path = spark, table, path
-        self.keys, self.n, self.partition_col = names(key), n_buckets, partition_col
+    def __init__(self, spark: SparkSession, table: str, path: str, key, n_buckets: int | None = None,
+                 partition_col: str = "snapshot_date", more_cols: tuple[str, ...] = ()):
+        super().__init__(spark, path, partition_col, more_cols)
+        self.table, self.keys, self.n = table, names(key), n_buckets
 
     def exists(self, day) -> bool:
         self._attach()
-        return path_exists(self.spark, partition_path(self.path, self.partition_col, day))
+        return super().exists(day)
 
     def _created(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
@@ -101,12 +142,12 @@ class BucketedStore:
     def _attach(self) -> None:
         """Register data already under ``path`` (written by an earlier
         session whose catalog is gone) instead of overwriting it."""
-        if self._created() or not self._has_partitions():
+        if self._created() or not self.n or not self._has_partitions():
             return
         ddl = self.spark.read.parquet(self.path)._jdf.schema().toDDL()
         self.spark.sql(
             f"CREATE TABLE {self.table} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({self.partition_col}) "
+            f"PARTITIONED BY ({', '.join([self.partition_col, *self.more])}) "
             f"CLUSTERED BY ({', '.join(self.keys)}) INTO {self.n} BUCKETS "
             f"LOCATION '{self.path}'")
         self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
@@ -132,23 +173,56 @@ class BucketedStore:
         sized to the bucket count, so Spark keeps the bucketed snapshot's
         partitioning and moves only the other side (it re-shuffles both
         when the session's shuffle partitions exceed the buckets)."""
-        return session_conf(self.spark, **{"spark.sql.shuffle.partitions": str(self.n),
-                                           "spark.sql.sources.partitionOverwriteMode": "dynamic"})
+        return session_conf(self.spark, **{"spark.sql.shuffle.partitions": str(self.n)})
 
-    def write(self, df: DataFrame) -> None:
+    def write(self, df: DataFrame, day=None, **part) -> None:
         self._attach()
+        self.n = self.n or buckets_for(df)
+        fixed = {self.partition_col: to_pydate(day).isoformat(), **part} if day is not None else {}
         if not self._created():
-            (df.write.mode("overwrite").format("parquet")
-               .bucketBy(self.n, *self.keys)
-               .partitionBy(self.partition_col)
-               .option("path", self.path)
-               .saveAsTable(self.table))
+            with self.planning():
+                (df.withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in fixed.items() if c in df.columns})
+                   .repartition(self.n, *self.keys)  # one file per bucket
+                   .write.mode("overwrite").format("parquet")
+                   .bucketBy(self.n, *self.keys)
+                   .partitionBy(self.partition_col, *self.more)
+                   .option("path", self.path)
+                   .saveAsTable(self.table))
+            if day is not None:
+                self._mark(day)
+            return
+        if day is None:
+            with self.planning(), session_conf(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+                df.select(*self.spark.table(self.table).columns).write.mode("overwrite").insertInto(self.table)
             return
-        cols = self.spark.table(self.table).columns  # insertInto is positional
-        # the plan is made when the write runs: inside ``planning`` (which
-        # also sets dynamic overwrite, as insertInto ignores the writer option)
-        with self.planning():
-            df.select(*cols).write.mode("overwrite").insertInto(self.table)
+        if len(part) != len(self.more):
+            raise ValueError(f"name the part of the day: {', '.join(self.more)}")
+        seen = Observation()
+        out = df.withColumns({c: F.lit(v).cast(self.spark.table(self.table).schema[c].dataType) for c, v in fixed.items()})
+        out = out.select(*self.spark.table(self.table).columns)  # the insert is positional
+        # planned when it runs, inside ``planning``; dynamic overwrite, as a
+        # step reads the table it writes, touches only partitions with rows
+        with self.planning(), session_conf(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").insertInto(self.table)
+        if not seen.get["n"]:
+            self._clear(fixed)
+        self._mark(day)
+
+    def _clear(self, fixed: dict) -> None:
+        """Remove one partition: what a rerun without rows replaces."""
+        spec = ", ".join(f"{c} = '{v}'" for c, v in fixed.items())
+        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec})")
+        folder = "/".join([self.path.rstrip("/"), *(f"{c}={v}" for c, v in fixed.items())])
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        self.spark.catalog.refreshTable(self.table)
+
+    def release(self, day) -> DataFrame:
+        """The day's rows as plain files, and no catalog entry any more: for
+        jobs whose table is only a means."""
+        schema = self.spark.table(self.table).schema
+        self.spark.sql(f"DROP TABLE {self.table}")  # external: the files stay
+        return self.spark.read.schema(schema).parquet(self.path).where(_day_filter(self.partition_col, day))
 
 
 def days_between(first, last) -> list[dt.date]:
@@ -180,5 +254,5 @@ def run_daily(spark: SparkSession, store, first_day, last_day,
             prev = seed
         else:
             raise ValueError(f"snapshot for {prev_day} missing; load it first")
-        store.write(step(prev, d))
+        store.write(step(prev, d), d)
     return store.read(days[-1])

@@ -29,6 +29,8 @@ def test_every_oracle_has_a_query():
 
 def test_readme_coverage_table_names_registered_queries():
     import re
+
+    from cumulo.queries import QUERIES
     text = open(os.path.join(ROOT, "README.md")).read()
     table = text.split("## Coverage of SURVEY")[1].split("\n\n")[2]
     named = set()
@@ -37,4 +39,4 @@ def test_readme_coverage_table_names_registered_queries():
         if len(cells) > 5 and cells[1].startswith("J"):
             named |= set(re.findall(r"`([a-z_0-9]+)`", cells[4])) - {"entry"}
     assert named and named <= set(E.queries())
-    assert set(E.queries()) <= named
+    assert set(QUERIES) <= named  # the library's own; others have a section of their own

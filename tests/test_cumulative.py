@@ -102,7 +102,8 @@ def test_date_map_cumulation(spark):
                                         "user_id", "browser", D(2023, 1, 2))
     got = {r["user_id"]: r["device_activity_datelist"] for r in day2.collect()}
     assert got == {1: {"chrome": [D(2023, 1, 1)], "firefox": [D(2023, 1, 2)]},
-                   2: {"chrome": [D(2023, 1, 2), D(2023, 1, 1)]}}
+                   2: {"chrome": [D(2023, 1, 2), D(2023, 1, 1)]},
+                   3: {"unknown": [D(2023, 1, 2)]}}  # a NULL sub key keeps its user
     closed = cumulative.rebuild_date_map(ev, "user_id", "browser", "ts", D(2023, 1, 2))
     assert {r["user_id"]: r["device_activity_datelist"] for r in closed.collect()} == got
 
@@ -190,3 +191,44 @@ def test_bucketed_store_reattaches_existing_data(spark):
 def test_run_daily_rejects_empty_range(spark):
     with pytest.raises(ValueError, match="empty"):
         run_daily(spark, work_path(spark, "empty"), D(2023, 1, 3), D(2023, 1, 2), lambda p, d: p)
+
+
+def test_empty_rerun_clears_the_day_and_empty_days_count_as_loaded(spark):
+    from cumulo.streaming.daily import BucketedStore, PathStore
+    d1 = spark.createDataFrame([(1, [D(2023, 1, 1)], D(2023, 1, 1))],
+                               "user_id bigint, dates_active array<date>, snapshot_date date")
+    none = d1.where("false")
+    ev = spark.createDataFrame([(7, "2023-01-04 10:00:00")], "user_id bigint, ts string").withColumn("ts", F.to_timestamp("ts"))
+
+    def step(prev, d):
+        return cumulative.cumulate_dates(prev, cumulative.active_keys(ev, "user_id", "ts", d), "user_id", d)
+
+    for name, store in (("b", BucketedStore(spark, "empty_days", work_path(spark, "empty_days_b"), "user_id", 4)),
+                        ("p", PathStore(spark, work_path(spark, "empty_days_p")))):
+        store.write(d1, D(2023, 1, 1))
+        store.write(d1.withColumn("snapshot_date", F.lit(D(2023, 1, 2))), D(2023, 1, 2))
+        assert store.read(D(2023, 1, 1)).count() == 1
+        store.write(none, D(2023, 1, 1))  # the rerun finds nothing
+        assert store.read(D(2023, 1, 1)).count() == 0 and store.read(D(2023, 1, 2)).count() == 1
+        assert store.exists(D(2023, 1, 1)) and not store.exists(D(2022, 12, 31))
+    # an empty seed, a day without events, then a day with one
+    for store in (BucketedStore(spark, "empty_seed", work_path(spark, "empty_seed_b"), "user_id", 4),
+                  PathStore(spark, work_path(spark, "empty_seed_p"))):
+        store.write(none, D(2023, 1, 2))
+        out = run_daily(spark, store, D(2023, 1, 3), D(2023, 1, 4), step)
+        assert rows(out, "user_id", "dates_active") == [(7, [D(2023, 1, 4)])]
+
+
+def test_bucket_count_follows_size(spark):
+    from cumulo.streaming.daily import buckets_for
+    df = spark.range(100)
+    assert buckets_for(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert buckets_for(df, target_bytes=8) == 100
+
+
+def test_long_form_equals_map(spark):
+    ev = spark.createDataFrame([(1, "2023-01-01 10:00:00", None), (1, "2023-01-02 10:00:00", "x"), (2, "2023-01-02 10:00:00", None)],
+                               "user_id bigint, ts string, b string").withColumn("ts", F.to_timestamp("ts"))
+    got = rows(cumulative.rebuild_dates(ev.where("user_id is not null"), ["user_id", "b"], "ts", D(2023, 1, 2), drop_null_keys=False),
+               "user_id", "b", "dates_active")
+    assert got == sorted([(1, None, [D(2023, 1, 1)]), (1, "x", [D(2023, 1, 2)]), (2, None, [D(2023, 1, 2)])], key=repr)

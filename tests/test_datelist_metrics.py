@@ -173,3 +173,44 @@ def test_append_metrics_keeps_one_null_key_row(spark):
                                  {"hit_array": "hits", "unique_visitors": "uv"}, null_safe_key=True)
     assert rows(out) == rows(metrics.rebuild_host_activity(ev, "host", "user_id", "ts", D(2023, 1, 2)))
     assert len([r for r in out.collect() if r["host"] is None]) == 1
+
+
+def test_fractions_stay_and_both_forms_agree(spark):
+    ev = spark.createDataFrame([(1, "2023-01-01 01:00:00", 0.5), (1, "2023-01-01 02:00:00", 0.5), (1, "2023-01-02 01:00:00", 2.5)],
+                               "user_id bigint, ts string, v double").withColumn("ts", F.to_timestamp("ts"))
+    closed = metrics.rebuild_metric(ev, "user_id", "ts", D(2023, 1, 2), "revenue", F.col("v"))
+    assert closed.collect()[0]["metric_array"] == [1.0, 2.5]
+    state = metrics.rebuild_metric(ev, "user_id", "ts", D(2023, 1, 1), "revenue", F.col("v"))
+    daily = metrics.daily_values(ev, "user_id", "ts", D(2023, 1, 2), {"value": F.sum("v")})
+    assert rows(metrics.append_metric(state, daily, "user_id", D(2023, 1, 2), "value", "revenue")) == rows(closed)
+    assert closed.schema["metric_array"].dataType.simpleString() == "array<double>"
+
+
+def test_several_metrics_in_one_table(spark):
+    import pytest
+    prev = spark.createDataFrame([(1, D(2023, 1, 1), "hits", [2.0]), (1, D(2023, 1, 1), "rev", [0.5])],
+                                 "user_id bigint, month_start date, metric_name string, metric_array array<double>")
+    daily = spark.createDataFrame([(1, "rev", 1.5), (2, "hits", 1.0)], "user_id bigint, metric_name string, value double")
+    got = rows(metrics.append_metric(prev, daily, "user_id", D(2023, 1, 2)), "user_id", "metric_name", "metric_array")
+    assert got == sorted([(1, "hits", [2.0, 0.0]), (1, "rev", [0.5, 1.5]), (2, "hits", [0.0, 1.0])], key=repr)
+    with pytest.raises(ValueError, match="name the metric"):
+        metrics.append_metric(prev, daily.drop("metric_name"), "user_id", D(2023, 1, 2))
+
+
+def test_metrics_of_one_day_replace_only_their_part(spark):
+    from cumulo.sources.session import work_path
+    from cumulo.streaming.daily import BucketedStore, PathStore
+    schema = "user_id bigint, month_start date, metric_name string, metric_array array<double>, date_partition date"
+    row = lambda m, v: spark.createDataFrame([(1, D(2023, 1, 1), m, [v], D(2023, 1, 1))], schema)
+    for store in (BucketedStore(spark, "two_metrics", work_path(spark, "two_metrics_b"), "user_id", 4, "date_partition", ("metric_name",)),
+                  PathStore(spark, work_path(spark, "two_metrics_p"), "date_partition", ("metric_name",))):
+        for m, v in (("hits", 1.0), ("rev", 0.5), ("rev", 0.75)):
+            store.write(row(m, v), D(2023, 1, 1), metric_name=m)
+        assert rows(store.read(D(2023, 1, 1)), "metric_name", "metric_array") == [("hits", [1.0]), ("rev", [0.75])]
+
+
+def test_explode_metric_takes_arrays_of_any_length(spark):
+    df = spark.createDataFrame([(1, D(2023, 1, 1), "m", [1.5] * 40)],
+                               "user_id int, month_start date, metric_name string, metric_array array<double>")
+    got = metrics.explode_metric(df).collect()
+    assert len(got) == 40 and sum(r["value"] for r in got) == 60.0

@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cumulo.operators import history
 from tests.conftest import rows
@@ -43,7 +44,7 @@ def test_null_cases(spark, null_safe, n_chunks):
             ("y", 1, "A"), ("y", 2, "B"), ("y", 5, "A"),  # A -> B -> A with a gap in seasons
             (None, 1, "Q"), (None, 2, "Q")]
     df = spark.createDataFrame(data, SCHEMA)
-    got = rows(history.scd2(df, "e", "o", "v", null_safe=null_safe, n_chunks=n_chunks))
+    got = rows(history.scd2(df, "e", "o", "v", null_safe=null_safe, chunk_width=n_chunks))
     assert got == brute(data, null_safe)
     assert rows(history.scd2_windowed(df, "e", "o", "v", null_safe=null_safe)) == got
 
@@ -65,19 +66,36 @@ value = st.one_of(st.none(), st.sampled_from(["G", "B"]))
        st.integers(1, 6), st.booleans())
 def test_chunked_equals_brute_force(spark, data, n_chunks, null_safe):
     df = spark.createDataFrame(data, SCHEMA)
-    assert rows(history.scd2(df, "e", "o", "v", null_safe=null_safe, n_chunks=n_chunks)) == brute(data, null_safe)
+    assert rows(history.scd2(df, "e", "o", "v", null_safe=null_safe, chunk_width=n_chunks)) == brute(data, null_safe)
 
 
 def test_hot_entity_is_split_across_chunks(spark):
     """One entity with all rows still spreads over several tasks."""
-    from pyspark.sql import functions as F
     df = spark.range(0, 4000).select(F.lit("hot").alias("e"), F.col("id").cast("int").alias("o"),
                                      (F.floor(F.col("id") / 100) % 2).cast("string").alias("v"))
-    out = history.scd2(df, "e", "o", "v", n_chunks=8)
+    out = history.scd2(df, "e", "o", "v", chunk_width=500)
     assert out.count() == 40
-    chunks = (df.repartitionByRange(8, "e", "o").select(F.spark_partition_id().alias("p"))
-                .distinct().count())
-    assert chunks > 1
+    chunks = df.select(history.order_chunk(df, "o", 500).alias("c")).distinct().count()
+    assert chunks == 8
+
+
+def test_one_exchange_of_all_rows_and_no_sampling(spark):
+    import re
+    from cumulo.plans.inspect import physical_plan
+    df = spark.range(0, 400).select((F.col("id") % 4).alias("e"), F.col("id").cast("int").alias("o"),
+                                    (F.floor(F.col("id") / 100) % 2).cast("string").alias("v"))
+    plan = physical_plan(history.scd2(df, "e", "o", "v"))
+    assert "rangepartitioning" not in plan
+    # the chunked rows are exchanged once: other branches reuse that exchange
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(e#\d+L?, _chunk#\d+L", plan)) >= 1
+
+
+def test_dates_are_chunked_by_month(spark):
+    import datetime as dt
+    data = [("x", dt.date(2023, 1, 30) + dt.timedelta(days=i), "A" if i < 40 else "B") for i in range(80)]
+    df = spark.createDataFrame(data, "e string, o date, v string")
+    got = rows(history.scd2(df, "e", "o", "v"))
+    assert got == sorted([("x", "A", dt.date(2023, 1, 30), dt.date(2023, 3, 10)), ("x", "B", dt.date(2023, 3, 11), dt.date(2023, 4, 19))], key=repr)
 
 
 def test_intervals_cover_rows_without_overlap(spark):
@@ -85,7 +103,7 @@ def test_intervals_cover_rows_without_overlap(spark):
     from cumulo.sources import standins
     from tests.conftest import SF_SMALL
     players = standins.player_seasons(read_table(spark, SF_SMALL, "orders"))
-    out = history.scd2(players, "player_name", "current_season", "scoring_class", n_chunks=5).collect()
+    out = history.scd2(players, "player_name", "current_season", "scoring_class", chunk_width=2).collect()
     by_e = {}
     for r in out:
         by_e.setdefault(r["player_name"], []).append((r["start_date"], r["end_date"], r["scoring_class"]))

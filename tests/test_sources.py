@@ -71,7 +71,7 @@ def test_run_table_job_scd(spark):
     db = f"cumulo_jobs_{uuid.uuid4().hex[:8]}"
     catalog.ensure_database(spark, db, location=work_path(spark, db))
     src = spark.createDataFrame(
-        [("Michael Jordan", 2001, "Good"), ("Michael Jordan", 2002, "Good"), ("Michael Jordan", 2003, "Bad")],
+        [("Ada Quill", 1991, "high"), ("Ada Quill", 1992, "high"), ("Ada Quill", 1994, "low")],
         "player_name string, current_season bigint, scoring_class string")
     src.write.saveAsTable(f"{db}.players")
     target = catalog.create_reference_table(spark, "players_scd", f"{db}.players_scd")
@@ -79,7 +79,7 @@ def test_run_table_job_scd(spark):
     catalog.run_table_job(spark, f"{db}.players", job, target)
     catalog.run_table_job(spark, f"{db}.players", job, target)  # rerun: replaced, not appended
     got = sorted(tuple(r) for r in spark.table(target).collect())
-    assert got == [("Michael Jordan", "Bad", 2003, 2003), ("Michael Jordan", "Good", 2001, 2002)]
+    assert got == [("Ada Quill", "high", 1991, 1992), ("Ada Quill", "low", 1994, 1994)]
 
 
 def test_run_table_job_partitioned_target_replaces_only_its_days(spark):
@@ -96,3 +96,20 @@ def test_run_table_job_partitioned_target_replaces_only_its_days(spark):
     want = cumulative.rebuild_dates(ev, "user_id", "ts", dt.date(2024, 1, 11)).count()
     assert set(per_day) == {dt.date(2024, 1, 10), dt.date(2024, 1, 11)}
     assert per_day[dt.date(2024, 1, 11)] == want
+
+
+def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
+    from cumulo.sources.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)
