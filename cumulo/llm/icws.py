@@ -7,10 +7,14 @@ samples are banded, documents that share a band are compared, and a pair
 links only if its weighted Jaccard, computed from the whole texts, reaches
 the threshold.  Links are closed by connected components.
 
-Equal texts are one class from the start.  Inside a band bucket nobody emits
-all pairs: members are compared with a leader, those that link are done, the
-others get more leaders (four times as many a round) until everybody is
-linked to a leader of the bucket or has been compared with all of them.
+Equal texts are one class from the start.  Nobody emits all pairs of a
+bucket.  Its members are compared with a leader first; then components of the
+links found so far are joined, and only buckets that still hold several
+components go on, members being compared with leaders of other components:
+four of them, at last all, which is for buckets of at most ``SMALL`` members.
+Larger buckets are split by every second band their members have instead,
+which texts at the threshold share too (probability 0.99), and the parts are
+treated the same way.
 """
 
 from __future__ import annotations
@@ -32,11 +36,16 @@ SHINGLE, BANDS, ROWS = 5, 10, 3
 #: and broadcast, of fixed size.
 DF_BUCKETS = 1 << 18
 LAST = 2**63 - 1
+KEY_BITS = tb.U64(44)
+KEY_MASK = tb.U64((1 << 44) - 1)
+#: Members up to which a band bucket is compared to the end; see ``_members``.
+SMALL = 32
 
 
-def shingles(texts: pa.Array):
-    """(document, shingle, term frequency) sorted by both; a text of fewer
-    words than a shingle has its whole word sequence as the only one."""
+def _shingle_codes(texts: pa.Array) -> np.ndarray:
+    """Document (20 bits) and shingle (44 bits) of every shingle, unsorted; a
+    text of fewer words than a shingle has its whole word sequence as the only
+    one.  At most 2**20 texts at once."""
     data, offs = tb.buffer(texts)
     s, e, doc = tb.words(data, offs)
     value = tb.Rolling(data).of(s, e)
@@ -48,10 +57,15 @@ def shingles(texts: pa.Array):
         first = np.searchsorted(doc, few)
         short = [tb.window_hash(value[f:f + sizes[d]], int(sizes[d]))[0] for d, f in zip(few, first)]
         docs, keys = np.append(docs, few), np.append(keys, np.array(short, np.uint64))
-    order = np.lexsort((keys, docs))
-    docs, keys = docs[order], keys[order]
-    new = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])][:len(docs)])
-    return docs[new], keys[new], np.diff(np.append(new, len(docs)))
+    return (docs.astype(np.uint64) << KEY_BITS) | (keys >> tb.U64(20))
+
+
+def shingles(texts: pa.Array):
+    """(document, shingle, term frequency) sorted by both."""
+    codes = np.sort(_shingle_codes(texts))
+    new = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][:len(codes)])
+    return ((codes[new] >> KEY_BITS).astype(np.int64), codes[new] & KEY_MASK,
+            np.diff(np.append(new, len(codes))))
 
 
 def document_frequency(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -65,9 +79,10 @@ def document_frequency(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         for batch in batches:
             df[-1] += batch.num_rows
             for part in tb.slices(batch, 0):
-                doc, key, _ = shingles(part.column(0))
-                pairs = np.unique(doc * DF_BUCKETS + (key % DF_BUCKETS).astype(np.int64))
-                df[:-1] += np.bincount(pairs % DF_BUCKETS, minlength=DF_BUCKETS)
+                codes = _shingle_codes(part.column(0))
+                pairs = np.sort((codes >> KEY_BITS) * tb.U64(DF_BUCKETS) + codes % tb.U64(DF_BUCKETS))
+                pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]][:len(pairs)]]
+                df[:-1] += np.bincount((pairs % tb.U64(DF_BUCKETS)).astype(np.int64), minlength=DF_BUCKETS)
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(df[seen])], names=["bucket", "df"])
 
@@ -111,7 +126,7 @@ class Sampler:
         bands = np.zeros((len(starts), BANDS), np.uint64)
         low = tb.U64(0xFFFF)
         for h in range(BANDS * ROWS):
-            x = key * self.odd[h, 0]
+            x = (key + tb.U64(1)) * self.odd[h, 0]
             x ^= x >> tb.U64(32)
             x *= self.odd[h, 1]
             r = self.r[(x >> tb.U64(48)).astype(np.uint16)]
@@ -157,15 +172,14 @@ def signatures(docs: DataFrame, keep: list[str], idf, text_col: str = "text") ->
 def weighted_jaccard(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray:
     """Of each pair of whole texts; 0 where one has no word."""
     n = len(left)
-    doc, key, weight, side = [], [], [], []
-    for k, texts in enumerate((left, right)):
+    doc, key, weight = [], [], []
+    for texts in (left, right):
         d, s, tf = shingles(texts)
         doc.append(d)
         key.append(s)
         weight.append(_weights(s, tf, idf).astype(np.float64))
-        side.append(np.full(len(d), k))
-    doc, key, weight, side = map(np.concatenate, (doc, key, weight, side))
-    order = np.lexsort((side, key, doc))
+    doc, key, weight = map(np.concatenate, (doc, key, weight))
+    order = np.argsort((doc.astype(np.uint64) << KEY_BITS) | key, kind="stable")  # two sorted runs
     doc, key, weight = doc[order], key[order], weight[order]
     both = (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])
     shared = np.bincount(doc[1:][both], np.minimum(weight[1:], weight[:-1])[both], minlength=n)[:n]
@@ -187,6 +201,45 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFr
     return full.mapInArrow(run, "a string, b string")
 
 
+def _members(classes: DataFrame) -> DataFrame:
+    """(``band``, ``t``, ``small``) of every bucket that several texts share:
+    single bands, and pairs of bands for members of large ones."""
+
+    def shared(rows: DataFrame, name: str) -> DataFrame:
+        size = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+        return stage(rows.join(stage(size, "band-sizes"), "band").select("band", "t", (F.col("n") <= SMALL).alias("small")), name)
+
+    single = shared(classes.select("t", F.explode("bands").alias("band")), "band-members")
+    of_text = single.filter("not small").groupBy("t").agg(F.sort_array(F.collect_list("band")).alias("bands"))
+    pairs = of_text.select("t", F.explode("bands").alias("x"), "bands").select(
+        "t", "x", F.explode("bands").alias("y")).filter("x < y").select(F.xxhash64("x", "y").alias("band"), "t")
+    return single.unionByName(shared(pairs, "band-pair-members"))
+
+
+def _links(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Pairs of texts (``a``, ``b``) that link, enough to hold every component together."""
+
+    def check(candidates: DataFrame) -> DataFrame:
+        pairs = candidates.select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct()
+        return stage(_linked(stage(pairs, "pairs"), texts, idf, threshold), "near-links")
+
+    first = stage(members.groupBy("band").agg(F.min("t").alias("leader")), "leaders")
+    links = check(members.join(first, "band").filter("t <> leader"))
+    small = members.filter("small").select("band", "t")
+    for leaders in (4, None):
+        root = stage(components(links), "near-roots")
+        known = small.join(root.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
+        open_bands = known.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        small = stage(known.join(open_bands.select("band"), "band"), "open-buckets")
+        led = small.select("band", F.col("t").alias("leader"), F.col("root").alias("leader_root"))
+        if leaders:
+            led = led.groupBy("band", F.pmod(F.xxhash64("leader"), F.lit(leaders)).alias("part")).agg(
+                F.min_by("leader", "leader").alias("leader"), F.min_by("leader_root", "leader").alias("leader_root"))
+        links = links.unionByName(check(small.join(stage(led, "leaders"), "band").filter("root <> leader_root")))
+        small = small.select("band", "t")
+    return links
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, ``text_key`` (md5 of the text),
     ``component_id`` (the least id of its group), ``n_members``, ``kept``.
@@ -206,36 +259,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     signed = stage(signatures(rows, ["id", "t"], idf), "signatures")
     classes = stage(signed.filter("bands is not null").groupBy("t").agg(
         F.min(F.coalesce("id", F.lit(LAST))).alias("id"), F.count("*").alias("n"), F.first("bands").alias("bands")), "text-classes")
-    bucket = classes.select("t", "id", F.explode("bands").alias("band"))
-    shared = stage(bucket.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "bands")
-    members = stage(bucket.join(shared, "band"), "band-members")
+    members = _members(classes)
     # one row of each text to compare: copies differ in the id, so none is hot
-    wanted = stage(members.select("t", "id").distinct(), "texts-to-compare")
+    wanted = stage(members.select("t").distinct().join(classes.select("t", "id"), "t"), "texts-to-compare")
     texts = stage(rows.select("t", F.coalesce("id", F.lit(LAST)).alias("id"), "text")
                   .join(wanted, ["t", "id"], "left_semi").dropDuplicates(["t", "id"]).select("t", "text"), "texts")
-    pending = members.select("band", "t")
-    links = None
-    leaders = 1
-    while not pending.isEmpty():
-        part = F.pmod(F.xxhash64("t"), F.lit(leaders))
-        led = stage(pending.groupBy("band", part.alias("part")).agg(F.min("t").alias("leader")).select("band", "leader"), "leaders")
-        pairs = stage(pending.join(led, "band").filter("t <> leader")
-                      .select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct(), "pairs")
-        found = stage(_linked(pairs, texts, idf, threshold), "near-links")
-        links = found if links is None else links.unionByName(found)
-        both = found.select(F.col("a").alias("t"), F.col("b").alias("leader")).unionByName(
-            found.select(F.col("b").alias("t"), F.col("a").alias("leader")))
-        done = (led.withColumnRenamed("leader", "t")
-                .unionByName(led.join(both, "leader").join(pending, ["band", "t"], "left_semi").select("band", "t")))
-        pending = stage(pending.join(done.distinct(), ["band", "t"], "left_anti"), "band-members")
-        leaders *= 4
+    links = _links(members, texts, idf, threshold)
     root = classes.select("t", "id", "n")
-    if links is not None:
-        known = components(links).withColumnRenamed("node", "t")
-        root = root.join(known, "t", "left").select("t", "id", "n", F.coalesce("root", "t").alias("root"))
-    else:
-        root = root.withColumn("root", F.col("t"))
-    root = stage(root, "text-roots")
+    known = components(links).withColumnRenamed("node", "t")
+    root = stage(root.join(known, "t", "left").select("t", "id", "n", F.coalesce("root", "t").alias("root")), "text-roots")
     groups = root.groupBy("root").agg(F.min("id").alias("least"), F.sum("n").alias("n_members"))
     # of texts that share the least id the one with the least key stays
     stays = (root.join(groups, "root").filter("id = least").groupBy("root")
