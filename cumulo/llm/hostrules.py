@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cumulo.llm import textbuf as tb
+from cumulo.llm.common import stage
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -114,19 +115,17 @@ def host_verdicts(counted: DataFrame, host_col: str, max_rate: float = 0.5) -> D
     rejected if its posterior mean (failures + a) / (documents + a + b)
     exceeds ``max_rate``.
     """
-    hosts = (counted.groupBy(F.col(host_col).alias("_host"))
-             .agg(F.count("*").alias("host_docs"),
-                  F.sum(rule_failures().cast("long")).alias("host_failures")))
+    hosts = stage(counted.groupBy(F.col(host_col).alias("_host"))
+                  .agg(F.count("*").alias("host_docs"),
+                       F.sum(rule_failures().cast("long")).alias("host_failures")), "hosts")
     rate = F.col("host_failures") / F.col("host_docs")
-    prior = hosts.agg(F.avg(rate).alias("_m"), F.var_pop(rate).alias("_v"))
-    strength = F.when(F.col("_v") > 0, F.col("_m") * (1 - F.col("_m")) / F.col("_v") - 1)
-    prior = prior.select("_m", F.when(strength > 0, strength).otherwise(F.lit(1.0)).alias("_k"))
-    shrunk = ((F.col("host_failures") + F.col("_m") * F.col("_k"))
-              / (F.col("host_docs") + F.col("_k")))
-    # one row of two numbers: the prior
-    return (hosts.join(F.broadcast(prior))
-            .select("_host", "host_docs", "host_failures", shrunk.alias("host_rate"),
-                    (shrunk <= max_rate).alias("host_ok")))
+    mean, spread = hosts.agg(F.avg(rate), F.var_pop(rate)).first()  # two numbers
+    strength = mean * (1 - mean) / spread - 1 if spread else 0.0
+    strength = strength if strength > 0 else 1.0
+    shrunk = ((F.col("host_failures") + F.lit((mean or 0.0) * strength))
+              / (F.col("host_docs") + F.lit(strength)))
+    return hosts.select("_host", "host_docs", "host_failures", shrunk.alias("host_rate"),
+                        (shrunk <= max_rate).alias("host_ok"))
 
 
 def judge(docs: DataFrame, keep: list[str], host_col: str = "source", text_col: str = "text",
