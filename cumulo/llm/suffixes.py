@@ -37,6 +37,8 @@ LENGTH, GRAM = 400, 64
 WIDTHS, MANY = (64, 8, 1), 1500
 #: Bytes of contents per transform.
 SHARD_BYTES = 1_000_000
+#: Bytes of text worked on at once in a task.
+SLICE_BYTES = 1_000_000
 LAST = 2**63 - 1
 _SPANS = ArrayType(StructType().add("begin", IntegerType()).add("end", IntegerType()))
 
@@ -126,16 +128,18 @@ def repeated_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
 
 
 def _anchors(texts: pa.Array):
-    """(bytes, offsets, string starts, anchor of each, gram hashes)."""
+    """(bytes, offsets, prefix sums, string starts, their documents, anchor
+    of each, gram hashes); anchors don't go back as starts go on."""
     data, offs = tb.buffer(texts)
-    n = len(data)
-    none = np.zeros(0, np.int64)
-    if n < LENGTH:
-        return data, offs, none, none, none
-    at = np.arange(n - GRAM + 1)
-    gram = tb.Rolling(data).of(at, at + GRAM)
-    first = np.concatenate([np.arange(a, b - LENGTH + 1) for a, b in zip(offs[:-1], offs[1:]) if b - a >= LENGTH] or [none])
-    return data, offs, first, tb.run_minima(gram, LENGTH - GRAM + 1)[first], gram
+    counts = np.maximum(np.diff(offs) - LENGTH + 1, 0)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    rolling = tb.Rolling(data)
+    if not len(owner):
+        return data, offs, rolling, owner, owner, owner, owner
+    start = np.arange(len(owner)) + np.repeat(offs[:-1] - (np.cumsum(counts) - counts), counts)
+    at = np.arange(len(data) - GRAM + 1)
+    gram = rolling.of(at, at + GRAM)
+    return data, offs, rolling, start, owner, tb.run_minima(gram, LENGTH - GRAM + 1)[start], gram
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -143,14 +147,13 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tb.slices(batch, 1, 4_000_000):
-                _, offs, _, at, gram = _anchors(part.column(1))
-                at = np.unique(at)
-                key = gram[at].view(np.int64)
-                owner = np.searchsorted(offs, at, "right") - 1
+            for part in tb.slices(batch, 1, SLICE_BYTES):
+                _, _, _, _, owner, at, gram = _anchors(part.column(1))
+                place = tb.runs_of(at)
+                key, owner = gram[at[place]].view(np.int64), owner[place]
                 order = np.lexsort((key, owner))
                 key, owner = key[order], owner[order]
-                edge = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])][:len(key)])
+                edge = tb.runs_of(key, owner)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[edge]), part.column(0).take(pa.array(owner[edge])), pa.array(np.diff(np.append(edge, len(key))))],
                     names=["anchor", "rid", "n"])
@@ -158,20 +161,19 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select("rid", "text").mapInArrow(run, "anchor long, rid long, n long")
 
 
-def _cut(data: np.ndarray, start: np.ndarray, anchor: np.ndarray, seed: np.ndarray, width: int):
+def _cut(rolling, data: np.ndarray, start: np.ndarray, anchor: np.ndarray, seed: np.ndarray, width: int):
     """Regions of string starts: (first start, starts, anchor's distance,
     core's hash, two hashes of the content, whether it's the first of its content)."""
     part = (anchor - start) // width
-    edge = np.flatnonzero(np.r_[True, (start[1:] != start[:-1] + 1) | (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])][:len(start)])
+    edge = tb.runs_of(start - np.arange(len(start)), anchor, part)
     begin, count = start[edge], np.diff(np.append(edge, len(start)))
     away = anchor[edge] - begin
     part = part[edge]
     core = anchor[edge] - part * width  # the last start such a region may have
-    one, two = tb.Rolling(data), tb.Rolling(data, 12)
-    key = tb.mix(one.of(core, core + LENGTH - width + 1) + seed[edge] * tb.U64(3) + part.astype(np.uint64))
-    h1, h2 = (r.of(begin, begin + count + LENGTH - 1) for r in (one, two))
+    key = tb.mix(rolling.of(core, core + LENGTH - width + 1) + seed[edge] * tb.U64(3) + part.astype(np.uint64))
+    h1, h2 = (r.of(begin, begin + count + LENGTH - 1) for r in (rolling, tb.Rolling(data, 12)))
     fresh = np.zeros(len(key), bool)
-    fresh[np.unique(np.stack([key, h1, h2]), axis=1, return_index=True)[1]] = True
+    fresh[np.unique(tb.mix(key + tb.mix(h1 + tb.mix(h2))), return_index=True)[1]] = True
     return begin, count, away, key, h1, h2, fresh
 
 
@@ -197,20 +199,22 @@ def regions(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tb.slices(batch, 1, 4_000_000):
-                data, offs, start, at, gram = _anchors(part.column(1))
-                owner = np.searchsorted(offs, start, "right") - 1
+            for part in tb.slices(batch, 1, SLICE_BYTES):
+                data, offs, rolling, start, owner, at, gram = _anchors(part.column(1))
                 wanted = part.column(2)
                 whose = np.repeat(np.arange(part.num_rows, dtype=np.uint64), np.asarray(pa.compute.list_value_length(wanted)))
                 known = tb.mix(np.asarray(wanted.flatten()).view(np.uint64) + whose * tb.U64(7))
-                places, back = np.unique(at, return_inverse=True)
-                hit = np.isin(tb.mix(gram[places] + (np.searchsorted(offs, places, "right") - 1).astype(np.uint64) * tb.U64(7)), known)[back]
+                place = tb.runs_of(at)
+                hit = np.isin(tb.mix(gram[at[place]] + owner[place].astype(np.uint64) * tb.U64(7)), known)
+                hit = np.repeat(hit, np.diff(np.append(place, len(at))))
                 if hit.any():
-                    cut = _cut(data, start[hit], at[hit], gram[at[hit]], WIDTHS[0])
+                    at = at[hit]
+                    cut = _cut(rolling, data, start[hit], at, gram[at], WIDTHS[0])
                     mine = np.searchsorted(offs, cut[0], "right") - 1
                     yield _region_batch(part.column(0).take(pa.array(mine)), data, offs[mine], cut)
 
-    return docs.select("rid", "text").join(lists, "rid").select("rid", "text", "anchors").mapInArrow(run, _REGION)
+    # lists grow with the input: merged at any size, never broadcast
+    return docs.select("rid", "text").join(lists.hint("merge"), "rid").select("rid", "text", "anchors").mapInArrow(run, _REGION)
 
 
 def _narrower(found: DataFrame, width: int) -> DataFrame:
@@ -225,7 +229,7 @@ def _narrower(found: DataFrame, width: int) -> DataFrame:
                 row = np.repeat(np.arange(part.num_rows), count)
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                 seed = np.asarray(part.column("key")).view(np.uint64)[row]
-                cut = _cut(data, offs[row] + nth, offs[row] + away[row], seed, width)
+                cut = _cut(tb.Rolling(data), data, offs[row] + nth, offs[row] + away[row], seed, width)
                 mine = np.searchsorted(offs, cut[0], "right") - 1
                 base = offs[mine] - np.asarray(part.column("begin"))[mine]
                 yield _region_batch(part.column("rid").take(pa.array(mine)), data, base, cut)
@@ -298,7 +302,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = _named(docs, id_col, text_col)
     found = stage(regions(named), "regions")
     spans = stage(_spans(found, WIDTHS).groupBy("rid").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "byte-spans")
-    joined = named.drop("text", "rank").join(spans, "rid", "left").select(
+    joined = named.drop("text", "rank").join(spans.hint("merge"), "rid", "left").select(
         "row", F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"),
         F.col("spans.begin").alias("begin"), F.col("spans.end").alias("end"))
     schema = (joined.select("row").schema.add("n_bytes", "long").add("n_removed", "long")

@@ -111,6 +111,16 @@ def window_starts(doc: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(doc[:n] == doc[width - 1:width - 1 + n]) if n else np.zeros(0, np.int64)
 
 
+def runs_of(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal neighbouring rows begin."""
+    n = len(columns[0])
+    new = np.zeros(n, dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def run_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the minimum of every run of ``width`` values, compared by
     their upper 32 bits; ties go to the left, so equal runs agree anywhere.
@@ -132,7 +142,7 @@ def run_minima(values: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(behind[:n - width + 1], ahead[width - 1:n]) & low).astype(np.int64)
 
 
-def slices(batch: pa.RecordBatch, text: int, most: int = 8_000_000):
+def slices(batch: pa.RecordBatch, text: int, most: int = 2_000_000):
     """``batch`` in row slices of about ``most`` bytes of its text column, so
     that numpy's work arrays stay bounded (one longer text is a slice alone)."""
     _, offs = buffer(batch.column(text))
