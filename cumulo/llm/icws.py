@@ -189,8 +189,9 @@ def weighted_jaccard(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.nda
 
 def _linked(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """The pairs (``a``, ``b``) whose weighted Jaccard reaches the threshold."""
-    full = (pairs.join(texts.select(F.col("t").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("t").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+    full = (pairs.hint("merge").join(texts.select(F.col("t").alias("a"), F.col("text").alias("ta")), "a")
+            .hint("merge").join(texts.select(F.col("t").alias("b"), F.col("text").alias("tb")), "b")
+            .select("a", "b", "ta", "tb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,10 +261,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     classes = stage(signed.filter("bands is not null").groupBy("t").agg(
         F.min(F.coalesce("id", F.lit(LAST))).alias("id"), F.count("*").alias("n"), F.first("bands").alias("bands")), "text-classes")
     members = _members(classes)
-    # one row of each text to compare: copies differ in the id, so none is hot
+    # one row of each text to compare: copies differ in the id, so none is hot.
+    # What grows with the input is merged at any size, never broadcast
     wanted = stage(members.select("t").distinct().join(classes.select("t", "id"), "t"), "texts-to-compare")
     texts = stage(rows.select("t", F.coalesce("id", F.lit(LAST)).alias("id"), "text")
-                  .join(wanted, ["t", "id"], "left_semi").dropDuplicates(["t", "id"]).select("t", "text"), "texts")
+                  .join(wanted.hint("merge"), ["t", "id"], "left_semi").dropDuplicates(["t", "id"]).select("t", "text"), "texts")
     links = _links(members, texts, idf, threshold)
     root = classes.select("t", "id", "n")
     known = components(links).withColumnRenamed("node", "t")
