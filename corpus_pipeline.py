@@ -15,21 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.llm import bpe, hostrules, icws, mixing, passages
-from cumulo.llm.common import documents, stage
+from cumulo.llm.common import documents, ship_code, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose host passes."""
+    ship_code(spark)
     return hostrules.passing(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least id."""
+    ship_code(spark)
     return icws.deduplicated(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a document with a smaller id has."""
+    ship_code(spark)
     return passages.without_repeats(docs)
 
 
@@ -40,6 +43,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every row of the mix, encoded and decoded."""
+    ship_code(spark)
     done = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import gc
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,26 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, as ``--py-files``
+    would, once per application: the session may have been started from
+    anywhere, and tasks import the package's helpers."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="cumulo-code-")  # read by the driver, which serves it
+    archive = f"{folder}/cumulo.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: cuts lineage,
     survives lost executors, and joins on it start from a plain scan (so AQE

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, passages, quality, suffixes, toxicity, urlfilter
-from cumulo.llm.common import documents
+from cumulo.llm.common import documents, ship_code
 from cumulo.sources.tables import read_table
 
 # --- op1: URL filter --------------------------------------------------------
@@ -238,18 +240,18 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {
-    "op1_urls": op1_urls,
-    "op2_mix": op2_mix,
-    "op3_quality": op3_quality,
-    "op4_passages": op4_passages,
-    "op5_toxicity": op5_toxicity,
-    "op6_bpe": op6_bpe,
-    "op7_host_rules": op7_host_rules,
-    "op8_near_duplicates": op8_near_duplicates,
-    "op9_embeddings": op9_embeddings,
-    "op10_suffixes": op10_suffixes,
-}
+def _registered(query):
+    """The query, with the package's code at hand on the executors."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {f.__name__: _registered(f) for f in (
+    op1_urls, op2_mix, op3_quality, op4_passages, op5_toxicity, op6_bpe, op7_host_rules, op8_near_duplicates,
+    op9_embeddings, op10_suffixes)}
 
 ORACLE = {
     "op1_urls": OP1_SQL,
