@@ -9,7 +9,7 @@ available on parquet tables, so a year column is materialised instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.functions.util import names
@@ -124,13 +124,28 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*cols).write.mode("append").insertInto(table)
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace only the partitions present in ``df`` (rerun-safe load)."""
+def overwrite_partitions(df: DataFrame, table: str, partition: dict | None = None) -> None:
+    """Replace the partitions present in ``df`` (rerun-safe load).
+
+    With ``partition`` (partition column -> value) that one partition is what
+    the load is for: a result without rows clears it, too.
+    """
     spark = df.sparkSession
     cols = spark.table(table).columns
+    seen = Observation()
     # insertInto ignores the writer option; the session setting decides
     with session_conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        df.select(*cols).write.mode("overwrite").insertInto(table)
+        df.select(*cols).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").insertInto(table)
+    if partition and not seen.get["n"]:
+        rest = spark.createDataFrame([], spark.table(table).drop(*partition).schema)
+        view = f"{table.replace('.', '_')}_none"
+        rest.createOrReplaceTempView(view)
+        spec = ", ".join(f"{c} = '{v}'" for c, v in partition.items())
+        try:
+            with session_conf(spark, **{"spark.sql.sources.partitionOverwriteMode": "static"}):
+                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
 
 
 def with_year(df: DataFrame, date_col: str, year_col: str | None = None) -> DataFrame:
@@ -140,10 +155,11 @@ def with_year(df: DataFrame, date_col: str, year_col: str | None = None) -> Data
 
 
 def run_table_job(spark: SparkSession, source: str, transform, target: str,
-                  overwrite: bool = True) -> None:
+                  overwrite: bool = True, partition: dict | None = None) -> None:
     """Table in, table out: ``spark.table(source)`` -> ``transform`` ->
     ``target`` (columns matched by name; overwrite replaces the table's
-    data, or only the written partitions when the table is partitioned)."""
+    data, or only the written partitions when the table is partitioned;
+    ``partition`` as in ``overwrite_partitions``)."""
     partitioned = bool(_partition_columns(spark, target))
     if overwrite and not partitioned and _location(spark, source) == _location(spark, target):
         raise ValueError(f"{target} is read by the job; write to another table (or a partitioned "
@@ -152,7 +168,7 @@ def run_table_job(spark: SparkSession, source: str, transform, target: str,
     if not overwrite:
         append(out, target)
     elif partitioned:
-        overwrite_partitions(out, target)
+        overwrite_partitions(out, target, partition)
     else:
         cols = spark.table(target).columns
         out.select(*cols).write.mode("overwrite").insertInto(target)

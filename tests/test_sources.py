@@ -98,6 +98,24 @@ def test_run_table_job_partitioned_target_replaces_only_its_days(spark):
     assert per_day[dt.date(2024, 1, 11)] == want
 
 
+def test_run_table_job_clears_its_partition_when_empty(spark):
+    from cumulo.operators import cumulative
+    db = f"cumulo_jobs_e_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=work_path(spark, db))
+    read_table(spark, SF_SMALL, "events").select("user_id", "ts").write.saveAsTable(f"{db}.events")
+    target = catalog.create_reference_table(spark, "users_cumulated", f"{db}.users_cumulated")
+    day, other = dt.date(2024, 1, 10), dt.date(2024, 1, 9)
+    for d in (other, day):
+        catalog.run_table_job(spark, f"{db}.events", lambda df, d=d: cumulative.rebuild_dates(df, "user_id", "ts", d),
+                              target, partition={"snapshot_date": d})
+    before = spark.table(target).where(F.col("snapshot_date") == F.lit(other)).count()
+    catalog.run_table_job(spark, f"{db}.events",
+                          lambda df: cumulative.rebuild_dates(df.where("false"), "user_id", "ts", day),
+                          target, partition={"snapshot_date": day})
+    assert spark.table(target).where(F.col("snapshot_date") == F.lit(day)).count() == 0
+    assert spark.table(target).where(F.col("snapshot_date") == F.lit(other)).count() == before > 0
+
+
 def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
     from cumulo.sources.session import checkpoint_root
 
