@@ -2,15 +2,15 @@
 
 1. Confirm recurring passages.  Every window of ``WINDOW`` words has an anchor,
    its shingle of least hash, which equal windows share.  Anchors that only
-   one document has rule their windows out; the remaining windows, merged to
-   runs, are compared by fingerprint, which gives the first document of each
-   recurring window.
-2. Compile sharded automata.  Documents fall into blocks of bounded size.
+   one text has rule their windows out; the remaining windows, merged to runs,
+   are compared by fingerprint, which gives the first document of each
+   recurring window.  Equal texts are one, with their smallest document.
+2. Compile sharded automata.  Runs fall into blocks of bounded size.
    The recurring windows of a block, merged to passages of their first
    documents, are cut into phrases of seven words, one at every seventh word,
    so that any window of a passage has a whole phrase; pyahocorasick compiles
    one automaton per block over word numbers.
-3. Stream the documents of the block through its automaton.  Each occurrence
+3. Stream the documents' runs of a block through its automaton.  Each occurrence
    of a phrase is extended word by word as far as passage and document agree;
    agreements of a whole window or more are located copies.
 
@@ -35,7 +35,7 @@ from cumulo.llm.common import stage
 
 WINDOW, ANCHOR, PHRASE = 13, 5, 7
 #: Words of candidate runs per block (one automaton each).
-BLOCK_WORDS = 300_000
+BLOCK_WORDS = 100_000
 LAST = 2**63 - 1
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
@@ -54,55 +54,57 @@ def anchors(texts: pa.Array):
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """(``anchor``, ``rid``, ``rank``) once per document and anchor."""
+    """(``anchor``, ``tid``) once per text and anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tb.slices(batch, 2):
-                _, _, (_, _, doc), _, at, shingle = anchors(part.column(2))
-                at = np.unique(at)
+            for part in tb.slices(batch, 1):
+                _, _, (_, _, doc), _, at, shingle = anchors(part.column(1))
+                at = at[tb.runs_of(at)]  # anchors don't go back
                 owner, key = doc[at], shingle[at]
                 order = np.lexsort((key, owner))
                 owner, key = owner[order], key[order]
-                new = np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])][:len(owner)]
-                owner, key = pa.array(owner[new]), key[new].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), part.column(0).take(owner), part.column(1).take(owner)],
-                                                 names=["anchor", "rid", "rank"])
+                new = tb.runs_of(owner, key)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[new].view(np.int64)), part.column(0).take(pa.array(owner[new]))], names=["anchor", "tid"])
 
-    return docs.select("rid", "rank", "text").mapInArrow(run, "anchor long, rid long, rank long")
+    return docs.select("tid", "text").mapInArrow(run, "anchor long, tid long")
 
 
-def candidate_runs(docs: DataFrame) -> DataFrame:
-    """(``rid``, ``rank``, ``start``, ``n``, ``run``): maximal runs of windows
-    whose anchors occur in two documents; ``start`` counts words."""
+def candidate_runs(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(``tid``, ``key``, ``rank``, ``start``, ``n``, ``run``): maximal runs of
+    windows whose anchors occur in two texts, from the first document of each
+    text; ``start`` counts words."""
     rows = anchor_rows(docs)
-    recurring = stage(rows.groupBy("anchor").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+    recurring = stage(rows.groupBy("anchor").agg(F.min("tid").alias("low"), F.max("tid").alias("high"))
                       .filter("low < high").select("anchor"), "recurring-anchors")
-    per_document = stage(rows.select("rid", "anchor").join(recurring, "anchor")
-                         .groupBy("rid").agg(F.collect_list("anchor").alias("anchors")), "document-anchors")
+    per_text = stage(rows.join(recurring.hint("merge"), "anchor")
+                     .groupBy("tid").agg(F.collect_set("anchor").alias("anchors")), "text-anchors")
+    wanted = stage(firsts.join(per_text, "tid"), "texts-with-anchors").withColumnRenamed("first", "rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tb.slices(batch, 2):
-                data, _, (s, e, doc), start, at, shingle = anchors(part.column(2))
-                lists = part.column(3)
+            for part in tb.slices(batch, 3):
+                data, _, (s, e, doc), start, at, shingle = anchors(part.column(3))
+                lists = part.column(4)
                 owner = np.repeat(np.arange(part.num_rows, dtype=np.uint64), np.asarray(pa.compute.list_value_length(lists)))
                 known = tb.mix(np.asarray(lists.flatten()).view(np.uint64) + owner)
-                hit = np.isin(tb.mix(shingle[at] + doc[start].astype(np.uint64)), known)
-                start = start[hit]
-                first = np.flatnonzero(np.r_[True, (start[1:] != start[:-1] + 1) | (doc[start[1:]] != doc[start[:-1]])][:len(start)])
+                start = start[np.isin(tb.mix(shingle[at] + doc[start].astype(np.uint64)), known)]
+                first = tb.runs_of(start - np.arange(len(start)), doc[start])
                 begin = start[first]
                 end = start[np.append(first[1:], len(start)) - 1] + WINDOW - 1 if len(first) else begin
-                rows_of = np.searchsorted(doc, doc[begin])  # the document's first word
                 owner = pa.array(doc[begin])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(owner), part.column(1).take(owner), pa.array((begin - rows_of).astype(np.int32)),
+                    [*[part.column(i).take(owner) for i in range(3)],
+                     pa.array((begin - np.searchsorted(doc, doc[begin])).astype(np.int32)),  # from the text's first word
                      pa.array((end - begin + 1).astype(np.int32)),
                      pa.array([bytes(data[a:b]).decode() for a, b in zip(s[begin], e[end])], pa.string())],
-                    names=["rid", "rank", "start", "n", "run"])
+                    names=["tid", "key", "rank", "start", "n", "run"])
 
-    return docs.join(per_document, "rid").select("rid", "rank", "text", "anchors").mapInArrow(
-        run, "rid long, rank long, start int, n int, run string")
+    # a text's first document may be a repeated row: one of them
+    return (docs.join(wanted.hint("merge"), ["tid", "key", "rank"]).dropDuplicates(["tid", "key"])
+            .select("tid", "key", "rank", "text", "anchors")
+            .mapInArrow(run, "tid long, key string, rank long, start int, n int, run string"))
 
 
 def window_rows(runs: DataFrame, blocks: int) -> DataFrame:
@@ -110,41 +112,42 @@ def window_rows(runs: DataFrame, blocks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tb.slices(batch, 3, 4_000_000):
-                data, offs = tb.buffer(part.column(3))
+            for part in tb.slices(batch, 2):
+                data, offs = tb.buffer(part.column(2))
                 s, e, doc = tb.words(data, offs)
                 at = tb.window_starts(doc, WINDOW)
                 w1 = tb.window_hash(tb.Rolling(data).of(s, e), WINDOW)[at].view(np.int64)
                 w2 = tb.window_hash(tb.Rolling(data, 12).of(s, e), WINDOW)[at].view(np.int64) >> 32
                 owner = pa.array(doc[at])
-                rid = part.column(0).take(owner)
+                number = part.column(1).take(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w1), pa.array(w2.astype(np.int32)), part.column(1).take(owner), rid, part.column(2).take(owner),
+                    [pa.array(w1), pa.array(w2.astype(np.int32)), part.column(0).take(owner), number,
                      pa.array((at - np.searchsorted(doc, doc[at])).astype(np.int32)),
-                     pa.array((np.asarray(rid) % blocks).astype(np.int32))],
-                    names=["w1", "w2", "rank", "rid", "start", "pos", "block"])
+                     pa.array((np.asarray(number) % blocks).astype(np.int32))],
+                    names=["w1", "w2", "rank", "number", "pos", "block"])
 
-    return runs.select("rid", "rank", "start", "run").mapInArrow(
-        run, "w1 long, w2 int, rank long, rid long, start int, pos int, block int")
+    return runs.select("rank", "number", "run").mapInArrow(
+        run, "w1 long, w2 int, rank long, number long, pos int, block int")
 
 
 def block_passages(runs: DataFrame, blocks: int) -> DataFrame:
-    """(``block``, ``first_rank``, ``first_run``, ``at``): for every block the runs of
-    first documents it needs, and the recurring windows' places in them."""
+    """(``block``, ``first_rank``, ``first_run``, ``at``): for every block the
+    runs of first documents it needs, and the recurring windows' places in
+    them."""
     places = (window_rows(runs, blocks).groupBy("w1", "w2")
-              .agg(F.min(F.struct("rank", "rid", "start", "pos")).alias("first"), F.max("rank").alias("last"),
+              .agg(F.min(F.struct("rank", "number", "pos")).alias("first"), F.max("rank").alias("last"),
                    F.collect_set("block").alias("blocks"))  # at most one entry per block
-              .filter("first.rank < last").select("first.*", F.explode("blocks").alias("block"))
-              .groupBy("rid", "rank", "start", "block").agg(F.collect_list("pos").alias("at")))
-    return stage(places, "passages").join(
-        runs.select("rid", "rank", "start", "run"), ["rid", "rank", "start"]).select("block", F.col("rank").alias("first_rank"), F.col("run").alias("first_run"), "at")
+              .filter("first.rank < last").select("first.number", "first.pos", F.explode("blocks").alias("block"))
+              .groupBy("number", "block").agg(F.collect_list("pos").alias("at")))
+    return stage(places, "passages").hint("merge").join(runs.select("number", "rank", "run"), "number").select(
+        "block", F.col("rank").alias("first_rank"), F.col("run").alias("first_run"), "at")
 
 
 def _phrases(passages: pa.Table):
     """Automaton over word numbers; word numbers; passages as (rank, numbers)."""
     number: dict[str, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    kept: list[tuple[int, np.ndarray]] = []
+    kept: list[tuple[int, list[int]]] = []
     entries: dict[tuple[int, ...], list[tuple[int, int]]] = {}
     for rank, text, at in zip(*(passages.column(c).to_pylist() for c in ("first_rank", "first_run", "at"))):
         words = _WORDS(text)
@@ -155,7 +158,7 @@ def _phrases(passages: pa.Table):
                 ids = [number.setdefault(w, len(number) + 1) for w in words[begin:here + WINDOW]]
                 for o in range(0, len(ids) - PHRASE + 1, PHRASE):
                     entries.setdefault(tuple(ids[o:o + PHRASE]), []).append((len(kept), o))
-                kept.append((rank, np.array(ids, np.int64)))
+                kept.append((rank, ids))
                 begin = after
     for phrase, where in entries.items():
         automaton.add_word(phrase, where)
@@ -165,15 +168,14 @@ def _phrases(passages: pa.Table):
 
 
 def locate(block_runs: pa.Table, passages: pa.Table) -> pa.Table:
-    """Word spans (``rid``, ``rank``, ``begin``, ``end``) of the block's runs
-    that a document of smaller rank has too."""
+    """Word spans (``number``, ``begin``, ``end``) of the block's runs that a
+    document of smaller rank has too."""
     automaton, number, kept = _phrases(passages)
-    out: list[tuple[int, int, int, int]] = []
-    for rid, rank, start, text in zip(*(block_runs.column(c).to_pylist() for c in ("rid", "rank", "start", "run"))):
+    out: list[tuple[int, int, int]] = []
+    for which, rank, text in zip(*(block_runs.column(c).to_pylist() for c in ("number", "rank", "run"))):
         if automaton is None:
             break
         ids = tuple([number.get(w, 0) for w in _WORDS(text)])
-        line = np.array(ids, np.int64)
         reach: dict[tuple[int, int], int] = {}  # (passage, shift) -> compared up to
         for end, where in automaton.iter(ids):
             for passage, offset in where:
@@ -183,56 +185,64 @@ def locate(block_runs: pa.Table, passages: pa.Table) -> pa.Table:
                 shift = end - PHRASE + 1 - offset
                 if reach.get((passage, shift), -1) >= end:
                     continue
-                low, high = max(0, shift), min(len(line), shift + len(words))
-                differ = np.flatnonzero(line[low:high] != words[low - shift:high - shift]) + low
-                cut = int(np.searchsorted(differ, end))
-                begin = int(differ[cut - 1]) + 1 if cut else low
-                stop = int(differ[cut]) if cut < len(differ) else high
+                low, high = max(0, shift), min(len(ids), shift + len(words))
+                begin, stop = end - PHRASE + 1, end + 1
+                while begin > low and ids[begin - 1] == words[begin - 1 - shift]:
+                    begin -= 1
+                while stop < high and ids[stop] == words[stop - shift]:
+                    stop += 1
                 reach[passage, shift] = stop - 1
                 if stop - begin >= WINDOW:
-                    out.append((rid, rank, start + begin, start + stop))
-    columns = list(zip(*out)) if out else [(), (), (), ()]
-    return pa.table({"rid": pa.array(columns[0], pa.int64()), "rank": pa.array(columns[1], pa.int64()),
-                     "begin": pa.array(columns[2], pa.int32()), "end": pa.array(columns[3], pa.int32())})
+                    out.append((which, begin, stop))
+    columns = list(zip(*out)) if out else [(), (), ()]
+    return pa.table({"number": pa.array(columns[0], pa.int64()), "begin": pa.array(columns[1], pa.int32()),
+                     "end": pa.array(columns[2], pa.int32())})
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents with an order (null ids last) and a row key; rows that agree
-    in id and text share both, and their results."""
+    """Documents with an order (null ids last), a short and a full text key."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), rank.alias("rank"),
-                       F.xxhash64(rank, text).alias("rid"), text.alias("text"))
+    return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), text.alias("text"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("rank"),
+                       F.xxhash64(text).alias("tid"), F.md5(text).alias("key"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``rid``, ``rank``, ``spans``): per document the word ranges of windows
-    that start in a document of smaller id too."""
-    named = _named(docs, id_col, text_col).select("rid", "rank", "text")
-    runs = stage(candidate_runs(named).dropDuplicates(["rid", "rank", "start"]), "candidate-runs")
+    """(``tid``, ``key``, ``first``, ``spans``) per text: its smallest document
+    id, and the word ranges of windows that start in a smaller one too (null:
+    none).  All words of a text's other documents are in such windows, if it
+    has a window at all."""
+    named = _named(docs, id_col, text_col)
+    firsts = stage(named.groupBy("tid", "key").agg(F.min("rank").alias("first")), "first-documents")
+    runs = stage(candidate_runs(named.select("tid", "key", "rank", "text"), firsts)
+                 .withColumn("number", F.monotonically_increasing_id()), "candidate-runs")
     total = runs.agg(F.sum("n")).first()[0] or 0
     blocks = int(total // BLOCK_WORDS) + 1
-    passages = block_passages(runs, blocks)
-    keyed = runs.select(F.pmod("rid", F.lit(blocks)).cast("int").alias("block"), "rid", "rank", "start", "run")
-    found = keyed.groupBy("block").cogroup(passages.groupBy("block")).applyInArrow(
-        locate, "rid long, rank long, begin int, end int")
-    return stage(found.groupBy("rid", "rank").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "spans")
+    keyed = runs.select(F.pmod("number", F.lit(blocks)).cast("int").alias("block"), "number", "rank", "run")
+    found = stage(keyed.groupBy("block").cogroup(block_passages(runs, blocks).groupBy("block")).applyInArrow(
+        locate, "number long, begin int, end int").distinct(), "spans")
+    spans = (found.join(runs.select("number", "tid", "key", "start"), "number")
+             .groupBy("tid", "key").agg(F.collect_set(F.struct(
+                 (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("end")).alias("end"))).alias("spans")))
+    return stage(firsts.join(spans, ["tid", "key"], "left"), "text-spans")
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(``row``, ``n_words``, ``n_removed``, ``kept_text``)."""
     spans = repeated_spans(docs, id_col, text_col)
-    joined = (_named(docs, id_col, text_col).drop("text").join(spans, ["rid", "rank"], "left")
-              .select("row", F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"),
-                      F.col("spans.begin").alias("begin"), F.col("spans.end").alias("end")))
+    joined = (_named(docs, id_col, text_col).drop("text").join(spans.hint("merge"), ["tid", "key"])
+              .select("row", F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"), F.col("spans.begin").alias("begin"),
+                      F.col("spans.end").alias("end"), (F.col("rank") > F.col("first")).alias("copy")))
     schema = joined.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, removed, kept = [], [], []
-            for text, begin, end in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for text, begin, end, copy in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
                 found = _WORDS(text)
                 words.append(len(found))
+                if copy and len(found) >= WINDOW:
+                    begin, end = [0], [len(found)]
                 for b, e in zip(begin or (), end or ()):
                     found[b:e] = [None] * (e - b)
                 found = [w for w in found if w is not None]
