@@ -41,9 +41,9 @@ def test_awkward_rows_and_missing_labels(spark, module):
     assert len(got) == docs.count() and all(0 <= r["score"] <= 1 for r in got)
     again = {(r["doc_id"], round(r["score"], 9)) for r in module.score(docs, some).collect()}
     assert again == {(r["doc_id"], round(r["score"], 9)) for r in got}  # reruns agree
-    assert len({r["score"] for r in got if r["doc_id"] in (10, 11, 12)}) == 1  # no words: one score
+    assert len({round(r["score"], 9) for r in got if r["doc_id"] in (10, 11, 12)}) == 1  # no words: one score
     none = module.score(docs, some.limit(0)).collect()
-    assert len({r["score"] for r in none}) == 1
+    assert len({round(r["score"], 9) for r in none}) == 1
     assert module.score(frame(spark, []), some).count() == 0
 
 
