@@ -9,8 +9,6 @@ joined back to the documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -75,21 +73,17 @@ def count_batch(texts: pa.Array) -> dict[str, np.ndarray]:
 
 
 def document_counts(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns of ``docs`` plus the COUNTS (longs) of its whole texts."""
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = rows.drop("_text").schema
-    for c in COUNTS:
-        schema = schema.add(c, "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in tb.slices(batch, len(keep)):
-                counts = count_batch(part.column(len(keep)))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *[pa.array(counts[c]) for c in COUNTS]],
-                    names=[*part.schema.names[:-1], *COUNTS])
-
-    return rows.mapInArrow(run, schema)
+    """``keep`` columns of ``docs`` plus the COUNTS (longs) of its whole texts.
+    Only the texts go to Python, and only the counts come back."""
+
+    @F.arrow_udf(", ".join(f"{c} long" for c in COUNTS))
+    def counts(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = [count_batch(part.column(0)) for part in tb.slices(batch, 0)] or [count_batch(texts)]
+        return pa.StructArray.from_arrays(
+            [pa.array(np.concatenate([p[c] for p in parts])) for c in COUNTS], names=list(COUNTS))
+
+    return docs.select(*keep, counts(F.col(text_col)).alias("_counts")).select(*keep, "_counts.*")
 
 
 def base_failed(min_words: int = 50, max_repeat_pct: int = 50) -> Column:
