@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import struct
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -29,8 +30,10 @@ from tokenizers import normalizers, pre_tokenizers
 
 from cumulo.llm import textbuf as tb
 
-#: Words remembered by one worker before it starts anew (memory bound).
-MEMORY_WORDS = 300_000
+_LITTLE = sys.byteorder == "little"
+
+#: Words a task remembers before it starts anew (memory bound).
+MEMORY_WORDS = 600_000
 
 
 def _byte_chars() -> list[str]:
@@ -65,7 +68,8 @@ class Bpe:
         chars = _byte_chars()
         self.inner = [self.vocab[c] for c in chars]
         self.last = [self.vocab[c + self.end] for c in chars]
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.strings = [self.token.get(i, "") for i in range(max(self.token) + 1)]
+        self.known: dict[str | int, bytes] = {}
 
     def merge(self, words: list[str]) -> list[list[int]]:
         """Token ids of each word, by one pair occurrence index over all words."""
@@ -120,11 +124,12 @@ class Bpe:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         for w, ids in zip(new, self.merge(new)):
-            self.known[w] = np.array(ids, "<u4").tobytes(), self.decode(ids)
+            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def decode(self, ids) -> str:
         """The tokens' strings joined by one space (the file names no decoder)."""
-        return " ".join(self.token[i] for i in ids)
+        strings = self.strings
+        return " ".join([strings[i] for i in ids])
 
     def split(self, text: str) -> list[str | int]:
         """Words and ids of special tokens of a text, in order."""
@@ -169,10 +174,10 @@ class Bpe:
         split = [self.split(t) for t in texts]
         self.learn({w for pieces in split for w in pieces if isinstance(w, str)})
         known = self.known
-        for token, i in self.special.items():
-            known[i] = np.array([i], "<u4").tobytes(), token
-        found = [[known[w] for w in pieces] for pieces in split]
-        return [(b"".join([f[0] for f in fs]), " ".join([f[1] for f in fs])) for fs in found]
+        for i in self.special.values():
+            known[i] = struct.pack("<I", i)
+        packed = [b"".join([known[w] for w in pieces]) for pieces in split]
+        return [(p, self.decode(memoryview(p).cast("I") if _LITTLE else np.frombuffer(p, "<u4"))) for p in packed]
 
 
 @functools.lru_cache(maxsize=2)
@@ -184,7 +189,7 @@ def load(path: str) -> Bpe:
 _BEYOND = regex.compile("[^\\x00-\u0557]")
 
 #: The pair index covers the new words of texts of about so many bytes at once.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def encode(docs: DataFrame, path: str, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -208,5 +213,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], text_col: str = "text")
                     [*part.columns[:-1], pa.array([len(i) // 4 for i, _ in done], pa.int64()),
                      pa.array([i for i, _ in done], pa.binary()), pa.array([d for _, d in done], pa.string())],
                     names=[*part.schema.names[:-1], "n_tokens", "ids", "decoded"])
+        bpe.known.clear()  # workers live on: the next task may be another stage's
+        tb.release()
 
     return rows.mapInArrow(run, schema)

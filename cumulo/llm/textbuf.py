@@ -10,6 +10,8 @@ here works on one Arrow batch inside a task.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -142,6 +144,16 @@ def run_minima(values: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(behind[:n - width + 1], ahead[width - 1:n]) & low).astype(np.int64)
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task: Python
+    workers are reused by later stages, and their heaps add up."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, text: int, most: int = 2_000_000):
     """``batch`` in row slices of about ``most`` bytes of its text column, so
     that numpy's work arrays stay bounded (one longer text is a slice alone)."""
