@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from cumulo.queries import QUERIES  # noqa: E402
 from cumulo.plans.inspect import physical_plan, session_conf  # noqa: E402
 from cumulo.sources.session import local_session  # noqa: E402
 
@@ -66,7 +66,7 @@ def main():
     print("| query | writes | shuffles | broadcasts | bucketed scans | pushed filters | operators |")
     print("|---|---|---|---|---|---|---|")
     with session_conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        for name, fn in E.queries().items():
+        for name, fn in QUERIES.items():
             plans = recorded(lambda: fn(spark, sf_dir))
             plan = "\n".join(plans)
             shuffles = sum(1 for ln in plan.splitlines() if re.search(r"(?<!Reused)\bExchange\b", ln) and "Broadcast" not in ln)
