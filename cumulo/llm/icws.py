@@ -165,6 +165,7 @@ def signatures(docs: DataFrame, keep: list[str], idf, text_col: str = "text") ->
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(flat),
                                                  mask=pa.array(sizes[1:] == 0))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*part.schema.names[:-1], "bands"])
+        tb.release()
 
     return rows.mapInArrow(run, schema)
 
@@ -198,6 +199,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFr
             for part in tb.slices(batch, 2, 4_000_000):
                 near = weighted_jaccard(part.column(2), part.column(3), idf.value) >= threshold
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in part.columns[:2]], names=["a", "b"])
+        tb.release()
 
     return full.mapInArrow(run, "a string, b string")
 

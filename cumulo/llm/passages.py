@@ -67,6 +67,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 new = tb.runs_of(owner, key)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[new].view(np.int64)), part.column(0).take(pa.array(owner[new]))], names=["anchor", "tid"])
+        tb.release()
 
     return docs.select("tid", "text").mapInArrow(run, "anchor long, tid long")
 
@@ -100,6 +101,7 @@ def candidate_runs(docs: DataFrame, firsts: DataFrame) -> DataFrame:
                      pa.array((end - begin + 1).astype(np.int32)),
                      pa.array([bytes(data[a:b]).decode() for a, b in zip(s[begin], e[end])], pa.string())],
                     names=["tid", "key", "rank", "start", "n", "run"])
+        tb.release()
 
     # a text's first document may be a repeated row: one of them
     return (docs.join(wanted.hint("merge"), ["tid", "key", "rank"]).dropDuplicates(["tid", "key"])
@@ -125,6 +127,7 @@ def window_rows(runs: DataFrame, blocks: int) -> DataFrame:
                      pa.array((at - np.searchsorted(doc, doc[at])).astype(np.int32)),
                      pa.array((np.asarray(number) % blocks).astype(np.int32))],
                     names=["w1", "w2", "rank", "number", "pos", "block"])
+        tb.release()
 
     return runs.select("rank", "number", "run").mapInArrow(
         run, "w1 long, w2 int, rank long, number long, pos int, block int")
@@ -195,6 +198,8 @@ def locate(block_runs: pa.Table, passages: pa.Table) -> pa.Table:
                 if stop - begin >= WINDOW:
                     out.append((which, begin, stop))
     columns = list(zip(*out)) if out else [(), (), ()]
+    del automaton, number, kept
+    tb.release()
     return pa.table({"number": pa.array(columns[0], pa.int64()), "begin": pa.array(columns[1], pa.int32()),
                      "end": pa.array(columns[2], pa.int32())})
 
@@ -251,6 +256,7 @@ def _removed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                 names=["row", "n_words", "n_removed", "kept_text"])
+        tb.release()
 
     return joined.mapInArrow(run, schema)
 

@@ -180,6 +180,7 @@ def features(docs: DataFrame, keep: list[str], vectors: np.ndarray, text_col: st
                     pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists],
                                                  names=[*part.schema.names[:-1], "features"])
+        tb.release()
 
     return rows.mapInArrow(run, schema)
 
