@@ -49,21 +49,22 @@ _SPANS = ArrayType(StructType().add("begin", IntegerType()).add("end", IntegerTy
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Suffixes in order, by prefix doubling; symbols are non-negative."""
     n = len(symbols)
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank = rank.astype(np.int64)
+    span = int(symbols.max()) + 2 if n else 2
     step = 1
+    key = symbols + 1
+    while span ** (step + 1) < 2**62:  # as many symbols as fit into one number
+        key = key * span
+        key[:max(0, n - step)] += symbols[step:] + 1
+        step += 1
     while True:
-        second = np.zeros(n, np.int64)
-        second[:n - step] = rank[step:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
-        new = np.zeros(n, np.int64)
-        new[1:] = np.cumsum(key[1:] != key[:-1])
         rank = np.empty(n, np.int64)
-        rank[order] = new
-        if n == 0 or new[-1] == n - 1:
+        rank[order] = np.cumsum(np.r_[False, key[1:] != key[:-1]][:n])
+        if n == 0 or rank[order[-1]] == n - 1:
             return order
+        key = rank * (n + 1)
+        key[:max(0, n - step)] += rank[step:] + 1
         step *= 2
 
 
@@ -75,34 +76,41 @@ def shared_prefixes(symbols: np.ndarray, order: np.ndarray, length: int) -> np.n
     extended backwards by one symbol a round, all of a length at once.
     """
     n = len(symbols)
+    span = int(symbols.max()) + 1 if n else 1
     transform = symbols[order - 1]  # the symbol before each suffix, cyclic
-    back = np.argsort(transform, kind="stable")
+    small = np.uint16 if span <= 1 << 16 else np.int64  # sorted by radix if it can be
+    back = np.argsort(transform.astype(small), kind="stable")
     step = np.empty(n, np.int64)  # where the suffix one symbol longer stands
     step[back] = np.arange(n)
     unmet = np.ones(n + 1, bool)
     unmet[[0, n]] = False
     begin, end = np.array([0]), np.array([n])
-    span = int(symbols.max()) + 1 if n else 1
     for _ in range(length):
         if not len(begin):
             break
         single = end - begin == 1
         low = step[begin[single]]
+        low = low[unmet[low + 1]]
         found = [(low, low + 1)]
         begin, end = begin[~single], end[~single]
         if len(begin):  # per interval and preceding symbol: first and last place
             sizes = end - begin
             owner = np.repeat(np.arange(len(begin)), sizes)
-            place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin, sizes)
+            place = np.arange(len(owner)) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
             key = owner * span + transform[place]
-            by = np.argsort(key, kind="stable")
-            key, place = key[by], place[by]
+            if len(begin) * span * n < 2**62:  # sort symbol and place as one number
+                key = np.sort(key * n + place)
+                place = key % n
+                key //= n
+            else:
+                by = np.argsort(key, kind="stable")
+                key, place = key[by], place[by]
             edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            found.append((step[place[edge]], step[place[np.append(edge[1:], len(key)) - 1]] + 1))
+            last = step[place[np.append(edge[1:], len(key)) - 1]] + 1
+            new = unmet[last]
+            found.append((step[place[edge[new]]], last[new]))
         begin = np.concatenate([f[0] for f in found])
         end = np.concatenate([f[1] for f in found])
-        new = unmet[end]
-        begin, end = begin[new], end[new]
         unmet[end] = False
     return unmet
 
@@ -157,6 +165,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[edge]), part.column(0).take(pa.array(owner[edge])), pa.array(np.diff(np.append(edge, len(key))))],
                     names=["anchor", "rid", "n"])
+        tb.release()
 
     return docs.select("rid", "text").mapInArrow(run, "anchor long, rid long, n long")
 
@@ -212,6 +221,7 @@ def regions(docs: DataFrame) -> DataFrame:
                     cut = _cut(rolling, data, start[hit], at, gram[at], WIDTHS[0])
                     mine = np.searchsorted(offs, cut[0], "right") - 1
                     yield _region_batch(part.column(0).take(pa.array(mine)), data, offs[mine], cut)
+        tb.release()
 
     # lists grow with the input: merged at any size, never broadcast
     return docs.select("rid", "text").join(lists.hint("merge"), "rid").select("rid", "text", "anchors").mapInArrow(run, _REGION)
@@ -251,6 +261,8 @@ def _sorted_out(shard: pa.Table) -> pa.Table:
         low += flips[::2].tolist()
         high += flips[1::2].tolist()
     at = pa.array(rows, pa.int64())
+    del marks
+    tb.release()
     return pa.table({**{c: shard.column(c).take(at) for c in ("key", "h1", "h2")},
                      "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32())})
 
@@ -328,6 +340,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, ranges), pa.array(kept, pa.binary())],
                 names=["row", "n_bytes", "n_removed", "spans", "kept"])
+        tb.release()
 
     new = ("n_bytes", "n_removed", "spans", "kept")
     return joined.mapInArrow(run, schema).select(
