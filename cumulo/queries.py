@@ -651,7 +651,7 @@ def q_bucket_join(spark, sf_dir):
          .agg(F.count(F.lit(1)).alias("num_player_rows"), F.sum("player_total_kills").alias("total_kills")))
     md = (m["mmp"].groupBy("match_id")
           .agg(F.count(F.lit(1)).alias("num_medal_rows"), F.sum("count").alias("total_medals")))
-    n = buckets_for(m["matches"])
+    n = buckets_for(_t(spark, sf_dir, "orders"))
     tables = [layout.write_bucketed(t, n, "match_id") for t in (m["matches"], d, md)]
     path = work_path(spark, "bucket_join")
     try:

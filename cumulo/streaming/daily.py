@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.functions.util import names, to_pydate
-from cumulo.plans.inspect import estimated_bytes, session_conf
+from cumulo.plans.inspect import estimated_bytes, has_join, session_conf
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -112,11 +112,13 @@ class PathStore:
 def buckets_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Buckets for a table that begins as ``df``: about ``target_bytes`` each
     by Catalyst's estimate, and at least the session's shuffle partitions, so
-    that a load uses the cluster (Spark's own limit of buckets is the most)."""
+    that a load uses the cluster (Spark's own limit of buckets is the most).
+    Estimates of joins are products; they don't count: give a base table."""
     conf = df.sparkSession.conf
     least = int(conf.get("spark.sql.shuffle.partitions"))
     most = int(conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return min(most, max(least, -(-estimated_bytes(df) // target_bytes)))
+    size = 0 if has_join(df) else estimated_bytes(df)
+    return min(most, max(least, -(-size // target_bytes)))
 
 
 class BucketedStore(PathStore):
