@@ -12,18 +12,20 @@ bucket.  Its members are compared with a leader first; then components of the
 links found so far are joined, and only buckets that still hold several
 components go on, members being compared with leaders of other components:
 four of them, at last all, which is for buckets of at most ``SMALL`` members.
-Larger buckets are split by every second band their members have instead,
-which texts at the threshold share too (probability 0.99), and the parts are
-treated the same way.
+Larger buckets are split by every second band their members have, and the
+parts are compared with a leader too; texts of large buckets that still hold
+several components then meet by their rarest shingles, which is exact: see
+``_rarest``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -38,8 +40,11 @@ DF_BUCKETS = 1 << 18
 LAST = 2**63 - 1
 KEY_BITS = tb.U64(44)
 KEY_MASK = tb.U64((1 << 44) - 1)
-#: Members up to which a band bucket is compared to the end; see ``_members``.
+#: Members up to which a band bucket is compared to the end; see ``_links``.
 SMALL = 32
+#: Total weights of one class differ by this factor at most, and slack for
+#: sums of weights in another order; see ``_rarest``.
+CLASS, SLACK = 1.02, 1e-6
 
 
 def _shingle_codes(texts: pa.Array) -> np.ndarray:
@@ -219,6 +224,61 @@ def _members(classes: DataFrame) -> DataFrame:
     return single.unionByName(shared(pairs, "band-pair-members"))
 
 
+def _rarest(texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """(``band``, ``t``, ``rest``, ``total``): buckets of texts by their rarest
+    shingles, such that any two texts that link share one.
+
+    All shingles are ordered by how many of ``texts`` have them; ``rest`` is
+    the weight of a text's shingles from the one of the bucket on, ``total``
+    that of all.  Linked texts share at least
+    threshold / (1 + threshold) x (the sum of their totals), all of it from
+    their first common shingle on, so both have that much left there.  A
+    text's partner weighs between threshold and 1 / threshold times as much;
+    a bucket is for two classes of totals, which bounds the sum from below.
+    What many texts share comes last and is hardly ever in a bucket.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tb.slices(batch, 1, 1_000_000):
+                doc, key, tf = shingles(part.column(1))
+                weight = _weights(key, tf, idf.value).astype(np.float64)
+                total = np.bincount(doc, weight, minlength=part.num_rows)[doc]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(doc)), pa.array(key.view(np.int64)), pa.array(weight), pa.array(total)],
+                    names=["t", "shingle", "weight", "total"])
+        tb.release()
+
+    rows = stage(texts.select("t", "text").mapInArrow(run, "t string, shingle long, weight double, total double"), "open-shingles")
+    often = stage(rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"), "shared-shingles")
+    back = Window.partitionBy("t").orderBy(F.desc("n"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = (rows.hint("merge").join(often, "shingle").withColumn("rest", F.sum("weight").over(back))
+              .filter(F.col("rest") >= F.col("total") * (threshold * (1 - SLACK))))
+
+    def class_of(total):
+        return F.floor(F.log(total) / math.log(CLASS))
+
+    low, total = threshold * (1 - SLACK), F.col("total")
+    least = F.greatest(F.pow(F.lit(CLASS), F.col("other")), total * threshold)
+    return (placed.withColumn("own", class_of(total))
+            .withColumn("other", F.explode(F.sequence(class_of(total * low), class_of(total / low))))
+            .filter(_enough(F.col("rest"), total + least, threshold))
+            .select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("band"), "t", "rest", "total"))
+
+
+def _enough(rest, totals, threshold: float):
+    return rest >= totals * (threshold / (1 + threshold) * (1 - SLACK))
+
+
+def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` (``band``, ``t``, ...) of buckets that hold several components of
+    ``links``, with the ``root`` of ``t``."""
+    root = stage(components(links), "near-roots")
+    known = rows.join(root.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
+    bands = known.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    return stage(known.join(bands.select("band"), "band"), "open-buckets")
+
+
 def _links(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """Pairs of texts (``a``, ``b``) that link, enough to hold every component together."""
 
@@ -226,21 +286,29 @@ def _links(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataF
         pairs = candidates.select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct()
         return stage(_linked(stage(pairs, "pairs"), texts, idf, threshold), "near-links")
 
+    def compared(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """``links`` and those of the buckets' members (``band``, ``t``, ``rest``,
+        ``total``) with leaders, then with all members of other components."""
+        for leaders in (4, None):
+            rows = _open(rows, links)
+            led = rows.select("band", *[F.col(c).alias(f"leader_{c}") for c in ("root", "rest", "total")], F.col("t").alias("leader"))
+            if leaders:
+                led = led.groupBy("band", F.pmod(F.xxhash64("leader"), F.lit(leaders)).alias("part")).agg(
+                    F.min(F.struct("leader", "leader_root", "leader_rest", "leader_total")).alias("x")).select("band", "x.*")
+            near = rows.join(stage(led, "leaders"), "band").filter("root <> leader_root").filter(
+                _enough(F.least("rest", "leader_rest"), F.col("total") + F.col("leader_total"), threshold))
+            links = links.unionByName(check(near))
+            rows = rows.drop("root")
+        return links
+
     first = stage(members.groupBy("band").agg(F.min("t").alias("leader")), "leaders")
     links = check(members.join(first, "band").filter("t <> leader"))
-    small = members.filter("small").select("band", "t")
-    for leaders in (4, None):
-        root = stage(components(links), "near-roots")
-        known = small.join(root.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
-        open_bands = known.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-        small = stage(known.join(open_bands.select("band"), "band"), "open-buckets")
-        led = small.select("band", F.col("t").alias("leader"), F.col("root").alias("leader_root"))
-        if leaders:
-            led = led.groupBy("band", F.pmod(F.xxhash64("leader"), F.lit(leaders)).alias("part")).agg(
-                F.min_by("leader", "leader").alias("leader"), F.min_by("leader_root", "leader").alias("leader_root"))
-        links = links.unionByName(check(small.join(stage(led, "leaders"), "band").filter("root <> leader_root")))
-        small = small.select("band", "t")
-    return links
+    anywhere = F.lit(0.0)  # nothing is known of where members of a band bucket agree
+    links = compared(members.filter("small").select("band", "t", anywhere.alias("rest"), anywhere.alias("total")), links)
+    rest = stage(_open(members.filter("not small").select("band", "t"), links).select("t").distinct(), "open-texts")
+    if rest.isEmpty():
+        return links
+    return compared(stage(_rarest(texts.join(rest.hint("merge"), "t", "left_semi"), idf, threshold), "rare-shingles"), links)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,7 +317,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
 
     Two texts link if their weighted Jaccard similarity is at least
     ``threshold`` and they share a band (a pair at 0.8 misses all bands with
-    probability 0.001).  Null and empty texts and texts without a word link
+    probability 0.001; texts of large buckets may link without a band).  Null and empty texts and texts without a word link
     with nothing, not even with each other: own group, kept.  Null ids rank
     last; a group of null ids only has a null ``component_id`` and is kept.
     Rows repeated with id and text get the same verdict; see ``deduplicated``.

@@ -80,6 +80,52 @@ def test_large_groups_of_near_copies(spark):
     assert {r["component_id"] for r in got if r["doc_id"] < 120} == {0}
 
 
+def brute_groups(rows, threshold=0.8):
+    """Least id of each id's group by the weighted Jaccard of all pairs, and
+    the similarities over half of it."""
+    rows = sorted(rows)
+    sets = [Counter(zip(*[WORDS(t)[k:] for k in range(5)])) for _, t in rows]
+    column = {s: k for k, s in enumerate({s for c in sets for s in c})}
+    tf = np.zeros((len(rows), len(column)))
+    for k, c in enumerate(sets):
+        tf[k, [column[s] for s in c]] = list(c.values())
+    weight = tf * (1 + np.log(len(rows) / (tf > 0).sum(0)) / np.log(len(rows)))
+    total, root, near = weight.sum(1), np.arange(len(rows)), {}
+    for a in range(1, len(rows)):
+        has = weight[a] > 0
+        shared = np.minimum(weight[a, has], weight[:a][:, has]).sum(1)
+        for b, similarity in enumerate(shared / (total[a] + total[:a] - shared)):
+            if similarity > threshold / 2:
+                near[rows[b][0], rows[a][0]] = similarity
+            if similarity >= threshold:
+                root[root == max(root[a], root[b])] = min(root[a], root[b])
+    return {i: rows[r][0] for (i, _), r in zip(rows, root)}, near
+
+
+def template_family(members=300, pairs=40):
+    """Texts that share 272 words and end in 20 to 30 of their own, and
+    pairs that share part of the end too."""
+    rng, vocab = random.Random(17), vocabulary(3000)
+    words = lambda n: [rng.choice(vocab) for _ in range(n)]
+    template = words(272)
+    rows = [(i, " ".join(template + words(rng.randrange(20, 31)))) for i in range(members)]
+    for i in range(pairs):
+        end, cut = words(22), 12 - i % 5
+        rows += [(1000 + 2 * i + j, " ".join(template + end[:cut] + words(22 - cut))) for j in range(2)]
+    return rows + [(2000 + i, " ".join(words(100))) for i in range(20)]
+
+
+def test_pairs_in_a_family_with_a_template(spark):
+    """Buckets of hundreds of texts just under the threshold; planted pairs over it."""
+    rows = template_family()
+    want, near = brute_groups(rows)
+    family = [v for (a, b), v in near.items() if b < 1000]
+    planted = [near[1000 + 2 * i, 1001 + 2 * i] for i in range(40)]
+    assert 0.65 < min(family) and max(family) < 0.795 and 0.805 < min(planted) and max(planted) < 0.9
+    got = icws.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 # --- op9 -------------------------------------------------------------------------
 
 def test_lattice_points_are_nearest():
