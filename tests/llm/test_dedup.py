@@ -126,6 +126,23 @@ def test_pairs_in_a_family_with_a_template(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_groups_that_straddle_the_threshold(spark):
+    """Copies with edits whose mutual similarity is on both sides of it."""
+    rng, vocab = random.Random(18), vocabulary(3000)
+    rows = []
+    for _ in range(3):
+        base = [rng.choice(vocab) for _ in range(200)]
+        for _ in range(70):
+            w = list(base)
+            for at in rng.sample(range(200), rng.randrange(1, 5)):
+                w[at] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(w)))
+    want, near = brute_groups(rows)
+    assert min(near.values()) < 0.7 and max(near.values()) > 0.9
+    got = icws.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 # --- op9 -------------------------------------------------------------------------
 
 def test_lattice_points_are_nearest():
