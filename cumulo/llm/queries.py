@@ -7,7 +7,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import bpe, hostrules, icws, labels, lattice, mixing, passages, quality, suffixes, toxicity, urlfilter
+from cumulo.llm import (alignment, bpe, guesscost, hostrules, icws, labels, lattice, mixing, passages, phrases, quality, suffixes,
+                        toxicity, urlfilter)
 from cumulo.llm.common import documents, ship_code
 from cumulo.sources.tables import read_table
 
@@ -240,6 +241,79 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# --- op11: secrets ------------------------------------------------------------
+
+
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: fixed patterns and hard-to-guess values."""
+    done = guesscost.find_secrets(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"])
+    named = "x -> concat_ws(':', x.kind, x.start, x.end)"
+    kinds = F.array(*map(F.lit, guesscost.KINDS))
+    placed = "named_struct('start', x.start, 'place', {}, 'end', x.end, 'kind', {})"
+    every = (f"array_sort(concat(transform(base, x -> {placed.format('array_position(kinds, x.kind)', 'x.kind')}), "
+             f"transform(guessed, x -> {placed.format('9L', chr(39) + 'guess' + chr(39))})))")
+    return done.withColumn("kinds", kinds).select(
+        "doc_id", *[F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as long)").alias(f"n_{k}") for k in guesscost.KINDS],
+        F.sha2(F.expr(f"array_join(transform(base, {named}), ',')"), 256).alias("base_sha256"),
+        F.expr(f"array_join(transform({every}, {named}), ',')").alias("spans"))
+
+
+# --- op12: collocations -------------------------------------------------------
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language; see ``phrases.collocations``."""
+    return phrases.collocations(documents(spark, sf_dir, "lang", "text"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS p
+  FROM documents),
+ws AS (SELECT lang, regexp_extract_all(p, '[^ 	]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM ws GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM ws, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+freq AS (SELECT lang, k, phrase, count(*)::BIGINT AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM freq WHERE k > 1),
+inner_phrases AS (
+  SELECT lang, a, unnest(flatten(list_transform([2, 3, 4], lambda j:
+    list_transform(range(1, k - j + 2), lambda i: CASE WHEN j < k THEN array_to_string(w[i:i + j - 1], ' ') END)))) AS phrase
+  FROM cand),
+longer AS (SELECT lang, phrase, max(a) AS la FROM inner_phrases GROUP BY lang, phrase),
+alone AS (
+  SELECT cand.* FROM cand LEFT JOIN longer USING (lang, phrase) WHERE la IS NULL OR 100 * la < 100 * a),
+cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM alone),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, t.n,
+         ((1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN total t ON t.lang = c.lang
+  JOIN freq l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN freq r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE nth = 1)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+# --- op13: alignment of tokenizers --------------------------------------------
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    import public_tokenizers
+
+    done = alignment.align(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 def _registered(query):
     """The query, with the package's code at hand on the executors."""
     @functools.wraps(query)
@@ -251,10 +325,11 @@ def _registered(query):
 
 QUERIES = {f.__name__: _registered(f) for f in (
     op1_urls, op2_mix, op3_quality, op4_passages, op5_toxicity, op6_bpe, op7_host_rules, op8_near_duplicates,
-    op9_embeddings, op10_suffixes)}
+    op9_embeddings, op10_suffixes, op11_secrets, op12_phrases, op13_alignment)}
 
 ORACLE = {
     "op1_urls": OP1_SQL,
     "op2_mix": OP2_SQL,
     "op7_host_rules": OP7_SQL,
+    "op12_phrases": OP12_SQL,
 }
