@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulo.plans.inspect import estimated_bytes, has_join
+from cumulo.plans.inspect import estimated_bytes, has_join, session_conf
+
 
 def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
     """``max_bytes``, else the session's auto-broadcast threshold in bytes
@@ -44,16 +45,52 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                strategy: str = "auto", max_bytes: int | None = None) -> DataFrame:
     """Join a fact with a small table.
 
-    ``strategy``: ``"broadcast"`` or ``"auto"`` (size-checked hint), or
-    ``"shuffle"`` (sort-merge, forced with a ``merge`` hint).
+    ``strategy``: ``"broadcast"`` or ``"auto"`` (size-checked hint),
+    ``"shuffle"`` (sort-merge, forced with a ``merge`` hint), or ``"bloom"``
+    (sort-merge whose big side is filtered in its scan, see ``bloom_join``).
     """
     if strategy == "shuffle":
         return big.join(small.hint("merge"), on, how)
+    if strategy == "bloom":
+        return bloom_join(big, small, on, how)
     if strategy not in ("auto", "broadcast"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return big.join(maybe_broadcast(small, max_bytes), on, how)
 
 
+#: Spark's run-time filters whatever the sizes (by default the filtered scan has
+#: to have 10 GB, and the other side to be a scan of 10 MB at most).
+_BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "10",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",  # filters are for joins that shuffle
+}
+
+
+def bloom_join(big: DataFrame, small: DataFrame, on, how: str = "inner", expected_keys: int | None = None) -> DataFrame:
+    """Join two sides too large to broadcast of which ``small`` is filtered: a
+    Bloom filter of its keys (bounded bits) reaches ``big``'s scan, and rows
+    without a partner are dropped before the shuffle.
+
+    The plan is made here, under the settings for it.  ``expected_keys`` sizes
+    the filter; Spark's own limit of bits holds, more keys mean more rows that
+    pass for nothing, never a lost row.
+    """
+    if how not in ("inner", "left_semi", "right", "right_outer"):
+        raise ValueError(f"rows of the big side can't be dropped in a {how!r} join")
+    spark = big.sparkSession
+    more = {}
+    if expected_keys:
+        more = {"spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": expected_keys,
+                "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": max(expected_keys, 4_000_000)}
+    with session_conf(spark, **_BLOOM, **more):
+        out = big.join(small.hint("merge"), on, how)
+        out._jdf.queryExecution().executedPlan()  # kept with the DataFrame
+    return out
+
+
 def stage_map_medals(maps: DataFrame, matches: DataFrame, medals_players: DataFrame,
                      map_key: str = "mapid", match_key: str = "match_id") -> DataFrame:
     """Maps ⋈ matches ⋈ medals per player, the staging rows.

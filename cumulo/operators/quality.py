@@ -59,3 +59,30 @@ def cardinality(df: DataFrame, cols, approx: bool = False, rsd: float = 0.05) ->
 def time_range(df: DataFrame, ts: str, prefix: str = "") -> DataFrame:
     """First and last value of a time column."""
     return df.agg(F.min(ts).alias(f"{prefix}first_ts"), F.max(ts).alias(f"{prefix}last_ts"))
+
+
+#: Types whose bounds parquet footers keep in a form that Spark pushes down.
+_IN_FOOTERS = ("boolean", "byte", "short", "integer", "long", "float", "double", "date")
+
+
+def footer_bounds(spark, path: str, cols) -> DataFrame:
+    """(``num_rows``, ``min_<col>``, ``max_<col>`` ...) of a parquet folder,
+    answered from file footers: the aggregates are pushed into the scan and no
+    column is read.
+
+    Only for columns whose type has exact bounds in footers; others (timestamps,
+    strings, decimals) are an error here: read them with ``time_range``.  Rows,
+    bounds and nulls are as the files say; NaN in a float column is not in its
+    bounds.
+    """
+    from cumulo.plans.inspect import session_conf
+
+    with session_conf(spark, **{"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}):
+        df = spark.read.parquet(path)
+        for c in names(cols):
+            if df.schema[c].dataType.typeName() not in _IN_FOOTERS:
+                raise ValueError(f"{c}: footers have no exact bounds for {df.schema[c].dataType.simpleString()}")
+        out = df.agg(F.count(F.lit(1)).alias("num_rows"),
+                     *[f(c).alias(f"{n}_{c}") for c in names(cols) for n, f in (("min", F.min), ("max", F.max))])
+        out._jdf.queryExecution().executedPlan()  # made under these settings, kept with the DataFrame
+    return out

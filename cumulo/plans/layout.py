@@ -11,11 +11,18 @@ Output folders live under the cluster's shared checkpoint folder
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cumulo.functions.util import names
+from cumulo.plans.curves import write_curve
+from cumulo.sources.footers import file_report, footers, skipped_groups
 from cumulo.sources.session import work_path
 
 
@@ -30,14 +37,14 @@ def sort_global(df: DataFrame, cols) -> DataFrame:
 
 
 def sort_local(df: DataFrame, sort_cols, n: int | None = None, part_cols=None) -> DataFrame:
-    """Sort inside partitions only.  With ``part_cols``: one shuffle into
-    ranges of them first (give enough columns to tell rows apart: a few
-    values alone cannot fill more partitions than values); with ``n``, the
-    reference's hash ``repartition(n, cols)``; without ``part_cols`` no
-    shuffle at all."""
+    """Sort inside partitions only.  With ``part_cols``: one shuffle first that
+    brings rows equal in them together (a ``rebalance`` hint: nothing is
+    sampled, and AQE splits a hot value and joins small ones); with ``n``, the
+    reference's hash ``repartition(n, cols)``; without ``part_cols`` no shuffle
+    at all."""
     out = df
     if part_cols:
-        out = out.repartition(n, *names(part_cols)) if n else out.repartitionByRange(*names(part_cols))
+        out = out.repartition(n, *names(part_cols)) if n else out.hint("rebalance", *names(part_cols))
     return out.sortWithinPartitions(*names(sort_cols))
 
 
@@ -88,46 +95,104 @@ def file_listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def layout_report(spark: SparkSession, layouts: dict) -> DataFrame:
-    """``{name: path}`` -> (layout, size, num_files), one row per layout."""
-    parts = [file_listing(spark, p)
-             .agg(F.sum("length").alias("size"), F.count(F.lit(1)).alias("num_files"))
-             .withColumn("layout", F.lit(name))
-             for name, p in layouts.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("layout", "size", "num_files")
+    """``{name: path}`` -> (layout, size, num_files, num_rows, row_groups),
+    one row per layout, from the files' footers: no data is read."""
+    out = None
+    for name, p in layouts.items():
+        part = file_report(footers(spark, p)).withColumn("layout", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.select("layout", "size", "num_files", "num_rows", "row_groups")
 
 
 def layout_check(spark: SparkSession, layouts: dict) -> DataFrame:
-    """What can be checked of written layouts, ``{name: (path, sort columns)}``:
-    (layout, num_rows, has_files, num_unsorted).  ``num_unsorted`` counts the
-    rows that come before their predecessor in the same file."""
+    """The order of written rows, ``{name: (path, sort columns)}``: (layout,
+    num_unsorted): rows that come before their predecessor in the same file."""
     out = None
     for name, (path, sort_cols) in layouts.items():
-        cols = names(sort_cols or [])
-        rows = spark.read.parquet(path).select(
-            F.struct(*cols).alias("_key") if cols else F.lit(0).alias("_key"),
-            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-        before = F.lag("_key").over(Window.partitionBy("_file").orderBy("_at"))
-        part = rows.select("_file", (before > F.col("_key")).alias("_off")).agg(
-            F.count(F.lit(1)).alias("num_rows"), (F.count("_file") > 0).alias("has_files"),
-            F.coalesce(F.sum(F.col("_off").cast("bigint")), F.lit(0)).alias("num_unsorted"))
-        part = part.select(F.lit(name).alias("layout"), "num_rows", "has_files", "num_unsorted")
+        part = unsorted_rows(spark, path, sort_cols) if sort_cols else spark.range(1).select(F.lit(0).cast("bigint").alias("num_unsorted"))
+        part = part.select(F.lit(name).alias("layout"), "num_unsorted")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def unsorted_rows(spark: SparkSession, path: str, sort_cols) -> DataFrame:
+    """(``num_unsorted``): rows of a folder that come before their predecessor
+    in the same file.
+
+    Rows are compared where they are scanned, batch by batch; only the first and
+    the last row of a batch are shuffled, to be compared with the next batch's.
+    """
+    cols = names(sort_cols)
+    rows = spark.read.parquet(path).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)],
+                                           F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    keys = rows.schema.fields[:len(cols)]
+    ends = [StructField(f"{end}{f.name}", f.dataType) for end in ("first", "last") for f in keys]
+    schema = StructType([StructField("_file", StringType()), StructField("_at", LongType()), StructField("off", LongType()), *ends])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            file, at = batch.column(len(cols)), batch.column(len(cols) + 1).to_numpy()
+            cut = np.ones(n, bool)  # a batch may hold the end of one file and the beginning of another
+            cut[1:] = pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False) | (at[1:] != at[:-1] + 1)
+            off = np.zeros(n, bool)
+            off[1:] = _before(batch.columns[:len(cols)])
+            begin = np.flatnonzero(cut)
+            last = np.append(begin[1:], n) - 1
+            off[begin] = False
+            yield pa.RecordBatch.from_arrays(
+                [file.take(pa.array(begin)), pa.array(at[begin]), pa.array(np.add.reduceat(off.astype(np.int64), begin)),
+                 *[c.take(pa.array(i)) for i in (begin, last) for c in batch.columns[:len(cols)]]], names=schema.names)
+
+    parts = rows.mapInArrow(run, schema)
+    first, last = F.struct(*[f"first{f.name}" for f in keys]), F.struct(*[F.col(f"last{f.name}").alias(f"first{f.name}") for f in keys])
+    back = F.lag(last).over(Window.partitionBy("_file").orderBy("_at")) > first
+    return parts.select("off", F.coalesce(back.cast("bigint"), F.lit(0)).alias("back")).agg(
+        F.coalesce(F.sum(F.col("off") + F.col("back")), F.lit(0)).alias("num_unsorted"))
+
+
+def _before(columns: list[pa.Array]) -> np.ndarray:
+    """Does each row but the first sort before its predecessor?  Nulls are least."""
+    n = len(columns[0])
+    out, equal = np.zeros(n - 1, bool), np.ones(n - 1, bool)
+    for c in columns:
+        prev, now = c[:-1], c[1:]
+        none_prev, none_now = (x.is_null().to_numpy(zero_copy_only=False) for x in (prev, now))
+        more = pc.fill_null(pc.greater(prev, now), False).to_numpy(zero_copy_only=False) | (~none_prev & none_now)
+        same = pc.fill_null(pc.equal(prev, now), False).to_numpy(zero_copy_only=False) | (none_prev & none_now)
+        out |= equal & more
+        equal &= same
+    return out
+
+
 def compare_layouts(df: DataFrame, orders: dict, n: int | None = None, cluster_cols=None,
-                    base_path: str | None = None) -> DataFrame:
-    """Write ``df`` once per candidate sort order and report sizes
-    (layout, size, num_files) with what ``layout_check`` finds."""
+                    base_path: str | None = None, curves: dict | None = None, filters: dict | None = None) -> DataFrame:
+    """Write ``df`` once per candidate order and compare (layout, size,
+    num_files, num_rows, row_groups, num_unsorted).
+
+    ``orders``: sort columns by name; ``curves``: columns of a space-filling
+    order by name (``plans.curves``).  ``filters``: {column: (low, high)}; adds
+    ``skipped_<column>``, the row groups such a filter never reads.
+    """
     spark = df.sparkSession
     base = base_path or work_path(spark, "layouts")
     paths = {name: write_layout(df, f"{base}/{name}", sort_cols, n=n, cluster_cols=cluster_cols)
              for name, sort_cols in orders.items()}
-    return layout_report(spark, paths).join(
-        layout_check(spark, {name: (path, orders[name]) for name, path in paths.items()}), "layout")
+    for name, cols in (curves or {}).items():
+        paths[name] = write_curve(df, f"{base}/{name}", cols, n=n)
+    out = layout_report(spark, paths).join(
+        layout_check(spark, {name: (path, orders.get(name)) for name, path in paths.items()}), "layout")
+    for column, (low, high) in (filters or {}).items():
+        kind = df.schema[column].dataType.simpleString()
+        rows = None
+        for name, path in paths.items():
+            part = skipped_groups(footers(spark, path), column, kind, low, high).select(
+                F.lit(name).alias("layout"), F.col("skipped").alias(f"skipped_{column}"))
+            rows = part if rows is None else rows.unionByName(part)
+        out = out.join(rows, "layout")
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from cumulo.functions.arrays import join_text
 from cumulo.functions.maps import map_text
 from cumulo.functions.text import minutes_from_text, token_flag
-from cumulo.operators import (cumulative, datelist, devices, facts, graph, history, joins,
-                              metrics, quality, ranking)
+from cumulo.operators import (cumulative, datelist, devices, distinct_sets, facts, graph, heavy, history, joins,
+                              metrics, quality, ranking, rolling)
 from cumulo.plans import layout
-from cumulo.sources import standins
+from cumulo.sources import footers, standins
 from cumulo.sources.session import checkpoint_root, work_path
 from cumulo.sources.tables import read_table
-from cumulo.streaming.daily import BucketedStore, buckets_for, days_between, run_daily
+from cumulo.streaming.daily import BucketedStore, PathStore, buckets_for, days_between, run_daily
+from cumulo.streaming.intervals import IntervalStore
+from cumulo.streaming.late import apply_late_dates, apply_late_values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -207,6 +209,44 @@ def q_cumulate_hosts(spark, sf_dir):
     return _snapshot_out(_incremental_dates(spark, ev, "host", False, store), "host")
 
 
+# J5 with late rows, and with a growing table -------------------------------
+def _arrival(ev):
+    """Which rows of the first daily load arrive after the last one: every
+    seventh event of that day (the tables have no arrival time)."""
+    first = SEED_DAY + _dt.timedelta(days=1)
+    return (F.to_date("ts") == F.lit(first)) & (F.pmod("event_id", F.lit(7)) == 3)
+
+
+@register("late_users", _USERS_SQL)
+def q_late_users(spark, sf_dir):
+    """Three days loaded without the late rows of the first; then these are
+    applied to the three snapshots: equal to the rebuild."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    late = ev.where(_arrival(ev))
+    on_time = ev.where(~F.coalesce(_arrival(ev), F.lit(False))).select("user_id", "ts")
+    store = _bucketed_store(spark, "users_late", "user_id", "snapshot_date")
+    store.write(cumulative.rebuild_dates(on_time, "user_id", "ts", SEED_DAY), SEED_DAY)
+    run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, lambda prev, d: cumulative.cumulate_dates(
+        prev, cumulative.active_keys(on_time, "user_id", "ts", d), "user_id", d))
+    apply_late_dates(store, late, "user_id", "ts", AS_OF)
+    return _snapshot_out(store.release(AS_OF), "user_id")
+
+
+@register("cumulate_users_growing", _USERS_SQL)
+def q_cumulate_users_growing(spark, sf_dir):
+    """A table that outgrows its buckets: after the seed its buckets are split
+    in two without a shuffle, and the days go on with twice as many."""
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts")
+    store = _bucketed_store(spark, "users_growing", "user_id", "snapshot_date")
+    store.write(cumulative.rebuild_dates(ev, "user_id", "ts", SEED_DAY), SEED_DAY)
+    finer = store.refined(SEED_DAY, max(1, store.bytes_per_bucket(SEED_DAY) - 1))
+    run_daily(spark, finer, SEED_DAY + _dt.timedelta(days=1), AS_OF, lambda prev, d: cumulative.cumulate_dates(
+        prev, cumulative.active_keys(ev, "user_id", "ts", d), "user_id", d))
+    if finer is not store:
+        store.release(SEED_DAY)
+    return _snapshot_out(finer.release(AS_OF), "user_id")
+
+
 # J7 / J8 -----------------------------------------------------------------
 def _datelist_sql(key_expr, key_alias, where, top_bit, days):
     mask = "& 4294967295" if top_bit > 31 else ""
@@ -246,6 +286,35 @@ def q_host_datelist(spark, sf_dir):
     return datelist.datelist(snap, "host", AS_OF)
 
 
+# J5-J8 as a rolling state of 365 days ------------------------------------
+_ROLLING_SQL = f"""
+WITH d AS ({_datelist_sql("user_id", "user_id", "user_id IS NOT NULL", 31, 32)}),
+n AS (SELECT user_id, count(DISTINCT CAST(ts AS DATE)) FILTER (WHERE age < 7) AS days_7,
+             count(DISTINCT CAST(ts AS DATE)) FILTER (WHERE age < 28) AS days_28,
+             count(DISTINCT CAST(ts AS DATE)) AS days_365
+      FROM (SELECT user_id, ts, date_diff('day', CAST(ts AS DATE), DATE '{AS_OF}') AS age FROM events)
+      WHERE age BETWEEN 0 AND 364 GROUP BY user_id)
+SELECT d.*, days_7, days_28, days_365 FROM d JOIN n USING (user_id)
+"""
+
+
+@register("user_activity_365", _ROLLING_SQL)
+def q_user_activity_365(spark, sf_dir):
+    """Bitsets moved on by one day per load; the table is bucketed by user."""
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts")
+    store = _bucketed_store(spark, "users_rolling", "user_id", "snapshot_date")
+    seed = rolling.rebuild_bits(ev, "user_id", "ts", SEED_DAY)
+    snapshot = _load_days(spark, store, seed, lambda prev, d: rolling.roll_bits(
+        prev, cumulative.active_keys(ev, "user_id", "ts", d), "user_id", d))
+    return rolling.activity_report(snapshot, "user_id")
+
+
+@register("user_activity_365_rebuild", _ROLLING_SQL)
+def q_user_activity_365_rebuild(spark, sf_dir):
+    snapshot = rolling.rebuild_bits(_t(spark, sf_dir, "events"), "user_id", "ts", AS_OF)
+    return rolling.activity_report(snapshot, "user_id")
+
+
 # J9 / J10 / J11 ----------------------------------------------------------
 _MONTH = FIRST_DAY
 _EV_RANGE = f"ts >= TIMESTAMP '{_MONTH}' AND ts < TIMESTAMP '{AS_OF + _dt.timedelta(days=1)}'"
@@ -288,6 +357,26 @@ def q_metric_array_incremental(spark, sf_dir):
     return _metric_out(_load_days(spark, store, seed, step))
 
 
+@register("late_metric", _METRIC_SQL)
+def q_late_metric(spark, sf_dir):
+    """Daily hits loaded without late rows, then the slots of their day set anew
+    in the arrays of that day and the following."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    on_time = ev.where(~F.coalesce(_arrival(ev), F.lit(False)))
+    store = _bucketed_store(spark, "late_metrics", "user_id", "date_partition")
+    hits = {"value": F.count(F.lit(1))}
+    store.write(metrics.rebuild_metric(on_time, "user_id", "ts", SEED_DAY).withColumn("date_partition", F.lit(SEED_DAY)), SEED_DAY)
+    run_daily(spark, store, SEED_DAY + _dt.timedelta(days=1), AS_OF, lambda prev, d: metrics.append_metric(
+        prev, metrics.daily_values(on_time, "user_id", "ts", d, hits), "user_id", d, "value", "site_hits").withColumn("date_partition", F.lit(d)))
+
+    def recompute(keys, d):
+        return metrics.daily_values(ev.join(keys, "user_id", "left_semi"), "user_id", "ts", d, hits)
+
+    apply_late_values(store, ev.where(_arrival(ev)), recompute, "user_id", "ts", AS_OF, {"metric_array": "value"},
+                      constants={"metric_name": "site_hits"})
+    return _metric_out(store.release(AS_OF))
+
+
 # fractional metrics: event values are doubles with cents, so sums are rounded
 # for comparison only
 _VALUE_SQL = f"""
@@ -414,6 +503,35 @@ def q_host_reduced_incremental(spark, sf_dir):
     return _reduced_out(_load_days(spark, store, seed, step))
 
 
+# Distinct sets --------------------------------------------------
+_VISITORS_SQL = f"""
+SELECT event_type || '/' || json_extract_string(props, '$.k') AS host, DATE '{_MONTH}' AS month_start,
+       count(DISTINCT user_id) AS n_visitors
+FROM events WHERE {_EV_RANGE} AND user_id IS NOT NULL GROUP BY 1
+"""
+
+
+@register("host_monthly_visitors", _VISITORS_SQL)
+def q_host_monthly_visitors(spark, sf_dir):
+    """Unique visitors per host and month from the daily sets alone: every day
+    is appended once, days are merged."""
+    ev = standins.sparse_hosts(_t(spark, sf_dir, "events")).withColumnRenamed("event_time", "ts")
+    store = PathStore(spark, work_path(spark, "host_visitors"), "date_partition")
+    seed = distinct_sets.daily_sets(ev, "host", "user_id", "ts", _MONTH, SEED_DAY)
+    store.write(seed)  # the days until then, each in its partition
+    for d in days_between(SEED_DAY + _dt.timedelta(days=1), AS_OF):
+        store.write(distinct_sets.daily_sets(ev, "host", "user_id", "ts", d, d), d)
+    sets = spark.read.parquet(store.path).where((F.col("date_partition") >= F.lit(_MONTH)) & (F.col("date_partition") <= F.lit(AS_OF)))
+    return distinct_sets.count_members(sets.withColumn("month_start", F.lit(_MONTH)), ["host", "month_start"], "n_visitors")
+
+
+@register("host_monthly_visitors_rebuild", _VISITORS_SQL)
+def q_host_monthly_visitors_rebuild(spark, sf_dir):
+    ev = standins.sparse_hosts(_t(spark, sf_dir, "events"))
+    sets = distinct_sets.daily_sets(ev, "host", "user_id", "event_time", _MONTH, AS_OF)
+    return distinct_sets.count_members(sets.withColumn("month_start", F.lit(_MONTH)), ["host", "month_start"], "n_visitors")
+
+
 # --------------------------------------------------------------------------
 # Enrich the fact, conditional rate
 # --------------------------------------------------------------------------
@@ -843,19 +961,20 @@ def q_layout_report(spark, sf_dir):
     checked = layout.layout_check(spark, {"sorted": (paths["sorted"], ["event_date", "host"]),
                                           "unsorted": (paths["unsorted"], None)})
     return sizes.join(checked, "layout").select(
-        "layout", "num_rows", (F.col("has_files") & (F.col("size") > 0) & (F.col("num_files") > 0)).alias("has_files"),
-        "num_unsorted")
+        "layout", "num_rows", ((F.col("size") > 0) & (F.col("num_files") > 0) & (F.col("num_rows") > 0)).alias("has_files"), "num_unsorted")
 
 
-@register("compare_layouts", _layout_sql(["date_host", "host_date", "user_ts"]))
+@register("compare_layouts", _layout_sql(["date_host", "host_date", "user_ts", "z_user_date"]))
 def q_compare_layouts(spark, sf_dir):
+    """Three sorts and a space-filling order; which row groups two filters skip
+    depends on sizes and is in the library's result."""
     ev = _layout_events(spark, sf_dir)
     found = layout.compare_layouts(ev, {
         "date_host": ["event_date", "host"],
         "host_date": ["host", "event_date"],
         "user_ts": ["user_id", "ts"],
-    }, cluster_cols=["event_date"])
-    return found.select("layout", "num_rows", (F.col("has_files") & (F.col("size") > 0)).alias("has_files"), "num_unsorted")
+    }, cluster_cols=["event_date"], curves={"z_user_date": ["user_id", "event_date"]})
+    return found.select("layout", "num_rows", ((F.col("size") > 0) & (F.col("num_rows") > 0)).alias("has_files"), "num_unsorted")
 
 
 @register("sort_global", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
@@ -867,5 +986,72 @@ def q_sort_global(spark, sf_dir):
 @register("sort_local", "SELECT o_orderkey, o_orderpriority, o_orderdate FROM orders")
 def q_sort_local(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    return layout.sort_local(o, ["o_orderpriority", "o_orderdate"],
+    return layout.sort_local(o, ["o_orderpriority", "o_orderdate"], 
                              part_cols=["o_orderpriority", "o_orderdate", "o_orderkey"])
+
+
+@register("scd2_incremental", _SCD_SQL)
+def q_scd2_incremental(spark, sf_dir):
+    """J12 loaded season by season: open runs are replaced, ended ones added."""
+    players = standins.player_seasons(_t(spark, sf_dir, "orders"))
+    rows = _once(players)
+    store = IntervalStore(spark, work_path(spark, "player_runs"), "player_name", "current_season", "scoring_class")
+    for season in sorted(r[0] for r in rows.select("current_season").distinct().collect()):  # seasons, not players
+        store.load(rows.where(F.col("current_season") == season), season)
+    return store.history()
+
+
+# --------------------------------------------------------------------------
+# Footers: columns of a layout, bounds without reading
+# --------------------------------------------------------------------------
+@register("layout_columns", """
+WITH e AS (SELECT event_id, user_id, event_type AS host, CAST(ts AS DATE) AS event_date FROM events)
+SELECT 'event_id' AS "column", count(*) AS num_rows, count(*) - count(event_id) AS nulls,
+       CAST(min(event_id) AS VARCHAR) AS least, CAST(max(event_id) AS VARCHAR) AS greatest FROM e
+UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id), CAST(min(user_id) AS VARCHAR), CAST(max(user_id) AS VARCHAR) FROM e
+UNION ALL SELECT 'host', count(*), count(*) - count(host), min(host), max(host) FROM e
+UNION ALL SELECT 'event_date', count(*), count(*) - count(event_date), CAST(min(event_date) AS VARCHAR), CAST(max(event_date) AS VARCHAR) FROM e
+""")
+def q_layout_columns(spark, sf_dir):
+    """A written layout as its footers describe it; bytes and encodings, which
+    differ by writer, are in the library's result."""
+    ev = _layout_events(spark, sf_dir).drop("ts")
+    path = layout.write_layout(ev, work_path(spark, "events_columns"), ["event_date", "host"], cluster_cols=["event_date"])
+    found = footers.column_report(footers.footers(spark, path), ev.schema)
+    return found.select("column", "num_rows", "nulls", "least", "greatest")
+
+
+@register("footer_bounds", """
+SELECT count(*) AS num_rows, min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey,
+       min(l_linenumber) AS min_l_linenumber, max(l_linenumber) AS max_l_linenumber,
+       min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity
+FROM lineitem
+""")
+def q_footer_bounds(spark, sf_dir):
+    """J30 and counts answered by footers: aggregates pushed into the scan."""
+    return quality.footer_bounds(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+# --------------------------------------------------------------------------
+# J20 with a run-time filter, J22-J25 behind a summary
+# --------------------------------------------------------------------------
+@register("bloom_join", """
+SELECT o.o_orderkey, l.l_linenumber, l.l_quantity, o.o_custkey
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderpriority = '1-URGENT' AND o.o_totalprice > 300000
+""")
+def q_bloom_join(spark, sf_dir):
+    """Line items of few orders: those of others are dropped in the scan."""
+    o = (_t(spark, sf_dir, "orders").where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 300000))
+         .select("o_orderkey", "o_custkey"))
+    li = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    return joins.join_small(li, o, "o_orderkey", strategy="bloom")
+
+
+@register("top_parts", """
+SELECT l_partkey, count(*) AS num_lines FROM lineitem WHERE l_partkey IS NOT NULL
+GROUP BY l_partkey ORDER BY num_lines DESC, l_partkey LIMIT 10
+""")
+def q_top_parts(spark, sf_dir):
+    """The ten parts with most line items (the limit is the report)."""
+    return heavy.top_counts(_t(spark, sf_dir, "lineitem"), "l_partkey", 10, out_col="num_lines")

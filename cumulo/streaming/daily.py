@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from cumulo.functions.util import names, to_pydate
 from cumulo.plans.inspect import estimated_bytes, has_join, session_conf
+from cumulo.sources.session import work_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -108,6 +109,19 @@ class PathStore:
         (out.partitionBy(*rest) if rest else out).parquet(folder)
         self._mark(day)
 
+    def replace(self, df: DataFrame, day, **part) -> None:
+        """``write`` for rows computed from the day's own partition: they are
+        written aside first, since files that are read can't be replaced."""
+        aside = work_path(self.spark, "replaced-day")
+        df.write.parquet(aside)
+        self.write(self.spark.read.schema(df.schema).parquet(aside), day, **part)
+        _delete(self.spark, aside)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
 
 def buckets_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Buckets for a table that begins as ``df``: about ``target_bytes`` each
@@ -210,13 +224,55 @@ class BucketedStore(PathStore):
             self._clear(fixed)
         self._mark(day)
 
+    def replace(self, df: DataFrame, day, **part) -> None:
+        """``write`` for rows computed from the day's own partition: a dynamic
+        overwrite writes aside and moves its files when the job commits."""
+        self.write(df, day, **part)
+
+    def bytes_per_bucket(self, day) -> int:
+        """Average size of a bucket of a day, from the files' lengths."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(partition_path(self.path, self.partition_col, day))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(p).getLength()) // self.n if fs.exists(p) else 0
+
+    def refined(self, day, target_bytes: int = 256 * 1024 * 1024) -> "BucketedStore":
+        """The store to go on with after ``day``: this one while its buckets are
+        within ``target_bytes``, else a new one whose buckets are a power of two
+        smaller and which holds ``day``.
+
+        A hash modulo k n tells apart what it leaves together modulo n, so every
+        bucket is split by the task that reads it: no shuffle.  Earlier days
+        stay where they are; the next day reads ``day`` from the new store.
+        """
+        factor, size = 1, self.bytes_per_bucket(day)
+        while size > target_bytes * factor:
+            factor *= 2
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+        while factor > 1 and self.n * factor > most:
+            factor //= 2
+        if factor == 1:
+            return self
+        n = self.n * factor
+        finer = type(self)(self.spark, f"{self.table}_{n}", f"{self.path.rstrip('/')}_{n}", self.keys, n, self.partition_col, self.more)
+        if not finer.exists(day):
+            (self.split(day, n).write.mode("overwrite").format("parquet").bucketBy(n, *self.keys)
+                 .partitionBy(self.partition_col, *self.more).option("path", finer.path).saveAsTable(finer.table))
+            finer._mark(day)
+        return finer
+
+    def split(self, day, n: int) -> DataFrame:
+        """The day's rows for a write into ``n`` buckets, a multiple of this
+        store's: one task per bucket, as read."""
+        if n % self.n:
+            raise ValueError(f"{n} buckets don't refine {self.n}")
+        return self.read(day)
+
     def _clear(self, fixed: dict) -> None:
         """Remove one partition: what a rerun without rows replaces."""
         spec = ", ".join(f"{c} = '{v}'" for c, v in fixed.items())
         self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec})")
         folder = "/".join([self.path.rstrip("/"), *(f"{c}={v}" for c, v in fixed.items())])
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(self.spark, folder)
         self.spark.catalog.refreshTable(self.table)
 
     def release(self, day) -> DataFrame:
