@@ -20,7 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, LongType
+from pyspark.sql.types import LongType, StructField, StructType
+
+from cumulo.sources.session import checkpoint_root
 
 #: Counters of a task's summary.
 COUNTERS = 10_000
@@ -48,7 +50,7 @@ def summaries(df: DataFrame, key: str, counters: int = COUNTERS) -> DataFrame:
     """(``key``, ``least``, ``error``): rows of all tasks' summaries, and one row
     per task with a null ``least``, which has the task's ``error``."""
     rows = df.select(F.col(key).alias("key")).where("key is not null")
-    schema = StructType([rows.schema.fields[0], StructField("least", LongType()), StructField("error", LongType())])
+    schema = StructType([StructField("key", rows.schema["key"].dataType), StructField("least", LongType()), StructField("error", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, kind = Summary(counters), None
@@ -69,8 +71,6 @@ def summaries(df: DataFrame, key: str, counters: int = COUNTERS) -> DataFrame:
 def top_counts(df: DataFrame, key: str, k: int = 1, counters: int = COUNTERS, out_col: str = "n") -> DataFrame:
     """The ``k`` keys with most rows (``key``, ``out_col``): exact, ties to the
     least key, null keys left out."""
-    from cumulo.sources.session import checkpoint_root
-
     checkpoint_root(df.sparkSession)
     bounds = summaries(df, key, counters).groupBy("key").agg(F.sum("least").alias("least"), F.sum("error").alias("error")).checkpoint()
     error = bounds.agg(F.sum("error")).first()[0] or 0  # one number

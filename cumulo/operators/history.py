@@ -4,20 +4,21 @@
 Gaps and islands, computed so that no single task has to see all rows of
 one entity (an entity may hold a large share of the table):
 
-1. Every row gets a chunk number computed from its order value (a range of
-   seasons, a month of dates): the same on every run, so nothing is sampled
-   and nothing has to be frozen.  A heavy entity is cut into several chunks.
+1. Every row gets a chunk number computed from its order value.  Chunks are
+   ranges of about equal rows of the whole table: an entity with a third of
+   the rows is cut into a third of the chunks, wherever its values lie, while
+   a small table, or an entity with few rows, has few.  The cuts come from one
+   aggregate and are literals of the plan: the same on every run.
 2. One hash exchange on (entity, chunk).  Inside: ``lag`` and a running max
    of change positions (window functions over a bounded chunk).
-3. One summary row per (entity, chunk) – first/last value, first position,
-   last local change – taken by filters (first and last row of the chunk).
-   A window over the summary (at most one row per chunk) decides whether
-   each chunk's first row starts an island and which island start carries
-   into chunks without a change.
-4. Rows after a local change know their island already.  The rows of a
-   chunk's leading run are first reduced to one row per chunk, joined to
-   the summary (small to small), and merged with the rest in one grouped
-   min/max per (entity, island start) with map-side partial aggregation.
+3. One summary row per (entity, chunk) by an aggregate on the same
+   partitioning: first and last value, last local change, and the bounds of the
+   chunk's leading run.  A window over the summary (one row per chunk) decides
+   whether a chunk's first row starts an island and which island start carries
+   into its leading run.
+4. Rows after a local change know their island already; leading runs come from
+   the summary.  Both meet in one grouped min/max per (entity, island start)
+   with map-side partial aggregation.
 
 ``null_safe=True`` (default) treats NULL as an ordinary value: equal
 neighbours never split, ``NULL -> A`` and ``A -> NULL`` both do.
@@ -41,47 +42,89 @@ def _changed(prev: Column, cur: Column, null_safe: bool) -> Column:
     return prev.isNull() | F.coalesce(prev != cur, F.lit(False))
 
 
-def order_chunk(df: DataFrame, order: str, width: int | None = None) -> Column:
-    """The chunk of a row, growing with the order value: its month for dates
-    and timestamps, else ``floor(order / width)`` (10 by default, a decade of
-    seasons)."""
+#: Rows of a chunk, and the most chunks a table is cut into (a square: cuts are
+#: looked up in two steps).
+CHUNK_ROWS, MOST_CHUNKS = 1_000_000, 64 * 64
+
+
+def _order_number(df: DataFrame, order: str) -> Column | None:
+    """The order value as a double that keeps its order; None for other types."""
     kind = df.schema[order].dataType.typeName()
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        months = F.year(order) * 12 + F.month(order)
-        return F.floor(months / F.lit(width or 1)).cast("bigint")
-    return F.floor(F.col(order) / F.lit(width or 10)).cast("bigint")
+    if kind == "date":
+        return F.unix_date(order).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    if kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
+        return F.col(order).cast("double")
+    return None
+
+
+def order_cuts(df: DataFrame, order: str, chunk_rows: int = CHUNK_ROWS) -> list[float]:
+    """Order values at which chunks of about ``chunk_rows`` rows of ``df`` begin:
+    the least for a small table, at most ``MOST_CHUNKS``.  One aggregate."""
+    number = _order_number(df, order)
+    if number is None:
+        return []
+    grid = [i / MOST_CHUNKS for i in range(1, MOST_CHUNKS)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("least"),
+                 F.percentile_approx(number, grid, 10 * MOST_CHUNKS).alias("cuts")).first()
+    if row["least"] is None:
+        return []
+    chunks = min(MOST_CHUNKS, row["n"] // chunk_rows + 1)
+    return sorted({row["least"], *(row["cuts"][i * MOST_CHUNKS // chunks - 1] for i in range(1, chunks))})
+
+
+def order_chunk(df: DataFrame, order: str, width: int | None = None, cuts: list[float] | None = None) -> Column:
+    """The chunk of a row, growing with the order value: how many ``cuts`` it
+    reaches, or ranges of a fixed ``width`` (months for dates and timestamps).
+    A NULL has a chunk of its own, before all others."""
+    none = F.lit(-(1 << 62)).cast("bigint")
+    if width is not None:
+        dated = df.schema[order].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+        value = F.year(order) * 12 + F.month(order) if dated else F.col(order)
+        return F.coalesce(F.floor(value / F.lit(width)).cast("bigint"), none)
+    number = _order_number(df, order)
+    if number is None or not cuts:
+        return F.when(F.col(order).isNull(), none).otherwise(F.lit(0).cast("bigint"))
+
+    def reached(some: Column) -> Column:
+        return F.size(F.filter(some, lambda x: x <= number))
+
+    step = 64
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    lists = F.array(*[F.array(*[F.lit(float(x)) for x in b]) for b in blocks])
+    block = F.greatest(reached(F.array(*[F.lit(float(b[0])) for b in blocks])) - 1, F.lit(0))
+    return F.when(F.col(order).isNull(), none).otherwise((block * step + reached(F.get(lists, block))).cast("bigint"))
 
 
 def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool = True,
-         start_col: str = "start_date", end_col: str = "end_date",
-         chunk_width: int | None = None) -> DataFrame:
+         start_col: str = "start_date", end_col: str = "end_date", chunk_width: int | None = None,
+         chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(entity, tracked, start_col, end_col): one row per run of equal values.
 
-    ``chunk_width``: order values (months for dates) per chunk, see
-    ``order_chunk``.
+    ``chunk_rows``: rows of the table per chunk, see ``order_cuts``; with
+    ``chunk_width`` chunks are ranges of so many order values (months for dates)
+    and no aggregate is run.
     """
     o, v = F.col(order), F.col(tracked)
-    base = (df.select(entity, order, tracked)
-              .withColumn("_chunk", F.coalesce(order_chunk(df, order, chunk_width), F.lit(-(1 << 62)))))
+    cuts = order_cuts(df, order, chunk_rows) if chunk_width is None else None
+    base = df.select(entity, order, tracked).withColumn("_chunk", order_chunk(df, order, chunk_width, cuts))
 
     w = Window.partitionBy(entity, "_chunk").orderBy(order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (base.withColumn("_rn", F.row_number().over(w))
-                 .withColumn("_prev", F.lag(tracked).over(w))
-                 .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull()))
+    local = base.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag(tracked).over(w))
     local_change = (F.col("_rn") > 1) & _changed(F.col("_prev"), v, null_safe)
-    local = local.withColumn("_loc_start", F.max(F.when(local_change, o)).over(running))
-    local = local.drop("_prev")
-
-    # One row per chunk from plain filters: its first row, and its last row
-    # (whose running ``_loc_start`` is the chunk's last change).
-    firsts = local.where(F.col("_rn") == 1).select(
-        entity, "_chunk", o.alias("_first_o"), v.alias("_first_v"))
-    lasts = local.where(F.col("_is_last")).select(
-        F.col(entity).alias("_e"), F.col("_chunk").alias("_c"), v.alias("_last_v"),
-        F.col("_loc_start").alias("_last_change"))
-    summary = (firsts.join(lasts, F.col(entity).eqNullSafe(F.col("_e")) & (F.col("_chunk") == F.col("_c")))
-                     .drop("_e", "_c"))
+    local = local.withColumn("_loc_start", F.max(F.when(local_change, o)).over(running)).withColumn(
+        "_leads", (F.max(F.when(local_change, F.lit(1))).over(running)).isNull())
+
+    # One row per chunk; no exchange, the rows are partitioned by these keys.  A
+    # leading run has one value and, unless null-safe, perhaps a NULL at its end.
+    leads = F.col("_leads")
+    summary = local.groupBy(entity, "_chunk").agg(
+        F.max(F.when(F.col("_rn") == 1, o)).alias("_first_o"), F.max_by(v, -F.col("_rn")).alias("_first_v"),
+        F.max_by(v, F.col("_rn")).alias("_last_v"), F.max("_loc_start").alias("_last_change"),
+        *[f(F.when(leads & some, x)).alias(f"_{name}_{c}") for name, some in (("value", v.isNotNull()), ("null", v.isNull()))
+          for c, f, x in (("s", F.min, o), ("t", F.max, o), ("n", F.count, F.lit(1)))])
     ws = Window.partitionBy(entity).orderBy("_chunk")
     first_change = (F.lag("_chunk").over(ws).isNull()
                     | _changed(F.lag("_last_v").over(ws), F.col("_first_v"), null_safe))
@@ -89,32 +132,16 @@ def scd2(df: DataFrame, entity: str, order: str, tracked: str, null_safe: bool =
                       .withColumn("_own", F.coalesce(F.col("_last_change"),
                                                      F.when(F.col("_first_change"), F.col("_first_o"))))
                       .withColumn("_inherited", F.last("_own", ignorenulls=True).over(
-                          ws.rowsBetween(Window.unboundedPreceding, -1)))
-                      .select(entity, "_chunk",
-                              F.when(F.col("_first_change"), F.col("_first_o"))
-                               .otherwise(F.col("_inherited")).alias("_lead_island")))
-
-    # Rows after a change inside their chunk already know their island.
-    # Rows before it (the chunk's leading run) share the chunk's island:
-    # they are reduced to one row per (entity, chunk[, value]) first, so the
-    # join with the summary is between two small tables, never the rows.
-    # Grouping by the value too never splits a null-safe island (its values
-    # are all equal) and keeps every aggregate fixed-width (hash aggregate).
-    by_value = [tracked]
-    settled = local.where(F.col("_loc_start").isNotNull()).select(
-        entity, F.col("_loc_start").alias("_island"), tracked,
-        o.alias("_s"), o.alias("_t"))
-    leading = (local.where(F.col("_loc_start").isNull())
-                    .groupBy(entity, "_chunk", *by_value)
-                    .agg(F.min(o).alias("_s"), F.max(o).alias("_t")))
-    l, sm = leading.alias("l"), summary.alias("s")
-    led = (l.join(sm, F.col(f"l.{entity}").eqNullSafe(F.col(f"s.{entity}"))
-                  & (F.col("l._chunk") == F.col("s._chunk")), "inner")
-            .select(F.col(f"l.{entity}").alias(entity), F.col("s._lead_island").alias("_island"),
-                    F.col(f"l.{tracked}").alias(tracked), "l._s", "l._t"))
-
+                          ws.rowsBetween(Window.unboundedPreceding, -1))))
+    island = F.when(F.col("_first_change"), F.col("_first_o")).otherwise(F.col("_inherited"))
+    nothing = F.lit(None).cast(df.schema[tracked].dataType)
+    runs = F.array(*[F.struct(value.alias("v"), F.col(f"_{name}_s").alias("s"), F.col(f"_{name}_t").alias("t"), F.col(f"_{name}_n").alias("n"))
+                     for name, value in (("value", F.col("_first_v")), ("null", nothing))])
+    led = (summary.select(entity, island.alias("_island"), F.explode(runs).alias("_run")).where("_run.n > 0")
+                  .select(entity, "_island", F.col("_run.v").alias(tracked), F.col("_run.s").alias("_s"), F.col("_run.t").alias("_t")))
+    settled = local.where(~leads).select(entity, F.col("_loc_start").alias("_island"), tracked, o.alias("_s"), o.alias("_t"))
     return (settled.unionByName(led)
-                   .groupBy(entity, "_island", *by_value)
+                   .groupBy(entity, "_island", tracked)
                    .agg(F.min("_s").alias(start_col), F.max("_t").alias(end_col))
                    .select(entity, tracked, start_col, end_col))
 

@@ -133,3 +133,35 @@ def test_duplicate_entity_order_is_refused(spark):
     df = spark.createDataFrame([("x", 2001, "A"), ("x", 2001, "B"), ("x", 2002, "A")], SCHEMA)
     with _pytest.raises(ValueError, match="duplicate"):
         quality.assert_unique(df, ["e", "o"])
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "seconds", "double", "string"])
+def test_a_hot_entity_within_one_month_is_split(spark, kind):
+    """Cuts follow the rows, whatever the order column's scale."""
+    ts = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    order = {"timestamp": ts, "seconds": F.unix_seconds(ts), "double": F.col("id") / 7.0, "string": F.lpad(F.col("id").cast("string"), 8, "0")}[kind]
+    hot = spark.range(0, 3000).select(F.lit("hot").alias("e"), order.alias("o"), (F.floor(F.col("id") / 100) % 2).cast("string").alias("v"))
+    far = spark.range(0, 3000).select(F.concat(F.lit("e"), F.col("id") % 300).alias("e"), F.col("id"), F.lit("x").alias("v"))
+    other = far.select("e", {"timestamp": F.timestamp_seconds(F.col("id") * 500_000), "seconds": F.col("id") * 500_000,
+                             "double": F.col("id") * 1000.0, "string": F.lpad(F.col("id").cast("string"), 8, "9")}[kind].alias("o"), "v")
+    df = hot.unionByName(other)
+    out = history.scd2(df, "e", "o", "v", chunk_rows=100)
+    assert rows(out) == rows(history.scd2_windowed(df, "e", "o", "v")) and out.where("e = 'hot'").count() == 30
+    cuts = history.order_cuts(df, "o", 100)
+    sizes = [r["count"] for r in hot.groupBy(history.order_chunk(hot, "o", cuts=cuts).alias("c")).count().collect()]
+    if kind != "string":  # texts have no cuts
+        assert len(sizes) >= 25 and max(sizes) <= 300
+
+
+def test_many_cuts_are_looked_up_in_two_steps(spark):
+    df = spark.range(0, 5000).select(F.col("id").cast("double").alias("o"))
+    cuts = [float(x) for x in range(3, 4999, 7)]
+    got = df.select("o", history.order_chunk(df, "o", cuts=cuts).alias("c")).collect()
+    assert all(r["c"] == sum(x <= r["o"] for x in cuts) for r in got)
+
+
+def test_at_most_five_exchanges(spark):
+    from cumulo.plans.inspect import exchanges
+    df = spark.range(0, 400).select((F.col("id") % 4).alias("e"), F.col("id").cast("int").alias("o"),
+                                    (F.floor(F.col("id") / 100) % 2).cast("string").alias("v"))
+    assert exchanges(history.scd2(df, "e", "o", "v")) <= 5
