@@ -53,7 +53,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.sparkSession.sparkContext._jvm.System.gc()
     path = work_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables of ``stage`` that nothing reads any more: what was made
+    from them is written itself."""
+    for df in staged:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def n_words(text: Column) -> Column:
@@ -61,6 +72,14 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def free_prefix(columns, wanted: str = "_own") -> str:
+    """``wanted``, or with underscores added until no column begins with it."""
+    taken = [c.lower() for c in columns]
+    while any(c.startswith(wanted.lower()) for c in taken):
+        wanted = "_" + wanted
+    return wanted
+
+
 def free_name(columns, wanted: str) -> str:
     """``wanted``, or with underscores added until no column has that name."""
     taken = {c.lower() for c in columns}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulo.llm.common import stage
+from cumulo.llm.common import discard, stage
 
 
 def _ordered(links: DataFrame) -> DataFrame:
@@ -33,7 +33,18 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     moved = near.join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         moved = moved.unionByName(least.select(F.col("n").alias("u"), F.col("m").alias("v")))
-    return stage(_ordered(moved), "star")
+    out = stage(_ordered(moved), "star")
+    discard(least, links)
+    return out
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Does every node point at one other, and nobody at those that point?  The
+    links are done then."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -41,11 +52,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     smallest node reachable.  Links with a null end, loops and repeats are
     ignored; no links give an empty result."""
     now = stage(_ordered(links.select(F.col(a).alias("u"), F.col(b).alias("v")).dropna()), "links")
-    mark = None
-    while True:
-        before, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
-            break
+    while not _are_stars(now):
         now = _star(_star(now, large=True), large=False)
     return (now.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))

@@ -10,12 +10,9 @@ the threshold.  Links are closed by connected components.
 Equal texts are one class from the start.  Nobody emits all pairs of a
 bucket.  Its members are compared with a leader first; then components of the
 links found so far are joined, and only buckets that still hold several
-components go on, members being compared with leaders of other components:
-four of them, at last all, which is for buckets of at most ``SMALL`` members.
-Larger buckets are split by every second band their members have, and the
-parts are compared with a leader too; texts of large buckets that still hold
-several components then meet by their rarest shingles, which is exact: see
-``_rarest``.
+components go on: members of buckets of at most ``SMALL`` with all members of
+other components, texts of larger buckets with those that share one of their
+rarest shingles, which is exact: see ``_rarest`` and ``_by_rarest``.
 """
 
 from __future__ import annotations
@@ -30,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from cumulo.llm import textbuf as tb
-from cumulo.llm.common import free_name, stage
+from cumulo.llm.common import discard, free_name, stage
 from cumulo.llm.components import components
 
 SHINGLE, BANDS, ROWS = 5, 10, 3
@@ -175,8 +172,8 @@ def signatures(docs: DataFrame, keep: list[str], idf, text_col: str = "text") ->
     return rows.mapInArrow(run, schema)
 
 
-def weighted_jaccard(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray:
-    """Of each pair of whole texts; 0 where one has no word."""
+def overlaps(left: pa.Array, right: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weight and sum of both total weights of each pair of whole texts."""
     n = len(left)
     doc, key, weight = [], [], []
     for texts in (left, right):
@@ -189,12 +186,18 @@ def weighted_jaccard(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.nda
     doc, key, weight = doc[order], key[order], weight[order]
     both = (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])
     shared = np.bincount(doc[1:][both], np.minimum(weight[1:], weight[:-1])[both], minlength=n)[:n]
-    total = np.bincount(doc, weight, minlength=n)[:n] - shared
-    return np.divide(shared, total, out=np.zeros(n), where=total > 0)
+    return shared, np.bincount(doc, weight, minlength=n)[:n]
+
+
+def weighted_jaccard(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray:
+    """Of each pair of whole texts; 0 where one has no word."""
+    shared, totals = overlaps(left, right, idf)
+    return np.divide(shared, totals - shared, out=np.zeros(len(shared)), where=totals > shared)
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (``a``, ``b``) whose weighted Jaccard reaches the threshold."""
+def _compared(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """The pairs (``a``, ``b``) with their ``shared`` weight and whether their
+    weighted Jaccard reaches the threshold (``near``)."""
     full = (pairs.hint("merge").join(texts.select(F.col("t").alias("a"), F.col("text").alias("ta")), "a")
             .hint("merge").join(texts.select(F.col("t").alias("b"), F.col("text").alias("tb")), "b")
             .select("a", "b", "ta", "tb"))
@@ -202,40 +205,37 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tb.slices(batch, 2, 4_000_000):
-                near = weighted_jaccard(part.column(2), part.column(3), idf.value) >= threshold
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in part.columns[:2]], names=["a", "b"])
+                shared, totals = overlaps(part.column(2), part.column(3), idf.value)
+                near = np.divide(shared, totals - shared, out=np.zeros(len(shared)), where=totals > shared) >= threshold
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(shared), pa.array(near)],
+                                                 names=["a", "b", "shared", "near"])
         tb.release()
 
-    return full.mapInArrow(run, "a string, b string")
+    return full.mapInArrow(run, "a string, b string, shared double, near boolean")
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(``band``, ``t``, ``small``) of every bucket that several texts share:
-    single bands, and pairs of bands for members of large ones."""
-
-    def shared(rows: DataFrame, name: str) -> DataFrame:
-        size = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-        return stage(rows.join(stage(size, "band-sizes"), "band").select("band", "t", (F.col("n") <= SMALL).alias("small")), name)
-
-    single = shared(classes.select("t", F.explode("bands").alias("band")), "band-members")
-    of_text = single.filter("not small").groupBy("t").agg(F.sort_array(F.collect_list("band")).alias("bands"))
-    pairs = of_text.select("t", F.explode("bands").alias("x"), "bands").select(
-        "t", "x", F.explode("bands").alias("y")).filter("x < y").select(F.xxhash64("x", "y").alias("band"), "t")
-    return single.unionByName(shared(pairs, "band-pair-members"))
+    """(``band``, ``t``, ``small``) of every bucket that several texts share."""
+    bands = stage(classes.select("t", F.explode("bands").alias("band")), "bands")
+    size = stage(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band-sizes")
+    members = stage(bands.join(size, "band").select("band", "t", (F.col("n") <= SMALL).alias("small")), "band-members")
+    discard(bands, size)
+    return members
 
 
 def _rarest(texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """(``band``, ``t``, ``rest``, ``total``): buckets of texts by their rarest
-    shingles, such that any two texts that link share one.
+    """(``band``, ``t``, ``rest``, ``total``, ``common``): buckets of texts by
+    their rarest shingles, such that any two texts that link share one.
 
     All shingles are ordered by how many of ``texts`` have them; ``rest`` is
     the weight of a text's shingles from the one of the bucket on, ``total``
-    that of all.  Linked texts share at least
-    threshold / (1 + threshold) x (the sum of their totals), all of it from
-    their first common shingle on, so both have that much left there.  A
-    text's partner weighs between threshold and 1 / threshold times as much;
-    a bucket is for two classes of totals, which bounds the sum from below.
-    What many texts share comes last and is hardly ever in a bucket.
+    that of all, ``common`` that of those which another text has too.  Linked
+    texts share at least threshold / (1 + threshold) x (the sum of their
+    totals), all of it from their first common shingle on, so both have that
+    much left there.  A text's partner weighs between threshold and
+    1 / threshold times as much; a bucket is for two classes of totals, which
+    bounds the sum from below.  What many texts share comes last and is hardly
+    ever in a bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,6 +253,7 @@ def _rarest(texts: DataFrame, idf, threshold: float) -> DataFrame:
     often = stage(rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"), "shared-shingles")
     back = Window.partitionBy("t").orderBy(F.desc("n"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
     placed = (rows.hint("merge").join(often, "shingle").withColumn("rest", F.sum("weight").over(back))
+              .withColumn("common", F.sum("weight").over(Window.partitionBy("t")))
               .filter(F.col("rest") >= F.col("total") * (threshold * (1 - SLACK))))
 
     def class_of(total):
@@ -260,55 +261,110 @@ def _rarest(texts: DataFrame, idf, threshold: float) -> DataFrame:
 
     low, total = threshold * (1 - SLACK), F.col("total")
     least = F.greatest(F.pow(F.lit(CLASS), F.col("other")), total * threshold)
-    return (placed.withColumn("own", class_of(total))
-            .withColumn("other", F.explode(F.sequence(class_of(total * low), class_of(total / low))))
-            .filter(_enough(F.col("rest"), total + least, threshold))
-            .select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("band"), "t", "rest", "total"))
-
-
-def _enough(rest, totals, threshold: float):
-    return rest >= totals * (threshold / (1 + threshold) * (1 - SLACK))
-
-
-def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` (``band``, ``t``, ...) of buckets that hold several components of
-    ``links``, with the ``root`` of ``t``."""
-    root = stage(components(links), "near-roots")
-    known = rows.join(root.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
-    bands = known.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    return stage(known.join(bands.select("band"), "band"), "open-buckets")
-
-
-def _links(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """Pairs of texts (``a``, ``b``) that link, enough to hold every component together."""
-
-    def check(candidates: DataFrame) -> DataFrame:
-        pairs = candidates.select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct()
-        return stage(_linked(stage(pairs, "pairs"), texts, idf, threshold), "near-links")
-
-    def compared(rows: DataFrame, links: DataFrame) -> DataFrame:
-        """``links`` and those of the buckets' members (``band``, ``t``, ``rest``,
-        ``total``) with leaders, then with all members of other components."""
-        for leaders in (4, None):
-            rows = _open(rows, links)
-            led = rows.select("band", *[F.col(c).alias(f"leader_{c}") for c in ("root", "rest", "total")], F.col("t").alias("leader"))
-            if leaders:
-                led = led.groupBy("band", F.pmod(F.xxhash64("leader"), F.lit(leaders)).alias("part")).agg(
-                    F.min(F.struct("leader", "leader_root", "leader_rest", "leader_total")).alias("x")).select("band", "x.*")
-            near = rows.join(stage(led, "leaders"), "band").filter("root <> leader_root").filter(
-                _enough(F.least("rest", "leader_rest"), F.col("total") + F.col("leader_total"), threshold))
-            links = links.unionByName(check(near))
-            rows = rows.drop("root")
-        return links
-
+    found = stage(placed.withColumn("own", class_of(total))
+                  .withColumn("other", F.explode(F.sequence(class_of(total * low), class_of(total / low))))
+                  .filter(_enough(F.col("rest"), total + least, threshold))
+                  .select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("band"),
+                          "t", "rest", "total", "common"), "rare-shingles")
+    discard(rows, often)
+    return found
+
+
+def _enough(shared, totals, threshold: float):
+    """May texts that share at most so much link?"""
+    return shared >= totals * (threshold / (1 + threshold) * (1 - SLACK))
+
+
+class _Links:
+    """Links found so far, their components, and what pairs are compared with."""
+
+    def __init__(self, texts: DataFrame, idf, threshold: float):
+        self.texts, self.idf, self.threshold = texts, idf, threshold
+        self.found: DataFrame | None = None
+        self._roots: DataFrame | None = None
+
+    def check(self, candidates: DataFrame) -> DataFrame:
+        """Compare candidates (``t``, ``leader``), keep those that link; all of
+        them with their shared weight."""
+        pairs = stage(candidates.select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct(), "pairs")
+        done = stage(_compared(pairs, self.texts, self.idf, self.threshold), "compared-pairs")
+        discard(pairs)
+        near = done.filter("near").select("a", "b")
+        if self.found is None:
+            self.found, self._roots = near, None
+        elif not near.isEmpty():
+            self.found, self._roots = self.found.unionByName(near), None
+        return done
+
+    def roots(self) -> DataFrame:
+        """(``node``, ``root``) of the texts that have a link."""
+        if self._roots is None:
+            self._roots = stage(components(self.found), "near-roots")
+        return self._roots
+
+    def open(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (``band``, ``t``, ...) of buckets that hold several
+        components, with the ``root`` of ``t``."""
+        known = rows.join(self.roots().withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
+        bands = known.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        return stage(known.join(bands.select("band"), "band"), "open-buckets")
+
+
+def _to_the_end(members: DataFrame, links: _Links) -> None:
+    """Buckets of bounded size (``band``, ``t``): members meet all members of
+    other components."""
+    rows = links.open(members)
+    other = rows.select("band", F.col("root").alias("other_root"), F.col("t").alias("leader"))
+    links.check(rows.join(other, "band").filter((F.col("root") != F.col("other_root")) & (F.col("t") < F.col("leader")))
+                .select("t", "leader"))
+    discard(rows)
+
+
+def _by_rarest(rows: DataFrame, links: _Links) -> None:
+    """Buckets of any size (see ``_rarest``).
+
+    Every member meets the bucket's most central text first, the one with the
+    least that no other text has: copies of one original with edits of their
+    own mostly link to it.  Then pairs of different components meet, as far as
+    their weights allow a link: what two texts share is at most what one
+    shares with the leader plus what the other, besides that with the leader,
+    shares with anybody.  Texts that missed the leader hardly pass that.
+    """
+    threshold = links.threshold
+    first = links.open(rows)
+    central = stage(first.groupBy("band").agg(F.max(F.struct((F.col("common") / F.col("total")).alias("c"), "t")).alias("x"))
+                    .select("band", F.col("x.t").alias("leader")), "central-texts")
+    led = stage(first.drop("root").join(central, "band"), "led-texts")
+    met = links.check(led.filter("t <> leader").select("t", "leader"))
+    shared = met.select(F.col("a").alias("t"), F.col("b").alias("leader"), "shared").unionByName(
+        met.select(F.col("b").alias("t"), F.col("a").alias("leader"), "shared"))
+    known = stage(led.join(shared, ["t", "leader"], "left").withColumn(
+        "through", F.coalesce("shared", F.when(F.col("t") == F.col("leader"), F.col("total"))))
+        .select("band", "t", "rest", "total", "through", (F.col("common") - F.col("through")).alias("beside")), "rare-texts")
+    left = links.open(known)
+    other = left.select("band", *[F.col(c).alias(f"other_{c}") for c in ("t", "root", "rest", "total", "through", "beside")])
+    at_most = F.least("rest", "other_rest", F.col("through") + F.greatest(F.lit(0.0), "other_beside"),
+                      F.col("other_through") + F.greatest(F.lit(0.0), "beside"))
+    links.check(left.join(other, "band").filter(
+        (F.col("t") < F.col("other_t")) & (F.col("root") != F.col("other_root"))
+        & _enough(at_most, F.col("total") + F.col("other_total"), threshold)).select("t", F.col("other_t").alias("leader")))
+    discard(first, central, led, known, left)
+
+
+def _links(members: DataFrame, texts: DataFrame, idf, threshold: float) -> _Links:
+    """Links between texts, enough to hold every component together."""
+    links = _Links(texts, idf, threshold)
     first = stage(members.groupBy("band").agg(F.min("t").alias("leader")), "leaders")
-    links = check(members.join(first, "band").filter("t <> leader"))
-    anywhere = F.lit(0.0)  # nothing is known of where members of a band bucket agree
-    links = compared(members.filter("small").select("band", "t", anywhere.alias("rest"), anywhere.alias("total")), links)
-    rest = stage(_open(members.filter("not small").select("band", "t"), links).select("t").distinct(), "open-texts")
-    if rest.isEmpty():
-        return links
-    return compared(stage(_rarest(texts.join(rest.hint("merge"), "t", "left_semi"), idf, threshold), "rare-shingles"), links)
+    links.check(members.join(first, "band").filter("t <> leader"))
+    discard(first)
+    _to_the_end(members.filter("small").select("band", "t"), links)
+    rest = stage(links.open(members.filter("not small").select("band", "t")).select("t").distinct(), "open-texts")
+    if not rest.isEmpty():
+        rare = _rarest(texts.join(rest.hint("merge"), "t", "left_semi"), idf, threshold)
+        _by_rarest(rare, links)
+        discard(rare)
+    discard(rest)
+    return links
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,7 +394,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
                   .join(wanted.hint("merge"), ["t", "id"], "left_semi").dropDuplicates(["t", "id"]).select("t", "text"), "texts")
     links = _links(members, texts, idf, threshold)
     root = classes.select("t", "id", "n")
-    known = components(links).withColumnRenamed("node", "t")
+    known = links.roots().withColumnRenamed("node", "t")
     root = stage(root.join(known, "t", "left").select("t", "id", "n", F.coalesce("root", "t").alias("root")), "text-roots")
     groups = root.groupBy("root").agg(F.min("id").alias("least"), F.sum("n").alias("n_members"))
     # of texts that share the least id the one with the least key stays
