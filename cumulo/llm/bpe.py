@@ -29,6 +29,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType
 from tokenizers import normalizers, pre_tokenizers
 
 from cumulo.llm import textbuf as tb
+from cumulo.llm.common import free_name
 
 _LITTLE = sys.byteorder == "little"
 
@@ -198,10 +199,12 @@ def encode(docs: DataFrame, path: str, keep: list[str], text_col: str = "text")
     (the ids decoded again, special tokens kept) of every whole text.
 
     Null text counts as empty: no ids, decoded ''.  Repeated rows give
-    repeated results, an empty table an empty one.  No shuffle.
+    repeated results, an empty table an empty one.  Results take the place of
+    kept columns of their names.  No shuffle.
     """
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = (rows.drop("_text").schema.add("n_tokens", LongType())
+    keep = [c for c in keep if c.lower() not in ("n_tokens", "ids", "decoded")]
+    rows = docs.select(*keep, F.col(text_col).alias(free_name(keep, "_text")))
+    schema = (docs.select(*keep).schema.add("n_tokens", LongType())
               .add("ids", BinaryType()).add("decoded", StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cumulo.llm import textbuf as tb
-from cumulo.llm.common import stage
+from cumulo.llm.common import free_name, free_prefix, stage
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -83,7 +83,8 @@ def document_counts(docs: DataFrame, keep: list[str], text_col: str = "text") ->
         return pa.StructArray.from_arrays(
             [pa.array(np.concatenate([p[c] for p in parts])) for c in COUNTS], names=list(COUNTS))
 
-    return docs.select(*keep, counts(F.col(text_col)).alias("_counts")).select(*keep, "_counts.*")
+    own = free_name(keep, "_counts")
+    return docs.select(*keep, counts(F.col(text_col)).alias(own)).select(*keep, f"{own}.*")
 
 
 def base_failed(min_words: int = 50, max_repeat_pct: int = 50) -> Column:
@@ -123,9 +124,13 @@ def host_verdicts(counted: DataFrame, host_col: str, max_rate: float = 0.5) -> D
 
 
 def judge(docs: DataFrame, keep: list[str], host_col: str = "source", text_col: str = "text",
-          max_rate: float = 0.5) -> DataFrame:
+          max_rate: float = 0.5, count_once: bool = True) -> DataFrame:
     """``keep`` columns, COUNTS, ``base_failed``, the host's figures and ``kept``.
 
+    Counts are needed for the hosts and for the documents: with ``count_once``
+    they are written with the kept columns in between, else (for wide kept
+    columns, such as the text itself) texts are counted twice.
+
     Null or empty text has no words and fails; null hosts form one host;
     repeated rows are judged (and counted) each; an empty table gives an empty
     result.
@@ -133,10 +138,13 @@ def judge(docs: DataFrame, keep: list[str], host_col: str = "source", text_col:
     clash = [c for c in keep if c in COUNTS or c.startswith("host_") or c in ("base_failed", "kept")]
     if clash:
         raise ValueError(f"columns {clash} of the input clash with results; leave them out of keep")
-    counted = document_counts(docs.withColumn("_h", F.col(host_col)), [*keep, "_h"], text_col)
-    hosts = host_verdicts(counted, "_h", max_rate)
+    own = f"{free_prefix(docs.columns)}_host"
+    counted = document_counts(docs.withColumn(own, F.col(host_col)), [*keep, own], text_col)
+    if count_once:
+        counted = stage(counted, "document-counts")
+    hosts = host_verdicts(counted, own, max_rate).withColumnRenamed("_host", f"{own}_verdict")
     failed = base_failed()
-    return (counted.join(hosts, F.col("_h").eqNullSafe(F.col("_host")))
+    return (counted.join(hosts, F.col(own).eqNullSafe(F.col(f"{own}_verdict")))
             .select(*keep, *COUNTS, failed.alias("base_failed"), "host_docs", "host_failures",
                     "host_rate", (~failed & F.col("host_ok")).alias("kept")))
 
@@ -144,5 +152,5 @@ def judge(docs: DataFrame, keep: list[str], host_col: str = "source", text_col:
 def passing(docs: DataFrame, host_col: str = "source", text_col: str = "text", **params) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their own columns."""
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
-    kept = judge(rows, ["row"], f"row.`{host_col}`", f"row.`{text_col}`", **params).filter("kept")
+    kept = judge(rows, ["row"], f"row.`{host_col}`", f"row.`{text_col}`", count_once=False, **params).filter("kept")
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

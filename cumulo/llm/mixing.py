@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cumulo.llm.common import WORD, n_words
+from cumulo.llm.common import WORD, free_prefix, n_words
 
 #: Hex digits of the range number: 16**3 ranges per source.
 RANGE_DIGITS = 3
@@ -57,8 +57,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
         source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: how many of its words the mix takes.
 
-    Returns all input columns (of other names) plus ``mix_size`` (words), ``mix_source_size``,
-    ``mix_target``, ``mix_epochs`` (whole repeats) and ``mix_taken``.  Each
+    Returns all input columns plus ``mix_size`` (words), ``mix_source_size``,
+    ``mix_target``, ``mix_epochs`` (whole repeats) and ``mix_taken``, in place of
+    input columns of these names.  Each
     source's taken words sum to exactly floor(target): whole epochs over the
     source, then documents in key order up to the budget; the document at the
     cut is taken in part.
@@ -68,30 +69,33 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     ties in the key are ordered by id and size, so the multiset of results is
     the same on every run.  An empty table gives an empty result.
     """
-    src, key = F.col(source_col), F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    sized = docs.select("*", n_words(F.col(text_col)).alias("mix_size"), key.alias("_key"),
-                        F.substring(key, 1, RANGE_DIGITS).alias("_range"))
-    ranges = (sized.groupBy(src.alias("_src"), F.col("_range").alias("_rng"))
-              .agg(F.sum("mix_size").alias("_n")))
+    new = ("mix_size", "mix_source_size", "mix_target", "mix_epochs", "mix_taken")
+    own = free_prefix(docs.columns)  # input columns may have any name
+    size, key, rng, src, before, offset = (f"{own}_{c}" for c in ("size", "key", "range", "source", "before", "offset"))
+    kept = [c for c in docs.columns if c.lower() not in new]
+    hashed = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    sized = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(id_col).alias(f"{own}_id"), F.col(source_col).alias(src),
+                        n_words(F.col(text_col)).alias(size), hashed.alias(key), F.substring(hashed, 1, RANGE_DIGITS).alias(rng))
+    ranges = sized.groupBy(F.col(src).alias("_src"), F.col(rng).alias("_rng")).agg(F.sum(size).alias("_n"))
     targets = source_targets(
         ranges.groupBy("_src").agg(F.sum("_n").alias("_src_size")), weights, share, max_epochs)
     upto = Window.partitionBy("_src").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranges.select("_src", "_rng", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_offset"))
                .withColumnRenamed("_src", "_s")
                .join(targets, F.col("_s").eqNullSafe(F.col("_src"))).drop("_s"))
-    within = (Window.partitionBy(src, "_range").orderBy("_key", id_col, "mix_size")
+    offsets = offsets.select(*[F.col(c).alias(f"{offset}{c}") for c in offsets.columns])
+    within = (Window.partitionBy(src, rng).orderBy(key, f"{own}_id", size)
               .rowsBetween(Window.unboundedPreceding, -1))
-    budget = F.floor("_target").cast("long")
-    epochs = F.when(F.col("_src_size") > 0, F.floor(budget / F.col("_src_size"))).otherwise(0).cast("long")
-    before = F.col("_offset") + F.col("_before")
-    part = F.least(F.col("mix_size"), F.greatest(
-        F.lit(0).cast("long"), budget - epochs * F.col("_src_size") - before))
-    return (sized.withColumn("_before", F.coalesce(F.sum("mix_size").over(within), F.lit(0)))
-            .join(offsets, src.eqNullSafe(F.col("_src")) & (F.col("_range") == F.col("_rng")))
-            .select(*[F.col(c) for c in docs.columns], "mix_size",
-                    F.col("_src_size").alias("mix_source_size"), F.col("_target").alias("mix_target"),
-                    epochs.alias("mix_epochs"),
-                    (epochs * F.col("mix_size") + part).alias("mix_taken")))
+    source_size, target = F.col(f"{offset}_src_size"), F.col(f"{offset}_target")
+    budget = F.floor(target).cast("long")
+    epochs = F.when(source_size > 0, F.floor(budget / source_size)).otherwise(0).cast("long")
+    ahead = F.col(f"{offset}_offset") + F.col(before)
+    part = F.least(F.col(size), F.greatest(F.lit(0).cast("long"), budget - epochs * source_size - ahead))
+    return (sized.withColumn(before, F.coalesce(F.sum(size).over(within), F.lit(0)))
+            .join(offsets, F.col(src).eqNullSafe(F.col(f"{offset}_src")) & (F.col(rng) == F.col(f"{offset}_rng")))
+            .select(*[F.col(f"`{c}`") for c in kept], F.col(size).alias("mix_size"),
+                    source_size.alias("mix_source_size"), target.alias("mix_target"),
+                    epochs.alias("mix_epochs"), (epochs * F.col(size) + part).alias("mix_taken")))
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",

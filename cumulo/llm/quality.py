@@ -78,7 +78,8 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """BUCKETS x (DIM + 1) floats: unit word vectors and pooling weights."""
-    rows = context_sums(docs, text_col).toPandas()  # BUCKETS rows at most
+    # BUCKETS rows at most, in one order, so that sums agree on every run
+    rows = context_sums(docs, text_col).toPandas().sort_values("bucket")
     out = np.zeros((BUCKETS, DIM + 1), np.float32)
     if len(rows):
         n = rows["n"].to_numpy(float)
@@ -191,13 +192,15 @@ def score(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col:
     ``sample``: bounded labelled rows (``doc_id``, ``label``) to learn from,
     see ``labels.sample``.  Null and empty texts have zero features and the
     score the network gives those; ids play no part in a score; repeated rows
-    are scored each.  With no labelled row of both classes the score is the
+    are scored each; of several rows of a labelled id one is learnt from.  With no labelled row of both classes the score is the
     share of label 1 (0.5 without labels).
     """
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     pooled = stage(features(docs, ["_id"], word_vectors(docs, "_text"), "_text"), "quality-features")
     train = (pooled.join(F.broadcast(sample.select(F.col("doc_id").alias("_id"), "label")), "_id")
-             .toPandas().sort_values(["_id"], kind="stable"))  # at most TRAIN_ROWS ids
+             # one row of an id, the one of least features: at most TRAIN_ROWS rows
+             .groupBy("_id").agg(F.min(F.struct(F.xxhash64("features"), "features", "label")).alias("x"))
+             .select("_id", "x.features", "x.label").toPandas().sort_values(["_id"], kind="stable"))
     y = train["label"].to_numpy()
     if len(set(y)) > 1:
         net = Network().fit(np.array(train["features"].tolist(), np.float32), y)

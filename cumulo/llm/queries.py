@@ -54,12 +54,26 @@ named AS (
     WHEN regexp_matches(tag, '(?is)^<link\s[^>]*rel\s*=\s*["'']?canonical\b')
       THEN regexp_extract(tag, '(?is)href\s*=\s*["'']?([^"''\s>]+)', 1)
     WHEN regexp_matches(tag, '(?is)^<meta\s[^>]*http-equiv\s*=\s*["'']?refresh\b')
-      THEN regexp_extract(tag, '(?is)url\s*=\s*["'']?([^"''\s>;]+)', 1) END AS t FROM raw),
+      THEN regexp_extract(tag, '(?is)url\s*=\s*["'']?((?:&amp;|[^"''\s>;])+)', 1) END AS t FROM raw),
+parts AS (
+  SELECT url, t, regexp_extract(url, '^([^/?#]*)://', 1) AS scheme, {_sql_host("url")} AS h, {_sql_path("url")} AS p,
+         regexp_extract(t, '^[^?#]*') AS place, regexp_extract(t, '[?#].*$') AS rest
+  FROM (SELECT url, replace(t, '&amp;', '&') AS t FROM named WHERE t IS NOT NULL)),
+placed AS (
+  SELECT *, CASE WHEN starts_with(t, '/') THEN place
+                 ELSE CASE WHEN p = '' THEN '/' ELSE regexp_replace(p, '[^/]*$', '') END || place END AS whole FROM parts),
+straight AS (
+  SELECT *, array_to_string(list_reduce(list_transform(string_split(whole, '/'), lambda s: [s]),
+    lambda x, y: CASE WHEN y[1] = '.' THEN x WHEN y[1] = '..' THEN x[1:greatest(len(x) - 1, 1)] ELSE list_concat(x, y) END), '/') AS w
+  FROM placed),
 linked AS (
-  SELECT url, CASE WHEN starts_with(t, '//') THEN regexp_extract(url, '^([^/?#]*)://', 1) || ':' || t
-                   WHEN starts_with(t, '/') THEN regexp_extract(url, '^([^/?#]*)://', 1) || '://' || {_sql_host("url")} || t
-                   ELSE t END AS target
-  FROM named WHERE t IS NOT NULL),
+  SELECT url, CASE WHEN t = '' OR starts_with(t, '#') THEN NULL
+                   WHEN starts_with(t, '//') THEN scheme || ':' || t
+                   WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+                   WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+                   WHEN starts_with(t, '?') THEN scheme || '://' || h || p || t
+                   ELSE scheme || '://' || h || w || rest END AS target
+  FROM straight),
 link AS (
   SELECT {_sql_node("url")} AS a, {_sql_node("target")} AS b FROM linked WHERE {_sql_host("target")} <> ''),
 both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),

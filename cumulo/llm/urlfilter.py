@@ -54,20 +54,41 @@ def rule_of(url: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     return found
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments."""
+    return F.array_join(F.aggregate(
+        F.split(path, "/"), F.array().cast("array<string>"),
+        lambda done, s: F.when(s == ".", done).when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(s)))), "/")
+
+
+def resolve(url: Column, link: Column) -> Column:
+    """The absolute url of a link on the page ``url``; null for links to the page
+    itself and other schemes' (``mailto:``).  ``&amp;`` is decoded."""
+    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
+    scheme, own = F.regexp_extract(url, r"^([^/?#]*)://", 1), path(url)
+    site = F.concat(scheme, F.lit("://"), host(url))
+    rest, place = F.regexp_extract(link, r"[?#].*$", 0), F.regexp_extract(link, r"^[^?#]*", 0)
+    folder = F.when(own == "", F.lit("/")).otherwise(F.regexp_replace(own, r"[^/]*$", ""))
+    return (F.when((link == "") | F.startswith(link, F.lit("#")), F.lit(None).cast("string"))
+            .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+            .when(F.startswith(link, F.lit("?")), F.concat(site, own, link))
+            .when(F.startswith(link, F.lit("/")), F.concat(site, _without_dots(place), rest))
+            .otherwise(F.concat(site, _without_dots(F.concat(folder, place)), rest)))
+
+
 def targets(url: Column, html: Column) -> Column:
     """Array of the absolute urls that a page names as its canonical link or
-    redirects to; root-relative ones are completed."""
+    redirects to; relative ones are resolved against the page's url."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\s[^>]*>"), F.lit(0))
     canon = F.filter(tags, lambda t: t.rlike(r"(?is)^<link\s[^>]*rel\s*=\s*[\"']?canonical\b"))
     moved = F.filter(tags, lambda t: t.rlike(r"(?is)^<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh\b"))
     found = F.concat(
         F.transform(canon, lambda t: F.regexp_extract(t, r"(?is)href\s*=\s*[\"']?([^\"'\s>]+)", 1)),
-        F.transform(moved, lambda t: F.regexp_extract(t, r"(?is)url\s*=\s*[\"']?([^\"'\s>;]+)", 1)))
-    scheme = F.regexp_extract(url, r"^([^/?#]*)://", 1)
-    full = F.transform(found, lambda t: (
-        F.when(F.startswith(t, F.lit("//")), F.concat(scheme, F.lit(":"), t))
-        .when(F.startswith(t, F.lit("/")), F.concat(scheme, F.lit("://"), host(url), t)).otherwise(t)))
-    return F.filter(full, lambda t: host(t) != "")
+        F.transform(moved, lambda t: F.regexp_extract(t, r"(?is)url\s*=\s*[\"']?((?:&amp;|[^\"'\s>;])+)", 1)))
+    return F.filter(F.transform(found, lambda t: resolve(url, t)), lambda t: host(t) != "")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: str = "page_id",

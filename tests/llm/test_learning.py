@@ -65,3 +65,76 @@ def test_threshold_of_best_f1():
     p, y = np.array([0.1, 0.2, 0.6, 0.9]), np.array([0, 0, 1, 1])
     assert 0.2 < toxicity.best_threshold(p, y) <= 0.6
     assert toxicity.best_threshold(p, np.zeros(4, int)) == 0.5
+
+
+def test_languages_with_few_rows_take_the_common_threshold():
+    rng = np.random.default_rng(4)
+    y = (rng.random(1000) < 0.3).astype(int)
+    p = np.clip(y * 0.5 + rng.random(1000) * 0.6, 0, 1)
+    langs = np.array(["en"] * 900 + ["fr"] * 98 + ["de"] * 2)
+    y[900:998] = 0
+    y[998:] = [0, 1]
+    own = toxicity.language_thresholds(p, y, langs)
+    assert set(own) == {"en"} and own["en"] == toxicity.best_threshold(p[:900], y[:900])
+
+
+def test_repeated_labelled_ids_give_one_row(spark):
+    """However many rows an id has, and in whatever order, one is learnt from."""
+    docs = [(i, f"word{i % 7} text {i} " * 9, "en") for i in range(60)]
+    more = [(3, f"other text {k} " * 5, "en") for k in range(200)]
+    some = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, label int")
+    for module in (quality, toxicity):
+        a, b = (module.score(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(n), some).collect()
+                for rows, n in ((docs + more, 3), (more[::-1] + docs[::-1], 5)))
+        assert {(r["doc_id"], round(r["score"], 9)) for r in a} == {(r["doc_id"], round(r["score"], 9)) for r in b}
+
+
+def test_convolution_against_plain_loops():
+    import pyarrow as pa
+    net = toxicity.Cnn()
+    net.out += 0.3
+    texts = ["", "one", "two words", "a b c d e f g", "x!? 12ab Ab " * 40, None]
+    ids, offs = toxicity.token_ids(pa.array(texts))
+    want = []
+    for a, b in zip(offs, offs[1:]):
+        doc = [net.table[i] + net.table[j] for i, j in ids[a:b]]
+        hidden = []
+        for w, weight in zip(toxicity.WIDTHS, net.filters):
+            best = np.full(toxicity.FILTERS, 0.0)  # a place of padding alone is seen by every filter
+            for at in range(len(doc)):
+                r = sum((doc[at + j] @ weight[j] for j in range(w) if at + j < len(doc)), np.zeros(toxicity.FILTERS))
+                best = np.maximum(best, r)
+            hidden.append(np.maximum(best, 0))
+        want.append(float(np.concatenate(hidden) @ net.out + net.bias[0]))
+    assert np.allclose(net.logits(ids, offs), want, atol=1e-4)
+
+
+def test_word_vectors_and_pooling_against_plain_loops(spark):
+    import pyarrow as pa
+    texts = ["a b c a b", "b", "", None, "c c c d", "a b c d e f g h i j"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    ids, doc, n = quality.bucket_ids(pa.array(texts))
+    got = {r["bucket"]: r["n"] for r in quality.context_sums(docs).collect()}
+    assert got == {int(b): int((ids == b).sum()) for b in set(ids.tolist())} and n == len(texts)
+    vectors = quality.word_vectors(docs)
+    x = quality.pool(pa.array(texts), vectors)
+    for d in range(n):
+        mine = [vectors[i] for i, k in zip(ids, doc) if k == d]
+        if not mine:
+            assert not x[d].any()
+            continue
+        weight = np.array([v[quality.DIM] for v in mine], float)
+        vec = np.array([v[:quality.DIM] for v in mine], float)
+        mean = (vec * weight[:, None]).sum(0) / weight.sum()
+        spread = np.sqrt(np.maximum((vec * vec * weight[:, None]).sum(0) / weight.sum() - mean ** 2, 0))
+        near = [float(a @ b) for a, b in zip(vec, vec[1:])]
+        want = np.concatenate([mean, spread, [weight.mean(), sum(near) / max(len(mine) - 1, 1)]])
+        assert np.allclose(x[d], want, atol=2e-3)
+    rng = np.random.default_rng(5)
+    net = quality.Network().fit(rng.normal(size=(200, 6)), np.arange(200) % 2)
+    row = rng.normal(size=6)
+    a, b, c, e = net.params
+    scaled = [min(max((v - m) / s, -8), 8) for v, m, s in zip(row, net.mean, net.std)]
+    hidden = [np.tanh(sum(scaled[i] * a[i, j] for i in range(6)) + b[j]) for j in range(net.hidden)]
+    z = (sum(h * w for h, w in zip(hidden, c)) + e[0]) / net.temperature
+    assert net.probability(row[None])[0] == pytest.approx(1 / (1 + np.exp(-z)))

@@ -44,6 +44,42 @@ def test_blocks_reach_aliases_and_allow_wins(spark):
     assert [got[i][3] for i in (1, 2, 3, 4, 5, 6, 7)] == ["block", "block", "block", "block", "allow", "allow", "allow"]
 
 
+def test_relative_links_and_entities(spark):
+    canon = '<link rel="canonical" href="{}">'.format
+    moved = "<META http-equiv=refresh content='0; url={}'>".format
+    links = {1: ("http://c.net/es/a", ""), 2: ("http://b.org/x/2", canon("f.html")), 3: ("http://b.org/x/f.html", moved("//c.net/es/a")),
+             4: ("http://d.org/q", canon("?a=1&amp;b=2")), 5: ("http://d.org/q?a=1&b=2", canon("http://c.net/es/a")),
+             6: ("http://e.org", canon("./x/../../y/")), 7: ("http://e.org/y", canon("http://c.net/es/a#z")),
+             8: ("http://f.org/8", canon("#top") + canon("mailto:x@c.net/es/") + canon("javascript://c.net/es/a")[:0]),
+             9: ("http://g.org/a/b/c?q=/x/", moved("../../z?u=1&amp;v=2#s")), 10: ("http://g.org/z?u=1&v=2", canon("http://c.net/es/a")),
+             11: ("http://h.org/a/", canon("..")), 12: ("http://h.org/", canon("http://c.net/es/a")), 13: ("http://i.org/1", canon(""))}
+    got = verdicts(urlfilter.judge(page(spark, [(i, u, h, "", "") for i, (u, h) in links.items()]), RULES))
+    assert {i: v[3] for i, v in got.items()} == {i: "allow" if i in (8, 13) else "block" for i in links}
+
+
+def test_link_oracle_sees_relative_links(spark, tmp_path):
+    import duckdb
+    from cumulo.llm.queries import OP1_SQL, op1_urls
+    rng = __import__("random").Random(8)
+    paths = ["", "/", "/es/", "/es/x", "/fr/1", "/en/1", "/a/b/c", "/a/b/"]
+    made = ["x", "../x", "./", "?q=1", "?q=1&amp;r=2", "#s", "/es/x", "//n{}.net/es/", "../../fr/1?z#y", "mailto:a@b", "http://n{}.net/es/x", "", "a/./b/../c",
+            "HTTPS://O{}.org/a"]
+    rows = []
+    for i in range(400):
+        tag = rng.choice(['<link rel="canonical" href="{}">', "<link href='{}' rel=canonical>", "<META http-equiv='refresh' content='0; URL={}'>", "{}"])
+        host = rng.choice(["n{}.net", "o{}.org", "O{}.org", "www.example.com", "example.com"]).format(i // 4)
+        link = tag.format(rng.choice(made).format(i // 4))
+        rows.append((i, f"http://{host}{rng.choice(paths)}{rng.choice(['', '?q=1', '?utm_a=1', '#f'])}", f"<p>{link}</p>"))
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = db.execute(OP1_SQL).fetchall()
+    got = op1_urls(spark, str(tmp_path))
+    names = [d[0] for d in db.description]
+    assert sorted(map(repr, (tuple(r[c] for c in names) for r in got.collect()))) == sorted(map(repr, want))
+    assert sum(r["alias_of_block"] for r in got.collect()) > 20
+
+
 def test_empty_pages(spark):
     assert urlfilter.judge(page(spark, []), RULES).count() == 0
 
@@ -101,6 +137,41 @@ def test_mixed_rows_keep_columns_and_clashing_names(spark):
     assert mixing.mixed_rows(frame(spark, [])).count() == 0 and mixing.mix(frame(spark, []).drop("mix_size")).count() == 0
 
 
+CLASHING = ("_key", "_range", "_src", "_rng", "_offset", "_target", "_own", "_own_key", "_before", "mix_size", "MIX_taken", "_h", "_host",
+            "_counts", "_text", "ids")
+
+
+def clashing(spark):
+    docs = frame(spark)
+    docs = docs.select("doc_id", "text", "lang", "source")
+    for i, c in enumerate(CLASHING):
+        docs = docs.withColumn(c, docs["doc_id"] * 100 + i)
+    return docs
+
+
+def test_mix_with_clashing_names(spark):
+    docs = clashing(spark)
+    got, plain = mixing.mix(docs), mixing.mix(frame(spark).select("doc_id", "text", "lang", "source"))
+    kept = [c for c in docs.columns if c.lower() not in ("mix_size", "mix_taken")]
+    new = ["mix_size", "mix_source_size", "mix_target", "mix_epochs", "mix_taken"]
+    assert got.columns == kept + new
+    key = lambda df: sorted(repr((r["doc_id"], *(r[c] for c in new))) for r in df.collect())
+    assert key(got) == key(plain)
+    assert all(r[c] == (None if r["doc_id"] is None else r["doc_id"] * 100 + CLASHING.index(c)) for r in got.collect() for c in kept if c.startswith("_"))
+    assert mixing.mixed_rows(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("count_once", [True, False])
+def test_host_rules_with_clashing_names(spark, count_once):
+    docs, keep = clashing(spark), ["doc_id", "_h", "_host", "_counts", "_own", "_text"]
+    got = hostrules.judge(docs, keep, count_once=count_once).collect()
+    plain = hostrules.judge(frame(spark), ["doc_id"]).collect()
+    new = [*hostrules.COUNTS, "base_failed", "host_docs", "host_failures", "host_rate", "kept"]
+    assert sorted(repr((r["doc_id"], *(r[c] for c in new))) for r in got) == sorted(repr((r["doc_id"], *(r[c] for c in new))) for r in plain)
+    assert all(r[c] == (None if r["doc_id"] is None else r["doc_id"] * 100 + CLASHING.index(c)) for r in got for c in keep[1:])
+    assert hostrules.passing(docs).columns == docs.columns
+
+
 # --- op6 ---------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -126,6 +197,16 @@ def test_bpe_equals_the_library(spark, library):
     assert bpe.encode(frame(spark, []), path, ["doc_id"]).count() == 0
 
 
+def test_bpe_with_clashing_names(spark, library):
+    path, _ = library
+    got = bpe.encode(clashing(spark), path, ["doc_id", "_text", "ids", "_key"])
+    assert got.columns == ["doc_id", "_text", "_key", "n_tokens", "ids", "decoded"]
+    plain = bpe.encode(frame(spark), path, ["doc_id"]).collect()
+    rows = got.collect()
+    assert sorted(repr((r["doc_id"], bytes(r["ids"]))) for r in rows) == sorted(repr((r["doc_id"], bytes(r["ids"]))) for r in plain)
+    assert all(r["_text"] == (None if r["doc_id"] is None else r["doc_id"] * 100 + CLASHING.index("_text")) for r in rows)
+
+
 def test_bpe_on_random_code_points(library):
     import random
     path, tok = library
