@@ -142,7 +142,11 @@ UNKNOWN = "unknown"
 
 
 def _map_key(sub_key: str, unknown: str) -> Column:
-    return F.coalesce(F.col(sub_key).cast("string"), F.lit(unknown)).alias(sub_key)
+    """The sub key, ``unknown`` for NULL.  A real sub key of that name would
+    become the same entry: it is refused, choose another name."""
+    name = F.col(sub_key).cast("string")
+    taken = F.raise_error(F.lit(f"sub key {unknown!r} occurs in {sub_key}: name NULLs differently")).cast("string")
+    return F.when(name.isNull(), F.lit(unknown)).when(name == unknown, taken).otherwise(name).alias(sub_key)
 
 
 def active_pairs(events: DataFrame, key: str, sub_key: str, ts: str, on_day, unknown: str = UNKNOWN) -> DataFrame:

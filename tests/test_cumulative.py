@@ -232,3 +232,16 @@ def test_long_form_equals_map(spark):
     got = rows(cumulative.rebuild_dates(ev.where("user_id is not null"), ["user_id", "b"], "ts", D(2023, 1, 2), drop_null_keys=False),
                "user_id", "b", "dates_active")
     assert got == sorted([(1, None, [D(2023, 1, 1)]), (1, "x", [D(2023, 1, 2)]), (2, None, [D(2023, 1, 2)])], key=repr)
+
+
+def test_a_real_sub_key_named_like_null_is_refused(spark):
+    import datetime as dt
+    import pytest
+    from pyspark.errors import PySparkException
+    ev = spark.createDataFrame([(1, "unknown", dt.datetime(2024, 1, 1)), (1, None, dt.datetime(2024, 1, 2))], "user_id int, kind string, ts timestamp")
+    with pytest.raises(PySparkException, match="name NULLs differently"):
+        cumulative.rebuild_date_map(ev, "user_id", "kind", "ts", "2024-01-03").collect()
+    with pytest.raises(PySparkException, match="name NULLs differently"):
+        cumulative.active_pairs(ev, "user_id", "kind", "ts", "2024-01-01").collect()
+    got = cumulative.rebuild_date_map(ev, "user_id", "kind", "ts", "2024-01-03", unknown="?").first()["device_activity_datelist"]
+    assert got == {"unknown": [dt.date(2024, 1, 1)], "?": [dt.date(2024, 1, 2)]}

@@ -131,3 +131,21 @@ def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session)
+
+
+def test_a_partition_column_declared_in_the_clause_only(spark):
+    import datetime as dt
+    import uuid
+    from cumulo.sources import catalog
+    name = f"clause_{uuid.uuid4().hex[:8]}"
+    catalog.create_table(spark, name, "k int, v string", partition_by=["day date"], location=work_path(spark, name))
+    assert spark.table(name).columns == ["k", "v", "day"]
+    rows_ = [(1, "a", dt.date(2024, 1, 1)), (2, "b", dt.date(2024, 1, 2)), (3, "c", None)]
+    df = spark.createDataFrame(rows_, "k int, v string, day date")
+    catalog.append(df.select("day", "v", "k"), name)  # by name, in any order
+    catalog.overwrite_partitions(df.where("k = 2").withColumn("v", F.lit("z")), name)
+    got = sorted((tuple(r) for r in spark.table(name).collect()), key=repr)
+    assert got == sorted([rows_[0], (2, "z", dt.date(2024, 1, 2)), rows_[2]], key=repr)
+    plan = spark.table(name).where("day = DATE'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    catalog.drop_table(spark, name)
