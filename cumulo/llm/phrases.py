@@ -7,11 +7,13 @@ burst into a node when they grow.  A trie over its memory bound spills whole
 subtrees, largest first, as sorted runs; runs of the same prefix (language and
 first two words) meet in one partition, where they are merged.
 
-Texts are read three times: for words, for pairs of frequent words, and for
-sequences of three to five words whose neighbours are all frequent pairs.  A
-frequent sequence has only frequent parts, so nothing is lost.  What is
-frequent is told to tasks by a bit table of fixed size: a collision lets a
-rare sequence be counted for nothing, and counts stay exact.
+Texts are read four times: for words, for pairs of frequent words, for triples
+of frequent pairs, and for the sequences of two to five words all of whose
+pairs and triples are frequent.  A frequent sequence has only frequent parts, so
+nothing is lost.  Most pairs and triples are rare, so the second and third
+reading add up fingerprints only.  What is frequent is
+told to tasks by a bit table of fixed size: a collision lets a rare sequence be
+counted for nothing, and counts stay exact, as they are of the words themselves.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ TABLE_BITS = 25
 BURST, MOST_ENTRIES, MOST_WORDS = 4096, 400_000, 250_000
 #: Word ids inside a packed tail; words that are counted at once.
 ID_BITS, STEP = 20, 300_000
-#: Partitions of one prefix.
-PREFIX_PARTS = 8
+#: Bits of a pair's fingerprint, pairs a task sorts at once, and groups in which
+#: fingerprints are added up, per shuffle partition.
+PAIR_BITS, MOST_PAIRS, PAIR_GROUPS = 40, 4_000_000, 8
 #: Salts of the first step of the ranking.
 SALTS = 64
 
@@ -144,16 +147,18 @@ class _Counter:
     def full(self) -> bool:
         return len(self.words) > MOST_WORDS
 
-    def count(self, lang: str, vocabulary: list[str], word: np.ndarray, good: np.ndarray, piece: np.ndarray,
-              known: int, lengths: tuple[int, ...]) -> None:
+    def count(self, lang: str, vocabulary: list[str], word: np.ndarray, good: dict[int, np.ndarray], piece: np.ndarray,
+              lengths: tuple[int, ...]) -> None:
         """Add the sequences that begin in the first ``STEP`` of some
-        consecutive words to the trie, each distinct one once."""
+        consecutive words to the trie, each distinct one once; ``good``: where
+        frequent runs of so many words begin."""
         starts = []
         for width in lengths:
             at = tb.window_starts(piece, width)
             at = at[at < STEP]
+            known = min(width, max(good))
             for j in range(width - known + 1):
-                at = at[good[at + j]]
+                at = at[good[known][at + j]]
             starts.append(at)
         if not any(len(at) for at in starts):
             return
@@ -179,29 +184,32 @@ class _Counter:
         for a, b in zip(group, group[1:]):
             self.trie.add(heads[a] >> 32, heads[a] & 0xFFFFFFFF, tails[a:b], counts[a:b])
 
-    def spill(self, everything: bool) -> Iterator[pa.RecordBatch]:
-        """Sorted runs of whole subtrees, the largest first, until half is free."""
+    def spill(self, everything: bool, parts: int) -> Iterator[pa.RecordBatch]:
+        """Whole subtrees, the largest first, until half is free, as a sorted run
+        per prefix partition: (``part``, ``lang``, ``phrases``, ``counts``)."""
+        mask = (1 << ID_BITS) - 1
+        runs: dict[tuple[int, str], list[tuple[str, int]]] = {}
         for first in self.trie.largest():
             if not everything and self.trie.entries <= MOST_ENTRIES // 2:
-                return
+                break
             lang, head = self.words[first]
-            mask = (1 << ID_BITS) - 1
-            rows = []
             for second, tail, n in self.trie.take(first):
                 seq = [head, self.words[second][1]]
                 for at in (2, 1, 0):
                     i = (tail >> (at * ID_BITS)) & mask
                     if i:
                         seq.append(self.words[i - 1][1])
-                rows.append((" ".join(seq), f"{seq[0]} {seq[1]}", n))
-            rows.sort()
-            phrases, prefixes, counts = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(rows)), pa.array(prefixes), pa.array(phrases), pa.array(counts, pa.int64())],
-                names=["lang", "prefix", "phrase", "n"])
+                # the partition is the prefix's, with a few of its own, lest it be hot
+                part = (_code(lang, f"{head} {seq[1]}") + len(seq)) % parts
+                runs.setdefault((part, lang), []).append((" ".join(seq), n))
         if everything:
             self.ids.clear()
             self.words.clear()
+        for (part, lang), run in sorted(runs.items()):
+            run.sort()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([lang]), pa.array([[p for p, _ in run]], pa.list_(pa.string())),
+                 pa.array([[n for _, n in run]], pa.list_(pa.int64()))], names=["part", "lang", "phrases", "counts"])
 
 
 def _parts(batch: pa.RecordBatch):
@@ -246,21 +254,23 @@ def count_words(rows: DataFrame) -> DataFrame:
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _bit_table(frequent: DataFrame) -> np.ndarray:
-    """Bit table of the frequent sequences (``lang``, ``phrase``): put together
-    by Spark, of fixed size."""
+def _word_places(words: DataFrame) -> DataFrame:
+    """Places of words (``lang``, ``phrase``) in a bit table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                codes = np.array([_code(lang, w) for w in phrase.split(" ")], np.uint64)
-                places.append(int(_buckets(codes, len(codes))[0]) + 1)  # Spark's bitmaps count from 1
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64())], names=["place"])
-
-    bits = (frequent.select("lang", "phrase").mapInArrow(run, "place long")
-            .groupBy(F.bitmap_bucket_number("place").alias("part"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
+            codes = np.array([_code(*x) for x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(_buckets(codes, 1))], names=["place"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "place long")
+
+
+def _bit_table(places: DataFrame) -> np.ndarray:
+    """Bit table with these places (``place``) set: put together by Spark, of
+    fixed size."""
+    at = F.col("place") + 1  # Spark's bitmaps count from 1
+    bits = places.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     table = np.zeros(1 << TABLE_BITS, dtype=bool)
     for row in bits.collect():  # at most 2**25 bits
         part = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
@@ -272,9 +282,88 @@ def _marked(table: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (table[places >> 3] >> (places & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def count_sequences(rows: DataFrame, table, known: int, lengths: tuple[int, ...]) -> DataFrame:
-    """(``lang``, ``phrase``, ``n``) of the sequences of the given lengths all of
-    whose runs of ``known`` words are marked in the bit table."""
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted whole numbers: differences, byte by byte, compressed."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(raw, n * 8, "zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(flat.reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _summed(hashes: np.ndarray, counts: np.ndarray):
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    begin = tb.runs_of(hashes)
+    return hashes[begin], (np.add.reduceat(counts[order], begin) if len(begin) else counts)
+
+
+def frequent_runs(rows: DataFrame, table, width: int, least: int) -> DataFrame:
+    """Places (``place``) of the runs of ``width`` words that occur ``least``
+    times or more, by fingerprint; of runs whose two shorter parts are marked
+    in the bit table.  Sorted fingerprints and counts are split by range and
+    added up."""
+    parts = PAIR_GROUPS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def emit():
+            hashes, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            part = (hashes >> tb.U64(PAIR_BITS - 24)) * tb.U64(parts) >> tb.U64(24)
+            begin = tb.runs_of(part)
+            ends = [*begin[1:].tolist(), len(part)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(part[begin].astype(np.int32)), pa.array([b - a for a, b in zip(begin.tolist(), ends)], pa.int32()),
+                 pa.array([_packed(hashes[a:b]) for a, b in zip(begin.tolist(), ends)], pa.binary()),
+                 pa.array([pa.compress(counts[a:b].astype(np.uint32).tobytes(), "zstd", asbytes=True) for a, b in zip(begin.tolist(), ends)],
+                          pa.binary())], names=["part", "n", "hashes", "counts"])
+
+        for batch in batches:
+            for lang, texts in _parts(batch):
+                words, _, piece = _words(texts)
+                if not len(words):
+                    continue
+                coded = words.dictionary_encode()
+                codes = np.array([_code(lang, w) for w in coded.dictionary.to_pylist()], np.uint64)
+                codes = codes[coded.indices]
+                known = _marked(table.value, _buckets(codes, width - 1))
+                at = tb.window_starts(piece, width)
+                at = at[known[at] & known[at + 1]]
+                held.append(tb.window_hash(codes, width)[at] >> tb.U64(64 - PAIR_BITS))
+                if sum(map(len, held)) > MOST_PAIRS:
+                    yield emit()
+        if held:
+            yield emit()
+        tb.release()
+
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        some, many, size = [], [], 0
+        for n, h, c in zip(*(table.column(x).to_pylist() for x in ("n", "hashes", "counts"))):
+            some.append(_unpacked(h, n))
+            many.append(np.frombuffer(pa.decompress(c, n * 4, "zstd", asbytes=True), np.uint32).astype(np.int64))
+            size += n
+            if size > MOST_PAIRS:
+                hashes, counts = _summed(np.concatenate([hashes, *some]), np.concatenate([counts, *many]))
+                some, many, size = [], [], 0
+        hashes, counts = _summed(np.concatenate([hashes, *some]), np.concatenate([counts, *many]))
+        often = hashes[counts >= least]
+        return pa.table({"place": pa.array((often >> tb.U64(PAIR_BITS - TABLE_BITS)).astype(np.int64))})
+
+    runs = rows.mapInArrow(run, "part int, n int, hashes binary, counts binary")
+    return runs.groupBy("part").applyInArrow(add, "place long")
+
+
+def count_sequences(rows: DataFrame, tables: dict, lengths: tuple[int, ...], least: int) -> DataFrame:
+    """(``lang``, ``phrase``, ``n``) of the sequences of the given lengths that
+    occur ``least`` times or more; all their runs are marked in ``tables`` (bit
+    tables by the runs' words).  Sorted runs of one prefix partition meet in one
+    group, which holds what a shuffle partition holds, and are merged there."""
+    parts = PAIR_GROUPS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter()
@@ -287,25 +376,31 @@ def count_sequences(rows: DataFrame, table, known: int, lengths: tuple[int, ...]
                 vocabulary = coded.dictionary.to_pylist()
                 codes = np.array([_code(lang, w) for w in vocabulary], np.uint64)
                 word = coded.indices.to_numpy().astype(np.int64)
-                good = np.zeros(len(word), dtype=bool)  # a marked run of known words begins here
-                at = tb.window_starts(piece, known)
-                good[at] = _marked(table.value, _buckets(codes[word], known)[at])
+                good = {}
+                for known, table in tables.items():
+                    good[known] = np.zeros(len(word), dtype=bool)  # a marked run begins here
+                    at = tb.window_starts(piece, known)
+                    good[known][at] = _marked(table.value, _buckets(codes[word], known)[at])
                 for lo in range(0, len(word), STEP):  # a long text has many steps
                     hi = lo + STEP + LONGEST - 1
-                    counter.count(lang, vocabulary, word[lo:hi], good[lo:hi], piece[lo:hi], known, lengths)
+                    counter.count(lang, vocabulary, word[lo:hi], {k: g[lo:hi] for k, g in good.items()}, piece[lo:hi], lengths)
                     if counter.full():
-                        yield from counter.spill(True)
+                        yield from counter.spill(True, parts)
                     elif counter.trie.entries > MOST_ENTRIES:
-                        yield from counter.spill(False)
-        yield from counter.spill(True)
+                        yield from counter.spill(False, parts)
+        yield from counter.spill(True, parts)
         tb.release()
 
-    runs = rows.mapInArrow(run, "lang string, prefix string, phrase string, n long")
-    # runs of one prefix meet in one partition (of a few, lest a prefix be hot);
-    # merging them is the aggregate, which needs no further shuffle
-    keys = ["lang", "prefix", "part"]
-    return (runs.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PREFIX_PARTS))).repartition(*keys)
-            .groupBy(*keys, "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n"))
+    def merge(key: tuple[pa.Scalar, ...], runs: pa.Table) -> pa.Table:
+        sizes = pc.list_value_length(runs.column("phrases").combine_chunks())
+        every = pa.table({"lang": runs.column("lang").combine_chunks().take(pa.array(np.repeat(np.arange(len(sizes)), sizes.to_numpy()))),
+                          "phrase": runs.column("phrases").combine_chunks().flatten(), "n": runs.column("counts").combine_chunks().flatten()})
+        total = every.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        often = total.filter(pc.greater_equal(total.column("n_sum"), least))
+        return pa.table({"lang": often.column("lang"), "phrase": often.column("phrase"), "n": often.column("n_sum")})
+
+    runs = rows.mapInArrow(run, "part int, lang string, phrases array<string>, counts array<long>")
+    return runs.groupBy("part").applyInArrow(merge, "lang string, phrase string, n long")
 
 
 def frequent_phrases(rows: DataFrame, least: int):
@@ -314,11 +409,13 @@ def frequent_phrases(rows: DataFrame, least: int):
     spark = rows.sparkSession
     counted = stage(count_words(rows).filter((F.col("n") >= least) | F.col("phrase").isNull()), "phrase-words")
     totals = counted.filter("phrase is null").select("lang", F.col("n").alias("total"))
-    found = [counted.filter(F.col("phrase").isNotNull() & (F.col("n") >= least))]
-    for known, lengths in ((1, (2,)), (2, tuple(range(3, LONGEST + 1)))):
-        table = spark.sparkContext.broadcast(_bit_table(found[-1]))
-        found.append(stage(count_sequences(rows, table, known, lengths).filter(F.col("n") >= least), "phrase-runs"))
-    return stage(found[0].unionByName(found[1]).unionByName(found[2]), "frequent-phrases"), totals
+    words = counted.filter(F.col("phrase").isNotNull() & (F.col("n") >= least))
+    tables = {1: spark.sparkContext.broadcast(_bit_table(_word_places(words)))}
+    for width in (2, 3):
+        tables[width] = spark.sparkContext.broadcast(_bit_table(frequent_runs(rows, tables[width - 1], width, least)))
+    del tables[1]
+    found = count_sequences(rows, tables, tuple(range(2, LONGEST + 1)), least)
+    return stage(words.unionByName(found), "frequent-phrases"), totals
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

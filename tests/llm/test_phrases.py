@@ -63,6 +63,7 @@ def test_spills_bursts_and_steps_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(phrases, name, value)
     docs = frame(spark, rows).coalesce(2).select("lang", "text")
     batches = [b for b in docs.toArrow().select(["lang", "text"]).to_batches()]
+    entries = lambda run: {(run.column(1)[0].as_py(), p): n for p, n in zip(run.column(2)[0].as_py(), run.column(3)[0].as_py())}
     counter = phrases._Counter()  # the same steps in this process, where the bounds hold
     seen = Counter()
     spilled = 0
@@ -72,17 +73,17 @@ def test_spills_bursts_and_steps_change_nothing(spark, monkeypatch):
             continue
         coded = words.dictionary_encode()
         word, vocab = coded.indices.to_numpy().astype("int64"), coded.dictionary.to_pylist()
-        good = phrases.np.ones(len(word), bool)
+        good = {2: phrases.np.ones(len(word), bool), 3: phrases.np.ones(len(word), bool)}
         for lo in range(0, len(word), 64):
             hi = lo + 64 + phrases.LONGEST - 1
-            counter.count(lang, vocab, word[lo:hi], good[lo:hi], piece[lo:hi], 1, (2, 3, 4, 5))
-            runs = list(counter.spill(counter.full())) if counter.full() or counter.trie.entries > 50 else []
+            counter.count(lang, vocab, word[lo:hi], {k: g[lo:hi] for k, g in good.items()}, piece[lo:hi], (2, 3, 4, 5))
+            runs = list(counter.spill(counter.full(), 3)) if counter.full() or counter.trie.entries > 50 else []
             spilled += len(runs)
             for run in runs:
-                assert run.column(2).to_pylist() == sorted(run.column(2).to_pylist())
-                seen.update({(la, p): n for la, p, n in zip(run.column(0).to_pylist(), run.column(2).to_pylist(), run.column(3).to_pylist())})
-    for run in counter.spill(True):
-        seen.update({(la, p): n for la, p, n in zip(run.column(0).to_pylist(), run.column(2).to_pylist(), run.column(3).to_pylist())})
+                assert run.column(2)[0].as_py() == sorted(run.column(2)[0].as_py())
+                seen.update(entries(run))
+    for run in counter.spill(True, 3):
+        seen.update(entries(run))
     every = Counter()
     for r in rows:
         for p in CUT.split((r[1] or "").translate(UPPER)):
