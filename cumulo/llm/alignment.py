@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,18 +45,46 @@ FAN = 32
 #: second pass is done part by part.
 PASS_PAIRS = 1 << 21
 #: Segments, and pairs with counts, that a task remembers.
-MOST_SEGMENTS, MOST_PAIRS = 150_000, 1_000_000
+MOST_SEGMENTS, MOST_PAIRS = 400_000, 1_000_000
+#: Segments that are encoded as one text.
+TOGETHER = 500
 #: Text that is cut and aligned at once.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 4_000_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_UNSAFE = re.compile(r"\s\s|\A | \Z")
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
 
 
 def _segments(text: str) -> list[str]:
     """``text`` cut at single spaces between other characters; the space in
     front of each (also of the first) is left out."""
-    return _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
+    return _CUT.split(text)
+
+
+def _segment_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where segments begin in texts that have a space in front each.
+
+    Every space is a beginning, except in texts that may have white space next
+    to white space: these are cut one by one.
+    """
+    white = _WHITE[data]
+    odd = [np.flatnonzero(white[1:] & white[:-1]), np.flatnonzero((data >= 0xE1) & (data <= 0xE3))]  # U+1000 to U+3FFF
+    second = np.flatnonzero(data[:-1] == 0xC2)
+    odd.append(second[(data[second + 1] == 0x85) | (data[second + 1] == 0xA0)])
+    odd.append(np.flatnonzero(white[-1:]) + len(data) - 1)
+    doc = np.unique(np.searchsorted(offs, np.concatenate(odd), "right") - 1)
+    starts = np.flatnonzero(data == 0x20)
+    if len(doc):
+        ragged = np.zeros(len(offs) - 1, bool)
+        ragged[doc] = True
+        starts = [starts[~ragged[np.searchsorted(offs, starts, "right") - 1]]]
+        for d in doc.tolist():
+            text = data[offs[d] + 1:offs[d + 1]].tobytes().decode()
+            wide = [len(s.encode()) + 1 for s in _segments(text)]
+            starts.append(offs[d] + np.cumsum([0, *wide[:-1]]))
+        starts = np.sort(np.concatenate(starts))
+    return starts
 
 
 class Aligner:
@@ -80,32 +109,69 @@ class Aligner:
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
 
     def align(self, segments: list[str]) -> "Aligned":
-        """Every segment, with its space in front, in both tokenizers."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in segments], add_special_tokens=False)]
-        ids_b = self.b.encode(segments, num_threads=1)
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        good = []
-        for s, a, b in zip(segments, ids_a, ids_b):
-            raw = b" " + s.encode()
-            good.append(b"".join([bytes_a[i] for i in a]) == raw and b"".join([bytes_b[i] for i in b]) == raw)
-        kept = [i for i, ok in enumerate(good) if ok]
-        n_a = np.array([len(ids_a[i]) for i in kept], np.int64)
-        n_b = np.array([len(ids_b[i]) for i in kept], np.int64)
-        flat_a = np.array([t for i in kept for t in ids_a[i]], np.int64)
-        flat_b = np.array([t for i in kept for t in ids_b[i]], np.int64)
+        """Every segment, with its space in front, in both tokenizers.
+
+        Segments are encoded ``TOGETHER`` at a time, as one text: tokens don't
+        cross them.  Where a tokenizer doesn't give back such a text, its
+        segments are encoded one by one.
+        """
+        some = [segments[i:i + TOGETHER] for i in range(0, len(segments), TOGETHER)]
+        wide = pc.binary_length(pa.array(segments, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        good, many_a, many_b, flat_a, flat_b = [], [], [], [], []
+        for at, part, ids_a, ids_b in zip(range(0, len(segments), TOGETHER), some, *self._ids([" ".join(x) for x in some])):
+            ends = np.cumsum(wide[at:at + TOGETHER])
+            n_a, n_b = self._split(ids_a, self.length_a, ends), self._split(ids_b, self.length_b, ends)
+            if n_a is not None and n_b is not None and self._gives_back(" ".join(part), ids_a, ids_b):
+                good.append(np.ones(len(part), bool))
+                many_a.append(n_a)
+                many_b.append(n_b)
+                flat_a.append(ids_a)
+                flat_b.append(ids_b)
+                continue
+            each = [(a, b, self._gives_back(x, a, b)) for x, a, b in zip(part, *self._ids(part))]
+            good.append(np.array([ok for _, _, ok in each], bool))
+            for ids, many, flat in ((0, many_a, flat_a), (1, many_b, flat_b)):
+                many.append(np.array([len(x[ids]) for x in each if x[2]], np.int64))
+                flat += [np.array(x[ids], np.int64) for x in each if x[2]]
+        none = [np.zeros(0, np.int64)]
+        good = np.concatenate([np.zeros(0, bool), *good])
+        n_a, n_b, flat_a, flat_b = (np.concatenate(none + [np.asarray(x, np.int64) for x in xs]) for xs in (many_a, many_b, flat_a, flat_b))
+        kept = np.flatnonzero(good).tolist()
         end_a, end_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
         # the bytes between two neighbouring ends of either tokenizer belong to
         # one token of each: one link; where both end, a group ends
-        ends = np.union1d(end_a, end_b)
+        every = np.sort(np.concatenate([end_a, end_b]))
+        twice = every[1:] == every[:-1]
+        ends = every[np.append(np.ones(len(every[:1]), bool), ~twice)]
         link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        borders = np.intersect1d(end_a, end_b, assume_unique=True)
+        borders = every[1:][twice]
         last = end_a[np.cumsum(n_a) - 1] if len(kept) else end_a
-        return Aligned(np.array(good, bool), kept, n_a, n_b, flat_a, flat_b,
+        return Aligned(good, kept, n_a, n_b, flat_a, flat_b,
                        (flat_a[link_a] << 32) | flat_b[link_b], np.searchsorted(ends, last, "right"),
                        np.searchsorted(end_a, borders, "right"), np.searchsorted(end_b, borders, "right"),
                        np.searchsorted(borders, last, "right"))
 
 
+    def _ids(self, texts: list[str]):
+        """Ids of A of each text with a space in front, and of B, which adds it."""
+        return ([x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
+                self.b.encode(texts, num_threads=1))
+
+    def _gives_back(self, text: str, ids_a: list[int], ids_b: list[int]) -> bool:
+        raw = b" " + text.encode()
+        bytes_a, bytes_b = self.bytes_a, self.bytes_b
+        return b"".join([bytes_a[i] for i in ids_a]) == raw and b"".join([bytes_b[i] for i in ids_b]) == raw
+
+    @staticmethod
+    def _split(ids: list[int], length: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Tokens of each segment; None where one goes beyond a segment's end."""
+        to = np.cumsum(length[np.array(ids, np.int64)])
+        at = np.searchsorted(to, ends)
+        if not len(to) or at[-1] >= len(to) or (to[at] != ends).any():
+            return None
+        return np.diff(at + 1, prepend=0)
+
+
 class Aligned:
     """Alignment of some segments; arrays are over the good ones."""
 
@@ -117,16 +183,15 @@ class Aligned:
 
     def texts(self) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of every good segment."""
-        a, b = list(map(str, self.flat_a.tolist())), list(map(str, self.flat_b.tolist()))
-        groups, at_a, at_b = [], 0, 0
-        for to_a, to_b in zip(self.cut_a.tolist(), self.cut_b.tolist()):
-            groups.append(",".join(a[at_a:to_a]) + "|" + ",".join(b[at_b:to_b]))
-            at_a, at_b = to_a, to_b
-        out, at = [], 0
-        for to in self.group_ends.tolist():
-            out.append(";".join(groups[at:to]))
-            at = to
-        return out
+        groups = [f"{x}|{y}" for x, y in zip(self.flat_a[self.cut_a - 1].tolist(), self.flat_b[self.cut_b - 1].tolist())]
+        # most groups are one token of each; the others are written out
+        from_a, from_b = np.append(0, self.cut_a[:-1]), np.append(0, self.cut_b[:-1])
+        wide = np.flatnonzero((self.cut_a - from_a[:len(self.cut_a)] > 1) | (self.cut_b - from_b[:len(self.cut_b)] > 1))
+        a, b = self.flat_a.tolist(), self.flat_b.tolist()
+        for i, a0, a1, b0, b1 in zip(wide.tolist(), *(x[wide].tolist() for x in (from_a, self.cut_a, from_b, self.cut_b))):
+            groups[i] = ",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1]))
+        ends = self.group_ends.tolist()
+        return [groups[x] if y == x + 1 else ";".join(groups[x:y]) for x, y in zip([0, *ends], ends)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -145,24 +210,32 @@ class _Memory:
         self.index: dict[str, int] = {}
         self.columns: list[list] | None = None
 
-    def numbers(self, texts: list[str | None]):
+    def numbers(self, texts: pa.Array):
         """(segment numbers in text order, number of segments of each text)."""
         if len(self.index) > MOST_SEGMENTS:
             self.clear()
-        cut = [_segments(t) if t else [] for t in texts]
-        index = self.index
-        new = [s for s in dict.fromkeys(s for segments in cut for s in segments) if s not in index]
-        if new or self.columns is None:
-            begin = len(index)
+        spaced = pc.binary_join_element_wise(pa.scalar(" "), pc.fill_null(texts, ""), "")
+        data, offs = tb.buffer(spaced)
+        starts = _segment_starts(data, offs)
+        doc = np.searchsorted(offs, starts, "right") - 1
+        cut = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        full = (np.diff(offs) > 1)[doc]  # null and empty texts have no segment
+        coded = cut.filter(pa.array(full)).dictionary_encode()
+        segments, index = coded.dictionary.to_pylist(), self.index
+        number = np.array([index.get(s, -1) for s in segments], np.int64)
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown) or self.columns is None:
+            begin, new = len(index), [segments[i] for i in unknown.tolist()]
+            number[unknown] = np.arange(begin, begin + len(new))
             index.update(zip(new, range(begin, begin + len(new))))
-            columns = self.describe(self.aligner.align(new))
+            columns = self.describe(self.aligner.align([s[1:] for s in new]))
             if self.columns is None:
                 self.columns = columns
             else:
                 self.columns = [np.concatenate([old, more]) if isinstance(old, np.ndarray) else old + more
                                 for old, more in zip(self.columns, columns)]
-        at = np.array([index[s] for segments in cut for s in segments], np.int64)
-        return at, np.array([len(segments) for segments in cut], np.int64)
+        return number[coded.indices.to_numpy()], np.bincount(doc[full], minlength=len(texts))
 
 
 def _spread(values: np.ndarray, aligned: Aligned) -> np.ndarray:
@@ -190,9 +263,10 @@ def pair_runs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
         def describe(aligned: Aligned):
             nonlocal pair_of, counts
-            numbers = np.array([known.setdefault(p, len(known)) for p in aligned.links.tolist()], np.int64)
+            pairs, back = np.unique(aligned.links, return_inverse=True)
+            numbers = np.array([known.setdefault(p, len(known)) for p in pairs.tolist()], np.int64)
             begin = len(pair_of)
-            pair_of = np.concatenate([pair_of, numbers])
+            pair_of = np.concatenate([pair_of, numbers[back]])
             counts = np.concatenate([counts, np.zeros(len(known) - len(counts), np.int64)])
             ends = aligned.link_ends
             starts = np.concatenate([[0], ends[:-1]])[:len(ends)]
@@ -226,15 +300,15 @@ def pair_runs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 if len(memory.index) > MOST_SEGMENTS:  # their links are dropped with them
                     memory.clear()
                     pair_of = np.zeros(0, np.int64)
-                at, sizes = memory.numbers(part.column(0).to_pylist())
+                at, sizes = memory.numbers(part.column(0))
                 good, start, length = memory.columns
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 whole = np.bincount(doc[~good[at]], minlength=len(sizes)) == 0
                 use = whole[doc]
                 at, doc = at[use], doc[use]
                 pair = pair_of[_expand(start[at], length[at])]
-                keys = np.unique((np.repeat(doc, length[at]) << 32) | pair)
-                counts += np.bincount(keys & 0xFFFFFFFF, minlength=len(counts))
+                keys = np.sort((np.repeat(doc, length[at]) << 32) | pair)
+                counts += np.bincount(keys[tb.runs_of(keys)] & 0xFFFFFFFF, minlength=len(counts))
         yield flush()
         tb.release()
 
@@ -389,7 +463,8 @@ class _Lookup:
                                        np.frombuffer(r["counts"], np.int64), np.frombuffer(r["best"], np.uint8))
 
     def of(self, pairs: np.ndarray):
-        """(documents, best) of each pair; 0 for pairs of other shards."""
+        """(documents, best) of each pair; 0 for pairs of other shards, and for
+        those that are in no document with tokens (their texts have none)."""
         count, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
         shard = (pairs >> 32) % SHARDS
         order = np.argsort(shard, kind="stable")
@@ -400,8 +475,8 @@ class _Lookup:
                 made, by_slot, counts, bests = found
                 at = order[a:b]
                 slot = made.slots(pairs[at])
-                if (slot < 0).any() or (by_slot[slot] != pairs[at]).any():
-                    raise ValueError("a pair of the second pass is not in the table")
+                own = (slot >= 0) & (by_slot[slot] == pairs[at])  # the keys are compared
+                at, slot = at[own], slot[own]
                 count[at], best[at] = counts[slot], bests[slot]
         return count, best
 
@@ -440,7 +515,7 @@ def _second_pass(docs: DataFrame, keep: list[str], path_a: str, path_b: str, tab
         memory = _Memory(load(path_a, path_b), describe)
         for batch in batches:
             for part in tb.slices(batch, at_text, SLICE_BYTES):
-                at, sizes = memory.numbers(part.column(at_text).to_pylist())
+                at, sizes = memory.numbers(part.column(at_text))
                 good, *columns, texts = memory.columns
                 n = part.num_rows
                 doc = np.repeat(np.arange(n), sizes)

@@ -67,7 +67,8 @@ def found(docs):
 
 STRANGE = ["a  b", " a", "a ", "  ", " ", "\n", "a\n b", "a \nb", "a▁b", "<s> </s><|endoftext|> <unk>", "it's we'll 12 345", "x\x00y",
            "tab\t x\ty", "nb  sp 　 wide", "  line  ", "\x1c \x85 x", "é é ﬁ ①", "😀 👩‍👩‍👧 日本 語", "a" * 3000,
-           "word " * 2000, "  ᠎ x", "I don 't ' t", "a - b -- c . . ."]
+           "word " * 2000, "  ᠎ x", "I don 't ' t", "a - b -- c . . .", "xylophonezebra quixotically a▁b",
+           "only▁here"]
 
 
 def test_awkward_rows(spark):
@@ -86,6 +87,10 @@ def test_random_strings():
     for t in texts:
         al = aligner.align(alignment._segments(t))
         got.append(";".join(al.texts()) if al.good.all() else "")
+    data, offs = alignment.tb.buffer(alignment.pa.array([" " + t for t in texts]))
+    starts = alignment._segment_starts(data, offs)
+    cut = [data[a:b].tobytes().decode()[1:] for a, b in zip(starts, [*starts[1:], len(data)])]
+    assert cut == [s for t in texts for s in alignment._segments(t)]
     assert sorted(got) == sorted(x[-1] for x in brute(texts))
 
 
