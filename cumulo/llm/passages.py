@@ -10,9 +10,9 @@
    documents, are cut into phrases of seven words, one at every seventh word,
    so that any window of a passage has a whole phrase; pyahocorasick compiles
    one automaton per block over word numbers.
-3. Stream the documents' runs of a block through its automaton.  Each occurrence
-   of a phrase is extended word by word as far as passage and document agree;
-   agreements of a whole window or more are located copies.
+3. Stream the documents' runs of a block through its automaton.  At each
+   occurrence of a phrase passage and document are compared word by word as far
+   as a window reaches; agreements of a whole window are located copies.
 
 Fingerprints only choose what is compared; every reported word has been
 matched word by word.  What many documents share is aggregated map-side, and
@@ -34,6 +34,8 @@ from cumulo.llm import textbuf as tb
 from cumulo.llm.common import stage
 
 WINDOW, ANCHOR, PHRASE = 13, 5, 7
+#: Words of a window on either side of its phrase.
+REACH = WINDOW - PHRASE
 #: Words of candidate runs per block (one automaton each).
 BLOCK_WORDS = 100_000
 LAST = 2**63 - 1
@@ -134,71 +136,106 @@ def window_rows(runs: DataFrame, blocks: int) -> DataFrame:
 
 
 def block_passages(runs: DataFrame, blocks: int) -> DataFrame:
-    """(``block``, ``first_rank``, ``first_run``, ``at``): for every block the
-    runs of first documents it needs, and the recurring windows' places in
-    them."""
+    """(``block``, ``first_rank``, ``passage``): for every block the recurring
+    windows it needs, merged to passages of their first documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, rank, passage = [], [], []
+            for b, r, text, at in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                words, at = _WORDS(text), sorted(set(at))
+                begin = at[0]
+                for here, after in zip(at, [*at[1:], None]):
+                    if after is None or after > here + 1:  # a maximal passage
+                        block.append(b)
+                        rank.append(r)
+                        passage.append(" ".join(words[begin:here + WINDOW]))
+                        begin = after
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(rank, pa.int64()), pa.array(passage, pa.string())],
+                                             names=["block", "first_rank", "passage"])
+        tb.release()
+
     places = (window_rows(runs, blocks).groupBy("w1", "w2")
               .agg(F.min(F.struct("rank", "number", "pos")).alias("first"), F.max("rank").alias("last"),
                    F.collect_set("block").alias("blocks"))  # at most one entry per block
               .filter("first.rank < last").select("first.number", "first.pos", F.explode("blocks").alias("block"))
               .groupBy("number", "block").agg(F.collect_list("pos").alias("at")))
+    # a run is cut where it is read: only passages go on to the blocks
     return stage(places, "passages").hint("merge").join(runs.select("number", "rank", "run"), "number").select(
-        "block", F.col("rank").alias("first_rank"), F.col("run").alias("first_run"), "at")
+        "block", "rank", "run", "at").mapInArrow(run, "block int, first_rank long, passage string")
 
 
 def _phrases(passages: pa.Table):
-    """Automaton over word numbers; word numbers; passages as (rank, numbers)."""
+    """Automaton over word numbers, and the word numbers.  A phrase knows the
+    places it has in passages by what stands there up to a window's reach to
+    the left and right, and the smallest rank of each: in text that repeats
+    itself most places look alike and are one."""
     number: dict[str, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    kept: list[tuple[int, list[int]]] = []
-    entries: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-    for rank, text, at in zip(*(passages.column(c).to_pylist() for c in ("first_rank", "first_run", "at"))):
-        words = _WORDS(text)
-        at = sorted(set(at))
-        begin = at[0]
-        for here, after in zip(at, [*at[1:], None]):
-            if after is None or after > here + 1:  # a maximal passage
-                ids = [number.setdefault(w, len(number) + 1) for w in words[begin:here + WINDOW]]
-                for o in range(0, len(ids) - PHRASE + 1, PHRASE):
-                    entries.setdefault(tuple(ids[o:o + PHRASE]), []).append((len(kept), o))
-                kept.append((rank, ids))
-                begin = after
-    for phrase, where in entries.items():
-        automaton.add_word(phrase, where)
+    entries: dict[tuple[int, ...], dict] = {}
+    for rank, text in zip(*(passages.column(c).to_pylist() for c in ("first_rank", "passage"))):
+        ids = tuple([number.setdefault(w, len(number) + 1) for w in text.split(" ")])
+        for o in range(0, len(ids) - PHRASE + 1, PHRASE):
+            places = entries.setdefault(ids[o:o + PHRASE], {})
+            around = ids[max(0, o - REACH):o], ids[o + PHRASE:o + PHRASE + REACH]
+            places[around] = min(rank, places.get(around, LAST))
+    for phrase, places in entries.items():
+        automaton.add_word(phrase, places)
     if entries:
         automaton.make_automaton()
-    return automaton if entries else None, number, kept
+    return automaton if entries else None, number
+
+
+def _agree(a, b) -> int:
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 def locate(block_runs: pa.Table, passages: pa.Table) -> pa.Table:
     """Word spans (``number``, ``begin``, ``end``) of the block's runs that a
-    document of smaller rank has too."""
-    automaton, number, kept = _phrases(passages)
+    document of smaller rank has too.
+
+    At a hit the words around the phrase are compared as far as a window
+    reaches, which locates the windows that hold the phrase; any window of a
+    passage holds a whole phrase.
+    """
+    automaton, number = _phrases(passages)
     out: list[tuple[int, int, int]] = []
     for which, rank, text in zip(*(block_runs.column(c).to_pylist() for c in ("number", "rank", "run"))):
         if automaton is None:
             break
         ids = tuple([number.get(w, 0) for w in _WORDS(text)])
-        reach: dict[tuple[int, int], int] = {}  # (passage, shift) -> compared up to
-        for end, where in automaton.iter(ids):
-            for passage, offset in where:
-                other, words = kept[passage]
-                if other >= rank:
-                    continue
-                shift = end - PHRASE + 1 - offset
-                if reach.get((passage, shift), -1) >= end:
-                    continue
-                low, high = max(0, shift), min(len(ids), shift + len(words))
-                begin, stop = end - PHRASE + 1, end + 1
-                while begin > low and ids[begin - 1] == words[begin - 1 - shift]:
-                    begin -= 1
-                while stop < high and ids[stop] == words[stop - shift]:
-                    stop += 1
-                reach[passage, shift] = stop - 1
-                if stop - begin >= WINDOW:
-                    out.append((which, begin, stop))
+        last = len(ids) - WINDOW
+        located = bytearray(max(last + 1, 0))  # by the window's start
+        for end, places in automaton.iter(ids):
+            at = end - PHRASE + 1
+            first, stop = max(0, at - REACH), min(at, last) + 1  # the windows that hold the phrase
+            if located.find(0, first, stop) < 0:
+                continue
+            left, right = ids[first:at], ids[end + 1:end + 1 + REACH]
+            if places.get((left, right), LAST) < rank:
+                located[first:stop] = b"\1" * (stop - first)
+                continue
+            for (before, after), other in places.items():
+                if other < rank:
+                    low = at - _agree(left[::-1], before[::-1])
+                    high = at + PHRASE + _agree(right, after) - WINDOW + 1
+                    if high > low:
+                        located[low:high] = b"\1" * (high - low)
+                        if located.find(0, first, stop) < 0:
+                            break
+        begin = located.find(1)
+        while begin >= 0:
+            end = located.find(0, begin)
+            end = len(located) if end < 0 else end
+            out.append((which, begin, end + WINDOW - 1))
+            begin = located.find(1, end)
     columns = list(zip(*out)) if out else [(), (), ()]
-    del automaton, number, kept
+    del automaton, number
     tb.release()
     return pa.table({"number": pa.array(columns[0], pa.int64()), "begin": pa.array(columns[1], pa.int32()),
                      "end": pa.array(columns[2], pa.int32())})

@@ -236,6 +236,32 @@ def test_passages_against_brute_force(spark, monkeypatch, block_words):
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == brute_passages(rows)
 
 
+def test_text_that_repeats_itself_is_located_in_linear_time():
+    import time
+    import pyarrow as pa
+    table = lambda **c: pa.table(c)
+    took = []
+    for n in (20_000, 100_000):
+        for unit in ("w", "a b c", "a b c d e f g h"):
+            one = " ".join([unit] * (n // len(unit.split(" "))))
+            other = " ".join(one.split(" ")[:-5] + ["x"] + one.split(" ")[:n // 2])
+            began = time.time()
+            got = passages.locate(table(number=[1, 2], rank=[5, 6], run=[other, "y " + one]), table(block=[0], first_rank=[3], passage=[one]))
+            took.append(time.time() - began)
+            for which, text in ((1, other), (2, "y " + one)):
+                words, gone = text.split(" "), set()
+                for b, e in zip(*(got.filter(pa.compute.equal(got["number"], which))[c].to_pylist() for c in ("begin", "end"))):
+                    gone |= set(range(b, e))
+                assert gone == {i for i, w in enumerate(words) if w not in "xy"}
+    assert max(took) < 20, took
+
+
+def test_passages_of_repeating_documents(spark):
+    rows = [(1, "w " * 900), (2, "w " * 1100 + "z"), (3, "a b " * 400 + "c " * 13), (4, "b a " * 300), (5, "x " + "c " * 12)]
+    got = passages.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == brute_passages(rows)
+
+
 def test_passages_keep_columns_and_empty_tables(spark):
     docs = frame(spark)
     out = passages.without_repeats(docs)
