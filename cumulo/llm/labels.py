@@ -1,4 +1,4 @@
-"""Labelled samples for the classifiers."""
+"""Labelled rows for the classifiers."""
 
 from __future__ import annotations
 
@@ -11,13 +11,16 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(-1))
 
 
-def sample(labels: DataFrame, label_col: str, folds: int, held_out: int, rows: int) -> DataFrame:
-    """At most ``rows`` labelled ids (``doc_id``, ``label``) outside the held-out
-    fold, in hash order: the same on every run, and the documented bound that
-    allows a broadcast.  Null ids and labels are left out; of several labels of
-    one id the largest counts."""
+def known(labels: DataFrame, label_col: str, folds: int, held_out: int) -> DataFrame:
+    """All labelled ids (``doc_id``, ``label``) outside the held-out fold.  Null
+    ids and labels are left out; of several labels of one id the largest counts."""
     return (labels.select("doc_id", F.col(label_col).cast("int").alias("label"))
             .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull()
                     & (fold(F.col("doc_id"), folds) != held_out))
-            .groupBy("doc_id").agg(F.max("label").alias("label"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+            .groupBy("doc_id").agg(F.max("label").alias("label")))
+
+
+def sample(labels: DataFrame, label_col: str, folds: int, held_out: int, rows: int) -> DataFrame:
+    """At most ``rows`` of the ``known`` ids, in hash order: the same on every
+    run, and the documented bound that allows a broadcast."""
+    return known(labels, label_col, folds, held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

@@ -138,3 +138,43 @@ def test_word_vectors_and_pooling_against_plain_loops(spark):
     hidden = [np.tanh(sum(scaled[i] * a[i, j] for i in range(6)) + b[j]) for j in range(net.hidden)]
     z = (sum(h * w for h, w in zip(hidden, c)) + e[0]) / net.temperature
     assert net.probability(row[None])[0] == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_every_labelled_text_is_learnt_from_in_whole(spark, monkeypatch):
+    """Long texts too, in several shards, whatever the partitions; every row
+    counts for the thresholds."""
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 300_000)
+    monkeypatch.setattr(toxicity, "VISITS", 1600)
+    rng = np.random.default_rng(8)
+    docs = []
+    for i in range(80):
+        words = [f"w{k}" for k in rng.integers(0, 60, 3100)]
+        if i % 2:
+            words[2000:3000:100] = ["vile"] * 10
+        docs.append((i, " ".join(words), "en" if i < 78 else "fr"))
+    known = labels.known(spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id bigint, y int"), "y", 4, -2)
+    assert known.count() == 80
+    a, b = ({r["doc_id"]: r for r in toxicity.score(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(n), known).collect()}
+        for rows, n in ((docs, 3), (docs[::-1], 7)))
+    assert {k: r["threshold"] for k, r in a.items()} == {k: r["threshold"] for k, r in b.items()}
+    assert {k: r["score"] for k, r in a.items()} == pytest.approx({k: r["score"] for k, r in b.items()}, rel=1e-3, abs=1e-7)
+    assert min(a[i]["score"] for i in range(1, 80, 2)) > max(a[i]["score"] for i in range(0, 80, 2))
+
+
+def test_temperature_and_thresholds_are_of_all_judged_rows(spark):
+    rng = np.random.default_rng(6)
+    y = (rng.random(3000) < 0.2).astype(int)
+    z = rng.normal(y * 3 - 2, 1.5)
+    langs = np.array(["en"] * 2500 + ["fr"] * 160 + ["de"] * 300 + ["none"] * 40)
+    y[2660:2960] = 0  # no row of one class
+    rows = spark.createDataFrame([(k if k != "none" else None, int(v), float(x)) for k, v, x in zip(langs, y, z)],
+                                 "lang string, y int, logit double").repartition(5)
+    t = toxicity.temperature_of(rows)
+    assert t == pytest.approx(quality.temperature(z, y))
+    own, common = toxicity.thresholds(rows, t)
+    p = 1 / (1 + np.exp(-np.clip(z / t, -60, 60)))
+    langs[langs == "none"] = ""
+    want = toxicity.language_thresholds(p, y, langs)
+    assert (y[2500:2660] == 1).sum() < 160 and {r["_lang"]: r["own"] for r in own.collect()} == want and "en" in want and "de" not in want
+    assert common == toxicity.best_threshold(p, y)
