@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from cumulo.llm import textbuf as tb
 from cumulo.llm.common import discard, free_name, stage
-from cumulo.llm.components import components
+from cumulo.llm.components import stars
 
 SHINGLE, BANDS, ROWS = 5, 10, 3
 #: Buckets of the document-frequency table: the only thing that is collected
@@ -215,10 +216,11 @@ def _compared(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(``band``, ``t``, ``small``) of every bucket that several texts share."""
+    """(``band``, ``t``, ``small``, ``leader``) of every bucket that several
+    texts share; the leader is its least text."""
     bands = stage(classes.select("t", F.explode("bands").alias("band")), "bands")
-    size = stage(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band-sizes")
-    members = stage(bands.join(size, "band").select("band", "t", (F.col("n") <= SMALL).alias("small")), "band-members")
+    size = stage(bands.groupBy("band").agg(F.count("*").alias("n"), F.min("t").alias("leader")).filter("n > 1"), "band-sizes")
+    members = stage(bands.join(size, "band").select("band", "t", (F.col("n") <= SMALL).alias("small"), "leader"), "band-members")
     discard(bands, size)
     return members
 
@@ -280,27 +282,25 @@ class _Links:
 
     def __init__(self, texts: DataFrame, idf, threshold: float):
         self.texts, self.idf, self.threshold = texts, idf, threshold
-        self.found: DataFrame | None = None
-        self._roots: DataFrame | None = None
+        self._stars: DataFrame | None = None  # of what was linked when last asked
+        self._new: list[DataFrame] = []  # links (u, v) since then
 
     def check(self, candidates: DataFrame) -> DataFrame:
         """Compare candidates (``t``, ``leader``), keep those that link; all of
         them with their shared weight."""
-        pairs = stage(candidates.select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct(), "pairs")
+        pairs = candidates.select(F.least("t", "leader").alias("a"), F.greatest("t", "leader").alias("b")).distinct()
         done = stage(_compared(pairs, self.texts, self.idf, self.threshold), "compared-pairs")
-        discard(pairs)
-        near = done.filter("near").select("a", "b")
-        if self.found is None:
-            self.found, self._roots = near, None
-        elif not near.isEmpty():
-            self.found, self._roots = self.found.unionByName(near), None
+        near = done.filter("near").select(F.col("b").alias("u"), F.col("a").alias("v"))
+        if (self._stars is None and not self._new) or not near.isEmpty():
+            self._new.append(near)
         return done
 
     def roots(self) -> DataFrame:
-        """(``node``, ``root``) of the texts that have a link."""
-        if self._roots is None:
-            self._roots = stage(components(self.found), "near-roots")
-        return self._roots
+        """(``node``, ``root``) of the texts whose component has a lesser one."""
+        if self._new:
+            known = [self._stars] if self._stars is not None else []
+            self._stars, self._new = stars(reduce(DataFrame.unionByName, known + self._new)), []
+        return self._stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
     def open(self, rows: DataFrame) -> DataFrame:
         """``rows`` (``band``, ``t``, ...) of buckets that hold several
@@ -354,9 +354,7 @@ def _by_rarest(rows: DataFrame, links: _Links) -> None:
 def _links(members: DataFrame, texts: DataFrame, idf, threshold: float) -> _Links:
     """Links between texts, enough to hold every component together."""
     links = _Links(texts, idf, threshold)
-    first = stage(members.groupBy("band").agg(F.min("t").alias("leader")), "leaders")
-    links.check(members.join(first, "band").filter("t <> leader"))
-    discard(first)
+    links.check(members.filter("t <> leader"))
     _to_the_end(members.filter("small").select("band", "t"), links)
     rest = stage(links.open(members.filter("not small").select("band", "t")).select("t").distinct(), "open-texts")
     if not rest.isEmpty():

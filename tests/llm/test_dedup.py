@@ -7,7 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from cumulo.llm import icws, lattice, passages, suffixes
+from cumulo.llm import common, icws, lattice, passages, suffixes
+from cumulo.llm import components as joined
 from cumulo.llm.components import components
 from tests.llm.helpers import WORDS, awkward, frame, vocabulary
 
@@ -143,6 +144,18 @@ def test_groups_that_straddle_the_threshold(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_links_are_joined_in_few_written_tables(spark, monkeypatch):
+    """A written table costs a file of every shuffle partition, however small it is."""
+    written = []
+    for module in (icws, joined):
+        monkeypatch.setattr(module, "stage", lambda df, name: written.append(name) or common.stage(df, name))
+    rows = template_family(80, 20)
+    got = icws.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_groups(rows)[0]
+    assert "rare-texts" in written  # a bucket went all the way
+    assert len(written) <= 30, written
+
+
 # --- op9 -------------------------------------------------------------------------
 
 def test_lattice_points_are_nearest():
