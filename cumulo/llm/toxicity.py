@@ -32,7 +32,9 @@ from cumulo.plans.inspect import session_conf
 #: would only let the network remember single documents.
 MIN_DOCS = 4
 #: Tokens whose filter responses are held at once (one longer document is alone).
-CHUNK_TOKENS = 200_000
+CHUNK_TOKENS = 50_000
+#: Documents of a step of the fit whose responses are held at once.
+CHUNK_DOCS = 8
 #: Bytes of a token that make its stem.
 STEM = 4
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 24
@@ -117,16 +119,21 @@ class Cnn:
         return self
 
     def embed(self, ids: np.ndarray) -> np.ndarray:
-        return self.table[ids[:, 0]] + self.table[ids[:, 1]]
-
-    def maps(self, embedded: np.ndarray) -> list[np.ndarray]:
-        """Filter responses at every position, one array per width."""
-        result = []
-        for w, weight in zip(WIDTHS, self.filters):
-            r = embedded @ weight[0]
-            for j in range(1, w):
-                r[:-j] += embedded[j:] @ weight[j]
-            result.append(r)
+        out = self.table.take(ids[:, 0], axis=0)
+        out += self.table.take(ids[:, 1], axis=0)
+        return out
+
+    def maps(self, embedded: np.ndarray) -> np.ndarray:
+        """Responses of every filter, by width, at every position: a row of
+        each filter, so that maxima run along memory."""
+        n, most = len(embedded), max(WIDTHS)
+        near = np.zeros((most, DIM, n), np.float32)  # what stands j places further
+        near[0] = embedded.T
+        for j in range(1, most):
+            near[j, :, :-j] = near[0, :, j:]
+        result = np.empty((len(WIDTHS) * FILTERS, n), np.float32)
+        for k, (w, weight) in enumerate(zip(WIDTHS, self.filters)):
+            np.matmul(weight.reshape(w * DIM, FILTERS).T, near[:w].reshape(w * DIM, n), out=result[k * FILTERS:(k + 1) * FILTERS])
         return result
 
     def logits(self, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -146,15 +153,15 @@ class Cnn:
         # a document's places and the first of its padding; filters there see
         # no token of the next document
         bounds = np.stack([starts, starts + sizes + 1], axis=1).ravel()
-        most = [np.maximum.reduceat(r, bounds, axis=0)[::2] for r in self.maps(self.embed(ids))]
-        return np.maximum(np.hstack(most), 0) @ self.out + self.bias
+        most = np.maximum.reduceat(self.maps(self.embed(ids)), bounds, axis=1)[:, ::2]
+        return np.maximum(most.T, 0) @ self.out + self.bias
 
     def probability(self, ids, offs) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(ids, offs) / self.temperature, -60, 60)))
 
     def fit(self, docs: list[np.ndarray], y: np.ndarray, epochs: int, rng: np.random.Generator,
             batch: int = 64, rate: float = 0.05) -> Cnn:
-        """Adagrad on the log loss over documents of table rows; only embedding
+        """Adagrad on the log loss over documents of buckets; only embedding
         rows under a maximum change."""
         parts, past = self.parts(), self.past
 
@@ -169,11 +176,18 @@ class Cnn:
                 ids, starts = padded(np.concatenate([docs[r] for r in rows]),
                                      np.cumsum([0, *[len(docs[r]) for r in rows]]))
                 ends = starts + [len(docs[r]) + 1 for r in rows]
+                if self.place is not None:
+                    ids = self.place[ids]
                 embedded = self.embed(ids)
-                maps = self.maps(embedded)
-                at = [np.array([m[s:e].argmax(0) + s for s, e in zip(starts, ends)]) for m in maps]
-                tops = [np.take_along_axis(m, a, 0) for m, a in zip(maps, at)]
-                hidden = np.maximum(np.hstack(tops), 0)
+                at, tops = [], []
+                for k in range(0, len(rows), CHUNK_DOCS):
+                    low = starts[k]  # behind the last of these documents is padding
+                    maps = self.maps(embedded[low:ends[min(k + CHUNK_DOCS, len(rows)) - 1]])
+                    for s, e in zip(starts[k:k + CHUNK_DOCS], ends[k:k + CHUNK_DOCS]):
+                        top = maps[:, s - low:e - low].argmax(1) + (s - low)
+                        at.append(top + low)
+                        tops.append(maps[np.arange(len(maps)), top])
+                at, hidden = np.array(at), np.maximum(np.array(tops), 0)
                 err = (1 / (1 + np.exp(-(hidden @ self.out + self.bias))) - y[rows]) / len(rows)
                 back = np.outer(err, self.out) * (hidden > 0)
                 touched, grads = [], []
@@ -181,7 +195,7 @@ class Cnn:
                     g = back[:, k * FILTERS:(k + 1) * FILTERS].astype(np.float32)
                     grad = np.zeros_like(weight)
                     for j in range(w):
-                        pos = np.minimum(at[k] + j, len(ids) - 1)
+                        pos = np.minimum(at[:, k * FILTERS:(k + 1) * FILTERS] + j, len(ids) - 1)
                         grad[j] = np.einsum("df,dfe->ef", g, embedded[pos])
                         grad_in = (g[:, :, None] * weight[j].T[None]).reshape(-1, DIM)
                         for part in (0, 1):
@@ -189,8 +203,7 @@ class Cnn:
                             grads.append(grad_in)
                     step(w, grad)
                 rows_at, inverse = np.unique(np.concatenate(touched), return_inverse=True)
-                total = np.zeros((len(rows_at), DIM), np.float32)
-                np.add.at(total, inverse, np.concatenate(grads))
+                total = np.stack([np.bincount(inverse, g) for g in np.concatenate(grads).T], axis=1).astype(np.float32)
                 total[rows_at == 0] = 0  # padding stays zero
                 step("t", total, rows_at)
                 step("o", hidden.T @ err)
@@ -302,7 +315,7 @@ def _round(shards: DataFrame, k: int, shared, epochs: int, nth: int) -> DataFram
         for shard, ids, offs, label, half, _ in _opened(batches):
             mine = np.flatnonzero(_LEARNS[k](half))
             if len(mine):
-                docs = [net.place[ids[offs[i]:offs[i + 1]]] for i in mine]
+                docs = [ids[offs[i]:offs[i + 1]] for i in mine]
                 net.at(state).fit(docs, label[mine].astype(float), epochs, np.random.default_rng([17, k, nth, shard]))
                 change = net.state()
                 change -= net.at(state).state()

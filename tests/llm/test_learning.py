@@ -109,6 +109,19 @@ def test_convolution_against_plain_loops():
     assert np.allclose(net.logits(ids, offs), want, atol=1e-4)
 
 
+def test_responses_of_a_filter_lie_in_a_row():
+    """Maxima over a text run along memory; over columns they took most of the time."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Cnn()
+    embedded = rng.normal(size=(50, toxicity.DIM)).astype(np.float32)
+    got = net.maps(embedded)
+    assert got.shape == (len(toxicity.WIDTHS) * toxicity.FILTERS, 50) and got.flags.c_contiguous
+    far = np.concatenate([embedded, np.zeros((max(toxicity.WIDTHS), toxicity.DIM))])  # nothing stands behind the end
+    want = [sum(far[j:j + 50] @ weight[j, :, f] for j in range(w))
+            for w, weight in zip(toxicity.WIDTHS, net.filters) for f in range(toxicity.FILTERS)]
+    assert np.allclose(got, want, atol=1e-5)
+
+
 def test_word_vectors_and_pooling_against_plain_loops(spark):
     import pyarrow as pa
     texts = ["a b c a b", "b", "", None, "c c c d", "a b c d e f g h i j"]
